@@ -8,10 +8,15 @@ compared outputs.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.operators import marts, silver
-from eventlake.sources import driver
+from eventlake.operators import churn, layout, marts, quality, silver, validation
+from eventlake.plans import medallion
+from eventlake.session import scratch_dir
+from eventlake.sources import bronze, driver
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,3 +92,284 @@ def dim_date_from_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.top_repos(marts.dim_repo(_stg(spark, sf_dir)), 10)
+
+
+# --- Gold validation --------------------------------------------------------
+
+STALE_DIM_CUTOFF = "2024-01-02"  # dimension snapshot taken after the first day
+DIM_DATE_CUTOFF = "2024-01-15"
+
+
+def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.fact_events(_stg(spark, sf_dir))
+
+
+def fact_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.key_uniqueness(_fact(spark, sf_dir), "event_id")
+
+
+def orphans_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    return validation.orphan_summary(marts.fact_events(stg), marts.dim_repo(stg), "repo_id")
+
+
+def orphans_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    return validation.orphan_summary(marts.fact_events(stg), marts.dim_actor(stg), "actor_id")
+
+
+def orphans_actor_stale_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact vs an actor dimension built before ``STALE_DIM_CUTOFF``: the
+    actors first seen later are the orphans, with their fact row counts."""
+    stg = _stg(spark, sf_dir)
+    snapshot = marts.dim_actor(stg.where(F.col("event_date") < F.lit(STALE_DIM_CUTOFF).cast("date")))
+    return validation.orphan_keys(marts.fact_events(stg), snapshot, "actor_id")
+
+
+def orphan_rows_actor_stale_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orphan fact rows themselves (``LEFT JOIN ... IS NULL`` form)."""
+    stg = _stg(spark, sf_dir)
+    snapshot = marts.dim_actor(stg.where(F.col("event_date") < F.lit(STALE_DIM_CUTOFF).cast("date")))
+    fact = marts.fact_events(stg)
+    return validation.orphan_rows(fact, snapshot, "actor_id").select("event_id", "actor_id", "repo_id")
+
+
+def date_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    return validation.date_gaps(marts.fact_events(stg), marts.dim_date(stg))
+
+
+def date_gaps_stale_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    dates = marts.dim_date(stg.where(F.col("event_date") < F.lit(DIM_DATE_CUTOFF).cast("date")))
+    return validation.date_gaps(marts.fact_events(stg), dates)
+
+
+def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    return validation.gold_checks(marts.fact_events(stg), marts.dim_repo(stg), marts.dim_actor(stg), marts.dim_date(stg))
+
+
+# --- Quality suites ---------------------------------------------------------
+
+
+def quality_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
+    return quality.evaluate(raw, quality.bronze_suite(), "bronze")
+
+
+def quality_bronze_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze suite on raw rows whose type was left unmapped (not in the known
+    set) and whose ids/timestamps are partly broken."""
+    raw = driver.events_with_bad_rows(driver.load_events(spark, sf_dir))
+    raw = raw.withColumn("type", F.when(F.col("type") == "ForkEvent", F.lit("click")).otherwise(F.col("type")))
+    raw = raw.withColumn("created_at", F.when(F.col("created_at") == "not-a-timestamp", F.lit(None)).otherwise(F.col("created_at")))
+    return quality.evaluate(raw, quality.bronze_suite(), "bronze")
+
+
+def quality_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.evaluate(_silver(spark, sf_dir), quality.silver_suite(), "silver")
+
+
+def quality_silver_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver suite on replayed rows before dedup: uniqueness must fail."""
+    rows = silver.normalize(driver.events_replayed(driver.load_events(spark, sf_dir)))
+    return quality.evaluate(rows, quality.silver_suite(), "silver")
+
+
+def quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.evaluate(_fact(spark, sf_dir), quality.gold_suite(), "gold")
+
+
+def quality_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    tables = {
+        "stg_events": stg,
+        "fact_events": marts.fact_events(stg),
+        "dim_date": marts.dim_date(stg),
+        "dim_repo": marts.dim_repo(stg),
+        "dim_actor": marts.dim_actor(stg),
+    }
+    parents = {"dim_repo": tables["dim_repo"], "dim_actor": tables["dim_actor"]}
+    out = None
+    for name, suite in quality.MODEL_SUITES.items():
+        res = quality.evaluate(tables[name], suite(), name, parents)
+        out = res if out is None else out.unionByName(res)
+    return out
+
+
+def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = driver.load_events(spark, sf_dir)
+    raw = driver.events_as_raw(events)
+    slv = silver.normalize(raw)
+    tables = {"bronze": raw, "silver": slv, "gold": marts.fact_events(marts.stg_events(slv))}
+    return quality.summarize(quality.run_layers(spark, tables))
+
+
+# --- Churn ------------------------------------------------------------------
+
+CHURN_SPLIT = dt.date(2024, 1, 30)
+
+
+def _actor_config() -> churn.ChurnConfig:
+    return churn.ChurnConfig(split_date=CHURN_SPLIT, min_events_in_train=5, entity="actor_id", distinct_col="repo_id")
+
+
+def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.build_features(_fact(spark, sf_dir), _actor_config())
+
+
+def churn_features_from_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.build_features(marts.activity(_stg(spark, sf_dir)), _actor_config())
+
+
+def churn_features_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = churn.ChurnConfig(split_date=dt.date(2024, 1, 16), min_events_in_train=5)
+    return churn.build_features(_fact(spark, sf_dir), cfg)
+
+
+def churn_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.churn_rate(churn_features(spark, sf_dir))
+
+
+def churn_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train_df, test_df = churn.split(churn_features(spark, sf_dir), _actor_config())
+    return train_df.select(F.lit("train").alias("part"), "actor_id").unionByName(
+        test_df.select(F.lit("test").alias("part"), "actor_id")
+    ).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def churn_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, metrics = churn.train(churn_features(spark, sf_dir), _actor_config(), spark)
+    return metrics
+
+
+# --- Layout -----------------------------------------------------------------
+
+LOOKUP_DATE = "2024-01-15"
+LOOKUP_KEY = 42
+
+
+def _written(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    path = scratch_dir(spark, f"layout-{how}")
+    df = _fact(spark, sf_dir)
+    if how == "partitioned":
+        layout.write_partitioned(df, path, ("event_date",))
+    elif how == "clustered":
+        layout.write_clustered(df, path, ["repo_id"], n_files=8)
+    elif how == "zordered":
+        layout.write_clustered(df, path, ["repo_id", "actor_id"], n_files=8)
+    else:
+        layout.write_flat(df, path)
+    return spark.read.parquet(path)
+
+
+def _count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def pruned_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _written(spark, sf_dir, "partitioned")
+    return _count(t.where(F.col("event_date") == F.lit(LOOKUP_DATE).cast("date")))
+
+
+def flat_date_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _written(spark, sf_dir, "flat")
+    return _count(t.where(F.col("event_date") == F.lit(LOOKUP_DATE).cast("date")))
+
+
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _written(spark, sf_dir, "clustered")
+    return _count(t.where(F.col("repo_id") == F.lit(LOOKUP_KEY)))
+
+
+def zordered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _written(spark, sf_dir, "zordered")
+    return _count(t.where(F.col("actor_id") == F.lit(LOOKUP_KEY)))
+
+
+def _join(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+    stg = _stg(spark, sf_dir)
+    fact, repos = marts.fact_events(stg), marts.dim_repo(stg)
+    dim = repos.select("repo_id", "repo_name", "total_events")
+    return layout.join_dim(fact, dim, "repo_id", strategy=strategy).select(
+        "event_id", "repo_id", "repo_name", "total_events"
+    )
+
+
+def join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _join(spark, sf_dir, "broadcast")
+
+
+def join_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _join(spark, sf_dir, "shuffle")
+
+
+def join_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _join(spark, sf_dir, "auto")
+
+
+# --- Bronze landing and coverage ---------------------------------------------
+
+
+def hour_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hour of the observed days with its event count (0 = missing)."""
+    slv = _silver(spark, sf_dir)
+    return bronze.hour_coverage(bronze.observed_hour_grid(slv), slv)
+
+
+def daily_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cov = hour_coverage(spark, sf_dir)
+    return cov.groupBy("event_date").agg(
+        F.count_if(~F.col("missing")).alias("hours_present"),
+        F.count_if(F.col("missing")).alias("hours_missing"),
+        F.sum("n_events").cast("bigint").alias("n_events"),
+    )
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Write the events as gzipped JSON-lines dumps, land them into Bronze."""
+    raw_dir = scratch_dir(spark, "raw-dumps")
+    raw = driver.events_as_raw(driver.load_events(spark, sf_dir)).drop("event_date", "_ingested_at")
+    raw.write.option("compression", "gzip").json(raw_dir)
+    files = medallion.list_raw_files(spark, raw_dir)
+    bronze_path = scratch_dir(spark, "bronze")
+    bronze.land(spark, files, bronze_path, ingested_at=dt.datetime(2024, 2, 1))
+    return bronze.read_bronze(spark, bronze_path), bronze_path
+
+
+def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, _ = _landed(spark, sf_dir)
+    return b.select(
+        "id",
+        "type",
+        F.col("actor.id").alias("actor_id"),
+        F.col("actor.login").alias("actor_login"),
+        F.col("repo.id").alias("repo_id"),
+        F.col("repo.name").alias("repo_name"),
+        F.col("payload"),
+        "public",
+        "created_at",
+        "event_date",
+    )
+
+
+def silver_from_landed_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps -> Bronze -> Silver table through the composite jobs, read back."""
+    root = scratch_dir(spark, "lake")
+    paths = medallion.LakePaths(root)
+    raw_dir = scratch_dir(spark, "raw-dumps")
+    raw = driver.events_as_raw(driver.load_events(spark, sf_dir)).drop("event_date", "_ingested_at")
+    raw.write.option("compression", "gzip").json(raw_dir)
+    bronze.land(spark, medallion.list_raw_files(spark, raw_dir), paths.bronze, paths.ledger)
+    medallion.bronze_to_silver(spark, paths)
+    return medallion.read_silver(spark, paths).drop("_ingested_at", "_silver_processed_at")
+
+
+def gold_dim_repo_built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver -> Gold tables through the composite job; dim_repo read back."""
+    root = scratch_dir(spark, "lake")
+    paths = medallion.LakePaths(root)
+    silver.write_silver(_silver(spark, sf_dir), paths.silver, dynamic=False)
+    medallion.build_gold(spark, paths)
+    return spark.read.parquet(paths.gold("dim_repo"))

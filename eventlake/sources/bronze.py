@@ -167,6 +167,21 @@ def hour_grid(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     )
 
 
+def observed_hour_grid(events: DataFrame, date_col: str = "event_date") -> DataFrame:
+    """Every hour of the days from the first to the last ``date_col`` in
+    ``events``; the bounds come from one global min/max aggregate and the hours
+    are generated by Spark (no driver round trip)."""
+    bounds = events.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    start = F.to_timestamp(F.col("lo"))
+    end = F.to_timestamp(F.date_add(F.col("hi"), 1)) - F.expr("INTERVAL 1 HOUR")
+    return (
+        bounds.where(F.col("lo").isNotNull())
+        .select(F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("hour_start"))
+        .withColumns({"event_date": F.to_date("hour_start"), "hour": F.hour("hour_start")})
+        .withColumn("file_name", file_name_col(F.col("event_date"), F.col("hour")))
+    )
+
+
 def month_grid(spark: SparkSession, year: int, month: int) -> DataFrame:
     first = dt.date(year, month, 1)
     nxt = dt.date(year + (month == 12), month % 12 + 1, 1)
