@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.columns import EVENT_TYPE_COLUMNS, calendar_columns, count_of_type
-from eventlake.schema import FACT_COLUMNS, STG_COLUMNS
+from eventlake.schema import DIM_ACTOR_SCHEMA, DIM_REPO_SCHEMA, FACT_COLUMNS, STG_COLUMNS
 
 ACTIVITY_KEYS = ("repo_id", "actor_id", "event_date", "event_type")
 
@@ -34,19 +34,30 @@ def fact_events(stg: DataFrame) -> DataFrame:
 def activity(stg: DataFrame) -> DataFrame:
     """Events rolled up to (repo_id, actor_id, event_date, event_type).
 
-    Keeps what the marts need: event count, first/last time and the max
-    display names. Both id columns may be NULL here; each mart drops its own
-    NULL key.
+    Keeps what the marts need: event count and first/last time. The display
+    names ride along as grouping keys (they follow the ids, so this adds rows
+    only for renames) which keeps every aggregate buffer fixed-width: the
+    rollup runs as a codegen'd HashAggregate, not a sort-based one. Both id
+    columns may be NULL here; each mart drops its own NULL key.
     """
-    return stg.groupBy(*ACTIVITY_KEYS).agg(
+    return stg.groupBy(*ACTIVITY_KEYS, "repo_name", "actor_login").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.min("created_at").alias("first_seen_at"),
         F.max("created_at").alias("last_seen_at"),
-        F.max("repo_name").alias("repo_name"),
-        F.max("actor_login").alias("actor_login"),
     )
 
 
+def max_name(src: DataFrame, key: str, name: str) -> DataFrame:
+    """``max(name)`` per non-NULL ``key``.
+
+    A string maximum forces Spark's sort-based aggregate; doing it on the
+    distinct (key, name) pairs -- a hash aggregate with map-side combine --
+    keeps the sort down to one row per key and name.
+    """
+    pairs = src.where(F.col(key).isNotNull()).select(key, name).distinct()
+    return pairs.groupBy(key).agg(F.max(name).alias(name))
+
+
 def _is_rollup(df: DataFrame) -> bool:
     return "n_events" in df.columns and "first_seen_at" in df.columns
 
@@ -69,11 +80,10 @@ def dim_repo(src: DataFrame) -> DataFrame:
     """
     first, last = _first_last(src)
     weight = F.col("n_events") if _is_rollup(src) else None
-    return (
+    metrics = (
         src.where(F.col("repo_id").isNotNull())
         .groupBy("repo_id")
         .agg(
-            F.max("repo_name").alias("repo_name"),
             first.alias("first_seen_at"),
             last.alias("last_seen_at"),
             _event_count(src).alias("total_events"),
@@ -82,16 +92,17 @@ def dim_repo(src: DataFrame) -> DataFrame:
             *[count_of_type(t, weight=weight).alias(c) for c, t in EVENT_TYPE_COLUMNS.items()],
         )
     )
+    names = max_name(src, "repo_id", "repo_name")
+    return metrics.join(names, "repo_id", "left").select(*DIM_REPO_SCHEMA.fieldNames())
 
 
 def dim_actor(src: DataFrame) -> DataFrame:
     """One row per non-NULL ``actor_id`` with activity metrics."""
     first, last = _first_last(src)
-    return (
+    metrics = (
         src.where(F.col("actor_id").isNotNull())
         .groupBy("actor_id")
         .agg(
-            F.max("actor_login").alias("actor_login"),
             first.alias("first_seen_at"),
             last.alias("last_seen_at"),
             _event_count(src).alias("total_events"),
@@ -100,6 +111,8 @@ def dim_actor(src: DataFrame) -> DataFrame:
             F.count_distinct("event_type").alias("distinct_event_types"),
         )
     )
+    names = max_name(src, "actor_id", "actor_login")
+    return metrics.join(names, "actor_id", "left").select(*DIM_ACTOR_SCHEMA.fieldNames())
 
 
 def dim_date(src: DataFrame) -> DataFrame:
