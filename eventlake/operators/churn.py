@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.columns import hash_bucket
 from eventlake.schema import FEATURE_COLUMNS, LABEL_COLUMN
+from eventlake.session import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -135,7 +136,8 @@ def train(features: DataFrame, config: ChurnConfig, spark: SparkSession | None =
         if not totals or totals["total"] == 0:
             raise RuntimeError("no training rows: lower min_events_in_train or load more days")
         train_df, test_df = split(features, config)
-        model = pipeline(config).fit(train_df)
+        spark = spark or features.sparkSession
+        model = _detached(pipeline(config).fit(train_df), spark)
         preds = model.transform(test_df).persist()
         counts = metrics_frame(preds).first()
         n_test, n_pos = counts["test_rows"], counts["test_churned"]
@@ -150,7 +152,6 @@ def train(features: DataFrame, config: ChurnConfig, spark: SparkSession | None =
             else None
         )
         preds.unpersist()
-        spark = spark or features.sparkSession
         row = {
             "split_date": config.split_date.isoformat(),
             "min_events_in_train": int(config.min_events_in_train),
@@ -172,6 +173,16 @@ def train(features: DataFrame, config: ChurnConfig, spark: SparkSession | None =
         features.unpersist()
 
 
+def _detached(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The fitted pipeline written to the shared checkpoint folder and loaded
+    back. A freshly fitted model keeps its training summary, which references
+    the session; once the session has run an ``observe`` that reference can no
+    longer be serialised into scoring tasks. The loaded copy has no summary."""
+    path = scratch_dir(spark, "churn-model")
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
