@@ -86,6 +86,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_roundtrip",
         "silver_from_landed_dumps",
         "gold_dim_repo_built",
+        "sql_fact_events",
+        "sql_dim_repo",
+        "sql_dim_actor",
+        "sql_dim_date",
+        "sql_top_repos",
+        "sql_fact_uniqueness",
+        "sql_orphans_repo",
+        "sql_orphans_actor",
+        "sql_date_coverage",
+        "dim_repo_latest_name",
     ]
     return {n: _wrap(getattr(q, n)) for n in names}
 
@@ -449,5 +459,30 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "silver_from_landed_dumps": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",
         "gold_dim_repo_built": base + _DIM_REPO,
     }
+    out.update(
+        {
+            "sql_fact_events": out["fact_events"],
+            "sql_dim_repo": out["dim_repo"],
+            "sql_dim_actor": out["dim_actor"],
+            "sql_dim_date": out["dim_date"],
+            "sql_top_repos": out["top_repos"],
+            "sql_fact_uniqueness": base
+            + "SELECT count(*) AS n_rows, count(DISTINCT event_id) AS n_unique FROM silver",
+            "sql_orphans_repo": _with(_SILVER_CTE, _DIM_REPO_CTE)
+            + "SELECT count(*) AS n FROM silver f WHERE f.repo_id IS NOT NULL "
+            "AND NOT EXISTS (SELECT 1 FROM repos r WHERE r.repo_id = f.repo_id)",
+            "sql_orphans_actor": _with(_SILVER_CTE, _DIM_ACTOR_CTE)
+            + "SELECT count(*) AS n FROM silver f WHERE f.actor_id IS NOT NULL "
+            "AND NOT EXISTS (SELECT 1 FROM actors a WHERE a.actor_id = f.actor_id)",
+            "sql_date_coverage": base
+            + "SELECT count(*) AS n FROM silver f WHERE NOT EXISTS "
+            "(SELECT 1 FROM (SELECT DISTINCT event_date FROM silver) d WHERE d.event_date = f.event_date)",
+            "dim_repo_latest_name": _with(_SILVER_CTE)
+            + _DIM_REPO.replace(
+                "max(repo_name)                                                               AS repo_name",
+                "arg_max(repo_name, (created_at, repo_name))                                  AS repo_name",
+            ),
+        }
+    )
     out.update(_quality_oracles())
     return out

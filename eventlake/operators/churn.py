@@ -99,9 +99,19 @@ def churn_rate(features: DataFrame) -> DataFrame:
     )
 
 
-def split(features: DataFrame, config: ChurnConfig) -> tuple[DataFrame, DataFrame]:
-    """Deterministic train/test split by a hash of the entity key: the same
-    entity always lands on the same side, whatever the partitioning."""
+def split(features: DataFrame, config: ChurnConfig, method: str = "hash") -> tuple[DataFrame, DataFrame]:
+    """Train/test split.
+
+    ``hash`` (default): by a hash of the entity key, so the same entity always
+    lands on the same side whatever the partitioning. ``random``: Spark's
+    seeded ``randomSplit`` (depends on partitioning and row order).
+    """
+    if method == "random":
+        frac = config.train_fraction / 100.0
+        train_df, test_df = features.randomSplit([frac, 1.0 - frac], seed=config.seed)
+        return train_df, test_df
+    if method != "hash":
+        raise ValueError(f"split method must be 'hash' or 'random', got {method!r}")
     bucket = hash_bucket([config.entity], config.seed)
     return (
         features.where(bucket < F.lit(config.train_fraction)),

@@ -58,6 +58,25 @@ def max_name(src: DataFrame, key: str, name: str) -> DataFrame:
     return pairs.groupBy(key).agg(F.max(name).alias(name))
 
 
+def latest_name(src: DataFrame, key: str, name: str) -> DataFrame:
+    """The name seen last per non-NULL ``key`` (ties: the larger name).
+
+    Pairs first (hash aggregate, timestamp buffer), then ``max_by`` over the
+    few pairs per key.
+    """
+    ts = "last_seen_at" if _is_rollup(src) else "created_at"
+    pairs = src.where(F.col(key).isNotNull()).groupBy(key, name).agg(F.max(ts).alias("_seen"))
+    return pairs.groupBy(key).agg(F.max_by(F.col(name), F.struct("_seen", name)).alias(name))
+
+
+def _names(src: DataFrame, key: str, name: str, rule: str) -> DataFrame:
+    if rule == "max":
+        return max_name(src, key, name)
+    if rule == "latest":
+        return latest_name(src, key, name)
+    raise ValueError(f"name rule must be 'max' or 'latest', got {rule!r}")
+
+
 def _is_rollup(df: DataFrame) -> bool:
     return "n_events" in df.columns and "first_seen_at" in df.columns
 
@@ -72,11 +91,12 @@ def _first_last(df: DataFrame) -> tuple[Column, Column]:
     return F.min("created_at"), F.max("created_at")
 
 
-def dim_repo(src: DataFrame) -> DataFrame:
+def dim_repo(src: DataFrame, name_rule: str = "max") -> DataFrame:
     """One row per non-NULL ``repo_id`` with engagement metrics.
 
     ``src`` is the staging view / fact or the :func:`activity` rollup.
-    ``repo_name`` is the lexicographic max, as in the SQL model.
+    ``repo_name`` is the lexicographic max, as in the SQL model
+    (``name_rule="latest"``: the name seen last).
     """
     first, last = _first_last(src)
     weight = F.col("n_events") if _is_rollup(src) else None
@@ -92,12 +112,13 @@ def dim_repo(src: DataFrame) -> DataFrame:
             *[count_of_type(t, weight=weight).alias(c) for c, t in EVENT_TYPE_COLUMNS.items()],
         )
     )
-    names = max_name(src, "repo_id", "repo_name")
+    names = _names(src, "repo_id", "repo_name", name_rule)
     return metrics.join(names, "repo_id", "left").select(*DIM_REPO_SCHEMA.fieldNames())
 
 
-def dim_actor(src: DataFrame) -> DataFrame:
-    """One row per non-NULL ``actor_id`` with activity metrics."""
+def dim_actor(src: DataFrame, name_rule: str = "max") -> DataFrame:
+    """One row per non-NULL ``actor_id`` with activity metrics (options as
+    :func:`dim_repo`)."""
     first, last = _first_last(src)
     metrics = (
         src.where(F.col("actor_id").isNotNull())
@@ -111,7 +132,7 @@ def dim_actor(src: DataFrame) -> DataFrame:
             F.count_distinct("event_type").alias("distinct_event_types"),
         )
     )
-    names = max_name(src, "actor_id", "actor_login")
+    names = _names(src, "actor_id", "actor_login", name_rule)
     return metrics.join(names, "actor_id", "left").select(*DIM_ACTOR_SCHEMA.fieldNames())
 
 
@@ -141,6 +162,8 @@ __all__ = [
     "dim_date",
     "dim_repo",
     "fact_events",
+    "latest_name",
+    "max_name",
     "stg_events",
     "top_repos",
 ]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators import churn, layout, marts, quality, silver, validation
-from eventlake.plans import medallion
+from eventlake.plans import medallion, sql_models
 from eventlake.session import scratch_dir
 from eventlake.sources import bronze, driver
 
@@ -373,3 +373,58 @@ def gold_dim_repo_built(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver.write_silver(_silver(spark, sf_dir), paths.silver, dynamic=False)
     medallion.build_gold(spark, paths)
     return spark.read.parquet(paths.gold("dim_repo"))
+
+
+# --- SQL models over temp views ----------------------------------------------
+
+
+def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return sql_models.create_views(spark, _silver(spark, sf_dir))
+
+
+def sql_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _views(spark, sf_dir)["fact_events"]
+
+
+def sql_dim_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _views(spark, sf_dir)["dim_repo"]
+
+
+def sql_dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _views(spark, sf_dir)["dim_actor"]
+
+
+def sql_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _views(spark, sf_dir)["dim_date"]
+
+
+def sql_top_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir)
+    return sql_models.validate(spark, "top_repos")
+
+
+def sql_fact_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir)
+    return sql_models.validate(spark, "fact_uniqueness")
+
+
+def sql_orphans_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir)
+    return sql_models.validate(spark, "orphans_repo")
+
+
+def sql_orphans_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir)
+    return sql_models.validate(spark, "orphans_actor")
+
+
+def sql_date_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _views(spark, sf_dir)
+    return sql_models.validate(spark, "date_coverage")
+
+
+# --- mart options -------------------------------------------------------------
+
+
+def dim_repo_latest_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.dim_repo(_stg(spark, sf_dir), name_rule="latest")
