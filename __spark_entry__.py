@@ -81,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_broadcast",
         "join_shuffle",
         "join_auto",
+        "join_salted",
         "hour_coverage",
         "daily_coverage",
         "bronze_roundtrip",
@@ -449,6 +450,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "join_broadcast": join_rows,
         "join_shuffle": join_rows,
         "join_auto": join_rows,
+        "join_salted": join_rows,
         "hour_coverage": coverage + "SELECT * FROM cov",
         "daily_coverage": coverage
         + "SELECT event_date, count(*) FILTER (WHERE NOT missing) AS hours_present, "

@@ -6,8 +6,10 @@
   Parquet footers' min/max then let a point lookup skip most files and row
   groups. One column: range partitioning + sort. Several columns: a Z-order
   code from quantile buckets interleaved bit by bit.
-* :func:`join_dim` -- broadcast a dimension only after a bounded row count
-  proves it small; otherwise an ordinary shuffle join (AQE may still switch).
+* :func:`join_dim` -- broadcast a dimension only after one bounded scan
+  proves its row count and byte size small; otherwise a shuffle join (AQE may
+  still re-plan and split skewed partitions), or an explicitly salted join
+  for known hot keys.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 
 from eventlake.sources.tables import write_table
 
-#: Default broadcast bound: a dimension up to this many rows is broadcast.
+#: Default broadcast row bound: a dimension up to this many rows may be broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -71,26 +73,92 @@ def zorder_code(df: DataFrame, cols: Sequence[str], bits: int = 10, relative_err
 
 def cluster_by(df: DataFrame, cols: Sequence[str], n_files: int) -> DataFrame:
     """Lay ``df`` out so that each of ``n_files`` output partitions holds a
-    contiguous key range (sorted inside), ready to be written."""
+    contiguous key range (sorted inside), ready to be written.
+
+    The range bounds are sampled on (key, hash of the row): a key holding a
+    large share of the rows is then split over several consecutive files
+    (each still covering one narrow key range) instead of landing in one
+    oversized task. The hash is deterministic, so a retried task routes every
+    row exactly as before.
+    """
     cols = list(cols)
     if not cols:
         raise ValueError("cluster_by needs at least one column")
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_spread")
     if len(cols) == 1:
-        return df.repartitionByRange(n_files, F.col(cols[0])).sortWithinPartitions(cols[0])
-    z = zorder_code(df, cols)
-    return z.repartitionByRange(n_files, F.col("_zorder")).sortWithinPartitions("_zorder").drop("_zorder")
+        key = F.col(cols[0])
+        return (
+            df.withColumn("_spread", spread)
+            .repartitionByRange(n_files, key, F.col("_spread"))
+            .sortWithinPartitions(cols[0])
+            .drop("_spread")
+        )
+    z = zorder_code(df, cols).withColumn("_spread", spread)
+    return (
+        z.repartitionByRange(n_files, F.col("_zorder"), F.col("_spread"))
+        .sortWithinPartitions("_zorder")
+        .drop("_zorder", "_spread")
+    )
 
 
 def write_clustered(df: DataFrame, path: str, cols: Sequence[str], n_files: int, mode: str = "overwrite") -> None:
     write_table(cluster_by(df, cols, n_files), path, mode=mode)
 
 
+#: Default broadcast byte bound (measured payload of the dimension's rows).
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
+    "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8,
+}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: fixed widths plus the actual string/binary lengths."""
+    total: Column = F.lit(0).cast("long")
+    fixed = 0
+    for f in df.schema.fields:
+        name = f.dataType.simpleString()
+        if name in _FIXED_WIDTH:
+            fixed += _FIXED_WIDTH[name]
+        elif name in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)).cast("long")
+        else:  # nested / decimal: measure the JSON text as an upper-side estimate
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f.name)))), F.lit(0)).cast("long")
+    return total + F.lit(fixed)
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows whose values total at
+    most ``max_bytes``. One job that reads no more than ``max_rows + 1`` rows."""
+    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    n, b = int(probe["n"]), int(probe["b"] or 0)
+    return n <= max_rows and b <= max_bytes
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than
     ``max_rows + 1`` rows to find out."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def salted_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner", buckets: int = 32) -> DataFrame:
+    """Shuffle join that spreads every key over ``buckets`` reducers.
+
+    Fact rows get a deterministic salt from a hash of the row; each dimension
+    row is replicated once per salt. A key holding a third of the fact is then
+    joined by ``buckets`` tasks instead of one. Costs ``buckets`` copies of the
+    dimension, so use it for fact x dimension joins, not fact x fact.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)).cast("int")
+    salted_fact = fact.withColumn("_salt", salt)
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return salted_fact.join(salted_dim.hint("merge"), [on, "_salt"], how).drop("_salt")
+
+
 def join_dim(
     fact: DataFrame,
     dim: DataFrame,
@@ -98,20 +166,32 @@ def join_dim(
     how: str = "inner",
     strategy: str = "auto",
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
+    salt_buckets: int = 32,
 ) -> DataFrame:
     """Join a fact with a dimension.
 
-    ``strategy``: ``broadcast`` (hint, after the size check), ``shuffle``
-    (sort-merge hint) or ``auto`` (broadcast when the bounded count passes,
-    else leave the choice to Catalyst/AQE). A dimension that fails the check is
-    never broadcast.
+    ``strategy``:
+
+    * ``broadcast`` -- broadcast hint, only after :func:`fits_broadcast`
+      proves the dimension small (raises otherwise);
+    * ``shuffle``   -- sort-merge join (AQE still splits skewed partitions);
+    * ``salted``    -- :func:`salted_join`, for known hot keys;
+    * ``auto``      -- broadcast when the bound holds, else a plain join whose
+      strategy Catalyst/AQE choose from runtime sizes.
     """
-    if strategy not in ("auto", "broadcast", "shuffle"):
+    if strategy not in ("auto", "broadcast", "shuffle", "salted"):
         raise ValueError(f"unknown join strategy {strategy!r}")
     if strategy == "shuffle":
         return fact.join(dim.hint("merge"), on, how)
-    if row_count_at_most(dim, max_broadcast_rows):
+    if strategy == "salted":
+        if not isinstance(on, str):
+            raise ValueError("salted join takes one key column")
+        return salted_join(fact, dim, on, how, salt_buckets)
+    if fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
         return fact.join(F.broadcast(dim), on, how)
     if strategy == "broadcast":
-        raise ValueError(f"dimension exceeds {max_broadcast_rows} rows; refusing to broadcast")
+        raise ValueError(
+            f"dimension exceeds {max_broadcast_rows} rows or {max_broadcast_bytes} bytes; refusing to broadcast"
+        )
     return fact.join(dim, on, how)

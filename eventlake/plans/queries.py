@@ -428,3 +428,7 @@ def sql_date_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_repo_latest_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.dim_repo(_stg(spark, sf_dir), name_rule="latest")
+
+
+def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _join(spark, sf_dir, "salted")
