@@ -130,13 +130,20 @@ def to_contract(df: DataFrame) -> DataFrame:
     return check_contract(df, SILVER_SCHEMA, name="silver")
 
 
-def write_silver(df: DataFrame, silver_path: str, mode: str = "overwrite", dynamic: bool = True) -> None:
+def write_silver(
+    df: DataFrame,
+    silver_path: str,
+    mode: str = "overwrite",
+    dynamic: bool = True,
+    rebalance: bool = True,
+) -> None:
     """Write Silver partitioned by ``event_date``.
 
     ``overwrite`` with ``dynamic`` replaces only the dates present in ``df``
     (dynamic partition overwrite), so rerunning a day is idempotent and never
     wipes other days; ``dynamic=False`` replaces the whole table (full
-    rebuild). A rebalance on the date lets AQE size files per day.
+    rebuild). ``rebalance`` adds a shuffle on the date so AQE sizes the files
+    of each day; a one-day batch does not need it (each task writes one file).
     """
     check_mode(mode)
     write_table(
@@ -144,7 +151,7 @@ def write_silver(df: DataFrame, silver_path: str, mode: str = "overwrite", dynam
         silver_path,
         mode=mode,
         partition_by=("event_date",),
-        rebalance=True,
+        rebalance=rebalance,
         dynamic_overwrite=dynamic,
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators import churn, marts, quality, silver, validation
-from eventlake.schema import FACT_COLUMNS
+from eventlake.schema import BRONZE_SCHEMA, FACT_COLUMNS
 from eventlake.sources import bronze as bronze_src
 from eventlake.sources.tables import table_exists, write_table
 
@@ -81,7 +81,7 @@ def bronze_to_silver(
     (no extra count jobs). With ``days`` only those partitions are read and
     only those are replaced. Rejected rows go to a quarantine dataset.
     """
-    raw = silver.select_days(bronze_src.read_bronze(spark, paths.bronze), days)
+    raw = silver.select_days(spark.read.schema(BRONZE_SCHEMA).parquet(paths.bronze), days)
     obs_in = Observation("silver_in")
     obs_out = Observation("silver_out")
     projected = silver.project(raw, processed_at).observe(
@@ -95,6 +95,7 @@ def bronze_to_silver(
         paths.silver,
         mode=mode,
         dynamic=bool(days),
+        rebalance=_multi_day(days),
     )
     got_in, got_out = obs_in.get, obs_out.get
     result = SilverResult(
@@ -107,6 +108,14 @@ def bronze_to_silver(
     return result
 
 
+def _multi_day(days: Sequence[str | dt.date] | None) -> bool:
+    """Rebalance before a partitioned write only when the batch spans several
+    days: after a key shuffle every task holds rows of every day, so without it
+    a backfill writes tasks x days small files; a one-day batch writes one
+    file per task either way and skips the extra shuffle."""
+    return days is None or len(days) > 1
+
+
 def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return spark.read.parquet(paths.silver)
 
@@ -121,18 +130,19 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
     """
     stg = marts.stg_events(silver.select_days(read_silver(spark, paths), days))
     dynamic = bool(days)
+    # Silver files never span two dates, so the fact is a narrow scan -> write
+    # (one file per input split, no shuffle).
     write_table(
         marts.fact_events(stg),
         paths.gold("fact_events"),
         partition_by=("event_date",),
-        rebalance=True,
         dynamic_overwrite=dynamic,
     )
     write_table(
         marts.activity(stg),
         paths.gold("activity"),
         partition_by=("event_date",),
-        rebalance=True,
+        rebalance=_multi_day(days),
         dynamic_overwrite=dynamic,
     )
     act = spark.read.parquet(paths.gold("activity"))

@@ -67,6 +67,11 @@ BRONZE_EXTRA = StructType(
     ]
 )
 
+#: Bronze as written by landing: envelope (+ corrupt-record column) and the
+#: two ingest columns. Reading with it needs no footer merge and reads columns
+#: absent from older files as NULL.
+BRONZE_SCHEMA = StructType(RAW_READ_SCHEMA.fields + BRONZE_EXTRA.fields)
+
 SILVER_SCHEMA = StructType(
     [
         StructField("event_id", LongType(), nullable=False),
