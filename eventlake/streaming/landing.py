@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake.schema import RAW_READ_SCHEMA
+from eventlake.schema import BRONZE_SCHEMA, RAW_READ_SCHEMA
 from eventlake.session import checkpoint_dir
 from eventlake.sources.bronze import with_ingest_columns
 
@@ -81,11 +81,15 @@ def bronze_stream_to_silver(
     checkpoint_path: str | None = None,
     delay: str = "1 day",
 ) -> StreamingQuery:
-    """Incremental Bronze -> Silver: normalise, watermark-dedup, append."""
+    """Incremental Bronze -> Silver: normalise, watermark-dedup, append.
+
+    The dedup state holds the ids of the last ``delay``; at archive scale
+    (about 10^8 events a day) use the RocksDB state store provider
+    (``spark.sql.streaming.stateStore.providerClass``) so it lives off-heap.
+    """
     from eventlake.operators.silver import normalize, to_contract  # local: avoid cycle
 
-    bronze_schema = spark.read.parquet(bronze_path).schema
-    stream = spark.readStream.schema(bronze_schema).parquet(bronze_path)
+    stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_path)
     out = to_contract(dedup_stream(normalize(stream), delay).withColumn("_silver_processed_at", F.current_timestamp()))
     ckpt = checkpoint_path or f"{checkpoint_dir(spark).rstrip('/')}/eventlake-silver"
     return (
