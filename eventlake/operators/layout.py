@@ -14,9 +14,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
@@ -49,26 +50,29 @@ def _numeric(df: DataFrame, col: str) -> Column:
 
 def zorder_code(df: DataFrame, cols: Sequence[str], bits: int = 10, relative_error: float = 0.001) -> DataFrame:
     """Add ``_zorder``: each column mapped to a quantile bucket in
-    ``[0, 2**bits)`` (splits from a distributed approximate quantile pass),
-    then the bucket bits interleaved, most significant first."""
-    tmp = df
-    buckets = []
-    for i, c in enumerate(cols):
-        num, bucket = f"_zn{i}", f"_zb{i}"
-        tmp = tmp.withColumn(num, _numeric(tmp, c))
-        disc = QuantileDiscretizer(
-            numBuckets=2**bits, inputCol=num, outputCol=bucket, relativeError=relative_error, handleInvalid="keep"
-        )
-        tmp = disc.fit(tmp).transform(tmp)
-        buckets.append(F.col(bucket).cast("long"))
+    ``[0, 2**bits)`` and the bucket bits interleaved, most significant first.
+
+    The split points of all columns come from one distributed
+    ``approxQuantile`` pass (``2**bits`` numbers per column reach the driver);
+    a ``Bucketizer`` then assigns buckets by binary search on the executors.
+    """
     k = len(cols)
+    nums = [f"_zn{i}" for i in range(k)]
+    buckets = [f"_zb{i}" for i in range(k)]
+    tmp = df.withColumns({n: _numeric(df, c) for n, c in zip(nums, cols)})
+    probs = [i / 2**bits for i in range(1, 2**bits)]
+    quantiles = tmp.approxQuantile(nums, probs, relative_error)
+    splits = []
+    for q in quantiles:
+        inner = sorted(set(q))  # a hot value repeats; splits must strictly increase
+        splits.append([-math.inf, *inner, math.inf])
+    tmp = Bucketizer(splitsArray=splits, inputCols=nums, outputCols=buckets, handleInvalid="keep").transform(tmp)
     code: Column = F.lit(0).cast("long")
     for bit in range(bits):
         for j, b in enumerate(buckets):
             # bit `bit` of column j goes to position bit*k + j of the code
-            code = code.bitwiseOR(F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1)), bit * k + j))
-    helper = [f"_zn{i}" for i in range(k)] + [f"_zb{i}" for i in range(k)]
-    return tmp.withColumn("_zorder", code).drop(*helper)
+            code = code.bitwiseOR(F.shiftleft(F.shiftright(F.col(b).cast("long"), bit).bitwiseAND(F.lit(1)), bit * k + j))
+    return tmp.withColumn("_zorder", code).drop(*nums, *buckets)
 
 
 def cluster_by(df: DataFrame, cols: Sequence[str], n_files: int) -> DataFrame:
@@ -177,8 +181,12 @@ def join_dim(
       proves the dimension small (raises otherwise);
     * ``shuffle``   -- sort-merge join (AQE still splits skewed partitions);
     * ``salted``    -- :func:`salted_join`, for known hot keys;
-    * ``auto``      -- broadcast when the bound holds, else a plain join whose
-      strategy Catalyst/AQE choose from runtime sizes.
+    * ``auto``      -- a plain join: Catalyst broadcasts when its size
+      estimate is under ``autoBroadcastJoinThreshold`` and AQE re-plans from
+      the measured shuffle sizes at runtime (no extra pass over the dimension).
+
+    The explicit probe of ``broadcast`` reads the dimension once more, so pass
+    a materialised dimension (a written table), as the Gold build does.
     """
     if strategy not in ("auto", "broadcast", "shuffle", "salted"):
         raise ValueError(f"unknown join strategy {strategy!r}")
@@ -188,10 +196,10 @@ def join_dim(
         if not isinstance(on, str):
             raise ValueError("salted join takes one key column")
         return salted_join(fact, dim, on, how, salt_buckets)
-    if fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
-        return fact.join(F.broadcast(dim), on, how)
-    if strategy == "broadcast":
+    if strategy == "auto":
+        return fact.join(dim, on, how)
+    if not fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
         raise ValueError(
             f"dimension exceeds {max_broadcast_rows} rows or {max_broadcast_bytes} bytes; refusing to broadcast"
         )
-    return fact.join(dim, on, how)
+    return fact.join(F.broadcast(dim), on, how)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType
 
@@ -136,6 +136,7 @@ def write_silver(
     mode: str = "overwrite",
     dynamic: bool = True,
     rebalance: bool = True,
+    count_into: Observation | None = None,
 ) -> None:
     """Write Silver partitioned by ``event_date``.
 
@@ -153,6 +154,7 @@ def write_silver(
         partition_by=("event_date",),
         rebalance=rebalance,
         dynamic_overwrite=dynamic,
+        count_into=count_into,
     )
 
 

@@ -117,8 +117,8 @@ def land(
         return LandResult(0, ())
     df = with_ingest_columns(read_events(spark, todo), ingested_at)
     obs = Observation("bronze_land")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_bronze(observed, bronze_path, mode=mode)
+    check_mode(mode)
+    write_table(df, bronze_path, mode=mode, partition_by=("event_date",), dynamic_overwrite=False, count_into=obs)
     rows = int(obs.get.get("rows", 0))
     if ledger_path:
         stamp = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 WRITE_MODES = ("append", "overwrite")
@@ -47,6 +48,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     dynamic_overwrite: bool = True,
+    count_into: Observation | None = None,
 ) -> None:
     """Write a Parquet dataset.
 
@@ -56,11 +58,16 @@ def write_table(
       every task writing one file into every directory.
     * ``dynamic_overwrite``: an overwrite replaces only the partitions present
       in ``df`` -- reruns of some days leave the other days untouched.
+    * ``count_into``: observe the written row count (metric ``rows``) in the
+      final write stage, where each partition's update is applied once even
+      when tasks are retried.
     """
     check_mode(mode)
     out = df
     if rebalance and partition_by:
         out = out.hint("rebalance", *partition_by)
+    if count_into is not None:
+        out = out.observe(count_into, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
