@@ -141,12 +141,6 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
     return n <= max_rows and b <= max_bytes
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than
-    ``max_rows + 1`` rows to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def salted_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner", buckets: int = 32) -> DataFrame:
     """Shuffle join that spreads every key over ``buckets`` reducers.
 
