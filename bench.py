@@ -179,8 +179,7 @@ def main() -> None:
         t2 = time.perf_counter()
         medallion.build_gold(spark, lake)
         t3 = time.perf_counter()
-        medallion.validate_gold(spark, lake).collect()
-        medallion.run_quality(spark, lake).collect()
+        medallion.check_lake(spark, lake)
         t4 = time.perf_counter()
         for k, v in zip(stage_times, (t1 - t, t2 - t1, t3 - t2, t4 - t3)):
             stage_times[k].append(v)

@@ -9,7 +9,8 @@ overwrites just that day's partitions (dynamic partition overwrite).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -111,6 +112,14 @@ def bronze_to_silver(
     return result
 
 
+def _concurrently(*jobs: Callable[[], None]) -> None:
+    """Run independent Spark jobs from parallel driver threads (the scheduler
+    interleaves their tasks); re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for fut in [pool.submit(j) for j in jobs]:
+            fut.result()
+
+
 def _multi_day(days: Sequence[str | dt.date] | None) -> bool:
     """Rebalance before a partitioned write only when the batch spans several
     days: after a key shuffle every task holds rows of every day, so without it
@@ -134,24 +143,29 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
     stg = marts.stg_events(silver.select_days(read_silver(spark, paths), days))
     dynamic = bool(days)
     # Silver files never span two dates, so the fact is a narrow scan -> write
-    # (one file per input split, no shuffle).
-    write_table(
-        marts.fact_events(stg),
-        paths.gold("fact_events"),
-        partition_by=("event_date",),
-        dynamic_overwrite=dynamic,
-    )
-    write_table(
-        marts.activity(stg),
-        paths.gold("activity"),
-        partition_by=("event_date",),
-        rebalance=_multi_day(days),
-        dynamic_overwrite=dynamic,
+    # (one file per input split, no shuffle). Fact and rollup are independent
+    # jobs, as are the three dimensions: each group runs concurrently.
+    _concurrently(
+        lambda: write_table(
+            marts.fact_events(stg),
+            paths.gold("fact_events"),
+            partition_by=("event_date",),
+            dynamic_overwrite=dynamic,
+        ),
+        lambda: write_table(
+            marts.activity(stg),
+            paths.gold("activity"),
+            partition_by=("event_date",),
+            rebalance=_multi_day(days),
+            dynamic_overwrite=dynamic,
+        ),
     )
     act = spark.read.parquet(paths.gold("activity"))
-    write_table(marts.dim_repo(act), paths.gold("dim_repo"))
-    write_table(marts.dim_actor(act), paths.gold("dim_actor"))
-    write_table(marts.dim_date(act), paths.gold("dim_date"))
+    _concurrently(
+        lambda: write_table(marts.dim_repo(act), paths.gold("dim_repo")),
+        lambda: write_table(marts.dim_actor(act), paths.gold("dim_actor")),
+        lambda: write_table(marts.dim_date(act), paths.gold("dim_date")),
+    )
 
 
 def gold_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
@@ -170,6 +184,25 @@ def run_quality(spark: SparkSession, paths: LakePaths, layers: Sequence[str] | N
     return quality.run_layers(spark, tables, layers)
 
 
+def check_lake(spark: SparkSession, paths: LakePaths) -> tuple[list[dict], list | None, object]:
+    """Gold validation and the layer quality suites, evaluated concurrently.
+
+    Returns the Gold check rows, the quality result rows (``None`` when no
+    layer exists) and their schema. Both results are one row per check.
+    """
+    results = run_quality(spark, paths)
+    out: dict = {}
+
+    def gold() -> None:
+        out["gold"] = [r.asDict() for r in validate_gold(spark, paths).collect()]
+
+    def layers() -> None:
+        out["quality"] = results.collect() if results is not None else None
+
+    _concurrently(gold, layers)
+    return out["gold"], out["quality"], (results.schema if results is not None else None)
+
+
 def run_model_tests(spark: SparkSession, paths: LakePaths) -> DataFrame:
     """The declared tests of the Gold models (not-null, unique, relationships)."""
     g = gold_tables(spark, paths)
@@ -208,13 +241,11 @@ def run(
         summary["bronze_rows"] = landed.rows
     summary["silver"] = bronze_to_silver(spark, paths, days)
     build_gold(spark, paths, days)
-    checks = [r.asDict() for r in validate_gold(spark, paths).collect()]
+    checks, rows, schema = check_lake(spark, paths)
     summary["gold_checks"] = checks
-    results = run_quality(spark, paths)
-    if results is not None:
-        # one row per expectation: evaluate once, keep the report, then gate
-        rows = results.collect()
-        report = spark.createDataFrame(rows, results.schema)
+    if rows is not None:
+        # one row per expectation: evaluated once, kept as a report, then gated
+        report = spark.createDataFrame(rows, schema)
         report.withColumn("checked_at", F.current_timestamp()).coalesce(1).write.mode("append").json(paths.quality)
         summary["quality"] = quality.assert_quality(report) if fail_on_quality else [r.asDict() for r in rows]
     if churn_config is not None:
@@ -272,6 +303,7 @@ __all__ = [
     "backfill",
     "bronze_to_silver",
     "build_gold",
+    "check_lake",
     "list_raw_files",
     "run",
     "run_model_tests",
