@@ -112,7 +112,10 @@ def land(
     if not paths:
         raise ValueError("land requires at least one path")
     check_mode(mode)
-    todo = [r.file_path for r in pending_files(spark, paths, ledger_path).collect()]
+    if ledger_path and table_exists(spark, ledger_path):
+        todo = [r.file_path for r in pending_files(spark, paths, ledger_path).collect()]
+    else:  # nothing landed yet: no job needed to diff the listing
+        todo = list(dict.fromkeys(str(p) for p in paths))
     if not todo:
         return LandResult(0, ())
     df = with_ingest_columns(read_events(spark, todo), ingested_at)

@@ -67,3 +67,25 @@ def test_train_and_persist(spark, tmp_path):
     assert len(model.stages) == 2
     runs = spark.read.parquet(paths.ml_runs).collect()
     assert len(runs) == 1 and runs[0].params["split_date"] == "2024-01-25"
+
+
+def test_single_class_test_side_has_no_auc(spark):
+    rows = [(i, i % 3, dt.date(2024, 1, 1 + i % 10), "PushEvent") for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id long, repo_id long, event_date date, event_type string")
+    events = events.withColumn("actor_id", events.event_id % 7)
+    cfg = churn.ChurnConfig(split_date=dt.date(2024, 1, 20), min_events_in_train=1)
+    feats = churn.build_features(events, cfg)
+    assert feats.count() == 3 and feats.where("churned = 1").count() == 3
+    _, metrics = churn.train(feats, cfg, spark)
+    m = metrics.first()
+    assert m.roc_auc is None
+    assert m.total == 3
+
+
+def test_random_split_option(spark):
+    feats = spark.range(100).selectExpr("id AS repo_id")
+    cfg = churn.ChurnConfig(split_date=dt.date(2024, 1, 1))
+    tr, te = churn.split(feats, cfg, method="random")
+    assert tr.count() + te.count() == 100
+    with pytest.raises(ValueError):
+        churn.split(feats, cfg, method="stratified")

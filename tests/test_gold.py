@@ -83,3 +83,19 @@ def test_null_keys_excluded_from_dims(spark):
     assert [r.repo_id for r in marts.dim_repo(stg).collect()] == [5]
     assert [r.actor_id for r in marts.dim_actor(stg).collect()] == [7]
     assert validation.orphan_summary(stg, marts.dim_repo(stg), "repo_id").first().n_orphan_rows == 0
+
+
+def test_latest_name_rule(spark):
+    rows = [
+        (1, "PushEvent", 7, "zeta", 5, "r/zz", dt.datetime(2024, 1, 1, 1), dt.date(2024, 1, 1)),
+        (2, "PushEvent", 7, "alpha", 5, "r/aa", dt.datetime(2024, 1, 2, 1), dt.date(2024, 1, 2)),
+    ]
+    schema = (
+        "event_id long, event_type string, actor_id long, actor_login string, repo_id long, repo_name string, "
+        "created_at timestamp, event_date date"
+    )
+    stg = spark.createDataFrame(rows, schema)
+    assert marts.dim_repo(stg).first().repo_name == "r/zz"  # lexicographic max
+    assert marts.dim_repo(stg, name_rule="latest").first().repo_name == "r/aa"  # seen last
+    assert marts.dim_actor(stg, name_rule="latest").first().actor_login == "alpha"
+    assert marts.dim_repo(marts.activity(stg), name_rule="latest").first().repo_name == "r/aa"
