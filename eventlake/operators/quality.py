@@ -192,15 +192,14 @@ def _unique_result(df: DataFrame, layer: str, e: Expectation) -> DataFrame:
 def _relationship_result(df: DataFrame, layer: str, e: Expectation, parent: DataFrame) -> DataFrame:
     child = df.where(e.where) if e.where else df
     counts = key_counts(child, e.column)
-    parent_keys = parent.select(F.col(e.parent_column).alias("_pk")).where(F.col("_pk").isNotNull())
-    flagged = counts.join(parent_keys, counts[e.column] == parent_keys["_pk"], "left_outer")
-    return flagged.agg(
-        _result(
-            layer,
-            e,
-            F.coalesce(F.sum("n_rows"), F.lit(0)),
-            F.coalesce(F.sum(F.when(F.col("_pk").isNull(), F.col("n_rows"))), F.lit(0)),
-        ).alias("r")
+    parent_keys = parent.select(F.col(e.parent_column).alias(e.column)).where(F.col(e.column).isNotNull())
+    # anti-join: a parent column with repeated values cannot multiply counts
+    orphans = counts.join(parent_keys, e.column, "left_anti")
+    both = counts.select(F.col("n_rows").alias("ev"), F.lit(0).cast("bigint").alias("un")).unionByName(
+        orphans.select(F.lit(0).cast("bigint").alias("ev"), F.col("n_rows").alias("un"))
+    )
+    return both.agg(
+        _result(layer, e, F.coalesce(F.sum("ev"), F.lit(0)), F.coalesce(F.sum("un"), F.lit(0))).alias("r")
     ).select("r.*")
 
 
@@ -247,6 +246,17 @@ def summarize(results: DataFrame) -> DataFrame:
     )
 
 
+def layer_results(results: DataFrame) -> DataFrame:
+    """One row per layer shaped ``name, success, statistics`` where
+    ``statistics`` maps the four counters of :func:`summarize` by name."""
+    stats = ("evaluated_expectations", "successful_expectations", "unsuccessful_expectations", "success_percent")
+    return summarize(results).select(
+        F.col("layer").alias("name"),
+        "success",
+        F.create_map(*[x for k in stats for x in (F.lit(k), F.col(k).cast("double"))]).alias("statistics"),
+    )
+
+
 def run_layers(
     spark: SparkSession,
     tables: Mapping[str, str | DataFrame],

@@ -15,6 +15,9 @@ def test_month_silver_and_fact(spark, month_lake):
     assert s.count() == 600
     assert s.select("event_id").distinct().count() == 600
     assert s.select("event_date").distinct().count() == 30
+    import os
+
+    assert len([d for d in os.listdir(month_lake.silver) if d.startswith("event_date=")]) == 30
     fact = spark.read.parquet(month_lake.gold("fact_events"))
     assert fact.count() == 600
     assert len(fact.columns) == 8

@@ -67,6 +67,9 @@ def test_month_layers_pass_and_report(spark, month_lake, tmp_path):
     assert {r["layer"] for r in rows} == {"bronze", "silver", "gold"}
     summary = {r.layer: r for r in quality.summarize(results).collect()}
     assert summary["silver"].successful_expectations == 6 and summary["silver"].success
+    shaped = {r.name: r for r in quality.layer_results(results).collect()}
+    assert shaped["bronze"].success and shaped["bronze"].statistics["successful_expectations"] == 4.0
+    assert shaped["gold"].statistics["unsuccessful_expectations"] == 0.0
     report = tmp_path / "report"
     write_report(results, str(report))
     lines = [json.loads(line) for f in Path(report).glob("*.json") for line in f.read_text().splitlines()]
@@ -92,6 +95,11 @@ def test_relationship_needs_parent(spark):
     parent = spark.createDataFrame([(2,)], "repo_id long")
     r = quality.evaluate(df, [quality.relationship("repo_id", "dim_repo")], "fact", {"dim_repo": parent}).first()
     assert (r.evaluated, r.unexpected, r.success) == (1, 1, False)
+    # a repeated parent value must not multiply the child counts
+    child = spark.createDataFrame([(1,), (1,), (3,)], "repo_id long")
+    twice = spark.createDataFrame([(1,), (1,)], "repo_id long")
+    r = quality.evaluate(child, [quality.relationship("repo_id", "p")], "fact", {"p": twice}).first()
+    assert (r.evaluated, r.unexpected) == (3, 1)
 
 
 def test_lake_paths_layout():
