@@ -82,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_shuffle",
         "join_auto",
         "join_salted",
+        "join_salted_hot_keys",
         "hour_coverage",
         "daily_coverage",
         "bronze_roundtrip",
@@ -451,6 +452,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "join_shuffle": join_rows,
         "join_auto": join_rows,
         "join_salted": join_rows,
+        "join_salted_hot_keys": join_rows,
         "hour_coverage": coverage + "SELECT * FROM cov",
         "daily_coverage": coverage
         + "SELECT event_date, count(*) FILTER (WHERE NOT missing) AS hours_present, "

@@ -141,19 +141,54 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
     return n <= max_rows and b <= max_bytes
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner", buckets: int = 32) -> DataFrame:
-    """Shuffle join that spreads every key over ``buckets`` reducers.
+def hot_keys(fact: DataFrame, on: str, hot_rows: int) -> DataFrame:
+    """Keys of ``fact`` with at least ``hot_rows`` rows (partial aggregation
+    first, so counting a hot key is itself cheap). At most
+    ``rows(fact) / hot_rows`` keys qualify."""
+    return fact.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= F.lit(hot_rows)).select(on)
 
-    Fact rows get a deterministic salt from a hash of the row; each dimension
-    row is replicated once per salt. A key holding a third of the fact is then
-    joined by ``buckets`` tasks instead of one. Costs ``buckets`` copies of the
-    dimension, so use it for fact x dimension joins, not fact x fact.
+
+def salted_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str,
+    how: str = "inner",
+    buckets: int = 32,
+    hot_rows: int | None = None,
+    max_hot_keys: int = 10_000,
+) -> DataFrame:
+    """Shuffle join that spreads hot keys over ``buckets`` reducers.
+
+    Fact rows get a deterministic salt from a hash of the row; dimension rows
+    are replicated once per salt. With ``hot_rows`` only keys holding at least
+    that many fact rows are salted (found by :func:`hot_keys`; that set is
+    broadcast only after :func:`fits_broadcast` bounds it by ``max_hot_keys``)
+    and every other key joins unsalted, so only the hot keys' dimension rows
+    are copied. Without ``hot_rows`` every key is salted.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)).cast("int")
-    salted_fact = fact.withColumn("_salt", salt)
-    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
+    if hot_rows is None:
+        salted_fact = fact.withColumn("_salt", F.pmod(row_hash, F.lit(buckets)).cast("int"))
+        salted_dim = dim.withColumn("_salt", F.explode(all_salts))
+    else:
+        hot = hot_keys(fact, on, hot_rows).withColumn("_hot", F.lit(True))
+        if not fits_broadcast(hot, max_rows=max_hot_keys):
+            raise ValueError(f"more than {max_hot_keys} hot keys; raise hot_rows")
+        hot = F.broadcast(hot)
+        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+        salted_fact = (
+            fact.join(hot, on, "left")
+            .withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
+            .drop("_hot")
+        )
+        salted_dim = (
+            dim.join(hot, on, "left")
+            .withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0)))))
+            .drop("_hot")
+        )
     return salted_fact.join(salted_dim.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
@@ -166,6 +201,7 @@ def join_dim(
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
     max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
     salt_buckets: int = 32,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join a fact with a dimension.
 
@@ -174,7 +210,8 @@ def join_dim(
     * ``broadcast`` -- broadcast hint, only after :func:`fits_broadcast`
       proves the dimension small (raises otherwise);
     * ``shuffle``   -- sort-merge join (AQE still splits skewed partitions);
-    * ``salted``    -- :func:`salted_join`, for known hot keys;
+    * ``salted``    -- :func:`salted_join` (only keys with ``hot_rows`` or
+      more fact rows are salted when ``hot_rows`` is given);
     * ``auto``      -- a plain join: Catalyst broadcasts when its size
       estimate is under ``autoBroadcastJoinThreshold`` and AQE re-plans from
       the measured shuffle sizes at runtime (no extra pass over the dimension).
@@ -189,7 +226,7 @@ def join_dim(
     if strategy == "salted":
         if not isinstance(on, str):
             raise ValueError("salted join takes one key column")
-        return salted_join(fact, dim, on, how, salt_buckets)
+        return salted_join(fact, dim, on, how, salt_buckets, hot_rows)
     if strategy == "auto":
         return fact.join(dim, on, how)
     if not fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):

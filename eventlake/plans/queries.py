@@ -288,11 +288,11 @@ def zordered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count(t.where(F.col("actor_id") == F.lit(LOOKUP_KEY)))
 
 
-def _join(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+def _join(spark: SparkSession, sf_dir: str, strategy: str, **kw) -> DataFrame:
     stg = _stg(spark, sf_dir)
     fact, repos = marts.fact_events(stg), marts.dim_repo(stg)
     dim = repos.select("repo_id", "repo_name", "total_events")
-    return layout.join_dim(fact, dim, "repo_id", strategy=strategy).select(
+    return layout.join_dim(fact, dim, "repo_id", strategy=strategy, **kw).select(
         "event_id", "repo_id", "repo_name", "total_events"
     )
 
@@ -432,3 +432,13 @@ def dim_repo_latest_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _join(spark, sf_dir, "salted")
+
+
+HOT_SHARE = 0.0105  # repos above ~1.05% of all events count as hot
+
+
+def join_salted_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salting restricted to the hot repositories (threshold relative to the
+    table size, so it scales with the input)."""
+    n = driver.load_events(spark, sf_dir).count()
+    return _join(spark, sf_dir, "salted", hot_rows=max(1, int(n * HOT_SHARE)))

@@ -116,3 +116,15 @@ def test_cluster_by_splits_hot_key(spark, events, tmp_path):
     layout.write_clustered(hot, path, ["repo_id"], 8)
     sizes = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in sizes) < 10000  # the hot half is spread over several files
+
+
+def test_salting_only_hot_keys(spark, events):
+    hot = events.withColumn("repo_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("repo_id")))
+    dim = hot.select("repo_id").distinct().withColumn("repo_score", F.col("repo_id") % 100)
+    hk = [r.repo_id for r in layout.hot_keys(hot, "repo_id", 1000).collect()]
+    assert hk == [7]
+    salted = layout.join_dim(hot, dim, "repo_id", strategy="salted", salt_buckets=8, hot_rows=1000)
+    plain = hot.join(dim, "repo_id")
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    with pytest.raises(ValueError, match="hot keys"):
+        layout.salted_join(hot, dim, "repo_id", hot_rows=1, max_hot_keys=5)
