@@ -161,10 +161,10 @@ def salted_join(
 
     Fact rows get a deterministic salt from a hash of the row; dimension rows
     are replicated once per salt. With ``hot_rows`` only keys holding at least
-    that many fact rows are salted (found by :func:`hot_keys`; that set is
-    broadcast only after :func:`fits_broadcast` bounds it by ``max_hot_keys``)
-    and every other key joins unsalted, so only the hot keys' dimension rows
-    are copied. Without ``hot_rows`` every key is salted.
+    that many fact rows are salted: :func:`hot_keys` finds them in one pass,
+    at most ``max_hot_keys`` are fetched (more raises) and they become an
+    ``IN`` set, so every other key joins unsalted and only the hot keys'
+    dimension rows are copied. Without ``hot_rows`` every key is salted.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
@@ -174,21 +174,15 @@ def salted_join(
         salted_fact = fact.withColumn("_salt", F.pmod(row_hash, F.lit(buckets)).cast("int"))
         salted_dim = dim.withColumn("_salt", F.explode(all_salts))
     else:
-        hot = hot_keys(fact, on, hot_rows).withColumn("_hot", F.lit(True))
-        if not fits_broadcast(hot, max_rows=max_hot_keys):
+        # one pass finds the hot keys; at most max_hot_keys + 1 of them are fetched
+        found = [r[0] for r in hot_keys(fact, on, hot_rows).limit(max_hot_keys + 1).collect()]
+        if len(found) > max_hot_keys:
             raise ValueError(f"more than {max_hot_keys} hot keys; raise hot_rows")
-        hot = F.broadcast(hot)
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-        salted_fact = (
-            fact.join(hot, on, "left")
-            .withColumn("_salt", F.when(is_hot, F.pmod(row_hash, F.lit(buckets)).cast("int")).otherwise(F.lit(0)))
-            .drop("_hot")
-        )
-        salted_dim = (
-            dim.join(hot, on, "left")
-            .withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0)))))
-            .drop("_hot")
+        is_hot = F.col(on).isin(found) if found else F.lit(False)
+        salted_fact = fact.withColumn(
+            "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(buckets)).cast("int")).otherwise(F.lit(0))
         )
+        salted_dim = dim.withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0)))))
     return salted_fact.join(salted_dim.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
