@@ -71,15 +71,22 @@ def normalize(bronze: DataFrame, processed_at: dt.datetime | None = None) -> Dat
 
 
 def rejects(bronze: DataFrame) -> DataFrame:
-    """Rows :func:`normalize` drops, with the raw id/type/time and a reason."""
+    """Rows :func:`normalize` drops, with the raw id/type/time and the first
+    reason: ``corrupt_record`` (unparseable line), ``event_id``,
+    ``event_type`` or ``created_at`` (missing or malformed)."""
     created = parse_timestamp(F.col("created_at"), bronze.schema["created_at"].dataType)
     event_id = safe_cast("id", LongType())
-    reason = (
-        F.when(event_id.isNull(), F.lit("event_id"))
-        .when(F.col("type").isNull(), F.lit("event_type"))
-        .when(created.isNull(), F.lit("created_at"))
-    )
-    extra = [F.col("_corrupt_record")] if "_corrupt_record" in bronze.columns else []
+    has_corrupt = "_corrupt_record" in bronze.columns
+    checks = [(F.col("_corrupt_record").isNotNull(), "corrupt_record")] if has_corrupt else []
+    checks += [
+        (event_id.isNull(), "event_id"),
+        (F.col("type").isNull(), "event_type"),
+        (created.isNull(), "created_at"),
+    ]
+    reason = F.when(checks[0][0], F.lit(checks[0][1]))
+    for cond, label in checks[1:]:
+        reason = reason.when(cond, F.lit(label))
+    extra = [F.col("_corrupt_record")] if has_corrupt else []
     return (
         bronze.select(
             F.col("id").cast(StringType()).alias("raw_id"),

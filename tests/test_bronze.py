@@ -67,11 +67,30 @@ def test_ledger_skips_landed_files(spark, tmp_path):
 
 
 def test_broken_json_line_goes_to_corrupt_record(spark, tmp_path):
+    from eventlake.operators.silver import normalize, rejects
+
     path = write_hour(tmp_path / "raw", dt.date(2024, 1, 1), 0, 3, extra_lines=['{"id": "9", "type": '])
     df = bronze.read_events(spark, [str(path)])
     bad = df.where(F.col("_corrupt_record").isNotNull()).collect()
     assert len(bad) == 1
     assert df.count() == 4
+    raw = bronze.with_ingest_columns(df)
+    assert normalize(raw).count() == 3
+    assert [r.reason for r in rejects(raw).collect()] == ["corrupt_record"]
+
+
+def test_fixture_files_are_valid_gzip_jsonl(tmp_path):
+    import gzip
+
+    from fixtures import write_days
+
+    files = write_days(tmp_path / "raw", dt.date(2024, 1, 1), days=2, hours=3, per_hour=4)
+    ids = []
+    for f in files:
+        with gzip.open(f, "rt") as fh:
+            ids += [json.loads(line)["id"] for line in fh if line.strip()]
+    assert len(ids) == 24 and len(set(ids)) == 24
+    assert os.path.basename(files[0]) == "2024-01-01-0.json.gz"
 
 
 def test_schema_growth_reads_with_merge(spark, tmp_path):
