@@ -18,7 +18,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
@@ -109,6 +109,34 @@ def write_clustered(df: DataFrame, path: str, cols: Sequence[str], n_files: int,
     write_table(cluster_by(df, cols, n_files), path, mode=mode)
 
 
+#: Target size of a clustered output file.
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """On-disk size of a dataset (one content-summary call on its file system)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def optimize_table(
+    spark: SparkSession,
+    src_path: str,
+    dst_path: str,
+    cols: Sequence[str],
+    target_file_bytes: int = TARGET_FILE_BYTES,
+) -> int:
+    """Rewrite the Parquet table at ``src_path`` clustered by ``cols`` into
+    ``dst_path`` with about ``target_file_bytes`` per file; returns the number
+    of files. (Reading and overwriting one path in the same job is not
+    possible with plain Parquet, hence the separate destination.)"""
+    n_files = max(1, math.ceil(table_bytes(spark, src_path) / target_file_bytes))
+    write_clustered(spark.read.parquet(src_path), dst_path, cols, n_files)
+    return n_files
+
+
 #: Default broadcast byte bound (measured payload of the dimension's rows).
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 

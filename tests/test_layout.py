@@ -128,3 +128,14 @@ def test_salting_only_hot_keys(spark, events):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
     with pytest.raises(ValueError, match="hot keys"):
         layout.salted_join(hot, dim, "repo_id", hot_rows=1, max_hot_keys=5)
+
+
+def test_optimize_table_sizes_files(spark, events, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    layout.write_flat(events.repartition(4), src)
+    size = layout.table_bytes(spark, src)
+    n = layout.optimize_table(spark, src, dst, ["repo_id"], target_file_bytes=max(1, size // 3))
+    assert n in (3, 4)
+    out = spark.read.parquet(dst)
+    assert out.count() == 20000
+    assert len([f for f in out.inputFiles()]) <= n
