@@ -38,21 +38,25 @@ LOOKUP_DATE = "2024-01-15"
 LOOKUP_REPO = 42
 
 
-def session(cpus: str) -> SparkSession:
-    scratch = tempfile.mkdtemp(prefix="eventlake-bench-")
+def session(cpus: str, scratch: str) -> SparkSession:
+    events_dir = Path(scratch) / "eventlog"
+    events_dir.mkdir(parents=True, exist_ok=True)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("eventlake-bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.dir", str(events_dir))
+        .config("spark.eventLog.compress", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16"))
-        .config("spark.checkpoint.dir", scratch)
+        .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
-    spark.sparkContext.setCheckpointDir(scratch)
+    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     return spark
 
 
@@ -61,16 +65,53 @@ def execute(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn, repeats: int) -> float:
+def timed(fn, repeats: int, label: str | None = None, spark: SparkSession | None = None) -> float:
+    if spark is not None:
+        spark.sparkContext.setJobDescription(None)
     fn()  # warm-up
     runs = []
-    for _ in range(repeats):
+    for i in range(repeats):
+        if spark is not None and label and i == 0:
+            spark.sparkContext.setJobDescription(f"bench:{label}")
         t0 = time.perf_counter()
         fn()
         runs.append(time.perf_counter() - t0)
+        if spark is not None:
+            spark.sparkContext.setJobDescription(None)
     return statistics.median(runs)
 
 
+def io_per_query(events_dir: Path) -> dict[str, dict[str, int]]:
+    """Input and shuffle-write bytes of the first timed run of each query,
+    read from Spark's event log (jobs tagged ``bench:<name>``)."""
+    stage_to_label: dict[int, str] = {}
+    out: dict[str, dict[str, int]] = {}
+    # Spark 4 writes a rolling log: a folder of ``events_<n>_...`` files
+    logs = sorted((p for p in events_dir.rglob("events_*") if p.is_file() and not p.name.endswith(".crc")),
+                  key=lambda p: (str(p.parent), int(p.name.split("_")[1]) if p.name.startswith("events_") else 0))
+    for log in logs:
+        with open(log, encoding="utf-8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    label = (ev.get("Properties") or {}).get("spark.job.description") or ""
+                    if label.startswith("bench:"):
+                        for sid in ev.get("Stage IDs", []):
+                            stage_to_label[sid] = label[6:]
+                elif kind == "SparkListenerTaskEnd":
+                    label = stage_to_label.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    if not label or not metrics:
+                        continue
+                    acc = out.setdefault(label, {"input_bytes": 0, "shuffle_write_bytes": 0})
+                    acc["input_bytes"] += int((metrics.get("Input Metrics") or {}).get("Bytes Read", 0))
+                    acc["shuffle_write_bytes"] += int(
+                        (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    )
+    return out
+
+
 def plan_of(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -79,9 +120,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
-    spark = session(cpus)
-    root = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
-    root = root.rstrip("/") + "/bench"
+    scratch = tempfile.mkdtemp(prefix="eventlake-bench-")
+    spark = session(cpus, scratch)
+    root = scratch.rstrip("/") + "/bench"
 
     t_setup = time.perf_counter()
     events = driver.load_events(spark, sf_dir)
@@ -131,7 +172,7 @@ def main() -> None:
         def run():
             counts[name] = df.count()
 
-        results[name] = timed(run, repeats)
+        results[name] = timed(run, repeats, name, spark)
 
     count_of("partition_pruned_count", q_part)
     count_of("partition_flat_count", q_flat)
@@ -148,7 +189,7 @@ def main() -> None:
         "dim_date": marts.dim_date(stg),
     }
     for name, df in builds.items():
-        results[name] = timed(lambda df=df: execute(df), repeats)
+        results[name] = timed(lambda df=df: execute(df), repeats, name, spark)
 
     def dims_via_rollup():
         act = marts.activity(stg).persist()
@@ -218,8 +259,12 @@ def main() -> None:
         "repeats": repeats,
         "cpus": cpus,
     }
-    print(json.dumps(out))
     spark.stop()
+    try:
+        out["io"] = io_per_query(Path(scratch) / "eventlog")
+    except (OSError, ValueError) as exc:  # the numbers above stand without it
+        out["io_error"] = str(exc)[:200]
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
