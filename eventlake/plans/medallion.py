@@ -254,12 +254,8 @@ def run(
 
 
 def list_raw_files(spark: SparkSession, raw_root: str, pattern: str = "*.json.gz") -> list[str]:
-    """Dump files under ``raw_root`` (one directory listing through Hadoop FS)."""
-    jvm = spark.sparkContext._jvm
-    glob = jvm.org.apache.hadoop.fs.Path(raw_root.rstrip("/") + "/" + pattern)
-    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(glob) or []
-    return sorted(str(s.getPath().toString()) for s in found)
+    """Dump files under ``raw_root`` (see :func:`eventlake.sources.bronze.list_raw_files`)."""
+    return bronze_src.list_raw_files(spark, raw_root, pattern)
 
 
 def backfill(
@@ -272,19 +268,8 @@ def backfill(
     """Land every not-yet-landed dump of ``start..end`` and rebuild those days
     of Silver and Gold in single jobs (dynamic partition overwrite); reports
     the hours of the range that have no dump file."""
-    grid = bronze_src.hour_grid(spark, start, end)
-    present = list_raw_files(spark, raw_root)
-    listing = bronze_src.file_listing(spark, present) if present else None
-    wanted = (
-        [r.file_path for r in listing.join(grid.select("file_name"), "file_name", "left_semi").collect()]
-        if listing is not None
-        else []
-    )
-    out: dict = {"files_found": len(wanted)}
-    if listing is not None:
-        out["hours_without_file"] = bronze_src.missing_files(grid, listing).count()
-    else:
-        out["hours_without_file"] = grid.count()
+    wanted, hours_without_file = bronze_src.files_for_range(spark, raw_root, start, end)
+    out: dict = {"files_found": len(wanted), "hours_without_file": hours_without_file}
     if wanted:
         landed = bronze_src.land(spark, wanted, paths.bronze, paths.ledger)
         out["bronze_rows"] = landed.rows

@@ -212,3 +212,60 @@ def hour_coverage(grid: DataFrame, events: DataFrame, ts_col: str = "created_at"
 def missing_files(grid: DataFrame, ledger: DataFrame) -> DataFrame:
     """Grid hours whose dump file is not in the ledger."""
     return grid.join(ledger.select("file_name"), "file_name", "left_anti")
+
+
+# ---------------------------------------------------------------------------
+# day / month / range landing
+# ---------------------------------------------------------------------------
+
+
+def list_raw_files(spark: SparkSession, raw_root: str, pattern: str = "*.json.gz") -> list[str]:
+    """Dump files directly under ``raw_root`` (one listing through Hadoop FS)."""
+    jvm = spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.Path(raw_root.rstrip("/") + "/" + pattern)
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(glob) or []
+    return sorted(str(st.getPath().toString()) for st in found)
+
+
+def files_for_range(spark: SparkSession, raw_root: str, start: dt.date, end: dt.date) -> tuple[list[str], int]:
+    """Dump files under ``raw_root`` that belong to hours of ``start..end``,
+    and the number of grid hours that have no file."""
+    grid = hour_grid(spark, start, end)
+    present = list_raw_files(spark, raw_root)
+    if not present:
+        return [], grid.count()
+    listing = file_listing(spark, present)
+    wanted = [r.file_path for r in listing.join(grid.select("file_name"), "file_name", "left_semi").collect()]
+    return sorted(wanted), missing_files(grid, listing).count()
+
+
+def land_range(
+    spark: SparkSession,
+    raw_root: str,
+    start: dt.date,
+    end: dt.date,
+    bronze_path: str,
+    ledger_path: str | None = None,
+    ingested_at: dt.datetime | None = None,
+) -> LandResult:
+    """Land the dumps of every hour of ``start..end`` found under ``raw_root``
+    (already-landed files skipped when a ledger is given)."""
+    files, _ = files_for_range(spark, raw_root, start, end)
+    if not files:
+        return LandResult(0, ())
+    return land(spark, files, bronze_path, ledger_path, ingested_at=ingested_at)
+
+
+def land_day(spark: SparkSession, raw_root: str, day: dt.date, bronze_path: str, ledger_path: str | None = None) -> LandResult:
+    """Land the (up to) 24 hourly dumps of one day."""
+    return land_range(spark, raw_root, day, day, bronze_path, ledger_path)
+
+
+def land_month(
+    spark: SparkSession, raw_root: str, year: int, month: int, bronze_path: str, ledger_path: str | None = None
+) -> LandResult:
+    """Land every hourly dump of a calendar month."""
+    first = dt.date(year, month, 1)
+    last = dt.date(year + (month == 12), month % 12 + 1, 1) - dt.timedelta(days=1)
+    return land_range(spark, raw_root, first, last, bronze_path, ledger_path)

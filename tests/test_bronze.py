@@ -126,3 +126,19 @@ def test_hour_coverage_reports_missing_hours(spark, tmp_path):
     assert missing == [h for h in range(24) if h not in (0, 1, 5)]
     ledger = bronze.file_listing(spark, files)
     assert bronze.missing_files(grid, ledger).count() == 21
+
+
+def test_land_day_and_month(spark, tmp_path):
+    from fixtures import write_days
+
+    raw = tmp_path / "raw"
+    write_days(raw, dt.date(2024, 1, 30), days=3, hours=2, per_hour=3)  # Jan 30, 31, Feb 1
+    ledger = str(tmp_path / "ledger")
+    day = bronze.land_day(spark, str(raw), dt.date(2024, 1, 31), str(tmp_path / "b"), ledger)
+    assert day.rows == 6 and len(day.files) == 2
+    month = bronze.land_month(spark, str(raw), 2024, 1, str(tmp_path / "b"), ledger)
+    assert month.rows == 6  # Jan 30 only; Jan 31 already landed, Feb 1 outside
+    files, missing = bronze.files_for_range(spark, str(raw), dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    assert len(files) == 4 and missing == 744 - 4
+    nothing = bronze.land_day(spark, str(raw), dt.date(2024, 3, 1), str(tmp_path / "b"), ledger)
+    assert nothing.rows == 0
