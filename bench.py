@@ -163,6 +163,11 @@ def main() -> None:
         # the event-grain (Expand) aggregate must be hash-based; only the small
         # distinct (key, name) branch may sort
         "marts_hash_aggregate": not re.search(r"SortAggregate\(key=\[[^\]]*gid", plan_of(marts.dim_actor(stg))),
+        # ... and the string maximum sorts (key, name) pairs, not events
+        "names_pre_aggregated": bool(
+            re.search(r"HashAggregate\(keys=\[actor_id#\d+L, actor_login#\d+\], functions=\[partial_count",
+                      plan_of(marts.dim_actor(stg)))
+        ),
     }
 
     results: dict[str, float] = {}

@@ -51,11 +51,13 @@ def max_name(src: DataFrame, key: str, name: str) -> DataFrame:
     """``max(name)`` per non-NULL ``key``.
 
     A string maximum forces Spark's sort-based aggregate; doing it on the
-    distinct (key, name) pairs -- a hash aggregate with map-side combine --
-    keeps the sort down to one row per key and name.
+    (key, name) pairs -- a hash aggregate with map-side combine -- keeps the
+    sort down to one row per key and name. The outer maximum reads the pair
+    count, otherwise the optimizer drops the inner aggregate as redundant
+    (``max`` ignores duplicates) and sorts every input row.
     """
-    pairs = src.where(F.col(key).isNotNull()).select(key, name).distinct()
-    return pairs.groupBy(key).agg(F.max(name).alias(name))
+    pairs = src.where(F.col(key).isNotNull()).groupBy(key, name).agg(F.count(F.lit(1)).alias("_n"))
+    return pairs.groupBy(key).agg(F.max(F.when(F.col("_n") > 0, F.col(name))).alias(name))
 
 
 def latest_name(src: DataFrame, key: str, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 ``create_views`` registers ``silver_events`` and then one
 ``CREATE OR REPLACE TEMP VIEW`` per model, in dependency order; the views are
 plain SQL, so Catalyst inlines them and plans exactly as the DataFrame marts
-(hash aggregates, string maxima from distinct pairs). ``VALIDATION_SQL``
+(hash aggregates, string maxima from (key, name) pairs). ``VALIDATION_SQL``
 holds the checks run over the views.
 """
 
@@ -41,8 +41,9 @@ WITH metrics AS (
     GROUP BY repo_id
 ),
 names AS (
-    SELECT repo_id, max(repo_name) AS repo_name
-    FROM (SELECT DISTINCT repo_id, repo_name FROM stg_events WHERE repo_id IS NOT NULL)
+    -- the pair count keeps the inner aggregate from being folded away
+    SELECT repo_id, max(CASE WHEN n > 0 THEN repo_name END) AS repo_name
+    FROM (SELECT repo_id, repo_name, count(*) AS n FROM stg_events WHERE repo_id IS NOT NULL GROUP BY repo_id, repo_name)
     GROUP BY repo_id
 )
 SELECT m.repo_id, n.repo_name, m.first_seen_at, m.last_seen_at, m.total_events, m.unique_actors,
@@ -65,8 +66,8 @@ WITH metrics AS (
     GROUP BY actor_id
 ),
 names AS (
-    SELECT actor_id, max(actor_login) AS actor_login
-    FROM (SELECT DISTINCT actor_id, actor_login FROM stg_events WHERE actor_id IS NOT NULL)
+    SELECT actor_id, max(CASE WHEN n > 0 THEN actor_login END) AS actor_login
+    FROM (SELECT actor_id, actor_login, count(*) AS n FROM stg_events WHERE actor_id IS NOT NULL GROUP BY actor_id, actor_login)
     GROUP BY actor_id
 )
 SELECT m.actor_id, n.actor_login, m.first_seen_at, m.last_seen_at, m.total_events,
