@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.columns import KNOWN_EVENT_TYPES
-from eventlake.operators.validation import key_counts
+from eventlake.operators.validation import key_counts, keys_missing_from
 from eventlake.sources.tables import table_exists
 
 RESULT_COLUMNS = ("layer", "expectation", "column", "mostly", "evaluated", "unexpected", "success")
@@ -194,7 +194,7 @@ def _relationship_result(df: DataFrame, layer: str, e: Expectation, parent: Data
     counts = key_counts(child, e.column)
     parent_keys = parent.select(F.col(e.parent_column).alias(e.column)).where(F.col(e.column).isNotNull())
     # anti-join: a parent column with repeated values cannot multiply counts
-    orphans = counts.join(parent_keys, e.column, "left_anti")
+    orphans = keys_missing_from(counts, parent_keys, e.column)
     both = counts.select(F.col("n_rows").alias("ev"), F.lit(0).cast("bigint").alias("un")).unionByName(
         orphans.select(F.lit(0).cast("bigint").alias("ev"), F.col("n_rows").alias("un"))
     )

@@ -26,11 +26,24 @@ def key_counts(child: DataFrame, key: str) -> DataFrame:
     return child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def keys_missing_from(counts: DataFrame, parent_keys: DataFrame, key: str) -> DataFrame:
+    """Rows of the per-key ``counts`` whose key is not in ``parent_keys``.
+
+    The join condition also reads the aggregated ``n_rows`` (always > 0), so
+    the optimizer cannot push the anti-join below the aggregation: the join
+    then moves one row per key, never the raw child rows, whichever join
+    strategy is picked.
+    """
+    pk = parent_keys.select(F.col(key).alias("_pk"))
+    cond = (counts[key] == pk["_pk"]) & (counts["n_rows"] > F.lit(0))
+    return counts.join(pk, cond, "left_anti")
+
+
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Non-NULL child keys absent from the parent, with their child row counts."""
     pk = parent_key or key
     parent_keys = parent.select(F.col(pk).alias(key)).where(F.col(key).isNotNull())
-    return key_counts(child, key).join(parent_keys, key, "left_anti")
+    return keys_missing_from(key_counts(child, key), parent_keys, key)
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
@@ -51,7 +64,7 @@ def orphan_summary(child: DataFrame, parent: DataFrame, key: str, parent_key: st
 def date_gaps(fact: DataFrame, dates: DataFrame, date_col: str = "event_date", key: str = "date_key") -> DataFrame:
     """Fact dates missing from the date dimension, with their row counts."""
     counts = key_counts(fact, date_col)
-    return counts.join(dates.select(F.col(key).alias(date_col)), date_col, "left_anti")
+    return keys_missing_from(counts, dates.select(F.col(key).alias(date_col)), date_col)
 
 
 def gold_checks(fact: DataFrame, repos: DataFrame, actors: DataFrame, dates: DataFrame) -> DataFrame:
