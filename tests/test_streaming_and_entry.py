@@ -106,3 +106,10 @@ def test_churn_model_metrics_runs(spark):
     assert row.total == row.train_rows + row.test_rows
     cfg = ChurnConfig(split_date=dt.date(2024, 1, 30))
     assert row.split_date == cfg.split_date.isoformat()
+
+
+def test_stream_landing_in_several_batches(spark, tmp_path):
+    raw, target, ckpt = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    write_days(raw, dt.date(2024, 1, 1), days=1, hours=3, per_hour=4)
+    assert landing.land_available(spark, str(raw), target, ckpt, max_files_per_trigger=1) == 12
+    assert spark.read.parquet(target).select("event_date").distinct().count() == 1
