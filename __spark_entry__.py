@@ -99,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_date_coverage",
         "dim_repo_latest_name",
         "streaming_silver_dedup",
+        "silver_rerun_days",
     ]
     return {n: _wrap(getattr(q, n)) for n in names}
 
@@ -483,6 +484,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
             + "SELECT count(*) AS n FROM silver f WHERE NOT EXISTS "
             "(SELECT 1 FROM (SELECT DISTINCT event_date FROM silver) d WHERE d.event_date = f.event_date)",
             "streaming_silver_dedup": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",
+            "silver_rerun_days": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",
             "dim_repo_latest_name": _with(_SILVER_CTE)
             + _DIM_REPO.replace(
                 "max(repo_name)                                                               AS repo_name",
