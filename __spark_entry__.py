@@ -100,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dim_repo_latest_name",
         "streaming_silver_dedup",
         "silver_rerun_days",
+        "gold_incremental_dim_actor",
     ]
     return {n: _wrap(getattr(q, n)) for n in names}
 
@@ -485,6 +486,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
             "(SELECT 1 FROM (SELECT DISTINCT event_date FROM silver) d WHERE d.event_date = f.event_date)",
             "streaming_silver_dedup": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",
             "silver_rerun_days": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",
+            "gold_incremental_dim_actor": base + _DIM_ACTOR,
             "dim_repo_latest_name": _with(_SILVER_CTE)
             + _DIM_REPO.replace(
                 "max(repo_name)                                                               AS repo_name",

@@ -480,3 +480,15 @@ def silver_rerun_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     medallion.bronze_to_silver(spark, paths)
     medallion.bronze_to_silver(spark, paths, days=["2024-01-10", "2024-01-11"])
     return medallion.read_silver(spark, paths).drop("_ingested_at", "_silver_processed_at")
+
+
+def gold_incremental_dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full Gold build, then an incremental rebuild of two days (fact and
+    rollup partitions replaced, dimensions re-derived from the rollup): the
+    actor dimension read back must equal the one of a single full build."""
+    root = scratch_dir(spark, "lake-gold-incr")
+    paths = medallion.LakePaths(root)
+    silver.write_silver(_silver(spark, sf_dir), paths.silver, dynamic=False)
+    medallion.build_gold(spark, paths)
+    medallion.build_gold(spark, paths, days=["2024-01-20", "2024-01-21"])
+    return spark.read.parquet(paths.gold("dim_actor"))
