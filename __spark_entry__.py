@@ -68,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_gold",
         "quality_models",
         "quality_summary",
+        "quality_report",
         "churn_features",
         "churn_features_from_activity",
         "churn_features_repo",
@@ -335,6 +336,7 @@ bad AS (
         + _suite_sql("replayed", "silver", quality.silver_suite()),
         "quality_gold": _with(_SILVER_CTE) + _suite_sql("silver", "gold", quality.gold_suite()),
         "quality_models": _with(_SILVER_CTE, _DIM_REPO_CTE, _DIM_ACTOR_CTE, dates) + model_sql,
+        "quality_report": _with(_SILVER_CTE, _RAW_CTE) + layers,
         "quality_summary": _with(_SILVER_CTE, _RAW_CTE, f"results AS ({layers})")
         + """
 SELECT layer,

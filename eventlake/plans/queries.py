@@ -492,3 +492,12 @@ def gold_incremental_dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
     medallion.build_gold(spark, paths)
     medallion.build_gold(spark, paths, days=["2024-01-20", "2024-01-21"])
     return spark.read.parquet(paths.gold("dim_actor"))
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per expectation of the three layer suites (Bronze, Silver,
+    Gold) over the mapped test events."""
+    raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
+    slv = silver.normalize(raw)
+    tables = {"bronze": raw, "silver": slv, "gold": marts.fact_events(marts.stg_events(slv))}
+    return quality.run_layers(spark, tables)
