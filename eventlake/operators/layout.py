@@ -187,8 +187,8 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join that spreads hot keys over ``buckets`` reducers.
 
-    Fact rows get a deterministic salt from a hash of the row; dimension rows
-    are replicated once per salt. With ``hot_rows`` only keys holding at least
+    Fact rows get a salt from a hash of the row and its map partition;
+    dimension rows are replicated once per salt, so any salt finds its match. With ``hot_rows`` only keys holding at least
     that many fact rows are salted: :func:`hot_keys` finds them in one pass,
     at most ``max_hot_keys`` are fetched (more raises) and they become an
     ``IN`` set, so every other key joins unsalted and only the hot keys'
@@ -196,7 +196,10 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    # salt from the row's content and its map partition: identical copies of
+    # one row (e.g. replays) still spread, and a retried map task, reading the
+    # same split under the same partition id, salts every row as before
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns], F.spark_partition_id())
     all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
     if hot_rows is None:
         salted_fact = fact.withColumn("_salt", F.pmod(row_hash, F.lit(buckets)).cast("int"))
