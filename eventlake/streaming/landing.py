@@ -5,6 +5,10 @@ checkpoint, so the checkpoint *is* the ledger: each run with
 ``trigger(availableNow=True)`` lands exactly the files that arrived since the
 last run, then stops. The Parquet sink commits each micro-batch atomically
 through its own metadata log, so a crashed run resumes without duplicates.
+
+Readers of a path written by this sink list files through that log
+(``_spark_metadata``), so do not also append to it with the batch ``land``:
+batch-written files would be invisible to them. Use one form per table.
 """
 
 from __future__ import annotations
