@@ -102,3 +102,26 @@ def test_latest_name_rule(spark):
     assert marts.dim_repo(stg, name_rule="latest").first().repo_name == "r/aa"  # seen last
     assert marts.dim_actor(stg, name_rule="latest").first().actor_login == "alpha"
     assert marts.dim_repo(marts.activity(stg), name_rule="latest").first().repo_name == "r/aa"
+
+
+def test_sql_models_equal_dataframe_marts(spark):
+    from eventlake.plans import sql_models
+    from eventlake.sources import driver
+
+    slv = driver.events_as_silver(driver.load_events(spark, "/root/testdata/sf0.001"))
+    views = sql_models.create_views(spark, slv)
+    stg = marts.stg_events(slv)
+    pairs = {
+        "fact_events": marts.fact_events(stg),
+        "dim_repo": marts.dim_repo(stg),
+        "dim_actor": marts.dim_actor(stg),
+        "dim_date": marts.dim_date(stg),
+    }
+    for name, df in pairs.items():
+        assert views[name].columns == df.columns, name
+        assert views[name].exceptAll(df).count() == 0 and df.exceptAll(views[name]).count() == 0, name
+    assert sql_models.validate(spark, "orphans_repo").first().n == 0
+    assert sql_models.validate(spark, "date_coverage").first().n == 0
+    u = sql_models.validate(spark, "fact_uniqueness").first()
+    assert u.n_rows == u.n_unique
+    assert sql_models.validate(spark, "top_repos").count() == 10
