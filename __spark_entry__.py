@@ -152,11 +152,11 @@ SELECT
     count(*)                                                                     AS total_events,
     count(DISTINCT actor_id)                                                     AS unique_actors,
     count(DISTINCT event_date)                                                   AS active_days,
-    CAST(sum(CASE WHEN event_type = 'PushEvent' THEN 1 ELSE 0 END) AS BIGINT)        AS push_events,
-    CAST(sum(CASE WHEN event_type = 'PullRequestEvent' THEN 1 ELSE 0 END) AS BIGINT) AS pr_events,
-    CAST(sum(CASE WHEN event_type = 'IssuesEvent' THEN 1 ELSE 0 END) AS BIGINT)      AS issue_events,
-    CAST(sum(CASE WHEN event_type = 'WatchEvent' THEN 1 ELSE 0 END) AS BIGINT)       AS watch_events,
-    CAST(sum(CASE WHEN event_type = 'ForkEvent' THEN 1 ELSE 0 END) AS BIGINT)        AS fork_events
+    count(*) FILTER (WHERE event_type = 'PushEvent')                             AS push_events,
+    count(*) FILTER (WHERE event_type = 'PullRequestEvent')                      AS pr_events,
+    count(*) FILTER (WHERE event_type = 'IssuesEvent')                           AS issue_events,
+    count(*) FILTER (WHERE event_type = 'WatchEvent')                            AS watch_events,
+    count(*) FILTER (WHERE event_type = 'ForkEvent')                             AS fork_events
 FROM silver
 WHERE repo_id IS NOT NULL
 GROUP BY repo_id"""

@@ -31,11 +31,11 @@ WITH metrics AS (
         count(*)                                                          AS total_events,
         count(DISTINCT actor_id)                                          AS unique_actors,
         count(DISTINCT event_date)                                        AS active_days,
-        sum(CASE WHEN event_type = 'PushEvent'        THEN 1 ELSE 0 END)  AS push_events,
-        sum(CASE WHEN event_type = 'PullRequestEvent' THEN 1 ELSE 0 END)  AS pr_events,
-        sum(CASE WHEN event_type = 'IssuesEvent'      THEN 1 ELSE 0 END)  AS issue_events,
-        sum(CASE WHEN event_type = 'WatchEvent'       THEN 1 ELSE 0 END)  AS watch_events,
-        sum(CASE WHEN event_type = 'ForkEvent'        THEN 1 ELSE 0 END)  AS fork_events
+        count_if(event_type = 'PushEvent')                                AS push_events,
+        count_if(event_type = 'PullRequestEvent')                         AS pr_events,
+        count_if(event_type = 'IssuesEvent')                              AS issue_events,
+        count_if(event_type = 'WatchEvent')                               AS watch_events,
+        count_if(event_type = 'ForkEvent')                                AS fork_events
     FROM stg_events
     WHERE repo_id IS NOT NULL
     GROUP BY repo_id
@@ -76,21 +76,13 @@ FROM metrics m LEFT JOIN names n ON m.actor_id = n.actor_id
 """
 
 DIM_DATE = """
-WITH distinct_dates AS (
-    SELECT DISTINCT event_date AS date_key
-    FROM stg_events
-    WHERE event_date IS NOT NULL
-)
 SELECT
-    date_key,
-    year(date_key)        AS year,
-    quarter(date_key)     AS quarter,
-    month(date_key)       AS month,
-    day(date_key)         AS day,
-    dayofweek(date_key)   AS day_of_week,
-    weekofyear(date_key)  AS week_of_year,
-    dayofweek(date_key) IN (1, 7) AS is_weekend
-FROM distinct_dates
+    d AS date_key,
+    year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day,
+    dayofweek(d) AS day_of_week,          -- Sunday = 1
+    weekofyear(d) AS week_of_year,        -- ISO week
+    dayofweek(d) IN (1, 7) AS is_weekend
+FROM (SELECT DISTINCT event_date AS d FROM stg_events WHERE event_date IS NOT NULL)
 """
 
 #: model name -> SQL, in dependency order
