@@ -113,3 +113,21 @@ def test_stream_landing_in_several_batches(spark, tmp_path):
     write_days(raw, dt.date(2024, 1, 1), days=1, hours=3, per_hour=4)
     assert landing.land_available(spark, str(raw), target, ckpt, max_files_per_trigger=1) == 12
     assert spark.read.parquet(target).select("event_date").distinct().count() == 1
+
+
+def test_run_whole_chain_with_model(spark, tmp_path):
+    from eventlake.sources import driver
+
+    raw_dir = str(tmp_path / "dumps")
+    raw = driver.events_as_raw(driver.load_events(spark, SF_SMALL)).drop("event_date", "_ingested_at")
+    raw.write.option("compression", "gzip").json(raw_dir)
+    files = medallion.list_raw_files(spark, raw_dir)
+    paths = medallion.LakePaths(str(tmp_path / "lake"))
+    cfg = ChurnConfig(split_date=dt.date(2024, 1, 25), min_events_in_train=5, entity="actor_id", distinct_col="repo_id")
+    out = medallion.run(spark, paths, raw_files=files, churn_config=cfg)
+    assert out["bronze_rows"] == 1000 and out["silver"].written_rows == 1000
+    assert all(c["passed"] for c in out["gold_checks"])
+    m = out["churn"]
+    assert m["total"] == m["train_rows"] + m["test_rows"] and m["total"] > 0
+    assert spark.read.parquet(paths.ml_runs).count() == 1
+    assert len(spark.read.json(paths.quality).collect()) == 14
