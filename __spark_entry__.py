@@ -43,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_normalize_bad_rows",
         "silver_rejects",
         "silver_dedup",
+        "silver_dedup_by_exception",
         "silver_incremental_days",
         "stg_events",
         "fact_events",
@@ -398,6 +399,8 @@ FROM events
 WHERE value < 5.0 OR value > 150.0""",
         "silver_dedup": _with(_SILVER_CTE)
         + "SELECT * REPLACE (created_at + INTERVAL 1 DAY AS _ingested_at) FROM silver",
+        "silver_dedup_by_exception": _with(_SILVER_CTE)
+        + "SELECT * REPLACE (created_at + INTERVAL 1 DAY AS _ingested_at) FROM silver",
         "silver_incremental_days": _with(_SILVER_CTE)
         + "SELECT * FROM silver WHERE event_date IN (DATE '2024-01-03', DATE '2024-01-04')",
         "stg_events": _with(_SILVER_CTE) + f"SELECT {_STG_COLS} FROM silver",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from eventlake.operators import churn, marts, quality, silver, validation
 from eventlake.schema import BRONZE_SCHEMA, FACT_COLUMNS
 from eventlake.sources import bronze as bronze_src
+from eventlake.session import scratch_dir
 from eventlake.sources.tables import table_exists, write_table
 
 
@@ -75,24 +76,48 @@ def bronze_to_silver(
     mode: str = "overwrite",
     processed_at: dt.datetime | None = None,
     keep_rejects: bool = True,
+    max_broadcast_dup_ids: int = 5_000_000,
+    dedup: str = "auto",
 ) -> SilverResult:
     """Bronze (all or chosen days) -> typed, filtered, deduplicated Silver.
 
-    One scan of Bronze: input/reject/output counts are observed on the way
-    (no extra count jobs; the written count in the write stage itself, exact
-    under task retries; the input counts are informational). With ``days``
-    only those partitions are read and only those are replaced. Rejected rows
-    go to a quarantine dataset.
+    ``dedup="auto"`` (default): a narrow first pass (id, type and time
+    columns only) writes the ids that occur more than once to the checkpoint
+    folder; when at most ``max_broadcast_dup_ids`` exist (8 bytes each, so the
+    broadcast is bounded) unique rows go straight to the write and only the
+    duplicated ids are shuffled and sorted -- the full rows, payload included,
+    never cross the network -- at the price of scanning Bronze again; with
+    more duplicates it falls back to the window. ``dedup="window"``: one
+    scan, every row shuffled by id and sorted (cheaper when storage reads,
+    not shuffle, are the bottleneck). Input/reject/output counts are
+    observed on the way (the written count in the write stage itself, exact
+    under task retries). With ``days`` only those partitions are read and
+    replaced. Rejected rows go to a quarantine dataset.
     """
+    if dedup not in ("auto", "window"):
+        raise ValueError(f"dedup must be 'auto' or 'window', got {dedup!r}")
     raw = silver.select_days(spark.read.schema(BRONZE_SCHEMA).parquet(paths.bronze), days)
     obs_in = Observation("silver_in")
     obs_out = Observation("silver_out")
-    projected = silver.project(raw, processed_at).observe(
+    projected = silver.project(raw, processed_at)
+    counted = projected.observe(
         obs_in,
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(~silver.key_present()).alias("rejected_rows"),
     )
-    deduped = silver.deduplicate(projected.where(silver.key_present()))
+    if dedup == "window":
+        deduped = silver.deduplicate(counted.where(silver.key_present()))
+    else:
+        # pass 1 (narrow): which ids occur more than once; input counts observed here
+        dup_path = scratch_dir(spark, "silver-dup-ids")
+        silver.duplicate_ids(counted.where(silver.key_present())).write.parquet(dup_path)
+        dup_ids = spark.read.parquet(dup_path)
+        keyed = projected.where(silver.key_present())
+        # pass 2: with few duplicated ids only their rows are shuffled
+        if dup_ids.count() <= max_broadcast_dup_ids:
+            deduped = silver.deduplicate_by_exception(keyed, dup_ids)
+        else:
+            deduped = silver.deduplicate(keyed)
     silver.write_silver(
         deduped,
         paths.silver,

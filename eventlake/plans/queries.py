@@ -501,3 +501,12 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     slv = silver.normalize(raw)
     tables = {"bronze": raw, "silver": slv, "gold": marts.fact_events(marts.stg_events(slv))}
     return quality.run_layers(spark, tables)
+
+
+def silver_dedup_by_exception(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dedup of ``silver_dedup`` through the narrow duplicate-id pass:
+    unique ids pass without a shuffle, only duplicated ids meet in the window."""
+    rows = silver.normalize(driver.events_replayed(driver.load_events(spark, sf_dir)))
+    dup_path = scratch_dir(spark, "dup-ids")
+    silver.duplicate_ids(rows).write.parquet(dup_path)
+    return silver.deduplicate_by_exception(rows, spark.read.parquet(dup_path)).drop("_silver_processed_at")

@@ -116,3 +116,41 @@ def test_dedup_plan_limits_before_shuffle(spark, day_files):
     df = silver.deduplicate(silver.normalize(_bronze(spark, day_files)))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_dedup_by_exception_equals_window_dedup(spark, tmp_path):
+    from eventlake.sources import driver as drv
+
+    rows = silver.normalize(drv.events_as_raw(drv.load_events(spark, "/root/testdata/sf0.001")))
+    # a quarter of the ids arrive again later: both paths carry rows
+    extra = rows.where(F.col("event_id") % 4 == 0).withColumn("_ingested_at", F.col("_ingested_at") + F.expr("INTERVAL 2 DAYS"))
+    rows = rows.unionByName(extra)
+    p = str(tmp_path / "dups")
+    silver.duplicate_ids(rows).write.parquet(p)
+    dups = spark.read.parquet(p)
+    assert dups.count() == 250
+    a = silver.deduplicate(rows).drop("_silver_processed_at")
+    b = silver.deduplicate_by_exception(rows, dups).drop("_silver_processed_at")
+    assert a.count() == b.count() == 1000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # no duplicates at all: nothing is shuffled through the window
+    uniq = silver.normalize(drv.events_as_raw(drv.load_events(spark, "/root/testdata/sf0.001")))
+    none = spark.createDataFrame([], "event_id long")
+    plan = silver.deduplicate_by_exception(uniq, none)._jdf.queryExecution().executedPlan().toString()
+    assert silver.deduplicate_by_exception(uniq, none).count() == 1000
+    assert "BroadcastHashJoin" in plan
+
+
+def test_bronze_to_silver_falls_back_to_window(spark, hour_files, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    bronze.land(spark, hour_files, paths.bronze)
+    bronze.land(spark, hour_files, paths.bronze)
+    res = bronze_to_silver(spark, paths, max_broadcast_dup_ids=0)  # 10 dup ids > 0: plain window path
+    assert res.written_rows == 10
+    res = bronze_to_silver(spark, paths)  # broadcast path
+    assert res.written_rows == 10
+    res = bronze_to_silver(spark, paths, dedup="window")  # single scan, full shuffle
+    assert (res.input_rows, res.written_rows) == (20, 10)
+    assert spark.read.parquet(paths.silver).count() == 10
+    with pytest.raises(ValueError):
+        bronze_to_silver(spark, paths, dedup="hash")
