@@ -74,7 +74,13 @@ def land_available(
 def dedup_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
     """Streaming form of the Silver dedup: replays of an ``event_id`` within
     ``delay`` of its ``created_at`` are dropped; state older than the
-    watermark is purged, so state stays bounded."""
+    watermark is purged, so state stays bounded.
+
+    Unlike the batch :func:`eventlake.operators.silver.deduplicate` (latest
+    ingest wins) the stream keeps the first copy to arrive; replayed dumps
+    carry identical events, so only ``_ingested_at`` can differ. Rows older
+    than the watermark are late and dropped, so ``delay`` must cover how late
+    a dump may be landed."""
     return events.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
