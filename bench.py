@@ -82,8 +82,9 @@ def timed(fn, repeats: int, label: str | None = None, spark: SparkSession | None
 
 
 def io_per_query(events_dir: Path) -> dict[str, dict[str, int]]:
-    """Input and shuffle-write bytes of the first timed run of each query,
-    read from Spark's event log (jobs tagged ``bench:<name>``)."""
+    """Input bytes, shuffle-write bytes and summed executor run time (ms) of
+    the first timed run of each query, read from Spark's event log (jobs
+    tagged ``bench:<name>``)."""
     stage_to_label: dict[int, str] = {}
     out: dict[str, dict[str, int]] = {}
     # Spark 4 writes a rolling log: a folder of ``events_<n>_...`` files
@@ -104,7 +105,8 @@ def io_per_query(events_dir: Path) -> dict[str, dict[str, int]]:
                     metrics = ev.get("Task Metrics") or {}
                     if not label or not metrics:
                         continue
-                    acc = out.setdefault(label, {"input_bytes": 0, "shuffle_write_bytes": 0})
+                    acc = out.setdefault(label, {"input_bytes": 0, "shuffle_write_bytes": 0, "task_ms": 0})
+                    acc["task_ms"] += int(metrics.get("Executor Run Time", 0))
                     acc["input_bytes"] += int((metrics.get("Input Metrics") or {}).get("Bytes Read", 0))
                     acc["shuffle_write_bytes"] += int(
                         (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
