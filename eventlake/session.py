@@ -23,7 +23,6 @@ DEFAULT_CONF: dict[str, str] = {
     # a rebalanced write produces
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

@@ -71,8 +71,9 @@ def write_table(
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-        if mode == "overwrite" and dynamic_overwrite:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        if mode == "overwrite":
+            # explicit either way, so a session-wide setting cannot change it
+            writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static")
     writer.parquet(path)
 
 

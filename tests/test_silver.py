@@ -154,3 +154,22 @@ def test_bronze_to_silver_falls_back_to_window(spark, hour_files, tmp_path):
     assert spark.read.parquet(paths.silver).count() == 10
     with pytest.raises(ValueError):
         bronze_to_silver(spark, paths, dedup="hash")
+
+
+def test_full_rebuild_replaces_even_under_session_dynamic_mode(spark, tmp_path):
+    rows = [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))]
+    from eventlake.sources.tables import write_table
+
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame(rows, "k long, event_date date"), path, partition_by=("event_date",))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(
+            spark.createDataFrame(rows[:1], "k long, event_date date"),
+            path,
+            partition_by=("event_date",),
+            dynamic_overwrite=False,
+        )
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.k for r in spark.read.parquet(path).collect()] == [1]
