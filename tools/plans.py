@@ -47,6 +47,9 @@ def main() -> None:
     layout.write_flat(marts.dim_repo(stg).select("repo_id", "repo_name", "total_events"), dim_path)
     dim = spark.read.parquet(dim_path)
     day = F.lit("2024-01-15").cast("date")
+    dup_path = scratch_dir(spark, "plans-dups")
+    silver.duplicate_ids(silver.normalize(bronze_replayed)).write.parquet(dup_path)
+    dup_ids = spark.read.parquet(dup_path)
 
     items = [
         (
@@ -55,6 +58,12 @@ def main() -> None:
             "keeps one row per id before the shuffle, so a heavily replayed id moves one row per task.",
             silver.deduplicate(silver.normalize(bronze_replayed)),
         ),
+        (
+            "Silver dedup by exception (`silver.deduplicate_by_exception`)",
+            "The duplicated ids (written by the narrow `duplicate_ids` pass) are broadcast; the branch of unique "
+            "ids has no `Exchange` at all, only the duplicated ids' rows reach the window.",
+            silver.deduplicate_by_exception(silver.normalize(bronze_replayed), dup_ids),
+        ),
         (
             "Repository dimension (`marts.dim_repo`)",
             "Only `HashAggregate` on the event side (partial before each `Exchange`), the distinct counts via "
