@@ -105,22 +105,23 @@ def land(
 ) -> LandResult:
     """Land raw dump files into Bronze in one pass and return the rows written.
 
-    With ``ledger_path`` files landed before are skipped; the ledger is
-    appended after the Bronze write commits. A crash in between re-lands those
-    files on the next run, which the Silver dedup absorbs.
+    ``append`` (default): with ``ledger_path`` files landed before are
+    skipped; the ledger is appended after the Bronze write commits. A crash in
+    between re-lands those files on the next run, which the Silver dedup
+    absorbs. ``overwrite``: Bronze is replaced by exactly ``paths`` (the
+    ledger is not consulted) and the ledger is rewritten to match.
     """
     if not paths:
         raise ValueError("land requires at least one path")
     check_mode(mode)
-    if ledger_path and table_exists(spark, ledger_path):
+    if mode == "append" and ledger_path and table_exists(spark, ledger_path):
         todo = [r.file_path for r in pending_files(spark, paths, ledger_path).collect()]
-    else:  # nothing landed yet: no job needed to diff the listing
+    else:  # overwrite, or nothing landed yet: no job needed to diff the listing
         todo = list(dict.fromkeys(str(p) for p in paths))
     if not todo:
         return LandResult(0, ())
     df = with_ingest_columns(read_events(spark, todo), ingested_at)
     obs = Observation("bronze_land")
-    check_mode(mode)
     write_table(df, bronze_path, mode=mode, partition_by=("event_date",), dynamic_overwrite=False, count_into=obs)
     rows = int(obs.get.get("rows", 0))
     if ledger_path:
@@ -129,7 +130,7 @@ def land(
             file_listing(spark, todo)
             .withColumn("landed_at", stamp)
             .coalesce(1)
-            .write.mode("append")
+            .write.mode(mode)
             .parquet(ledger_path)
         )
     return LandResult(rows, tuple(todo))

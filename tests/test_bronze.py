@@ -142,3 +142,15 @@ def test_land_day_and_month(spark, tmp_path):
     assert len(files) == 4 and missing == 744 - 4
     nothing = bronze.land_day(spark, str(raw), dt.date(2024, 3, 1), str(tmp_path / "b"), ledger)
     assert nothing.rows == 0
+
+
+def test_overwrite_relands_everything_and_resets_ledger(spark, tmp_path):
+    raw = tmp_path / "raw"
+    files = [str(write_hour(raw, dt.date(2024, 1, 1), h, 5)) for h in range(2)]
+    target, ledger = str(tmp_path / "bronze"), str(tmp_path / "ledger")
+    bronze.land(spark, files, target, ledger)
+    res = bronze.land(spark, files, target, ledger, mode="overwrite")
+    assert res.rows == 10 and len(res.files) == 2
+    assert bronze.read_bronze(spark, target).count() == 10
+    assert spark.read.parquet(ledger).count() == 2
+    assert bronze.land(spark, files, target, ledger).rows == 0  # append after overwrite: still skipped
