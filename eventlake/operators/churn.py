@@ -132,7 +132,6 @@ def metrics_frame(preds: DataFrame) -> DataFrame:
     return preds.agg(
         F.count(F.lit(1)).alias("test_rows"),
         F.count_if(F.col(LABEL_COLUMN) == 1).alias("test_churned"),
-        F.avg((F.col("prediction") == F.col(LABEL_COLUMN).cast("double")).cast("double")).alias("accuracy_check"),
     )
 
 
@@ -146,6 +145,8 @@ def train(features: DataFrame, config: ChurnConfig, spark: SparkSession | None =
         if not totals or totals["total"] == 0:
             raise RuntimeError("no training rows: lower min_events_in_train or load more days")
         train_df, test_df = split(features, config)
+        if train_df.isEmpty():
+            raise RuntimeError("no rows on the train side of the split: load more data or change train_fraction")
         spark = spark or features.sparkSession
         model = _detached(pipeline(config).fit(train_df), spark)
         preds = model.transform(test_df).persist()
