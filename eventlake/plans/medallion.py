@@ -78,14 +78,16 @@ def bronze_to_silver(
     keep_rejects: bool = True,
     max_broadcast_dup_ids: int = 5_000_000,
     dedup: str = "auto",
+    max_dup_share: float = 0.2,
 ) -> SilverResult:
     """Bronze (all or chosen days) -> typed, filtered, deduplicated Silver.
 
     ``dedup="auto"`` (default): a narrow first pass (id, type and time
     columns only) writes the ids that occur more than once to the checkpoint
     folder; when at most ``max_broadcast_dup_ids`` exist (8 bytes each, so the
-    broadcast is bounded) unique rows go straight to the write and only the
-    duplicated ids are shuffled and sorted -- the full rows, payload included,
+    broadcast is bounded) and they are at most ``max_dup_share`` of the batch,
+    unique rows go straight to the write and only the duplicated ids are
+    shuffled and sorted -- the full rows, payload included,
     never cross the network -- at the price of scanning Bronze again; with
     more duplicates it falls back to the window. ``dedup="window"``: one
     scan, every row shuffled by id and sorted (cheaper when storage reads,
@@ -113,8 +115,11 @@ def bronze_to_silver(
         silver.duplicate_ids(counted.where(silver.key_present())).write.parquet(dup_path)
         dup_ids = spark.read.parquet(dup_path)
         keyed = projected.where(silver.key_present())
-        # pass 2: with few duplicated ids only their rows are shuffled
-        if dup_ids.count() <= max_broadcast_dup_ids:
+        # pass 2: with few duplicated ids (bounded broadcast, small share of
+        # the batch) only their rows are shuffled; else the window over all
+        n_dups = dup_ids.count()
+        n_rows = int(obs_in.get.get("input_rows", 0))
+        if n_dups <= max_broadcast_dup_ids and n_dups <= max_dup_share * max(n_rows, 1):
             deduped = silver.deduplicate_by_exception(keyed, dup_ids)
         else:
             deduped = silver.deduplicate(keyed)

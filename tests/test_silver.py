@@ -147,7 +147,9 @@ def test_bronze_to_silver_falls_back_to_window(spark, hour_files, tmp_path):
     bronze.land(spark, hour_files, paths.bronze)
     res = bronze_to_silver(spark, paths, max_broadcast_dup_ids=0)  # 10 dup ids > 0: plain window path
     assert res.written_rows == 10
-    res = bronze_to_silver(spark, paths)  # broadcast path
+    res = bronze_to_silver(spark, paths)  # half the rows are copies: share too high, window path
+    assert res.written_rows == 10
+    res = bronze_to_silver(spark, paths, max_dup_share=1.0)  # broadcast path
     assert res.written_rows == 10
     res = bronze_to_silver(spark, paths, dedup="window")  # single scan, full shuffle
     assert (res.input_rows, res.written_rows) == (20, 10)
