@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.columns import hash_bucket
-from eventlake.schema import FEATURE_COLUMNS, LABEL_COLUMN
+from eventlake.schema import FEATURE_COLUMNS, LABEL_COLUMN, check_contract, features_schema
 from eventlake.session import scratch_dir
 
 
@@ -76,7 +76,7 @@ def build_features(events: DataFrame, config: ChurnConfig) -> DataFrame:
     )
     min_events = max(int(config.min_events_in_train), 1)
     n = F.col("n_events").cast("double")
-    return (
+    features = (
         grouped.where(F.col("n_events") >= F.lit(min_events))
         .withColumns(
             {
@@ -88,6 +88,7 @@ def build_features(events: DataFrame, config: ChurnConfig) -> DataFrame:
         )
         .select(config.entity, *FEATURE_COLUMNS, LABEL_COLUMN)
     )
+    return check_contract(features, features_schema(config.entity), name="churn features")
 
 
 def churn_rate(features: DataFrame) -> DataFrame:

@@ -232,7 +232,7 @@ def evaluate(
     passed = (F.col("evaluated") == 0) | (
         (F.col("evaluated") - F.col("unexpected")).cast("double") >= F.col("mostly") * F.col("evaluated")
     )
-    return out.withColumn("success", passed)
+    return out.withColumn("success", passed).select(*RESULT_COLUMNS)
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -17,10 +17,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators import churn, marts, quality, silver, validation
-from eventlake.schema import BRONZE_SCHEMA, FACT_COLUMNS
+from eventlake.schema import (
+    BRONZE_SCHEMA,
+    DIM_ACTOR_SCHEMA,
+    DIM_DATE_SCHEMA,
+    DIM_REPO_SCHEMA,
+    FACT_COLUMNS,
+    FACT_SCHEMA,
+    SILVER_SCHEMA,
+    check_contract,
+)
 from eventlake.sources import bronze as bronze_src
 from eventlake.session import scratch_dir
-from eventlake.sources.tables import table_exists, write_table
+from eventlake.sources.tables import read_table, table_exists, write_table
 
 
 @dataclass(frozen=True)
@@ -159,7 +168,8 @@ def _multi_day(days: Sequence[str | dt.date] | None) -> bool:
 
 
 def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    return spark.read.parquet(paths.silver)
+    """Silver with its contract schema: no footer reads to infer it."""
+    return read_table(spark, paths.silver, SILVER_SCHEMA)
 
 
 def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.date] | None = None) -> None:
@@ -177,7 +187,7 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
     # jobs, as are the three dimensions: each group runs concurrently.
     _concurrently(
         lambda: write_table(
-            marts.fact_events(stg),
+            check_contract(marts.fact_events(stg), FACT_SCHEMA, name="fact_events"),
             paths.gold("fact_events"),
             partition_by=("event_date",),
             dynamic_overwrite=dynamic,
@@ -191,16 +201,25 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
         ),
     )
     act = spark.read.parquet(paths.gold("activity"))
-    _concurrently(
-        lambda: write_table(marts.dim_repo(act), paths.gold("dim_repo")),
-        lambda: write_table(marts.dim_actor(act), paths.gold("dim_actor")),
-        lambda: write_table(marts.dim_date(act), paths.gold("dim_date")),
-    )
+    dims = {
+        "dim_repo": check_contract(marts.dim_repo(act), DIM_REPO_SCHEMA, name="dim_repo"),
+        "dim_actor": check_contract(marts.dim_actor(act), DIM_ACTOR_SCHEMA, name="dim_actor"),
+        "dim_date": check_contract(marts.dim_date(act), DIM_DATE_SCHEMA, name="dim_date"),
+    }
+    _concurrently(*[lambda n=n, df=df: write_table(df, paths.gold(n)) for n, df in dims.items()])
 
 
 def gold_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
-    names = ("fact_events", "activity", "dim_repo", "dim_actor", "dim_date")
-    return {n: spark.read.parquet(paths.gold(n)) for n in names}
+    """The Gold tables, read with their contract schemas where they have one."""
+    schemas = {
+        "fact_events": FACT_SCHEMA,
+        "dim_repo": DIM_REPO_SCHEMA,
+        "dim_actor": DIM_ACTOR_SCHEMA,
+        "dim_date": DIM_DATE_SCHEMA,
+    }
+    out = {n: read_table(spark, paths.gold(n), sch) for n, sch in schemas.items()}
+    out["activity"] = spark.read.parquet(paths.gold("activity"))
+    return out
 
 
 def validate_gold(spark: SparkSession, paths: LakePaths) -> DataFrame:

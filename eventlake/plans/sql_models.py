@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventlake.sources.tables import register_view
+
 STG_EVENTS = """
 SELECT event_id, event_type, actor_id, actor_login, repo_id, repo_name,
        payload_json, public, created_at, event_date, event_hour
@@ -117,7 +119,7 @@ VALIDATION_SQL: dict[str, str] = {
 
 def create_views(spark: SparkSession, silver: DataFrame) -> dict[str, DataFrame]:
     """Register ``silver_events`` and every model as a temp view."""
-    silver.createOrReplaceTempView("silver_events")
+    register_view(silver, "silver_events")
     out = {}
     for name, sql in MODELS.items():
         spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {sql}")

@@ -174,12 +174,17 @@ FEATURE_COLUMNS: tuple[str, ...] = (
 )
 LABEL_COLUMN = "churned"
 
-FEATURES_SCHEMA = StructType(
-    [StructField("repo_id", LongType())]
-    + [StructField(c, LongType()) for c in FEATURE_COLUMNS[:4]]
-    + [StructField(c, DoubleType()) for c in FEATURE_COLUMNS[4:]]
-    + [StructField(LABEL_COLUMN, IntegerType())]
-)
+def features_schema(entity: str = "repo_id") -> StructType:
+    """Churn feature table: the entity key, 4 counts, 3 ratios, the label."""
+    return StructType(
+        [StructField(entity, LongType())]
+        + [StructField(c, LongType()) for c in FEATURE_COLUMNS[:4]]
+        + [StructField(c, DoubleType()) for c in FEATURE_COLUMNS[4:]]
+        + [StructField(LABEL_COLUMN, IntegerType())]
+    )
+
+
+FEATURES_SCHEMA = features_schema()
 
 
 class ContractError(ValueError):
