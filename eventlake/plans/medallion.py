@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import churn, marts, quality, silver, validation
 from eventlake.schema import (
+    ACTIVITY_SCHEMA,
     BRONZE_SCHEMA,
     DIM_ACTOR_SCHEMA,
     DIM_DATE_SCHEMA,
@@ -193,14 +194,14 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
             dynamic_overwrite=dynamic,
         ),
         lambda: write_table(
-            marts.activity(stg),
+            check_contract(marts.activity(stg), ACTIVITY_SCHEMA, name="activity"),
             paths.gold("activity"),
             partition_by=("event_date",),
             rebalance=_multi_day(days),
             dynamic_overwrite=dynamic,
         ),
     )
-    act = spark.read.parquet(paths.gold("activity"))
+    act = read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA)
     dims = {
         "dim_repo": check_contract(marts.dim_repo(act), DIM_REPO_SCHEMA, name="dim_repo"),
         "dim_actor": check_contract(marts.dim_actor(act), DIM_ACTOR_SCHEMA, name="dim_actor"),
@@ -217,9 +218,8 @@ def gold_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:
         "dim_actor": DIM_ACTOR_SCHEMA,
         "dim_date": DIM_DATE_SCHEMA,
     }
-    out = {n: read_table(spark, paths.gold(n), sch) for n, sch in schemas.items()}
-    out["activity"] = spark.read.parquet(paths.gold("activity"))
-    return out
+    schemas["activity"] = ACTIVITY_SCHEMA
+    return {n: read_table(spark, paths.gold(n), sch) for n, sch in schemas.items()}
 
 
 def validate_gold(spark: SparkSession, paths: LakePaths) -> DataFrame:
@@ -267,7 +267,7 @@ def run_model_tests(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 def train_churn(spark: SparkSession, paths: LakePaths, config: churn.ChurnConfig) -> DataFrame:
     """Features from the activity rollup, fit, evaluate, persist model + run."""
-    act = spark.read.parquet(paths.gold("activity"))
+    act = read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA)
     features = churn.build_features(act, config)
     model, metrics = churn.train(features, config, spark)
     churn.save_model(model, paths.model)

@@ -120,6 +120,21 @@ FACT_SCHEMA = StructType(
 )
 FACT_COLUMNS: tuple[str, ...] = tuple(f.name for f in FACT_SCHEMA.fields)
 
+#: Day-grained rollup shared by the dimensions and the churn features.
+ACTIVITY_SCHEMA = StructType(
+    [
+        StructField("repo_id", LongType()),
+        StructField("actor_id", LongType()),
+        StructField("event_date", DateType()),
+        StructField("event_type", StringType()),
+        StructField("repo_name", StringType()),
+        StructField("actor_login", StringType()),
+        StructField("n_events", LongType()),
+        StructField("first_seen_at", TimestampType()),
+        StructField("last_seen_at", TimestampType()),
+    ]
+)
+
 DIM_REPO_SCHEMA = StructType(
     [
         StructField("repo_id", LongType()),
