@@ -9,13 +9,20 @@ Queries without an SQL form (model training) are checked on rows only.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+# the package sits next to this file; make it importable however this module is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from eventlake.operators import quality
-from eventlake.plans import queries as q
-from eventlake.session import configure
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from eventlake.operators import quality  # noqa: E402
+from eventlake.plans import queries as q  # noqa: E402
+from eventlake.session import configure  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
