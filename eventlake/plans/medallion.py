@@ -63,6 +63,10 @@ class LakePaths:
     def quality(self) -> str:
         return self._p("quality", "results")
 
+    @property
+    def quality_layers(self) -> str:
+        return self._p("quality", "layers")
+
     @property
     def ml_runs(self) -> str:
         return self._p("ml", "runs")
@@ -296,6 +300,8 @@ def run(
         # one row per expectation: evaluated once, kept as a report, then gated
         report = spark.createDataFrame(rows, schema)
         report.withColumn("checked_at", F.current_timestamp()).coalesce(1).write.mode("append").json(paths.quality)
+        layers = quality.layer_results(report).withColumn("checked_at", F.current_timestamp())
+        layers.coalesce(1).write.mode("append").json(paths.quality_layers)
         summary["quality"] = quality.assert_quality(report) if fail_on_quality else [r.asDict() for r in rows]
     if churn_config is not None:
         summary["churn"] = train_churn(spark, paths, churn_config).first().asDict()

@@ -131,3 +131,5 @@ def test_run_whole_chain_with_model(spark, tmp_path):
     assert m["total"] == m["train_rows"] + m["test_rows"] and m["total"] > 0
     assert spark.read.parquet(paths.ml_runs).count() == 1
     assert len(spark.read.json(paths.quality).collect()) == 14
+    layers = {r.name: r for r in spark.read.json(paths.quality_layers).collect()}
+    assert set(layers) == {"bronze", "silver", "gold"} and all(r.success for r in layers.values())
