@@ -131,18 +131,23 @@ def duplicate_ids(events: DataFrame) -> DataFrame:
     )
 
 
-def deduplicate_by_exception(events: DataFrame, dup_ids: DataFrame) -> DataFrame:
+def deduplicate_by_exception(events: DataFrame, dup_ids: DataFrame, rebalance_by: str | None = None) -> DataFrame:
     """:func:`deduplicate` for inputs whose duplicated ids are known and few.
 
     ``dup_ids`` (from :func:`duplicate_ids`, size checked by the caller) is
     broadcast; rows of every other id go straight through -- no shuffle of
     the event rows -- and only rows of duplicated ids meet in the window.
     Same result as :func:`deduplicate`; the input is scanned twice instead of
-    being shuffled once.
+    being shuffled once. ``rebalance_by`` rebalances only the deduplicated
+    branch on that column (e.g. the partition column of the write), so it
+    does not spray small files into every partition; the pass-through rows
+    keep the layout of their input files.
     """
     marked = events.join(F.broadcast(dup_ids.select("event_id").withColumn("_dup", F.lit(True))), "event_id", "left")
     singles = marked.where(F.col("_dup").isNull()).drop("_dup")
     repeats = deduplicate(marked.where(F.col("_dup")).drop("_dup"))
+    if rebalance_by:
+        repeats = repeats.hint("rebalance", rebalance_by)
     return singles.unionByName(repeats)
 
 

@@ -121,6 +121,7 @@ def bronze_to_silver(
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(~silver.key_present()).alias("rejected_rows"),
     )
+    rebalance = _multi_day(days)
     if dedup == "window":
         deduped = silver.deduplicate(counted.where(silver.key_present()))
     else:
@@ -134,7 +135,10 @@ def bronze_to_silver(
         n_dups = dup_ids.count()
         n_rows = int(obs_in.get.get("input_rows", 0))
         if n_dups <= max_broadcast_dup_ids and n_dups <= max_dup_share * max(n_rows, 1):
-            deduped = silver.deduplicate_by_exception(keyed, dup_ids)
+            # unique rows keep Bronze's one-date-per-file layout; only the
+            # deduplicated rows are rebalanced, so no full-row shuffle is added
+            deduped = silver.deduplicate_by_exception(keyed, dup_ids, "event_date" if rebalance else None)
+            rebalance = False
         else:
             deduped = silver.deduplicate(keyed)
     silver.write_silver(
@@ -142,7 +146,7 @@ def bronze_to_silver(
         paths.silver,
         mode=mode,
         dynamic=bool(days),
-        rebalance=_multi_day(days),
+        rebalance=rebalance,
         count_into=obs_out,
     )
     got_in, got_out = obs_in.get, obs_out.get
