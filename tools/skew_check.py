@@ -117,8 +117,11 @@ def main() -> None:
     layout.write_flat(marts.dim_repo(stg).select("repo_id", "repo_name", "total_events"), dims_path)
     dim = spark.read.parquet(dims_path)
 
+    dup_path = f"{scratch}/dup_ids"
+    silver.duplicate_ids(slv).write.parquet(dup_path)
     runs = {
         "silver_dedup": silver.deduplicate(slv),
+        "silver_dedup_by_exception": silver.deduplicate_by_exception(slv, spark.read.parquet(dup_path)),
         "dim_repo": marts.dim_repo(stg),
         "dim_actor": marts.dim_actor(stg),
         "orphan_check": validation.orphan_summary(fact, dim, "repo_id"),
