@@ -31,25 +31,30 @@ def _stg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows -> the 13 typed Silver columns (audit stamp left out)."""
     return _silver(spark, sf_dir).drop("_silver_processed_at")
 
 
 def silver_normalize_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed ids and timestamps become NULL and the rows are dropped."""
     raw = driver.events_with_bad_rows(driver.load_events(spark, sf_dir))
     return silver.normalize(raw).drop("_silver_processed_at")
 
 
 def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows normalisation drops, with the reason (quarantine)."""
     raw = driver.events_with_bad_rows(driver.load_events(spark, sf_dir))
     return silver.rejects(raw)
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dump landed twice; the copy ingested last survives."""
     bronze = driver.events_replayed(driver.load_events(spark, sf_dir))
     return silver.deduplicate(silver.normalize(bronze)).drop("_silver_processed_at")
 
 
 def silver_incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the chosen days are read (partition pruning on Bronze)."""
     bronze = driver.events_as_raw(driver.load_events(spark, sf_dir))
     days = silver.select_days(bronze, ["2024-01-03", "2024-01-04"])
     return silver.deduplicate(silver.normalize(days)).drop("_silver_processed_at")
@@ -59,38 +64,47 @@ def silver_incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging projection of Silver."""
     return _stg(spark, sf_dir)
 
 
 def fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event-grain fact."""
     return marts.fact_events(_stg(spark, sf_dir))
 
 
 def dim_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: repository dimension straight from the events."""
     return marts.dim_repo(_stg(spark, sf_dir))
 
 
 def dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actor dimension straight from the events."""
     return marts.dim_actor(_stg(spark, sf_dir))
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date dimension of the observed days."""
     return marts.dim_date(_stg(spark, sf_dir))
 
 
 def dim_repo_from_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4 from the (repo, actor, day, type) rollup."""
     return marts.dim_repo(marts.activity(_stg(spark, sf_dir)))
 
 
 def dim_actor_from_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 from the rollup."""
     return marts.dim_actor(marts.activity(_stg(spark, sf_dir)))
 
 
 def dim_date_from_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C6 from the rollup."""
     return marts.dim_date(marts.activity(_stg(spark, sf_dir)))
 
 
 def top_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten most active repositories."""
     return marts.top_repos(marts.dim_repo(_stg(spark, sf_dir)), 10)
 
 
@@ -105,15 +119,18 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows vs distinct event ids of the fact."""
     return validation.key_uniqueness(_fact(spark, sf_dir), "event_id")
 
 
 def orphans_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows whose repository is missing from the dimension (count)."""
     stg = _stg(spark, sf_dir)
     return validation.orphan_summary(marts.fact_events(stg), marts.dim_repo(stg), "repo_id")
 
 
 def orphans_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows whose actor is missing from the dimension (count)."""
     stg = _stg(spark, sf_dir)
     return validation.orphan_summary(marts.fact_events(stg), marts.dim_actor(stg), "actor_id")
 
@@ -135,17 +152,20 @@ def orphan_rows_actor_stale_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact dates missing from the date dimension."""
     stg = _stg(spark, sf_dir)
     return validation.date_gaps(marts.fact_events(stg), marts.dim_date(stg))
 
 
 def date_gaps_stale_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 against a date dimension built before the middle of the month."""
     stg = _stg(spark, sf_dir)
     dates = marts.dim_date(stg.where(F.col("event_date") < F.lit(DIM_DATE_CUTOFF).cast("date")))
     return validation.date_gaps(marts.fact_events(stg), dates)
 
 
 def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All Gold validation checks as rows."""
     stg = _stg(spark, sf_dir)
     return validation.gold_checks(marts.fact_events(stg), marts.dim_repo(stg), marts.dim_actor(stg), marts.dim_date(stg))
 
@@ -154,6 +174,7 @@ def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1/Q3/Q7: Bronze suite over the raw-shaped events."""
     raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
     return quality.evaluate(raw, quality.bronze_suite(), "bronze")
 
@@ -168,6 +189,7 @@ def quality_bronze_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1/Q2/Q4/Q7: Silver suite."""
     return quality.evaluate(_silver(spark, sf_dir), quality.silver_suite(), "silver")
 
 
@@ -178,10 +200,12 @@ def quality_silver_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1/Q2/Q7: Gold fact suite."""
     return quality.evaluate(_fact(spark, sf_dir), quality.gold_suite(), "gold")
 
 
 def quality_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1/Q2/Q5: the declared tests of every Gold model, relationships included."""
     stg = _stg(spark, sf_dir)
     tables = {
         "stg_events": stg,
@@ -199,6 +223,7 @@ def quality_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7/Q8: per-layer roll-up of the three layer suites."""
     events = driver.load_events(spark, sf_dir)
     raw = driver.events_as_raw(events)
     slv = silver.normalize(raw)
@@ -216,23 +241,28 @@ def _actor_config() -> churn.ChurnConfig:
 
 
 def churn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3: churn features per actor (split 2024-01-30, at least 5 train events)."""
     return churn.build_features(_fact(spark, sf_dir), _actor_config())
 
 
 def churn_features_from_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3 computed from the activity rollup."""
     return churn.build_features(marts.activity(_stg(spark, sf_dir)), _actor_config())
 
 
 def churn_features_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3 with the default entity (repository), split 2024-01-16."""
     cfg = churn.ChurnConfig(split_date=dt.date(2024, 1, 16), min_events_in_train=5)
     return churn.build_features(_fact(spark, sf_dir), cfg)
 
 
 def churn_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: total, churned and churn rate of the feature table."""
     return churn.churn_rate(churn_features(spark, sf_dir))
 
 
 def churn_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: sizes of the hash split (no SQL form for the hash)."""
     train_df, test_df = churn.split(churn_features(spark, sf_dir), _actor_config())
     return train_df.select(F.lit("train").alias("part"), "actor_id").unionByName(
         test_df.select(F.lit("test").alias("part"), "actor_id")
@@ -240,6 +270,7 @@ def churn_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit and evaluate the model (no SQL form)."""
     _, metrics = churn.train(churn_features(spark, sf_dir), _actor_config(), spark)
     return metrics
 
@@ -269,21 +300,25 @@ def _count(df: DataFrame) -> DataFrame:
 
 
 def pruned_partition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1/P10: count of one day on the date-partitioned copy."""
     t = _written(spark, sf_dir, "partitioned")
     return _count(t.where(F.col("event_date") == F.lit(LOOKUP_DATE).cast("date")))
 
 
 def flat_date_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: the same count on the unpartitioned copy."""
     t = _written(spark, sf_dir, "flat")
     return _count(t.where(F.col("event_date") == F.lit(LOOKUP_DATE).cast("date")))
 
 
 def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point lookup on the copy clustered by repository."""
     t = _written(spark, sf_dir, "clustered")
     return _count(t.where(F.col("repo_id") == F.lit(LOOKUP_KEY)))
 
 
 def zordered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: lookup on the second key of a two-column Z-ordered copy."""
     t = _written(spark, sf_dir, "zordered")
     return _count(t.where(F.col("actor_id") == F.lit(LOOKUP_KEY)))
 
@@ -298,14 +333,17 @@ def _join(spark: SparkSession, sf_dir: str, strategy: str, **kw) -> DataFrame:
 
 
 def join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact x repository dimension, broadcast after the size check."""
     return _join(spark, sf_dir, "broadcast")
 
 
 def join_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join as a sort-merge join."""
     return _join(spark, sf_dir, "shuffle")
 
 
 def join_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join, strategy left to Catalyst/AQE."""
     return _join(spark, sf_dir, "auto")
 
 
@@ -319,6 +357,7 @@ def hour_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours present / missing and events per day."""
     cov = hour_coverage(spark, sf_dir)
     return cov.groupBy("event_date").agg(
         F.count_if(~F.col("missing")).alias("hours_present"),
@@ -339,6 +378,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as gzip dumps, landed, Bronze read back."""
     b, _ = _landed(spark, sf_dir)
     return b.select(
         "id",
@@ -383,42 +423,51 @@ def _views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def sql_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as a SQL view."""
     return _views(spark, sf_dir)["fact_events"]
 
 
 def sql_dim_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repository dimension as a SQL view."""
     return _views(spark, sf_dir)["dim_repo"]
 
 
 def sql_dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actor dimension as a SQL view."""
     return _views(spark, sf_dir)["dim_actor"]
 
 
 def sql_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date dimension as a SQL view."""
     return _views(spark, sf_dir)["dim_date"]
 
 
 def sql_top_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C9 over the SQL views."""
     _views(spark, sf_dir)
     return sql_models.validate(spark, "top_repos")
 
 
 def sql_fact_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8/Q10 over the SQL views."""
     _views(spark, sf_dir)
     return sql_models.validate(spark, "fact_uniqueness")
 
 
 def sql_orphans_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8/J4 over the SQL views (repository)."""
     _views(spark, sf_dir)
     return sql_models.validate(spark, "orphans_repo")
 
 
 def sql_orphans_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8/J4 over the SQL views (actor)."""
     _views(spark, sf_dir)
     return sql_models.validate(spark, "orphans_actor")
 
 
 def sql_date_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8/J6 over the SQL views."""
     _views(spark, sf_dir)
     return sql_models.validate(spark, "date_coverage")
 
@@ -427,10 +476,12 @@ def sql_date_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_repo_latest_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 option: display name = the name seen last."""
     return marts.dim_repo(_stg(spark, sf_dir), name_rule="latest")
 
 
 def join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salted shuffle join (every key salted)."""
     return _join(spark, sf_dir, "salted")
 
 
