@@ -82,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "churn_features_repo",
         "churn_rate",
         "churn_split_sizes",
+        "churn_split_counts",
         "churn_model_metrics",
         "pruned_partition_count",
         "flat_date_count",
@@ -456,6 +457,14 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "churn_features_from_activity": features_actor + "SELECT * FROM features",
         "churn_features_repo": _with(_SILVER_CTE, _features_sql("repo_id", "actor_id", "2024-01-16", 5))
         + "SELECT * FROM features",
+        "churn_split_sizes": features_actor
+        + ", split AS (SELECT *, ('0x' || substr(md5(CAST(actor_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 AS b "
+        "FROM features) SELECT CASE WHEN b < 70 THEN 'train' ELSE 'test' END AS part, count(*) AS n FROM split GROUP BY 1",
+        "churn_split_counts": features_actor
+        + ", split AS (SELECT *, ('0x' || substr(md5(CAST(actor_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 AS b "
+        "FROM features) SELECT count(*) AS total, count(*) FILTER (WHERE churned = 1) AS churned, "
+        "count(*) FILTER (WHERE b < 70) AS train_rows, count(*) FILTER (WHERE b >= 70) AS test_rows, "
+        "count(*) FILTER (WHERE b >= 70 AND churned = 1) AS test_churned FROM split",
         "churn_rate": features_actor
         + "SELECT count(*) AS total, CAST(coalesce(sum(churned), 0) AS BIGINT) AS churned, "
         "avg(CAST(churned AS DOUBLE)) AS churn_rate FROM features",

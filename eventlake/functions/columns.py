@@ -85,5 +85,11 @@ def calendar_columns(date_col: str = "date_key") -> list[Column]:
 
 def hash_bucket(cols: list[str], seed: int, buckets: int = 100) -> Column:
     """Deterministic bucket in ``[0, buckets)`` of a key, independent of the
-    partitioning and row order (unlike ``randomSplit``)."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.lit(seed)), F.lit(buckets))
+    partitioning and row order (unlike ``randomSplit``).
+
+    Built from the first 32 bits of ``md5("<key>:<seed>")``, so any engine
+    with ``md5`` can reproduce the split (the SQL oracle does).
+    """
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(head, F.lit(buckets))

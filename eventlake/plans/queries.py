@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.functions.columns import hash_bucket
 from eventlake.operators import churn, layout, marts, quality, silver, validation
 from eventlake.plans import medallion, sql_models
 from eventlake.session import scratch_dir
@@ -262,13 +263,28 @@ def churn_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5: sizes of the hash split (no SQL form for the hash)."""
+    """M5: sizes of the md5 hash split."""
     train_df, test_df = churn.split(churn_features(spark, sf_dir), _actor_config())
     return train_df.select(F.lit("train").alias("part"), "actor_id").unionByName(
         test_df.select(F.lit("test").alias("part"), "actor_id")
     ).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
+def churn_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities, churned, and both sides of the hash split with the
+    test side's churned count -- the deterministic part of the model run."""
+    cfg = _actor_config()
+    feats = churn_features(spark, sf_dir)
+    test = F.col("_bucket") >= F.lit(cfg.train_fraction)
+    return feats.withColumn("_bucket", hash_bucket([cfg.entity], cfg.seed)).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("churned") == 1).alias("churned"),
+        F.count_if(~test).alias("train_rows"),
+        F.count_if(test).alias("test_rows"),
+        F.count_if(test & (F.col("churned") == 1)).alias("test_churned"),
+    )
+
+
 def churn_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit and evaluate the model (no SQL form)."""
     _, metrics = churn.train(churn_features(spark, sf_dir), _actor_config(), spark)
