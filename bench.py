@@ -114,6 +114,14 @@ def io_per_query(events_dir: Path) -> dict[str, dict[str, int]]:
     return out
 
 
+def _sf_value(sf_dir: str) -> float | str:
+    name = Path(sf_dir.rstrip("/")).name.replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def plan_of(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -312,7 +320,7 @@ def main() -> None:
         "value": round(sum(results.values()), 4),
         "unit": "sec",
         "queries": {k: round(v, 4) for k, v in results.items()},
-        "sf": Path(sf_dir).name.replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "rows": {"events": events.count(), **counts},
         "plan_checks": checks,
         "extra": extra,
