@@ -57,6 +57,9 @@ def zorder_code(df: DataFrame, cols: Sequence[str], bits: int = 10, relative_err
     a ``Bucketizer`` then assigns buckets by binary search on the executors.
     """
     k = len(cols)
+    if k == 0:
+        raise ValueError("zorder_code needs at least one column")
+    bits = min(bits, 62 // k)  # the interleaved code must fit a signed 64-bit long
     nums = [f"_zn{i}" for i in range(k)]
     buckets = [f"_zb{i}" for i in range(k)]
     tmp = df.withColumns({n: _numeric(df, c) for n, c in zip(nums, cols)})

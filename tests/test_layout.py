@@ -139,3 +139,10 @@ def test_optimize_table_sizes_files(spark, events, tmp_path):
     out = spark.read.parquet(dst)
     assert out.count() == 20000
     assert len([f for f in out.inputFiles()]) <= n
+
+
+def test_zorder_code_fits_a_long_for_many_columns(spark):
+    df = spark.range(200).select(*[(F.col("id") * (i + 1) % 97).alias(f"c{i}") for i in range(8)])
+    z = layout.zorder_code(df, [f"c{i}" for i in range(8)])
+    row = z.agg(F.min("_zorder").alias("lo"), F.max("_zorder").alias("hi")).first()
+    assert row.lo >= 0 and row.hi < 2**62
