@@ -175,3 +175,12 @@ def test_full_rebuild_replaces_even_under_session_dynamic_mode(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [r.k for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_inferred_schema_payload_is_serialised(spark, day_files):
+    raw = bronze.with_ingest_columns(bronze.read_events(spark, day_files, schema=None))
+    assert raw.schema["payload"].dataType.typeName() == "struct"
+    rows = silver.normalize(raw).orderBy("event_id").collect()
+    assert len(rows) == 15
+    assert json.loads(rows[0].payload_json) == {"ref": "refs/heads/main", "size": 1}
+    assert rows[0].actor_id == 1 and rows[0].repo_id == 1000
