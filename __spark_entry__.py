@@ -269,6 +269,7 @@ def _suite_sql(source: str, layer: str, suite: list, parents: dict[str, str] | N
     return (
         "SELECT layer, expectation, \"column\", mostly, CAST(evaluated AS BIGINT) AS evaluated, "
         "CAST(unexpected AS BIGINT) AS unexpected, "
+        "CASE WHEN evaluated > 0 THEN unexpected * 100.0 / evaluated END AS unexpected_percent, "
         "(evaluated = 0 OR CAST(evaluated - unexpected AS DOUBLE) >= mostly * evaluated) AS success "
         f"FROM ({union})"
     )

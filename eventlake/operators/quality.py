@@ -28,7 +28,16 @@ from eventlake.functions.columns import KNOWN_EVENT_TYPES
 from eventlake.operators.validation import key_counts, keys_missing_from
 from eventlake.sources.tables import table_exists
 
-RESULT_COLUMNS = ("layer", "expectation", "column", "mostly", "evaluated", "unexpected", "success")
+RESULT_COLUMNS = (
+    "layer",
+    "expectation",
+    "column",
+    "mostly",
+    "evaluated",
+    "unexpected",
+    "unexpected_percent",
+    "success",
+)
 
 
 @dataclass(frozen=True)
@@ -232,7 +241,8 @@ def evaluate(
     passed = (F.col("evaluated") == 0) | (
         (F.col("evaluated") - F.col("unexpected")).cast("double") >= F.col("mostly") * F.col("evaluated")
     )
-    return out.withColumn("success", passed).select(*RESULT_COLUMNS)
+    percent = F.when(F.col("evaluated") > 0, F.col("unexpected") * F.lit(100.0) / F.col("evaluated"))
+    return out.withColumns({"success": passed, "unexpected_percent": percent}).select(*RESULT_COLUMNS)
 
 
 def summarize(results: DataFrame) -> DataFrame:
