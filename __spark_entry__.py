@@ -95,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_salted_hot_keys",
         "hour_coverage",
         "daily_coverage",
+        "month_coverage_gaps",
         "bronze_roundtrip",
         "silver_from_landed_dumps",
         "gold_dim_repo_built",
@@ -483,6 +484,14 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         + "SELECT event_date, count(*) FILTER (WHERE NOT missing) AS hours_present, "
         "count(*) FILTER (WHERE missing) AS hours_missing, CAST(sum(n_events) AS BIGINT) AS n_events "
         "FROM cov GROUP BY event_date",
+        "month_coverage_gaps": _with(
+            _SILVER_CTE,
+            "grid AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', "
+            "TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS hour_start)",
+        )
+        + "SELECT g.hour_start, CAST(g.hour_start AS DATE) AS event_date, CAST(hour(g.hour_start) AS INTEGER) AS hour, "
+        "strftime(g.hour_start, '%Y-%m-%d') || '-' || CAST(hour(g.hour_start) AS VARCHAR) || '.json.gz' AS file_name "
+        "FROM grid g WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE date_trunc('hour', s.created_at) = g.hour_start)",
         "bronze_roundtrip": _with(_RAW_CTE)
         + "SELECT id, type, actor_id, actor_login, repo_id, repo_name, payload, public, created_at, event_date FROM raw",
         "silver_from_landed_dumps": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",

@@ -577,3 +577,12 @@ def silver_dedup_by_exception(spark: SparkSession, sf_dir: str) -> DataFrame:
     dup_path = scratch_dir(spark, "dup-ids")
     silver.duplicate_ids(rows).write.parquet(dup_path)
     return silver.deduplicate_by_exception(rows, spark.read.parquet(dup_path)).drop("_silver_processed_at")
+
+
+def month_coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of the calendar month of the data (January 2024, 744 hours)
+    that no event falls into, with their expected dump file names."""
+    slv = _silver(spark, sf_dir)
+    grid = bronze.month_grid(spark, 2024, 1)
+    seen = bronze.hourly_counts(slv).select("hour_start")
+    return grid.join(seen, "hour_start", "left_anti").select("hour_start", "event_date", "hour", "file_name")
