@@ -88,11 +88,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flat_date_count",
         "clustered_lookup",
         "zordered_lookup",
+        "optimized_lookup",
         "join_broadcast",
         "join_shuffle",
         "join_auto",
         "join_salted",
         "join_salted_hot_keys",
+        "hot_repos",
         "hour_coverage",
         "daily_coverage",
         "month_coverage_gaps",
@@ -474,6 +476,10 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "flat_date_count": "SELECT count(*) AS n_events FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
         "clustered_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE repo_id = 42",
         "zordered_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE actor_id = 42",
+        "optimized_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE repo_id = 42",
+        "hot_repos": base
+        + "SELECT repo_id FROM silver GROUP BY repo_id "
+        "HAVING count(*) >= greatest(1, CAST(floor((SELECT count(*) FROM events) * 0.0105) AS BIGINT))",
         "join_broadcast": join_rows,
         "join_shuffle": join_rows,
         "join_auto": join_rows,

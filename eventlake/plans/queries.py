@@ -586,3 +586,20 @@ def month_coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = bronze.month_grid(spark, 2024, 1)
     seen = bronze.hourly_counts(slv).select("hour_start")
     return grid.join(seen, "hour_start", "left_anti").select("hour_start", "event_date", "hour", "file_name")
+
+
+def optimized_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2: the fact written plainly, rewritten by ``optimize_table`` (file
+    count from its on-disk size) clustered by repository, then a point lookup."""
+    src, dst = scratch_dir(spark, "opt-src"), scratch_dir(spark, "opt-dst")
+    layout.write_flat(_fact(spark, sf_dir), src)
+    layout.optimize_table(spark, src, dst, ["repo_id"], target_file_bytes=64 * 1024)
+    return _count(spark.read.parquet(dst).where(F.col("repo_id") == F.lit(LOOKUP_KEY)))
+
+
+def hot_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot-key detection used by the salted join: repositories holding at
+    least ``HOT_SHARE`` of all events."""
+    n = driver.load_events(spark, sf_dir).count()
+    fact = _fact(spark, sf_dir)
+    return layout.hot_keys(fact, "repo_id", max(1, int(n * HOT_SHARE)))
