@@ -107,3 +107,13 @@ def test_lake_paths_layout():
     assert p.silver == "/lake/silver/events"
     assert p.gold("dim_repo") == "/lake/gold/dim_repo"
     assert dt.date(2024, 1, 1)
+
+
+def test_unexpected_percent(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,), (None,)], "k long")
+    r = quality.evaluate(df, [quality.not_null("k")], "t").first()
+    assert (r.evaluated, r.unexpected, r.unexpected_percent) == (4, 2, 50.0)
+    empty = spark.createDataFrame([], "k long")
+    r = quality.evaluate(empty, [quality.between("k", 0, 1)], "t").first()
+    assert r.unexpected_percent is None and r.success
+    assert tuple(quality.evaluate(df, [quality.unique("k")], "t").columns) == quality.RESULT_COLUMNS
