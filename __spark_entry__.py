@@ -24,6 +24,14 @@ from eventlake.operators import quality  # noqa: E402
 from eventlake.plans import queries as q  # noqa: E402
 from eventlake.session import configure  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline
+    from eventlake.llm import registry
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "eventlake.llm"):
+        raise
+    registry = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -115,7 +123,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_rerun_days",
         "gold_incremental_dim_actor",
     ]
-    return {n: _wrap(getattr(q, n)) for n in names}
+    out = {n: _wrap(getattr(q, n)) for n in names}
+    if registry is not None:
+        out |= registry.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -532,4 +543,8 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         }
     )
     out.update(_quality_oracles())
+    if registry is not None:
+        out |= registry.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
