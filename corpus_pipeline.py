@@ -10,10 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.llm import op1_substring_dedup as op1
+from eventlake.llm import op4_jaccard_join as op4
+from eventlake.llm import op5_language as op5
+from eventlake.llm import op8_bpe as op8
+from eventlake.llm import op10_decontaminate as op10
 from eventlake.session import scratch_dir
 
 STAGES = [
+    ("language", op5.stage),
+    ("near_duplicates", op4.stage),
     ("substring_dedup", op1.stage),
+    ("decontamination", op10.stage),
+    ("bpe", op8.stage),
 ]
 
 #: no SQL expresses the trained and automaton stages

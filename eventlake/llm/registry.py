@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 from eventlake.llm.op1_substring_dedup import op1_substring_dedup
+from eventlake.llm.op4_jaccard_join import op4_jaccard_join
+from eventlake.llm.op5_language import op5_language
+from eventlake.llm.op8_bpe import op8_bpe
+from eventlake.llm.op10_decontaminate import op10_decontaminate
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_substring_dedup, op4_jaccard_join, op5_language, op8_bpe, op10_decontaminate)
+}
 ORACLES: dict[str, str] = {}
