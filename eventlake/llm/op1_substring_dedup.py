@@ -8,9 +8,11 @@ in a window that also starts in a document with a smaller doc_id. Method:
    documents can recur (about a fifth of all words send one hash).
 2. Recurring windows are confirmed by a 128-bit hash of their words, with the
    smallest doc_id that has them.
-3. Per block (shard) of documents, the confirmed phrases that have an earlier
-   owner become one Aho-Corasick automaton over the block's word numbers, and
-   every document of the block is streamed through it to locate each occurrence.
+3. Per block (shard) of documents, runs of confirmed windows with an earlier
+   owner are its repeated passages; they become one Aho-Corasick automaton over
+   the block's word numbers, and the block's documents are streamed through it
+   to locate each occurrence. A passage's latest owner tells for which documents
+   it is a repeat as a whole.
 
 A hot phrase costs one entry per block in every exchange. Null and empty texts
 give zero words and an empty text; rows that repeat a doc_id are judged one by
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import textops as t
-from eventlake.llm.blocks import BLOCK_BYTES, in_blocks
+from eventlake.llm.blocks import ASKED, BLOCK_BYTES, TOLD, distinct_per_doc, in_blocks, recurring
 
 WIDTH = 13
 RUN = 4
@@ -52,18 +54,10 @@ class Windows:
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct anchors, and whether two documents of the block have them."""
-        new = np.ones(len(self.anchor), bool)
-        new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (self.doc[1:] != self.doc[:-1])
-        a, d = self.anchor[new], self.doc[new]
-        order = np.argsort(a)
-        a, d = a[order], d[order]
-        at = t.group_starts(a)
-        if len(at) == 0:
-            return a, np.zeros(0, bool)
-        return a[at], np.minimum.reduceat(d, at) < np.maximum.reduceat(d, at)
+        return distinct_per_doc(self.anchor, self.doc)
 
     def candidates(self, recurring: np.ndarray):
-        """Distinct windows (two hashes, least and greatest doc_id, one place) whose anchor recurs."""
+        """Places of the windows whose anchor recurs, in order of their two hashes, and where each distinct window begins there."""
         own, multi = self.anchors()
         known = np.sort(np.concatenate([own[multi], recurring]))
         at = np.flatnonzero(t.has(known, self.anchor))
@@ -72,11 +66,8 @@ class Windows:
         second = t.span_hash(self.buf, self.starts, self.ends, 1)
         h2 = t.gram_hash(second, self.width, 1)[place] if len(place) else np.zeros(0, np.uint64)
         order = np.lexsort((h2, h1))
-        h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
-        g = t.group_starts(h1, h2)
-        if len(g) == 0:
-            return h1, h2, doc, doc, place
-        return h1[g], h2[g], np.minimum.reduceat(doc, g), np.maximum.reduceat(doc, g), place[g]
+        h1, h2 = h1[order], h2[order]
+        return h1, h2, doc[order], place[order], t.group_starts(h1, h2)
 
 
 def _ask_anchors(width: int, run: int, slots: int):
@@ -87,24 +78,12 @@ def _ask_anchors(width: int, run: int, slots: int):
     return fn
 
 
-def _recurring(table):
-    """Of one slot: to each block, those of its hashes that another block or two of one block's documents have."""
-    h, multi = t.longs(table["hash"]), t.longs(table["multi"]).astype(bool)
-    src = np.repeat(t.ids(table["src"]), t.lengths(table["hash"]))
-    order = np.argsort(h)
-    h, multi, src = h[order], multi[order], src[order]
-    g = t.group_starts(h)
-    size = np.diff(np.concatenate([g, [len(h)]]))
-    again = np.repeat((size > 1) | np.logical_or.reduceat(multi, g), size) if len(g) else np.zeros(0, bool)
-    again &= ~multi  # the block itself knows those
-    return t.dealt(src[again], 0, {"hash": h[again]}).drop(["src"])
-
-
 def _ask_windows(width: int, run: int, slots: int):
     def fn(docs, told):
         if docs.num_rows == 0:
             return _ask_schema_empty()
-        h1, h2, least, _, _ = Windows(docs, width, run).candidates(t.longs(told["hash"]))
+        h1, h2, doc, _, g = Windows(docs, width, run).candidates(t.longs(told["hash"]))
+        h1, h2, least = h1[g], h2[g], np.minimum.reduceat(doc, g) if len(g) else doc
         return t.dealt(t.slot_of(h1, slots), docs["block"][0].as_py(), {"h1": h1, "h2": h2, "doc": least})
 
     return fn
@@ -127,10 +106,25 @@ def _first_owner(table):
     return t.dealt(src[tell], 0, {"h1": h1[tell], "h2": h2[tell], "doc": least[tell]}).drop(["src"])
 
 
-def _automaton(phrases: np.ndarray, owners: np.ndarray) -> ahocorasick.Automaton:
+def _owners(h1, h2, doc, g, told1, told2, owner) -> np.ndarray:
+    """The smallest doc_id that has each candidate window: in the block, or as told."""
+    if len(g) == 0:
+        return doc
+    least = np.minimum.reduceat(doc, g)
+    size = np.diff(np.concatenate([g, [len(h1)]]))
+    a, b = np.concatenate([h1[g], told1]), np.concatenate([h2[g], told2])
+    order = np.lexsort((b, a))
+    s = t.group_starts(a[order], b[order])
+    lowest = np.minimum.reduceat(np.concatenate([least, owner])[order], s)
+    back = np.empty(len(order), np.int64)
+    back[order] = np.repeat(lowest, np.diff(np.concatenate([s, [len(order)]])))
+    return np.repeat(back[: len(g)], size)
+
+
+def _automaton(phrases: dict[tuple[int, ...], int]) -> ahocorasick.Automaton:
     made = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for phrase, owner in zip(phrases.tolist(), owners.tolist(), strict=True):
-        made.add_word(tuple(phrase), owner)
+    for phrase, owner in phrases.items():
+        made.add_word(phrase, (len(phrase), owner))
     made.make_automaton()
     return made
 
@@ -138,32 +132,36 @@ def _automaton(phrases: np.ndarray, owners: np.ndarray) -> ahocorasick.Automaton
 def _locate(width: int, run: int):
     def fn(docs, told):
         w = Windows(docs, width, run)
-        # a block asks for all its recurring anchors again: the told windows stand for the answer
-        kinds = t.ids(told["kind"]) if told.num_rows else np.zeros(0, np.int64)
-        pick = lambda name, kind: t.longs(told.filter(pa.array(kinds == kind))[name]) if told.num_rows else np.zeros(0, np.uint64)
-        h1, h2, least, most, place = w.candidates(pick("hash", 0))
-        o1, o2, owner = pick("hash", 1), pick("h2", 1), pick("doc", 1).view(np.int64)
-        if len(o1):
-            order = np.lexsort((np.concatenate([np.ones(len(h1)), np.zeros(len(o1))]), np.concatenate([h2, o2]), np.concatenate([h1, o1])))
-            a, b = np.concatenate([h1, o1])[order], np.concatenate([h2, o2])[order]
-            value = np.concatenate([least, owner])[order]
-            g = t.group_starts(a, b)
-            lowest = np.repeat(np.minimum.reduceat(value, g), np.diff(np.concatenate([g, [len(a)]])))
-            back = np.empty(len(order), np.int64)
-            back[order] = lowest
-            least = back[: len(h1)]
+        kinds = t.ids(told["kind"])
+        pick = lambda name, kind: t.longs(told.filter(pa.array(kinds == kind))[name])
+        h1, h2, doc, place, g = w.candidates(pick("hash", 0))
+        owner = _owners(h1, h2, doc, g, pick("h1", 1), pick("h2", 1), pick("doc", 1).view(np.int64))
+        earlier = owner < doc
+        order = np.argsort(place[earlier])
+        place, owner = place[earlier][order], owner[earlier][order]
         go = np.zeros(len(w.starts), bool)
-        wanted = least < most
-        if wanted.any():
-            _, number = np.unique(w.hash, return_inverse=True)
-            made = _automaton(number[place[wanted][:, None] + np.arange(width)], least[wanted])
-            hits = []
+        if len(place):
+            # passages: runs of windows one word apart; their latest owner decides for whom they are repeats
+            new = np.ones(len(place), bool)
+            new[1:] = (np.diff(place) != 1) | (w.row[place[1:]] != w.row[place[:-1]])
+            first = np.flatnonzero(new)
+            stop = place[np.concatenate([first[1:], [len(place)]]) - 1] + width
+            latest = np.maximum.reduceat(owner, first)
+            number = np.unique(w.hash, return_inverse=True)[1]
+            phrases: dict[tuple[int, ...], int] = {}
+            for a, b, who in zip(place[first].tolist(), stop.tolist(), latest.tolist(), strict=True):
+                words = tuple(number[a:b].tolist())
+                phrases[words] = min(who, phrases.get(words, who))
+            made = _automaton(phrases)
             rows = np.searchsorted(w.row, np.arange(len(w.doc_id) + 1))
-            for r, (a, b) in enumerate(zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True)):
-                if b - a >= width:
-                    doc = int(w.doc_id[r])
-                    hits += [a + end - width + 1 for end, owner in made.iter(tuple(number[a:b].tolist())) if owner < doc]
-            go = t.covered(np.array(hits, np.int64), width, len(w.starts))
+            begin, size = [], []
+            for r in np.unique(w.row[place]).tolist():
+                a, b, who = int(rows[r]), int(rows[r + 1]), int(w.doc_id[r])
+                for end, (n, owner_of) in made.iter(tuple(number[a:b].tolist())):
+                    if owner_of < who:
+                        begin.append(a + end - n + 1)
+                        size.append(n)
+            go = t.covered(np.array(begin, np.int64), np.array(size, np.int64), len(w.starts))
         n = len(w.doc_id)
         keep = ~go
         return pa.table({
@@ -179,15 +177,15 @@ def _locate(width: int, run: int):
 def substring_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text of every row of ``docs`` (doc_id, text)."""
     blocks, _, slots = in_blocks(docs, block_bytes)
-    asked = blocks.groupBy("block").applyInArrow(_ask_anchors(width, run, slots), "slot int, src int, hash array<bigint>, multi array<bigint>")
-    again = asked.groupBy("slot").applyInArrow(_recurring, "slot int, hash array<bigint>")
+    asked = blocks.groupBy("block").applyInArrow(_ask_anchors(width, run, slots), ASKED)
+    again = asked.groupBy("slot").applyInArrow(recurring, TOLD)
     windows = blocks.groupBy("block").cogroup(again.groupBy("slot")).applyInArrow(
         _ask_windows(width, run, slots), "slot int, src int, h1 array<bigint>, h2 array<bigint>, doc array<bigint>"
     )
     owners = windows.groupBy("slot").applyInArrow(_first_owner, "slot int, h1 array<bigint>, h2 array<bigint>, doc array<bigint>")
     none = F.array().cast("array<bigint>")
-    told = again.select("slot", F.lit(0).alias("kind"), "hash", none.alias("h2"), none.alias("doc")).unionAll(
-        owners.select("slot", F.lit(1), "h1", "h2", "doc")
+    told = again.select("slot", F.lit(0).alias("kind"), "hash", none.alias("h1"), none.alias("h2"), none.alias("doc")).unionAll(
+        owners.select("slot", F.lit(1), none, "h1", "h2", "doc")
     )
     return blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_locate(width, run), OUT)
 
