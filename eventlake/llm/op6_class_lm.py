@@ -218,7 +218,7 @@ class ClassModel:
         by_class = unit @ member
         share = by_class / by_class.sum()
         g = np.concatenate([member.T @ m[:n] @ member, (m[n] @ member)[None]]).astype(float)
-        with np.errstate(divide="ignore"):
+        with np.errstate(divide="ignore", invalid="ignore"):
             self.step = np.log10((g + beta * share) / (g.sum(1, keepdims=True) + beta))
             self.unit = np.log10(unit / by_class[self.cls])
             self.log_unit = np.log10(unit)
