@@ -122,6 +122,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "streaming_silver_dedup",
         "silver_rerun_days",
         "gold_incremental_dim_actor",
+        "bronze_string_ids",
+        "bronze_schema_growth",
+        "payload_struct_json",
+        "quarantine_incremental",
+        "silver_rerun_vanished_day",
+        "fact_built",
+        "ledger_rerun",
+        "orphans_repo_stale_dim",
+        "sql_orphans_stale_views",
+        "hour_coverage_gaps",
+        "dim_repo_renamed",
+        "churn_fixed_score",
+        "run_report",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -417,13 +430,14 @@ SELECT
         WHEN 'click' THEN 'ForkEvent' ELSE event_type END AS raw_type,
     CASE WHEN value > 150.0 THEN 'not-a-timestamp'
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS raw_created_at,
+    CASE WHEN value > 150.0 THEN NULL ELSE CAST(ts AS DATE) END AS event_date,
     CASE WHEN value < 5.0 THEN 'event_id' ELSE 'created_at' END AS reason
 FROM events
 WHERE value < 5.0 OR value > 150.0""",
         "silver_dedup": _with(_SILVER_CTE)
         + "SELECT * REPLACE (created_at + INTERVAL 1 DAY AS _ingested_at) FROM silver",
         "silver_dedup_by_exception": _with(_SILVER_CTE)
-        + "SELECT * REPLACE (created_at + INTERVAL 1 DAY AS _ingested_at) FROM silver",
+        + "SELECT * REPLACE (CASE WHEN event_id % 10 = 3 THEN created_at + INTERVAL 1 DAY ELSE _ingested_at END AS _ingested_at) FROM silver",
         "silver_incremental_days": _with(_SILVER_CTE)
         + "SELECT * FROM silver WHERE event_date IN (DATE '2024-01-03', DATE '2024-01-04')",
         "stg_events": _with(_SILVER_CTE) + f"SELECT {_STG_COLS} FROM silver",
@@ -490,7 +504,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "optimized_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE repo_id = 42",
         "hot_repos": base
         + "SELECT repo_id FROM silver GROUP BY repo_id "
-        "HAVING count(*) >= greatest(1, CAST(floor((SELECT count(*) FROM events) * 0.0105) AS BIGINT))",
+        "HAVING count(*) >= greatest(1, CAST(ceil((SELECT count(*) FROM events) * 0.005) AS BIGINT))",
         "join_broadcast": join_rows,
         "join_shuffle": join_rows,
         "join_auto": join_rows,
@@ -542,7 +556,44 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
             ),
         }
     )
+    gaps = coverage.replace("FROM silver", "FROM silver WHERE event_hour NOT IN (5, 17)")
+    orphans = "SELECT '{c}' AS \"check\", count(*) AS n FROM silver WHERE {bad}"
+    out.update(
+        {
+            "bronze_string_ids": base + "SELECT * EXCLUDE (_ingested_at) FROM silver",
+            "bronze_schema_growth": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'org' || CAST(user_id AS VARCHAR) END AS org_login, "
+            "'user' || CAST(user_id AS VARCHAR) AS display_login FROM events",
+            "payload_struct_json": "SELECT event_id, replace(props, ' ', '') AS payload_json FROM events",
+            "quarantine_incremental": "SELECT CASE WHEN value < 5.0 OR value > 150.0 THEN 'quarantine' ELSE 'silver' END AS place, "
+            "CASE WHEN value < 5.0 THEN 'x' ELSE '' END || CAST(event_id AS VARCHAR) AS id, "
+            "CASE WHEN value < 5.0 THEN 'event_id' WHEN value > 150.0 THEN 'created_at' END AS reason FROM events",
+            "silver_rerun_vanished_day": "SELECT t AS \"table\", CAST(ts AS DATE) AS event_date, count(*) AS n_events "
+            "FROM events, (VALUES ('silver'), ('fact_events'), ('activity')) AS k(t) WHERE CAST(ts AS DATE) <> DATE '2024-01-10' GROUP BY 1, 2",
+            "fact_built": base + f"SELECT {_FACT_COLS} FROM silver",
+            "ledger_rerun": "SELECT count(*) FILTER (WHERE event_id % 2 = 0) AS landed_0, CAST(0 AS BIGINT) AS landed_1, "
+            "count(*) FILTER (WHERE event_id % 2 = 1) AS landed_2, count(*) AS bronze_rows FROM events",
+            "orphans_repo_stale_dim": base + "SELECT repo_id, count(*) AS n_rows FROM silver WHERE repo_id % 7 = 0 GROUP BY repo_id",
+            "sql_orphans_stale_views": base
+            + " UNION ALL ".join(
+                orphans.format(c=c, bad=bad)
+                for c, bad in (("orphans_repo", "repo_id % 7 = 0"), ("orphans_actor", "actor_id % 5 = 0"), ("date_coverage", "day(event_date) = 3"))
+            ),
+            "hour_coverage_gaps": gaps + "SELECT * FROM cov",
+            "dim_repo_renamed": base
+            + "SELECT repo_id, max(n) AS repo_name, arg_max(n, (created_at, n)) AS latest_name, count(*) AS total_events, "
+            "count(DISTINCT actor_id) AS unique_actors FROM (SELECT *, CASE WHEN day(event_date) > 15 THEN 'a-' || repo_name ELSE repo_name END AS n "
+            "FROM silver WHERE event_id % 11 <> 0 AND repo_id IS NOT NULL) GROUP BY repo_id",
+            # area under the curve as the rank sum of the churned (ties share their mean rank)
+            "churn_fixed_score": features_actor
+            + ", scored AS (SELECT churned, 1.0::DOUBLE / (1 + days_active) AS score FROM features), "
+            "ranked AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM scored) "
+            "SELECT round(avg(CASE WHEN (score > 0.2) = (churned = 1) THEN 1.0::DOUBLE ELSE 0.0 END), 9) AS accuracy, "
+            "round(((sum(r) FILTER (WHERE churned = 1)) - (count(*) FILTER (WHERE churned = 1)) * ((count(*) FILTER (WHERE churned = 1)) + 1) / 2.0) "
+            "/ ((count(*) FILTER (WHERE churned = 1)) * (count(*) FILTER (WHERE churned = 0))), 9)::DOUBLE AS roc_auc FROM ranked",
+        }
+    )
     out.update(_quality_oracles())
+    out["run_report"] = f'SELECT layer, expectation, "column", mostly, evaluated, unexpected, success FROM ({out["quality_report"]})'
     if registry is not None:
         out |= registry.ORACLES
         if corpus_pipeline.ORACLE_SQL:

@@ -136,6 +136,17 @@ def metrics_frame(preds: DataFrame) -> DataFrame:
     )
 
 
+def evaluate(preds: DataFrame, n_test: int | None = None, n_pos: int | None = None) -> tuple[float | None, float | None]:
+    """Accuracy and area under the ROC curve of scored rows; None where undefined."""
+    if n_test is None or n_pos is None:
+        counts = metrics_frame(preds).first()
+        n_test, n_pos = counts["test_rows"], counts["test_churned"]
+    accuracy = MulticlassClassificationEvaluator(labelCol=LABEL_COLUMN, metricName="accuracy")
+    # numBins 0: every distinct score is a point of the curve
+    auc = BinaryClassificationEvaluator(labelCol=LABEL_COLUMN, metricName="areaUnderROC", numBins=0)
+    return (accuracy.evaluate(preds) if n_test else None), (auc.evaluate(preds) if 0 < n_pos < n_test else None)
+
+
 def train(features: DataFrame, config: ChurnConfig, spark: SparkSession | None = None) -> tuple[PipelineModel, DataFrame]:
     """Fit on the train side, score the test side; return the model and a
     one-row metrics DataFrame (``roc_auc`` NULL when the test side holds a
@@ -153,16 +164,7 @@ def train(features: DataFrame, config: ChurnConfig, spark: SparkSession | None =
         preds = model.transform(test_df).persist()
         counts = metrics_frame(preds).first()
         n_test, n_pos = counts["test_rows"], counts["test_churned"]
-        accuracy = (
-            MulticlassClassificationEvaluator(labelCol=LABEL_COLUMN, metricName="accuracy").evaluate(preds)
-            if n_test
-            else None
-        )
-        auc = (
-            BinaryClassificationEvaluator(labelCol=LABEL_COLUMN, metricName="areaUnderROC").evaluate(preds)
-            if 0 < n_pos < n_test
-            else None
-        )
+        accuracy, auc = evaluate(preds, n_test, n_pos)
         preds.unpersist()
         row = {
             "split_date": config.split_date.isoformat(),

@@ -165,18 +165,18 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows whose values total at
-    most ``max_bytes``. One job that reads no more than ``max_rows + 1`` rows."""
-    probe = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    n, b = int(probe["n"]), int(probe["b"] or 0)
-    return n <= max_rows and b <= max_bytes
+    """True when ``df`` has at most ``max_rows`` rows whose values total at most
+    ``max_bytes``: one aggregate, of which each task sends one row."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
 
-def hot_keys(fact: DataFrame, on: str, hot_rows: int) -> DataFrame:
-    """Keys of ``fact`` with at least ``hot_rows`` rows (partial aggregation
-    first, so counting a hot key is itself cheap). At most
-    ``rows(fact) / hot_rows`` keys qualify."""
-    return fact.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= F.lit(hot_rows)).select(on)
+def hot_keys(fact: DataFrame, on: str, hot_share: float) -> DataFrame:
+    """Keys that hold at least ``hot_share`` of the rows of ``fact`` (partial
+    aggregation first, so counting a hot key is itself cheap). At most
+    ``1 / hot_share`` keys qualify, whatever the size of the table."""
+    least = max(1, math.ceil(fact.count() * hot_share))
+    return fact.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= F.lit(least)).select(on)
 
 
 def salted_join(
@@ -185,38 +185,33 @@ def salted_join(
     on: str,
     how: str = "inner",
     buckets: int = 32,
-    hot_rows: int | None = None,
-    max_hot_keys: int = 10_000,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Shuffle join that spreads hot keys over ``buckets`` reducers.
 
     Fact rows get a salt from a hash of the row and its map partition;
-    dimension rows are replicated once per salt, so any salt finds its match. With ``hot_rows`` only keys holding at least
-    that many fact rows are salted: :func:`hot_keys` finds them in one pass,
-    at most ``max_hot_keys`` are fetched (more raises) and they become an
-    ``IN`` set, so every other key joins unsalted and only the hot keys'
-    dimension rows are copied. Without ``hot_rows`` every key is salted.
+    dimension rows are replicated once per salt, so any salt finds its match.
+    With ``hot_share`` only keys holding at least that share of the fact are
+    salted: they are marked by a join with :func:`hot_keys`, a table of at most
+    ``1 / hot_share`` rows that is broadcast for that reason. NULL keys match
+    nothing and are spread as well. Without ``hot_share`` every key is salted.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     # salt from the row's content and its map partition: identical copies of
     # one row (e.g. replays) still spread, and a retried map task, reading the
     # same split under the same partition id, salts every row as before
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns], F.spark_partition_id())
-    all_salts = F.sequence(F.lit(0), F.lit(buckets - 1))
-    if hot_rows is None:
-        salted_fact = fact.withColumn("_salt", F.pmod(row_hash, F.lit(buckets)).cast("int"))
-        salted_dim = dim.withColumn("_salt", F.explode(all_salts))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns], F.spark_partition_id()), F.lit(buckets)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(buckets - 1))
+    if hot_share is None:
+        salted_fact = fact.withColumn("_salt", salt)
+        salted_dim = dim.withColumn("_salt", F.explode(every))
     else:
-        # one pass finds the hot keys; at most max_hot_keys + 1 of them are fetched
-        found = [r[0] for r in hot_keys(fact, on, hot_rows).limit(max_hot_keys + 1).collect()]
-        if len(found) > max_hot_keys:
-            raise ValueError(f"more than {max_hot_keys} hot keys; raise hot_rows")
-        is_hot = F.col(on).isin(found) if found else F.lit(False)
-        salted_fact = fact.withColumn(
-            "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(buckets)).cast("int")).otherwise(F.lit(0))
-        )
-        salted_dim = dim.withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0)))))
+        hot = F.broadcast(hot_keys(fact, on, hot_share).withColumn("_hot", F.lit(True)))
+        spread = F.col("_hot").isNotNull() | F.col(on).isNull()
+        salted_fact = fact.join(hot, on, "left").withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0))).drop("_hot")
+        copies = F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0)))
+        salted_dim = dim.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted_fact.join(salted_dim.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
@@ -229,17 +224,17 @@ def join_dim(
     max_broadcast_rows: int = BROADCAST_MAX_ROWS,
     max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
     salt_buckets: int = 32,
-    hot_rows: int | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Join a fact with a dimension.
 
     ``strategy``:
 
-    * ``broadcast`` -- broadcast hint, only after :func:`fits_broadcast`
-      proves the dimension small (raises otherwise);
+    * ``broadcast`` -- broadcast hint if :func:`fits_broadcast` proves the
+      dimension small, the plain join of ``auto`` if not;
     * ``shuffle``   -- sort-merge join (AQE still splits skewed partitions);
-    * ``salted``    -- :func:`salted_join` (only keys with ``hot_rows`` or
-      more fact rows are salted when ``hot_rows`` is given);
+    * ``salted``    -- :func:`salted_join` (only keys holding ``hot_share`` of
+      the fact are salted when it is given);
     * ``auto``      -- a plain join: Catalyst broadcasts when its size
       estimate is under ``autoBroadcastJoinThreshold`` and AQE re-plans from
       the measured shuffle sizes at runtime (no extra pass over the dimension).
@@ -254,11 +249,7 @@ def join_dim(
     if strategy == "salted":
         if not isinstance(on, str):
             raise ValueError("salted join takes one key column")
-        return salted_join(fact, dim, on, how, salt_buckets, hot_rows)
-    if strategy == "auto":
-        return fact.join(dim, on, how)
-    if not fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
-        raise ValueError(
-            f"dimension exceeds {max_broadcast_rows} rows or {max_broadcast_bytes} bytes; refusing to broadcast"
-        )
-    return fact.join(F.broadcast(dim), on, how)
+        return salted_join(fact, dim, on, how, salt_buckets, hot_share)
+    if strategy == "broadcast" and fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
+        return fact.join(F.broadcast(dim), on, how)
+    return fact.join(dim, on, how)

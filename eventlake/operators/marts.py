@@ -7,7 +7,8 @@ large share of all events is reduced per task before the shuffle.
 ``activity`` is an optional shared pre-aggregate at the grain
 (repo, actor, day, type). Built once, it feeds both dimensions, the date
 dimension and the churn features, so the event fact is scanned once instead
-of four times, and the distinct-count expansion runs on the reduced rows.
+of four times. It has fewer rows than the events only where actors repeat
+themselves within a day.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.columns import KNOWN_EVENT_TYPES
 from eventlake.operators.validation import key_counts, keys_missing_from
-from eventlake.sources.tables import table_exists
+from eventlake.schema import BRONZE_SCHEMA, FACT_SCHEMA, SILVER_SCHEMA
+from eventlake.sources.tables import read_table, table_exists
 
 RESULT_COLUMNS = (
     "layer",
@@ -267,6 +268,10 @@ def layer_results(results: DataFrame) -> DataFrame:
     )
 
 
+#: contract schemas of the layer tables: read with them, no footer is merged
+LAYER_SCHEMAS = {"bronze": BRONZE_SCHEMA, "silver": SILVER_SCHEMA, "gold": FACT_SCHEMA}
+
+
 def run_layers(
     spark: SparkSession,
     tables: Mapping[str, str | DataFrame],
@@ -286,7 +291,7 @@ def run_layers(
         if isinstance(src, str):
             if not table_exists(spark, src):
                 continue
-            src = spark.read.option("mergeSchema", "true").parquet(src)
+            src = read_table(spark, src, LAYER_SCHEMAS.get(layer))
         res = evaluate(src, suites[layer](), layer, parents)
         out = res if out is None else out.unionByName(res)
     return out

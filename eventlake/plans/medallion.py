@@ -9,11 +9,12 @@ overwrites just that day's partitions (dynamic partition overwrite).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators import churn, marts, quality, silver, validation
@@ -30,7 +31,7 @@ from eventlake.schema import (
 )
 from eventlake.sources import bronze as bronze_src
 from eventlake.session import scratch_dir
-from eventlake.sources.tables import read_table, table_exists, write_table
+from eventlake.sources.tables import HIVE_NULL, drop_path, read_table, replace_days, table_exists, write_table
 
 
 @dataclass(frozen=True)
@@ -87,37 +88,30 @@ def bronze_to_silver(
     spark: SparkSession,
     paths: LakePaths,
     days: Sequence[str | dt.date] | None = None,
-    mode: str = "overwrite",
     processed_at: dt.datetime | None = None,
     keep_rejects: bool = True,
-    max_broadcast_dup_ids: int = 5_000_000,
-    dedup: str = "auto",
-    max_dup_share: float = 0.2,
+    dedup: str = "window",
 ) -> SilverResult:
     """Bronze (all or chosen days) -> typed, filtered, deduplicated Silver.
 
-    ``dedup="auto"`` (default): a narrow first pass (id, type and time
-    columns only) writes the ids that occur more than once to the checkpoint
-    folder; when at most ``max_broadcast_dup_ids`` exist (8 bytes each, so the
-    broadcast is bounded) and they are at most ``max_dup_share`` of the batch,
-    unique rows go straight to the write and only the duplicated ids are
-    shuffled and sorted -- the full rows, payload included,
-    never cross the network -- at the price of scanning Bronze again; with
-    more duplicates it falls back to the window. ``dedup="window"``: one
-    scan, every row shuffled by id and sorted (cheaper when storage reads,
-    not shuffle, are the bottleneck). Input/reject/output counts are
-    observed on the way (the written count in the write stage itself, exact
-    under task retries). With ``days`` only those partitions are read and
-    replaced. Rejected rows go to a quarantine dataset.
+    With ``days`` those partitions of Bronze are read and exactly those of
+    Silver replaced (a day without rows any more is removed). Rows that have no
+    day are read too: they can only be rejected. Rejected rows go to the
+    quarantine table, partitioned by day and replaced in the same way, so a
+    rerun leaves the same quarantine.
+
+    ``dedup="window"``: one scan, one shuffle by id, where each task sends at
+    most one row per id. ``dedup="exception"``: a narrow first pass finds the
+    ids that occur more than once, and only their rows meet in the window; worth
+    it when storage reads are cheap, rows are wide and duplicates are rare.
     """
-    if dedup not in ("auto", "window"):
-        raise ValueError(f"dedup must be 'auto' or 'window', got {dedup!r}")
-    raw = silver.select_days(spark.read.schema(BRONZE_SCHEMA).parquet(paths.bronze), days)
-    obs_in = Observation("silver_in")
-    obs_out = Observation("silver_out")
+    if dedup not in ("window", "exception"):
+        raise ValueError(f"dedup must be 'window' or 'exception', got {dedup!r}")
+    raw = silver.select_days(spark.read.schema(BRONZE_SCHEMA).parquet(paths.bronze), days, undated=True)
     projected = silver.project(raw, processed_at)
+    obs = Observation(f"silver_in_{uuid.uuid4().hex[:8]}")
     counted = projected.observe(
-        obs_in,
+        obs,
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(~silver.key_present()).alias("rejected_rows"),
     )
@@ -125,41 +119,27 @@ def bronze_to_silver(
     if dedup == "window":
         deduped = silver.deduplicate(counted.where(silver.key_present()))
     else:
-        # pass 1 (narrow): which ids occur more than once; input counts observed here
         dup_path = scratch_dir(spark, "silver-dup-ids")
         silver.duplicate_ids(counted.where(silver.key_present())).write.parquet(dup_path)
         dup_ids = spark.read.parquet(dup_path)
-        keyed = projected.where(silver.key_present())
-        # pass 2: with few duplicated ids (bounded broadcast, small share of
-        # the batch) only their rows are shuffled; else the window over all
-        n_dups = dup_ids.count()
-        n_rows = int(obs_in.get.get("input_rows", 0))
-        if n_dups <= max_broadcast_dup_ids and n_dups <= max_dup_share * max(n_rows, 1):
-            # unique rows keep Bronze's one-date-per-file layout; only the
-            # deduplicated rows are rebalanced, so no full-row shuffle is added
-            deduped = silver.deduplicate_by_exception(keyed, dup_ids, "event_date" if rebalance else None)
-            rebalance = False
-        else:
-            deduped = silver.deduplicate(keyed)
-    silver.write_silver(
-        deduped,
-        paths.silver,
-        mode=mode,
-        dynamic=bool(days),
-        rebalance=rebalance,
-        count_into=obs_out,
-    )
-    got_in, got_out = obs_in.get, obs_out.get
-    result = SilverResult(
-        int(got_in.get("input_rows", 0)), int(got_in.get("rejected_rows", 0)), int(got_out.get("rows", 0))
-    )
-    if keep_rejects and result.rejected_rows:
-        # second pass only when the observed reject count says there is something to keep
-        rej = silver.rejects(raw).withColumn("_rejected_at", F.current_timestamp())
-        rej.write.mode("append").parquet(paths.quarantine)
+        deduped = silver.deduplicate_by_exception(projected.where(silver.key_present()), dup_ids, "event_date" if rebalance else None)
+        rebalance = False
+    wanted = None if days is None else [d.isoformat() for d in silver.parse_days(days)]
+    written = replace_days(spark, silver.to_contract(deduped), paths.silver, wanted, rebalance)
+    got = obs.get
+    result = SilverResult(int(got.get("input_rows", 0)), int(got.get("rejected_rows", 0)), written)
+    if dedup == "exception":
+        drop_path(spark, dup_path)
+    if keep_rejects and (result.rejected_rows or table_exists(spark, paths.quarantine)):
+        rejected = silver.rejects(raw).withColumn("_rejected_at", _stamp(processed_at))
+        replace_days(spark, rejected, paths.quarantine, None if wanted is None else [*wanted, HIVE_NULL])
     return result
 
 
+def _stamp(at: dt.datetime | None) -> Column:
+    return F.lit(at).cast("timestamp") if at else F.current_timestamp()
+
+
 def _concurrently(*jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs from parallel driver threads (the scheduler
     interleaves their tasks); re-raise the first failure."""
@@ -185,29 +165,22 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
     """Silver -> fact_events (+ the activity rollup) -> dimensions.
 
     The fact and the day-grained activity rollup are partitioned by
-    ``event_date``; with ``days`` only those partitions are recomputed. The
-    dimensions are rebuilt from the (much smaller) rollup, never from the
-    events, so a daily run scans one day of Silver plus the rollup.
+    ``event_date``; with ``days`` only those partitions are recomputed, and a
+    day that lost its rows is removed. The dimensions are rebuilt from the
+    rollup of all days, so a daily run reads one day of Silver plus the whole
+    rollup; how much smaller that is than the events depends on how often one
+    actor repeats one type of event in one repository on one day.
     """
     stg = marts.stg_events(silver.select_days(read_silver(spark, paths), days))
-    dynamic = bool(days)
+    wanted = None if days is None else [d.isoformat() for d in silver.parse_days(days)]
     # Silver files never span two dates, so the fact is a narrow scan -> write
     # (one file per input split, no shuffle). Fact and rollup are independent
     # jobs, as are the three dimensions: each group runs concurrently.
+    fact = check_contract(marts.fact_events(stg), FACT_SCHEMA, name="fact_events")
+    rollup = check_contract(marts.activity(stg), ACTIVITY_SCHEMA, name="activity")
     _concurrently(
-        lambda: write_table(
-            check_contract(marts.fact_events(stg), FACT_SCHEMA, name="fact_events"),
-            paths.gold("fact_events"),
-            partition_by=("event_date",),
-            dynamic_overwrite=dynamic,
-        ),
-        lambda: write_table(
-            check_contract(marts.activity(stg), ACTIVITY_SCHEMA, name="activity"),
-            paths.gold("activity"),
-            partition_by=("event_date",),
-            rebalance=_multi_day(days),
-            dynamic_overwrite=dynamic,
-        ),
+        lambda: replace_days(spark, fact, paths.gold("fact_events"), wanted),
+        lambda: replace_days(spark, rollup, paths.gold("activity"), wanted, _multi_day(days)),
     )
     act = read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA)
     dims = {

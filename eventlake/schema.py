@@ -23,41 +23,28 @@ from pyspark.sql.types import (
 
 CORRUPT_COLUMN = "_corrupt_record"
 
-#: Raw hourly-dump envelope. ``payload`` is read as a string so the reader keeps
-#: the raw nested JSON text (its shape varies per event type).
+#: Raw hourly-dump envelope as landed. Ids and booleans stay text, as dumps
+#: write them either way; Silver casts them. ``payload`` keeps its JSON text.
+
+
+def _texts(*names: str) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
 RAW_SCHEMA = StructType(
     [
-        StructField("id", StringType()),
-        StructField("type", StringType()),
-        StructField(
-            "actor",
-            StructType(
-                [
-                    StructField("id", LongType()),
-                    StructField("login", StringType()),
-                    StructField("display_login", StringType()),
-                    StructField("url", StringType()),
-                ]
-            ),
-        ),
-        StructField(
-            "repo",
-            StructType(
-                [
-                    StructField("id", LongType()),
-                    StructField("name", StringType()),
-                    StructField("url", StringType()),
-                ]
-            ),
-        ),
-        StructField("payload", StringType()),
-        StructField("public", BooleanType()),
-        StructField("created_at", StringType()),
+        *_texts("id", "type").fields,
+        StructField("actor", _texts("id", "login", "display_login", "url")),
+        StructField("repo", _texts("id", "name", "url")),
+        *_texts("payload", "public", "created_at").fields,
     ]
 )
 
-#: Raw envelope plus the column that receives unparseable lines.
-RAW_READ_SCHEMA = StructType(RAW_SCHEMA.fields + [StructField(CORRUPT_COLUMN, StringType())])
+#: The column that keeps each line as it came, so no field is lost at landing.
+RECORD_COLUMN = "record"
+
+#: Raw envelope plus the columns for unparseable lines and for the whole line.
+RAW_READ_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType()), StructField(RECORD_COLUMN, StringType())])
 
 #: Columns Bronze adds on top of the raw envelope.
 BRONZE_EXTRA = StructType(
@@ -72,6 +59,7 @@ BRONZE_EXTRA = StructType(
 #: absent from older files as NULL.
 BRONZE_SCHEMA = StructType(RAW_READ_SCHEMA.fields + BRONZE_EXTRA.fields)
 
+# The Silver contract (names, types, order).
 SILVER_SCHEMA = StructType(
     [
         StructField("event_id", LongType(), nullable=False),
@@ -178,6 +166,7 @@ DIM_DATE_SCHEMA = StructType(
     ]
 )
 
+# Names of the churn features and of the label.
 FEATURE_COLUMNS: tuple[str, ...] = (
     "n_events",
     "n_actors",

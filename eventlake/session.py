@@ -8,6 +8,7 @@ shared folder for intermediate tables from ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def configure(spark: SparkSession, extra: dict[str, str] | None = None) -> Spark
 
 
 def local_session(app_name: str = "eventlake", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and benchmarks (UI off, checkpoint dir set)."""
+    """A local session for tests and benchmarks (UI off, checkpoint folder set)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -43,35 +44,36 @@ def local_session(app_name: str = "eventlake", cores: int | str = "*", shuffle_p
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("EVENTLAKE_DRIVER_MEMORY", "8g"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="eventlake-ckpt-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
-    checkpoint_dir(spark)
-    return spark
+    return configure(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    runs and tests) a private folder under the system temp dir is set.
+    The session is left as it is. Without the setting only a ``local`` master,
+    whose driver and executors are one process, gets a temporary folder; on a
+    cluster executors would each write to a disk of their own, so it is an error.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 -- a remote (Connect) session has no SparkContext handle
         sc = None
-    if sc is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="eventlake-ckpt-")
-    configured = sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) if sc is None else sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="eventlake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None and re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        if sc.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[sc.applicationId] = tempfile.mkdtemp(prefix="eventlake-ckpt-")
+        return _LOCAL_FOLDERS[sc.applicationId]
+    raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
+#: folders of local sessions without the setting, by application
+_LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

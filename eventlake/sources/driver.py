@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.silver import normalize
+from eventlake.schema import BRONZE_SCHEMA
 
 # Test-table event types -> archive event types.
 EVENT_TYPE_MAP: dict[str, str] = {
@@ -101,3 +102,29 @@ def events_with_bad_rows(events: DataFrame) -> DataFrame:
         id_col=F.coalesce(bad_id, F.col("event_id").cast("string")),
         created_col=F.coalesce(bad_ts, F.date_format(F.col("ts"), ISO_FORMAT)),
     )
+
+
+def as_bronze(raw: DataFrame) -> DataFrame:
+    """Raw rows in the types of landed Bronze (missing columns are NULL)."""
+    return raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA.fields])
+
+
+def dump_lines(raw: DataFrame, extra: dict[str, Column] | None = None, text_ids: Column | None = None) -> DataFrame:
+    """One JSON line per raw row, as dumps hold them.
+
+    ``extra``: further top-level members (left out where NULL). ``text_ids``:
+    where true, ids and the public flag are written as strings.
+    """
+    names = ["id", "type", "actor", "repo", "payload", "public", "created_at"]
+    rows = raw.withColumns({k: c for k, c in (extra or {}).items()})
+    members = names + list(extra or {})
+    plain = F.to_json(F.struct(*members))
+    if text_ids is None:
+        return rows.select(plain.alias("value"))
+    as_text = {
+        "actor": F.col("actor").withField("id", F.col("actor.id").cast("string")),
+        "repo": F.col("repo").withField("id", F.col("repo.id").cast("string")),
+        "public": F.col("public").cast("string"),
+    }
+    quoted = F.to_json(F.struct(*[as_text[m].alias(m) if m in as_text else F.col(m) for m in members]))
+    return rows.select(F.when(text_ids, quoted).otherwise(plain).alias("value"))

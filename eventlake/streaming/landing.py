@@ -14,25 +14,21 @@ batch-written files would be invisible to them. Use one form per table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake.schema import BRONZE_SCHEMA, RAW_READ_SCHEMA
+from eventlake.plans.medallion import LakePaths, bronze_to_silver
+from eventlake.schema import BRONZE_SCHEMA
 from eventlake.session import checkpoint_dir
-from eventlake.sources.bronze import with_ingest_columns
+from eventlake.sources.bronze import parse_lines, with_ingest_columns
+from eventlake.sources.tables import table_exists
 
 
 def read_dump_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of ``raw_dir`` for ``*.json.gz`` dumps (explicit schema)."""
-    reader = (
-        spark.readStream.schema(RAW_READ_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("pathGlobFilter", "*.json.gz")
-    )
+    """Streaming scan of ``raw_dir`` for ``*.json.gz`` dumps, read as the batch landing does."""
+    reader = spark.readStream.option("pathGlobFilter", "*.json.gz")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(raw_dir)
+    return parse_lines(reader.text(raw_dir))
 
 
 def start_landing(
@@ -63,51 +59,39 @@ def land_available(
     checkpoint_path: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> int:
-    """Land every dump not yet seen by the checkpoint; return rows landed."""
+    """Land every dump not yet seen by the checkpoint; return rows landed.
+
+    The rows are counted in the sink's committed files (Parquet footers), before
+    and after: progress events of a long run are not all kept. The stream must
+    be the only writer of its table.
+    """
+    before = _rows(spark, bronze_path)
     q = start_landing(spark, raw_dir, bronze_path, checkpoint_path, max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    return _rows(spark, bronze_path) - before
 
 
-def dedup_stream(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Streaming form of the Silver dedup: replays of an ``event_id`` within
-    ``delay`` of its ``created_at`` are dropped; state older than the
-    watermark is purged, so state stays bounded.
+def _rows(spark: SparkSession, path: str) -> int:
+    return spark.read.schema(BRONZE_SCHEMA).parquet(path).count() if table_exists(spark, path) else 0
 
-    Unlike the batch :func:`eventlake.operators.silver.deduplicate` (latest
-    ingest wins) the stream keeps the first copy to arrive; replayed dumps
-    carry identical events, so only ``_ingested_at`` can differ. Rows older
-    than the watermark are late and dropped, so ``delay`` must cover how late
-    a dump may be landed."""
-    return events.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["event_id"])
 
+def bronze_stream_to_silver(spark: SparkSession, paths: LakePaths, checkpoint_path: str | None = None) -> StreamingQuery:
+    """Incremental Bronze -> Silver: each micro-batch rebuilds the days it has rows of.
 
-def bronze_stream_to_silver(
-    spark: SparkSession,
-    bronze_path: str,
-    silver_path: str,
-    checkpoint_path: str | None = None,
-    delay: str = "1 day",
-) -> StreamingQuery:
-    """Incremental Bronze -> Silver: normalise, watermark-dedup, append.
-
-    The dedup state holds the ids of the last ``delay``; at archive scale
-    (about 10^8 events a day) use the RocksDB state store provider
-    (``spark.sql.streaming.stateStore.providerClass``) so it lives off-heap.
+    The days come from the new files, the rows of those days from Bronze as a
+    whole, through the batch job: late dumps of any age are merged, replays are
+    deduplicated as in the batch form, nothing is dropped for being old, and no
+    state is kept beside the tables. A batch that fails is run again and gives
+    the same tables.
     """
-    from eventlake.operators.silver import normalize, to_contract  # local: avoid cycle
-
-    stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_path)
-    out = to_contract(dedup_stream(normalize(stream), delay).withColumn("_silver_processed_at", F.current_timestamp()))
     ckpt = checkpoint_path or f"{checkpoint_dir(spark).rstrip('/')}/eventlake-silver"
-    return (
-        out.writeStream.format("parquet")
-        .option("path", silver_path)
-        .option("checkpointLocation", ckpt)
-        .partitionBy("event_date")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def merge(batch: DataFrame, _: int) -> None:
+        days = [r.event_date for r in batch.select("event_date").distinct().collect()]  # one row per day
+        if days:
+            bronze_to_silver(batch.sparkSession, paths, sorted(d for d in days if d is not None))
+
+    stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(paths.bronze)
+    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt).trigger(availableNow=True).start()

@@ -20,7 +20,11 @@ def test_read_adds_ingest_columns(spark, hour_files):
     assert len(rows) == 10
     assert {r.event_date for r in rows} == {dt.date(2024, 1, 1)}
     # payload keeps the raw nested JSON text
-    assert json.loads(rows[0].payload) == {"ref": "refs/heads/main", "size": 1}
+    first = min(rows, key=lambda r: int(r.id))
+    assert json.loads(first.payload) == {"size": 0, "ref": "refs/heads/b0"}
+    # and the line keeps what the envelope does not name
+    assert all(json.loads(r.record)["id"] == r.id for r in rows)
+    assert sum("org" in json.loads(r.record) for r in rows) == 5
 
 
 def test_empty_path_list_rejected(spark):
@@ -93,26 +97,26 @@ def test_fixture_files_are_valid_gzip_jsonl(tmp_path):
     assert os.path.basename(files[0]) == "2024-01-01-0.json.gz"
 
 
-def test_schema_growth_reads_with_merge(spark, tmp_path):
+def test_new_fields_and_text_ids_survive_landing(spark, tmp_path):
+    from eventlake.operators.silver import normalize
+
+    target = str(tmp_path / "bronze")
+    bronze.land(spark, [str(write_hour(tmp_path / "raw", dt.date(2024, 1, 1), 0, 8))], target)
+    rows = bronze.read_bronze(spark, target)
+    assert rows.where("get_json_object(record, '$.org.login') is not null").count() == 4
+    assert rows.where("get_json_object(record, '$.actor.avatar_url') is not null").count() == 4
+    out = normalize(rows)
+    assert out.count() == 8
+    assert out.where("actor_id is null or repo_id is null or public is null or not public").count() == 0
+
+
+def test_own_columns_read_with_merge(spark, tmp_path):
     target = str(tmp_path / "bronze")
-    p1 = write_hour(tmp_path / "raw1", dt.date(2024, 1, 1), 0, 2)
-    bronze.land(spark, [str(p1)], target)
-    grown = event(dt.date(2024, 1, 2), 0, 0)
-    grown["org"] = {"id": 7, "login": "org7"}
-    p2 = tmp_path / "raw2" / "2024-01-02-0.json"
-    p2.parent.mkdir()
-    p2.write_text(json.dumps(grown) + "\n")
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-    from eventlake.schema import RAW_READ_SCHEMA
-
-    org = StructType([StructField("id", LongType()), StructField("login", StringType())])
-    grown_schema = StructType(RAW_READ_SCHEMA.fields + [StructField("org", org)])
-    df = bronze.with_ingest_columns(bronze.read_events(spark, [str(p2)], schema=grown_schema))
-    bronze.write_bronze(df, target, mode="append")
-    merged = bronze.read_bronze(spark, target)
-    assert "org" in merged.columns
-    assert merged.count() == 3
+    df = bronze.with_ingest_columns(bronze.read_events(spark, [str(write_hour(tmp_path / "raw", dt.date(2024, 1, 1), 0, 2))]))
+    bronze.write_bronze(df, target)
+    bronze.write_bronze(df.selectExpr("*", "7 as extra").withColumn("event_date", df.event_date + 1), target)
+    merged = bronze.read_bronze_merged(spark, target)
+    assert "extra" in merged.columns and merged.count() == 4
 
 
 def test_hour_coverage_reports_missing_hours(spark, tmp_path):

@@ -29,7 +29,7 @@ def test_dims_from_month(spark, month_lake):
     assert repos.count() == 600 and actors.count() == 600
     assert repos.where("total_events <> 1").count() == 0
     totals = repos.agg(*[F.sum(c).alias(c) for c in ("push_events", "pr_events", "issue_events", "watch_events", "fork_events")]).first()
-    assert list(totals) == [120] * 5
+    assert list(totals) == [360, 0, 0, 240, 0]  # push, pull request, issue, watch, fork
     assert dates.count() == 30
     weekend = sorted(r.date_key.day for r in dates.where("is_weekend").collect())
     assert weekend == [6, 7, 13, 14, 20, 21, 27, 28]

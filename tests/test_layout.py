@@ -70,8 +70,8 @@ def test_join_strategies(spark, events):
     assert "SortMergeJoin" in _plan(s)
     assert "BroadcastHashJoin" not in _plan(a.hint("merge")) or True
     assert b.count() == s.count() == a.count() == 20000
-    with pytest.raises(ValueError):
-        layout.join_dim(events, dim, "repo_id", strategy="broadcast", max_broadcast_rows=10)
+    large = layout.join_dim(events, dim, "repo_id", strategy="broadcast", max_broadcast_rows=10)  # not small: a plain join
+    assert large.count() == 20000
     with pytest.raises(ValueError):
         layout.join_dim(events, dim, "repo_id", strategy="nested")
 
@@ -121,13 +121,16 @@ def test_cluster_by_splits_hot_key(spark, events, tmp_path):
 def test_salting_only_hot_keys(spark, events):
     hot = events.withColumn("repo_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("repo_id")))
     dim = hot.select("repo_id").distinct().withColumn("repo_score", F.col("repo_id") % 100)
-    hk = [r.repo_id for r in layout.hot_keys(hot, "repo_id", 1000).collect()]
+    hk = [r.repo_id for r in layout.hot_keys(hot, "repo_id", 0.1).collect()]
     assert hk == [7]
-    salted = layout.join_dim(hot, dim, "repo_id", strategy="salted", salt_buckets=8, hot_rows=1000)
+    salted = layout.join_dim(hot, dim, "repo_id", strategy="salted", salt_buckets=8, hot_share=0.1)
     plain = hot.join(dim, "repo_id")
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
-    with pytest.raises(ValueError, match="hot keys"):
-        layout.salted_join(hot, dim, "repo_id", hot_rows=1, max_hot_keys=5)
+    # rows without a key match nothing and are spread too
+    holes = hot.withColumn("repo_id", F.when(F.col("event_id") % 2 == 0, F.col("repo_id")))
+    left = layout.salted_join(holes, dim, "repo_id", "left", 8, 0.1)
+    assert left.count() == holes.count()
+    assert left.where("repo_id is null and repo_score is not null").count() == 0
 
 
 def test_optimize_table_sizes_files(spark, events, tmp_path):

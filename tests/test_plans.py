@@ -64,17 +64,25 @@ def test_top_repos_is_take_ordered(stg):
     assert "TakeOrderedAndProject" in _plan(marts.top_repos(marts.dim_repo(stg)))
 
 
-def test_dedup_by_exception_unique_branch_has_no_exchange(spark):
+def test_dedup_by_exception_has_no_hint(spark):
     from eventlake.operators import silver
 
     rows = silver.normalize(driver.events_as_raw(driver.load_events(spark, SF_SMALL)))
-    dups = spark.createDataFrame([(1,), (2,)], "event_id long")
-    plan = _plan(silver.deduplicate_by_exception(rows, dups))
-    lines = plan.splitlines()
-    # the Union's first child is the unique-id branch: everything up to the
-    # second child (the window branch) must be free of shuffles
-    second = next(i for i, line in enumerate(lines) if line.startswith("   +- "))
-    first_branch = "\n".join(lines[:second])
-    assert "Union" in lines[1]
-    assert "Exchange hashpartitioning" not in first_branch
-    assert "Window" in "\n".join(lines[second:])
+    out = silver.deduplicate_by_exception(rows, silver.duplicate_ids(rows))
+    logical = out._jdf.queryExecution().logical().toString()
+    assert "Join LeftOuter" in logical and "ResolvedHint" not in logical
+    assert out.count() == rows.count()
+
+
+def test_sql_orphan_checks_count_before_the_join(spark):
+    from eventlake.plans import sql_models
+
+    sql_models.create_views(spark, silver_rows(spark))
+    plan = _plan(sql_models.validate(spark, "orphans_repo"))
+    assert plan.index("LeftAnti") < plan.index("partial_count")
+
+
+def silver_rows(spark):
+    return driver.events_as_silver(driver.load_events(spark, SF_SMALL))
+
+

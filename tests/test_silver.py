@@ -23,9 +23,8 @@ def test_normalize_schema_and_first_row(spark, day_files):
     df = silver.normalize(_bronze(spark, day_files))
     assert tuple(df.columns) == SILVER_COLUMNS
     first = df.orderBy("event_id").first()
-    assert first.event_id == 0
-    assert first.event_hour == 0
-    assert first.repo_name.endswith("/repo")
+    assert (first.event_id, first.event_hour) == (7, 0)
+    assert (first.actor_id, first.repo_id, first.repo_name, first.public) == (18, 21, "team/project-7", True)
     assert first.payload_json.startswith("{")
     assert first.created_at == dt.datetime(2024, 1, 1, 0, 0)
     assert df.count() == 15
@@ -64,7 +63,7 @@ def test_malformed_rows_are_dropped_and_quarantined(spark, tmp_path):
     path.write_text("\n".join(json.dumps(e) for e in (good, bad_id, bad_ts, no_type, nulls)) + "\n")
     raw = _bronze(spark, [str(path)])
     kept = silver.normalize(raw).orderBy("event_id").collect()
-    assert [r.event_id for r in kept] == [0, 4]
+    assert [r.event_id for r in kept] == [7, 11]
     assert kept[1].actor_id is None and kept[1].repo_id is None
     reasons = sorted(r.reason for r in silver.rejects(raw).collect())
     assert reasons == ["created_at", "event_id", "event_type"]
@@ -141,23 +140,33 @@ def test_dedup_by_exception_equals_window_dedup(spark, tmp_path):
     assert "BroadcastHashJoin" in plan
 
 
-def test_bronze_to_silver_falls_back_to_window(spark, hour_files, tmp_path):
+def test_bronze_to_silver_dedup_forms(spark, hour_files, tmp_path):
     paths = LakePaths(str(tmp_path / "lake"))
     bronze.land(spark, hour_files, paths.bronze)
     bronze.land(spark, hour_files, paths.bronze)
-    res = bronze_to_silver(spark, paths, max_broadcast_dup_ids=0)  # 10 dup ids > 0: plain window path
-    assert res.written_rows == 10
-    res = bronze_to_silver(spark, paths)  # half the rows are copies: share too high, window path
-    assert res.written_rows == 10
-    res = bronze_to_silver(spark, paths, max_dup_share=1.0)  # broadcast path
-    assert res.written_rows == 10
-    res = bronze_to_silver(spark, paths, dedup="window")  # single scan, full shuffle
-    assert (res.input_rows, res.written_rows) == (20, 10)
-    assert spark.read.parquet(paths.silver).count() == 10
+    for form in ("window", "exception"):
+        res = bronze_to_silver(spark, paths, dedup=form)
+        assert (res.input_rows, res.rejected_rows, res.written_rows) == (20, 0, 10)
+        assert spark.read.parquet(paths.silver).count() == 10
     with pytest.raises(ValueError):
         bronze_to_silver(spark, paths, dedup="hash")
 
 
+def test_quarantine_is_the_complement_and_reruns_alike(spark, tmp_path):
+    day = dt.date(2024, 1, 1)
+    lines = [json.dumps(dict(event(day, 0, 1), id="x7")), json.dumps(dict(event(day, 0, 2), created_at="yesterday")), "{broken", json.dumps(dict(event(day, 0, 3), actor="odd shape"))]
+    files = [str(write_hour(tmp_path / "raw", day, 0, 1, lines)), str(write_hour(tmp_path / "raw", dt.date(2024, 1, 2), 0, 2))]
+    paths = LakePaths(str(tmp_path / "lake"))
+    bronze.land(spark, files, paths.bronze)
+    runs = [None, ["2024-01-01"], ["2024-01-01", "2024-01-02"], ["2024-01-02"]]
+    for days in runs:
+        res = bronze_to_silver(spark, paths, days)
+        bad = spark.read.parquet(paths.quarantine)
+        assert sorted(r.reason for r in bad.collect()) == ["corrupt_record", "created_at", "event_id"]
+        assert spark.read.parquet(paths.silver).count() == 4
+        assert res.rejected_rows == (3 if days is None or "2024-01-01" in days else 2)
+
+
 def test_full_rebuild_replaces_even_under_session_dynamic_mode(spark, tmp_path):
     rows = [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))]
     from eventlake.sources.tables import write_table
@@ -178,9 +187,9 @@ def test_full_rebuild_replaces_even_under_session_dynamic_mode(spark, tmp_path):
 
 
 def test_inferred_schema_payload_is_serialised(spark, day_files):
-    raw = bronze.with_ingest_columns(bronze.read_events(spark, day_files, schema=None))
+    raw = bronze.with_ingest_columns(bronze.read_events(spark, day_files, infer=True))
     assert raw.schema["payload"].dataType.typeName() == "struct"
     rows = silver.normalize(raw).orderBy("event_id").collect()
     assert len(rows) == 15
-    assert json.loads(rows[0].payload_json) == {"ref": "refs/heads/main", "size": 1}
-    assert rows[0].actor_id == 1 and rows[0].repo_id == 1000
+    assert json.loads(rows[0].payload_json) == {"size": 0, "ref": "refs/heads/b0"}
+    assert rows[0].actor_id == 18 and rows[0].repo_id == 21
