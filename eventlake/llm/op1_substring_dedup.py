@@ -129,7 +129,7 @@ def _automaton(phrases: dict[tuple[int, ...], int]) -> ahocorasick.Automaton:
     return made
 
 
-def _locate(width: int, run: int):
+def _locate(width: int, run: int, carried: list[str]):
     def fn(docs, told):
         w = Windows(docs, width, run)
         kinds = t.ids(told["kind"])
@@ -169,14 +169,22 @@ def _locate(width: int, run: int):
             "n_words": pa.array(np.bincount(w.row, minlength=n).astype(np.int64)),
             "n_removed": pa.array(np.bincount(w.row[go], minlength=n).astype(np.int64)),
             "kept_text": t.join_words(w.buf, w.starts[keep], w.ends[keep], w.row[keep], n),
+            **{c: docs[c] for c in carried},
         })
 
     return fn
 
 
-def substring_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_text of every row of ``docs`` (doc_id, text)."""
-    blocks, _, slots = in_blocks(docs, block_bytes)
+def substring_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, block_bytes: int = BLOCK_BYTES, carry: list[str] | None = None) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_text of every row of ``docs`` (doc_id, text).
+
+    With ``carry`` the row's columns of these names come along as a struct ``_row``.
+    """
+    carried = [] if carry is None else ["_row"]
+    if carry is not None:
+        docs = docs.withColumn("_row", F.struct(*carry))
+    blocks, _, slots = in_blocks(docs, block_bytes, *carried)
+    out = OUT + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carried)
     asked = blocks.groupBy("block").applyInArrow(_ask_anchors(width, run, slots), ASKED)
     again = asked.groupBy("slot").applyInArrow(recurring, TOLD)
     windows = blocks.groupBy("block").cogroup(again.groupBy("slot")).applyInArrow(
@@ -187,7 +195,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, block_b
     told = again.select("slot", F.lit(0).alias("kind"), "hash", none.alias("h1"), none.alias("h2"), none.alias("doc")).unionAll(
         owners.select("slot", F.lit(1), none, "h1", "h2", "doc")
     )
-    return blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_locate(width, run), OUT)
+    return blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_locate(width, run, carried), out)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +206,6 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents with the repeated words cut out of their texts."""
-    kept = substring_dedup(docs).select("doc_id", F.col("kept_text").alias("_kept"))
-    rest = [c for c in docs.columns if c not in ("text", "n_chars")]
-    out = docs.select(*rest).join(kept, "doc_id").withColumn("text", F.col("_kept")).withColumn("n_chars", F.length("_kept").cast("long"))
-    return out.select(*docs.columns)
+    kept = substring_dedup(docs, carry=[c for c in docs.columns if c != "text"])
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return kept.select(*[(new[c] if c in new else F.col("_row")[c]).alias(c) for c in docs.columns])
