@@ -1,6 +1,6 @@
 """Deterministic synthetic events for layout benchmarks.
 
-Same shape as the reference benchmark input -- ``event_id`` 0..n-1, type
+Shape of the layout benchmark input: ``event_id`` 0..n-1, type
 alternating Push / PullRequest, ``repo_id`` in ``[0, n_repos)``,
 ``event_date`` cycling over 28 days of January 2024, ``event_hour = i % 24``
 -- but generated by ``spark.range`` on the executors (no driver-side list),

@@ -125,7 +125,7 @@ def main() -> None:
         (
             "Salted join (hot keys only)",
             "Join keys are (repo_id, _salt); only hot repositories get salts and replicated dimension rows.",
-            layout.join_dim(fact, dim, "repo_id", strategy="salted", hot_rows=max(1, events.count() // 95)),
+            layout.join_dim(fact, dim, "repo_id", strategy="salted", hot_share=1 / 95),
         ),
     ]
     print("# PLANS\n")

@@ -127,7 +127,7 @@ def main() -> None:
         "orphan_check": validation.orphan_summary(fact, dim, "repo_id"),
         "unique_event_id": quality.evaluate(slv, [quality.unique("event_id")], "silver"),
         "join_sort_merge_aqe": layout.join_dim(fact, dim, "repo_id", strategy="shuffle"),
-        "join_salted_hot_keys": layout.join_dim(fact, dim, "repo_id", strategy="salted", hot_rows=n // 10),
+        "join_salted_hot_keys": layout.join_dim(fact, dim, "repo_id", strategy="salted", hot_share=0.1),
         "join_broadcast": layout.join_dim(fact, dim, "repo_id", strategy="broadcast"),
     }
     rows_out = {}
