@@ -8,8 +8,8 @@ the sum of the larger ones. Method:
 
 1. Places: at similarity 0.75 at most a seventh of an item's n shingles is
    lost, and each lost word loses one at least. So of the n // 7 + 3 longest
-   distinct words of an item all but n // 7 stand in the document, and they
-   place the window to within n // 7 words.
+   distinct words of an item all but n // 7 stand in the window, each within
+   n // 7 words of its place; only places on which so many agree are looked at.
 2. The windows of the item's size at these places get a 64-bit SimHash of their
    words.
 3. Multi-index: fingerprints are cut into 16 blocks of 4 bits; the items'
@@ -29,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventlake.llm.components import written
+
 SHINGLE = 5
 THRESHOLD = 0.75
 RADIUS = 20
@@ -96,16 +98,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     at = texts.select("doc_id", F.posexplode(_words("text")).alias("pos", "word"))
     hit = at.join(_small(anchor), "word")
-    enough = hit.groupBy("doc_id", "item_id", "m", "need").agg(F.countDistinct("word").alias("found"), F.collect_set(F.struct((F.col("pos") - F.col("offset")).alias("place"), "lost")).alias("places"))
-    place = enough.where("found >= need").select("doc_id", "m", F.explode("places").alias("p"))
-    place = place.select("doc_id", "m", F.explode(F.sequence(F.col("p.place") - F.col("p.lost"), F.col("p.place") + F.col("p.lost"))).alias("start")).distinct()
-
-    # 2. fingerprints of the windows there
+    # a place counts if enough of the item's words agree on it
+    enough = hit.groupBy("doc_id", "item_id").agg(F.countDistinct("word").alias("found"), F.max("need").alias("least")).where("found >= least")
+    near = hit.join(enough.select("doc_id", "item_id"), ["doc_id", "item_id"])
+    start = F.explode(F.sequence(F.col("pos") - F.col("offset") - F.col("lost"), F.col("pos") - F.col("offset") + F.col("lost")))
+    place = near.select("doc_id", "item_id", "m", "need", "word", start.alias("start")).groupBy("doc_id", "item_id", "m", "need", "start")
+    place = place.agg(F.countDistinct("word").alias("found")).where("found >= need").select("doc_id", "m", "start").distinct()
+
+    # 2. fingerprints of the windows there; the words of a text are made once and kept with the few texts that have places
     wanted = place.groupBy("doc_id").agg(F.collect_set(F.struct("m", "start")).alias("windows"))
-    window = texts.join(wanted, "doc_id").select("doc_id", words_of("text").alias("all"), F.explode("windows").alias("w"))
-    inside = F.greatest(F.least(F.col("w.start"), F.size("all") - F.col("w.m")), F.lit(0))
-    window = window.select("doc_id", F.col("w.m").alias("m"), inside.alias("start"), "all").select("doc_id", "m", "start", F.expr("slice(all, start + 1, m)").alias("words")).distinct()
-    window = window.withColumn("wid", F.xxhash64("doc_id", "m", "start", "words"))
+    split = written(texts.join(wanted, "doc_id").select("doc_id", "windows", _words("text").alias("all")), "decontaminate-texts")
+    inside = lambda w: F.greatest(F.least(w["start"], F.size("all") - w["m"]), F.lit(0))
+    cut = F.transform("windows", lambda w: F.struct(w["m"].alias("m"), inside(w).alias("start"), F.slice("all", inside(w) + 1, w["m"]).alias("words")))
+    window = split.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.m", "w.start", "w.words").distinct()
+    window = written(window.withColumn("wid", F.xxhash64("doc_id", "m", "start", "words")), "decontaminate-windows")
     prints = _fingerprint(window.select("wid", "m", F.explode("words").alias("word")), ["wid", "m"])
     item_prints = _fingerprint(word.select("item_id", "m", "word"), ["item_id", "m"])
 
