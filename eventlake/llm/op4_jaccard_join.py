@@ -18,9 +18,14 @@ documents link when 100 * intersection >= 75 * union. Method:
    slack allows is not covered by its exact keys; between such sets the segments
    are keyed again with their one-deletion neighbourhoods (two differences a
    segment are needed to miss them). What even that does not cover is compared
-   through its rarest shingles (prefix filter), which needs no key group at all.
-5. Candidates are verified exactly on their whole sets. Sets that are already
-   connected are not compared again: a component needs no further link.
+   through its rarest shingles (prefix filter), which needs no key group at all:
+   first with a few sets chosen by hash, which connects crowds of near copies,
+   then with every set that is still apart from it.
+5. A parity sketch of each set (bit = parity of the shingles hashed to it) bounds
+   the difference from below: two sets differ in at least as many shingles as
+   their sketches in bits, so most candidates go without their texts being moved
+   (sound). The others are verified exactly on their whole sets. Sets that are
+   already connected are not compared again: a component needs no further link.
 
 Null and empty texts have the empty set: n_shingles 0, their own component.
 Rows that share a doc_id are one node. Rows without doc_id are left out.
@@ -28,6 +33,8 @@ Rows that share a doc_id are one node. Rows without doc_id are left out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,6 +48,11 @@ SHINGLE = 5
 CROWD = 32
 #: share of the shingle universe that is counted in step 2 (must exceed a quarter)
 COUNTED = 0.32
+SKETCH = 2048
+#: comparisons of a crowded set in one turn, and turns, before all that is left is compared
+PIVOTS, TURNS = 4, 4
+#: sets of one shingle that meet in one list, at most twice as many
+PART = 1024
 _COUNTED_BELOW = np.uint64(int(COUNTED * 2**64))
 
 
@@ -109,6 +121,13 @@ def _ask(slots: int):
     return fn
 
 
+def sketches(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
+    """Parity sketch of every row's set, SKETCH bits as 64-bit integers."""
+    bit = (t.mix(h) >> np.uint64(20)) % np.uint64(SKETCH)
+    odd = np.bincount(row * SKETCH + bit.astype(np.int64), minlength=n_rows * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n_rows, SKETCH), axis=1, bitorder="little").view(np.int64)
+
+
 def _keep(docs, told):
     """Classes that share enough shingles with others to have a partner."""
     kind = t.ids(told["kind"])
@@ -121,7 +140,12 @@ def _keep(docs, told):
     shared = t.has(np.sort(np.concatenate([own[multi], pick(1)])), h[use])
     alone = np.bincount(row[use][~shared], minlength=len(ids))
     at = np.flatnonzero((4 * alone <= n) & (n >= 3))
-    return pa.table({"doc_id": pa.array(ids[at]), "n": pa.array(n[at].astype(np.int64)), "text": text.take(pa.array(at))})
+    place = np.full(len(ids), -1)
+    place[at] = np.arange(len(at))
+    mine = place[row] >= 0
+    sketch = sketches(place[row[mine]], h[mine], len(at))
+    lists = pa.FixedSizeListArray.from_arrays(pa.array(sketch.ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
+    return pa.table({"doc_id": pa.array(ids[at]), "n": pa.array(n[at].astype(np.int64)), "sketch": lists, "text": text.take(pa.array(at))})
 
 
 def _schemes(n: np.ndarray):
@@ -211,19 +235,21 @@ def _groups(crowd: int):
         g = t.group_starts(key)
         size = np.diff(np.concatenate([g, [len(key)]]))
         lists: set[tuple[int, ...]] = set()
+        stars: set[tuple[int, ...]] = set()
         for a, n in zip(g[size > 1].tolist(), size[size > 1].tolist(), strict=True):
             members = doc[a : a + n].tolist()
             if n <= crowd:
                 lists.add(tuple(members))
             else:
-                lists.update((members[0], *members[i : i + crowd - 1]) for i in range(1, n, crowd - 1))
+                stars.update((members[0], *members[i : i + crowd - 1]) for i in range(1, n, crowd - 1))
         bad = np.repeat(size > crowd, size)
-        lists = sorted(lists)
+        none = np.zeros(len(lists) + len(stars), np.int64)
         nb = int(bad.sum())
         return pa.table({
-            "docs": pa.array([*lists, *[None] * nb], pa.list_(pa.int64())),
-            "doc": pa.array(np.concatenate([np.zeros(len(lists), np.int64), doc[bad]])),
-            "place": pa.array(np.concatenate([np.zeros(len(lists), np.int64), place[bad]])),
+            "docs": pa.array([*sorted(lists), *sorted(stars), *[None] * nb], pa.list_(pa.int64())),
+            "whole": pa.array(np.arange(len(none) + nb) < len(lists)),
+            "doc": pa.array(np.concatenate([none, doc[bad]])),
+            "place": pa.array(np.concatenate([none, place[bad]])),
         })
 
     return fn
@@ -231,7 +257,7 @@ def _groups(crowd: int):
 
 def _key_groups(kept: DataFrame, slots: int, crowd: int, deletions: bool) -> DataFrame:
     dealt = kept.select("doc_id", "text").mapInArrow(_deal_keys(slots, deletions), "slot int, key array<bigint>, doc array<bigint>, place array<bigint>")
-    return written(dealt.groupBy("slot").applyInArrow(_groups(crowd), "docs array<bigint>, doc long, place long").distinct(), "jaccard-groups")
+    return written(dealt.groupBy("slot").applyInArrow(_groups(crowd), "docs array<bigint>, whole boolean, doc long, place long").distinct(), "jaccard-groups")
 
 
 def _uncovered(kept: DataFrame, groups: DataFrame, deletions: bool) -> DataFrame:
@@ -259,25 +285,50 @@ def _verify(pairs: DataFrame, kept: DataFrame) -> DataFrame:
                 ok = pa.array(100 * both >= 75 * (na + nb - both))
                 yield pa.record_batch([batch.column(c).slice(i, j - i).filter(ok) for c in ("a", "b")], ["a", "b"])
 
-    left = kept.select(F.col("doc_id").alias("a"), F.col("n").alias("na"))
-    right = kept.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    # sizes first: the texts of hopeless pairs are not moved
-    near = pairs.join(left, "a").join(right, "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)").select("a", "b")
+    side = lambda x: kept.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    # sizes and sketches first: the texts of hopeless pairs are not moved
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)").where(7 * apart <= F.col("na") + F.col("nb")).select("a", "b")
     texts = near.join(kept.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(kept.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
     return written(texts.select("a", "b", "ta", "tb").mapInArrow(fn, "a long, b long"), "jaccard-links")
 
 
-def _pairs(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different labels within the groups."""
-    member = groups.select(F.xxhash64("docs").alias("g"), F.col("docs")[0].alias("g0"), F.explode("docs").alias("doc"))
+def _possible(batches):
+    """Pairs of each group whose labels differ and whose sizes and sketches allow a link."""
+    for batch in batches:
+        m = batch.column("m")
+        size = t.lengths(m)
+        x = m.flatten()
+        doc, label, n = (x.field(k).to_numpy() for k in ("doc", "label", "n"))
+        sketch = x.field("sketch").flatten().to_numpy().reshape(-1, SKETCH // 64)
+        after = np.repeat(np.cumsum(size), size) - np.arange(len(doc)) - 1
+        for a in range(0, len(doc), 512):
+            count = after[a : a + 512]
+            i = np.repeat(np.arange(a, a + len(count)), count)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+            ok = (label[i] != label[j]) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
+            i, j = i[ok], j[ok]
+            apart = np.zeros(len(i), np.int64)
+            for c in range(0, len(i), 1 << 16):
+                apart[c : c + (1 << 16)] = np.bitwise_count(sketch[i[c : c + (1 << 16)]] ^ sketch[j[c : c + (1 << 16)]]).sum(1, dtype=np.int64)
+            ok = 7 * apart <= n[i] + n[j]
+            i, j = i[ok], j[ok]
+            pairs = np.unique(np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], 1), axis=0)
+            yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _pairs(groups: DataFrame, kept: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different labels within the whole groups that may link."""
+    member = groups.where("whole").select(F.xxhash64("docs").alias("g"), F.col("docs")[0].alias("g0"), F.explode("docs").alias("doc"))
     member = member.join(labels, member.doc == labels.node, "left").select("g", "g0", "doc", F.coalesce("label", "doc").alias("label"))
-    mixed = member.groupBy("g", "g0").agg(F.collect_list(F.struct("doc", "label")).alias("m")).where(F.size(F.array_distinct("m.label")) > 1)
-    x = mixed.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y"))
-    return x.where("x.doc < y.doc and x.label <> y.label").select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    mixed = member.groupBy("g", "g0").agg(F.collect_list(F.struct("doc", "label")).alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    info = kept.select(F.col("doc_id").alias("doc"), "n", "sketch")
+    told = mixed.select("g", "g0", F.explode("m").alias("x")).select("g", "g0", "x.doc", "x.label").join(info, "doc")
+    return told.groupBy("g", "g0").agg(F.collect_list(F.struct("doc", "label", "n", "sketch")).alias("m")).select("m").mapInArrow(_possible, "a long, b long").distinct()
 
 
-def _rarest(kept: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different labels that share one of their rarest shingles (as many as a linked pair must share one of)."""
+def _rarest(kept: DataFrame) -> DataFrame:
+    """(h, doc, n): each set's rarest shingles, as many as a linked pair must share one of, without those nobody shares."""
 
     def fn(batches):
         for batch in batches:
@@ -292,10 +343,39 @@ def _rarest(kept: DataFrame, labels: DataFrame) -> DataFrame:
     often = rows.groupBy("h").agg(F.count("*").alias("c"))
     by_rarity = Window.partitionBy("doc").orderBy("c", "h")
     prefix = rows.join(often, "h").withColumn("k", F.row_number().over(by_rarity)).where("k <= n - (3 * n + 3) div 4 + 1 and c > 1")
-    prefix = prefix.join(labels, prefix.doc == labels.node, "left").select("h", "doc", "n", F.coalesce("label", "doc").alias("label"))
-    other = prefix.select("h", F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    found = prefix.join(other, "h").where("doc < b and label <> lb and 4 * least(n, nb) >= 3 * greatest(n, nb)")
-    return found.select(F.col("doc").alias("a"), "b").distinct()
+    return written(prefix.select("h", "doc", "n"), "jaccard-rarest")
+
+
+def _labelled(prefix: DataFrame, labels: DataFrame) -> DataFrame:
+    return prefix.join(labels, prefix.doc == labels.node, "left").select("h", "doc", "n", F.coalesce("label", "doc").alias("label"))
+
+
+def _pivots(prefix: DataFrame, labels: DataFrame, seeds: list[int]) -> DataFrame:
+    """Pairs of each set with a few sets, chosen by hash, that share one of its rarest shingles and have another label."""
+    rows = _labelled(prefix, labels)
+    chosen = [F.min_by(F.struct("doc", "n", "label"), F.xxhash64("doc", F.lit(seed))) for seed in seeds]
+    pivots = rows.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array_distinct(F.array(*chosen)).alias("p"))
+    pivots = pivots.where("low < high").select("h", F.explode("p").alias("p"))
+    found = rows.join(pivots, "h").where("label <> p.label and 4 * least(n, p.n) >= 3 * greatest(n, p.n)")
+    return found.select(F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b")).distinct()
+
+
+def _rest_pairs(prefix: DataFrame, kept: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different labels that share one of their rarest shingles and may link.
+
+    The sets of a shingle are dealt into parts of at most ``PART`` sets, and
+    every two parts meet in one list, so a list is of bounded size; the pairs are
+    made and tested by sketch inside the tasks.
+    """
+    rows = _labelled(prefix, labels)
+    often = rows.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    rows = rows.join(often.where("low < high").select("h", "parts"), "h")
+    mine = F.pmod(F.xxhash64("doc"), "parts").cast("int")
+    dealt = rows.withColumn("mine", mine).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("h", F.least("mine", "k").alias("i"), F.greatest("mine", "k").alias("j"), "doc", "label")
+    told = dealt.join(kept.select(F.col("doc_id").alias("doc"), "n", "sketch"), "doc")
+    lists = told.groupBy("h", "i", "j").agg(F.collect_list(F.struct("doc", "label", "n", "sketch")).alias("m"))
+    return lists.where("size(m) > 1").select("m").mapInArrow(_possible, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, crowd: int = CROWD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -308,7 +388,7 @@ def jaccard_components(docs: DataFrame, crowd: int = CROWD, block_bytes: int = B
     asked = blocks.groupBy("block").cogroup(reps.groupBy("slot")).applyInArrow(_ask(slots), ASKED)
     again = asked.groupBy("slot").applyInArrow(recurring, TOLD)
     told = reps.select("slot", F.lit(0).alias("kind"), "hash").unionAll(again.select("slot", F.lit(1), "hash"))
-    kept = written(blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_keep, "doc_id long, n long, text string"), "jaccard-kept")
+    kept = written(blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_keep, "doc_id long, n long, sketch array<bigint>, text string"), "jaccard-kept")
 
     groups = _key_groups(kept, slots, crowd, False)
     listed = groups.where("docs is not null")
@@ -317,15 +397,25 @@ def jaccard_components(docs: DataFrame, crowd: int = CROWD, block_bytes: int = B
     labels = components(links)
 
     # what the least member of a group does not connect
-    more = _pairs(listed, labels)
     left = written(_uncovered(kept, groups, False), "jaccard-uncovered")
+    wider, prefix = [], None
     if not left.isEmpty():
         rest = written(kept.join(left, "doc_id", "left_semi"), "jaccard-rest")
         near = _key_groups(rest, slots, crowd, True)
+        wider = [near.where("docs is not null")]
         last = written(_uncovered(rest, near, True), "jaccard-last")
-        more = more.unionAll(_pairs(near.where("docs is not null"), labels))
         if not last.isEmpty():
-            more = more.unionAll(_rarest(rest.join(last, "doc_id", "left_semi"), labels))
+            prefix = _rarest(rest.join(last, "doc_id", "left_semi"))
+            # crowds of near copies: a few comparisons a set connect nearly all of them
+            for turn in range(TURNS):
+                found = _verify(_pivots(prefix, labels, [PIVOTS * turn + i for i in range(PIVOTS)]), kept)
+                if found.isEmpty():
+                    break
+                links = links.unionAll(found)
+                labels = components(links)
+    more = reduce(DataFrame.unionAll, [_pairs(g, kept, labels) for g in (listed, *wider)])
+    if prefix is not None:
+        more = more.unionAll(_rest_pairs(prefix, kept, labels))
     more = written(more.distinct().join(star, ["a", "b"], "left_anti"), "jaccard-more")
     if not more.isEmpty():
         labels = components(links.unionAll(_verify(more, kept)))
