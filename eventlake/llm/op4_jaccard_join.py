@@ -50,7 +50,7 @@ CROWD = 32
 COUNTED = 0.32
 SKETCH = 2048
 #: comparisons of a crowded set in one turn, and turns, before all that is left is compared
-PIVOTS, TURNS = 4, 4
+PIVOTS, TURNS = 4, 2
 #: sets of one shingle that meet in one list, at most twice as many
 PART = 1024
 _COUNTED_BELOW = np.uint64(int(COUNTED * 2**64))
@@ -294,7 +294,14 @@ def _verify(pairs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _possible(batches):
-    """Pairs of each group whose labels differ and whose sizes and sketches allow a link."""
+    """Pairs of each group whose labels differ and whose sizes and sketches allow a link; once per task, as groups overlap."""
+    seen: list[np.ndarray] = []
+
+    def told():
+        pairs = np.unique(np.concatenate(seen), axis=0) if seen else np.zeros((0, 2), np.int64)
+        seen.clear()
+        return pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
     for batch in batches:
         m = batch.column("m")
         size = t.lengths(m)
@@ -313,8 +320,10 @@ def _possible(batches):
                 apart[c : c + (1 << 16)] = np.bitwise_count(sketch[i[c : c + (1 << 16)]] ^ sketch[j[c : c + (1 << 16)]]).sum(1, dtype=np.int64)
             ok = 7 * apart <= n[i] + n[j]
             i, j = i[ok], j[ok]
-            pairs = np.unique(np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], 1), axis=0)
-            yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+            seen.append(np.unique(np.stack([np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])], 1), axis=0))
+            if sum(map(len, seen)) > 1 << 20:
+                yield told()
+    yield told()
 
 
 def _pairs(groups: DataFrame, kept: DataFrame, labels: DataFrame) -> DataFrame:
