@@ -9,9 +9,11 @@ also starts in a document with a smaller doc_id. Method:
    one's text by accident, and equal strings always lie in phrases of one trigger.
    Phrases whose trigger occurs in one document only cannot repeat.
 2. Dictionary: the distinct phrases of a trigger, with the smallest doc_id that
-   has each, meet in one slot (once per block that has them). There the suffix
-   array of the dictionary puts all suffixes in order of their first ``width``
-   bytes; equal neighbours are one string, owned by its smallest doc_id.
+   has each, meet in one slot (once per block that has them). If a trigger has
+   one phrase only, its strings belong to that doc_id. Else the phrases' bytes
+   are brought too, and the suffix array of the dictionary puts their suffixes in
+   order of the first ``width`` bytes; equal neighbours are one string, owned by
+   its smallest doc_id.
 3. The parse, kept by the blocks, carries the owners back to every place of a
    phrase: what a smaller doc_id owns is removed.
 
@@ -32,14 +34,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import textops as t
-from eventlake.llm.blocks import ASKED, distinct_per_doc, in_blocks
+from eventlake.llm.blocks import distinct_per_doc, in_blocks
 
 WIDTH = 50
-RUN = 16
+RUN = 28
 HOT = 64
 BLOCK = 1 << 20
 AT_ONCE = 200_000
 _NONE = np.zeros(0, np.int64)
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    """32 bits of a hash; with the slot, which other bits choose, a chance hit only costs work."""
+    return (h & _LOW).astype(np.uint32).view(np.int32)
 
 
 class Phrases:
@@ -72,9 +80,9 @@ class Phrases:
     def recurring(self, told: np.ndarray, hot: np.ndarray):
         """(route, key, row, first, last) of the phrases that can repeat; those of hot triggers split into single strings."""
         own, multi = self.triggers()
-        at = np.flatnonzero(t.has(np.sort(np.concatenate([own[multi], told])), self.trigger))
+        at = np.flatnonzero(t.has(np.sort(own[multi]), self.trigger) | t.has(np.sort(told), self.trigger & _LOW))
         trigger, row, first, last = self.trigger[at], self.row[at], self.first[at], self.last[at]
-        is_hot = t.has(np.sort(hot), trigger)
+        is_hot = t.has(np.sort(hot), trigger & _LOW)
         size = np.where(is_hot, last - first + 1, 1)
         each = np.repeat(np.arange(len(at)), size)
         step = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
@@ -87,7 +95,7 @@ class Phrases:
 def _ask(width: int, run: int, slots: int):
     def fn(key, docs):
         own, multi = Phrases(docs, width, run).triggers()
-        return t.dealt(t.slot_of(own, slots), key[0].as_py(), {"hash": own, "multi": multi.astype(np.int64)})
+        return t.dealt(t.slot_of(own, slots), key[0].as_py(), {"hash": _short(own), "multi": multi.astype(np.int8)})
 
     return fn
 
@@ -105,28 +113,72 @@ def _answer(hot: int):
         again = np.repeat((size > 1) | np.logical_or.reduceat(multi, g), size) if len(g) else np.zeros(0, bool)
         many = np.repeat(size > hot, size)
         tell = (again & ~multi) | many
-        return t.dealt(src[tell], 0, {"hash": h[tell], "hot": many[tell].astype(np.int64)}).drop(["src"])
+        return t.dealt(src[tell], 0, {"hash": _short(h[tell]), "hot": many[tell].astype(np.int8)}).drop(["src"])
 
     return fn
 
 
 def _hot_of(told):
-    hashes, hot = t.longs(told["hash"]), t.longs(told["hot"]).astype(bool)
+    hashes, hot = t.longs(told["hash"]) & _LOW, t.longs(told["hot"]).astype(bool)
     return hashes, hashes[hot]
 
 
+def _of(told, kind: int):
+    """The rows of one kind that a block was told."""
+    return told.filter(pa.array(t.ids(told["kind"]) == kind))
+
+
+def _claim(width: int, run: int, slots: int):
+    """Of one block: its distinct recurring phrases by hash, with their smallest doc_id, to the slots."""
+
+    def fn(docs, told):
+        p = Phrases(docs, width, run)
+        route, key, row, _, _ = p.recurring(*_hot_of(told))
+        order = np.argsort(key)
+        g = t.group_starts(key[order])
+        least = np.minimum.reduceat(p.doc_id[row[order]], g) if len(g) else _NONE
+        route, key = route[order][g], key[order][g]
+        return t.dealt(t.slot_of(t.mix(route), slots), docs["block"][0].as_py() if docs.num_rows else 0, {"route": _short(route), "key": key, "doc": least})
+
+    return fn
+
+
+def _settle(table):
+    """Of one slot: to each block, the owner of phrases that are alone with their trigger (kind 1), or that the bytes are needed (kind 2)."""
+    route, key, doc = t.longs(table["route"]), t.longs(table["key"]), t.longs(table["doc"]).view(np.int64)
+    src = np.repeat(t.ids(table["src"]), t.lengths(table["key"]))
+    order = np.lexsort((doc, key, route))
+    route, key, doc, src = route[order], key[order], doc[order], src[order]
+    g = t.group_starts(route, key)
+    if len(g) == 0:
+        alone, least = np.zeros(0, bool), doc
+    else:
+        size = np.diff(np.concatenate([g, [len(key)]]))
+        least = np.repeat(doc[g], size)
+        r = t.group_starts(route[g])
+        phrases = np.diff(np.concatenate([r, [len(g)]]))
+        alone = np.repeat(np.repeat(phrases == 1, phrases), size)
+    told = []
+    for kind, tell in ((1, alone & (least < doc)), (2, ~alone)):
+        out = t.dealt(src[tell], kind, {"hash": key[tell], "owner": least[tell]})
+        told.append(out.rename_columns(["slot", "kind", "hash", "owner"]))
+    return pa.concat_tables(told)
+
+
 def _gather(buf: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     at = np.cumsum(size)
     return buf[np.repeat(first - at + size, size) + np.arange(at[-1])] if len(size) else buf[:0]
 
 
 def _dictionary(width: int, run: int, slots: int):
-    """Of one block: its distinct recurring phrases, with their smallest doc_id, to the slots."""
+    """Of one block: the phrases whose bytes are needed, with their smallest doc_id, to the slots."""
 
     def fn(docs, told):
         block = docs["block"][0].as_py() if docs.num_rows else 0
         p = Phrases(docs, width, run)
-        route, key, row, first, last = p.recurring(*_hot_of(told))
+        route, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)))
+        wanted = t.has(np.sort(t.longs(_of(told, 2)["key"])), key)
+        route, key, row, first, last = route[wanted], key[wanted], row[wanted], first[wanted], last[wanted]
         order = np.argsort(key)
         g = t.group_starts(key[order])
         least = np.minimum.reduceat(p.doc_id[row[order]], g) if len(g) else _NONE
@@ -217,11 +269,14 @@ def _owners(width: int):
 
 def _remove(width: int, run: int):
     def fn(docs, told):
-        kind = t.ids(told["kind"])
         p = Phrases(docs, width, run)
-        _, key, row, first, last = p.recurring(*_hot_of(told.filter(pa.array(kind == 0))))
-        answers = told.filter(pa.array(kind == 1))
-        told_key, lo, hi, owner = t.longs(answers["hash"]), *(t.longs(answers[c]).view(np.int64) for c in ("lo", "hi", "owner"))
+        _, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)))
+        alone, many = _of(told, 1), _of(told, 3)
+        whole = t.longs(alone["key"])
+        told_key = np.concatenate([whole, t.longs(many["key"])])
+        owner = np.concatenate([t.longs(x["owner"]) for x in (alone, many)]).view(np.int64)
+        lo = np.concatenate([np.zeros(len(whole), np.int64), t.longs(many["lo"]).view(np.int64)])
+        hi = np.concatenate([np.full(len(whole), -1), t.longs(many["hi"]).view(np.int64)])  # -1: to the phrase's end
         doc = p.doc_id[row]
         # in the block itself
         order = np.argsort(key)
@@ -240,7 +295,7 @@ def _remove(width: int, run: int):
         ok = owner[at] < doc[each]
         each, at = each[ok], at[ok]
         begin.append(first[each] + lo[at])
-        stop.append(first[each] + hi[at] + width)
+        stop.append(np.where(hi[at] < 0, last[each], first[each] + hi[at]) + width)
         begin, stop = np.concatenate(begin), np.concatenate(stop)
         size = len(p.buf)
         go = t.covered(begin, stop - begin, size)
@@ -264,16 +319,29 @@ def _remove(width: int, run: int):
 def suffix_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, hot: int = HOT, block_bytes: int = BLOCK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row of ``docs`` (doc_id, text)."""
     blocks, _, slots = in_blocks(docs, block_bytes)
-    answers = blocks.groupBy("block").applyInArrow(_ask(width, run, slots), ASKED).groupBy("slot").applyInArrow(_answer(hot), "slot int, hash array<bigint>, hot array<bigint>")
-    dictionary = blocks.groupBy("block").cogroup(answers.groupBy("slot")).applyInArrow(
+    by_block = blocks.groupBy("block")
+    none = F.array().cast("array<bigint>")
+    short = [F.array().cast("array<int>").alias("hash"), F.array().cast("array<tinyint>").alias("hot")]
+
+    def told(kind, rows, *known):
+        """Answers of one kind in the common form of all."""
+        have = {c: F.col(c) for c in known}
+        key = have.get("hash") if kind else None
+        first = short if kind else ["hash", "hot"]
+        return rows.select("slot", F.lit(kind).alias("kind"), *first, (none if key is None else key).alias("key"), *[have.get(c, none).alias(c) for c in ("lo", "hi", "owner")])
+
+    asked = by_block.applyInArrow(_ask(width, run, slots), "slot int, src int, hash array<int>, multi array<tinyint>")
+    answers = asked.groupBy("slot").applyInArrow(_answer(hot), "slot int, hash array<int>, hot array<tinyint>")
+    claims = by_block.cogroup(answers.groupBy("slot")).applyInArrow(_claim(width, run, slots), "slot int, src int, route array<int>, key array<bigint>, doc array<bigint>")
+    settled = claims.groupBy("slot").applyInArrow(_settle, "slot int, kind int, hash array<bigint>, owner array<bigint>")
+    recurring = told(0, answers)
+    needed = recurring.unionAll(told(2, settled.where("kind = 2"), "hash"))
+    dictionary = by_block.cogroup(needed.groupBy("slot")).applyInArrow(
         _dictionary(width, run, slots), "slot int, src int, route array<bigint>, key array<bigint>, doc array<bigint>, size array<bigint>, data binary"
     )
     owned = dictionary.groupBy("slot").applyInArrow(_owners(width), "slot int, hash array<bigint>, lo array<bigint>, hi array<bigint>, owner array<bigint>")
-    none = F.array().cast("array<bigint>")
-    told = answers.select("slot", F.lit(0).alias("kind"), "hash", "hot", none.alias("lo"), none.alias("hi"), none.alias("owner")).unionAll(
-        owned.select("slot", F.lit(1), "hash", none, "lo", "hi", "owner")
-    )
-    return blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_remove(width, run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    final = recurring.unionAll(told(1, settled.where("kind = 1"), "hash", "owner")).unionAll(told(3, owned, "hash", "lo", "hi", "owner"))
+    return by_block.cogroup(final.groupBy("slot")).applyInArrow(_remove(width, run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

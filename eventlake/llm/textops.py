@@ -197,7 +197,11 @@ def dealt(slots: np.ndarray, src: int, arrays: dict[str, np.ndarray]) -> pa.Tabl
     cols = {"slot": pa.array(s[at].astype(np.int32)), "src": pa.array(np.full(len(at), src, np.int32))}
     for name, values in arrays.items():
         v = values[order]
-        cols[name] = pa.ListArray.from_arrays(offs, pa.array(v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)))
+        if v.dtype == np.uint64:
+            v = v.view(np.int64)
+        elif v.dtype not in (np.int8, np.int32):
+            v = v.astype(np.int64)
+        cols[name] = pa.ListArray.from_arrays(offs, pa.array(v))
     return pa.table(cols)
 
 
