@@ -6,15 +6,21 @@ Method:
 
 1. Word counts over all training documents: each block sends its distinct words
    with their counts to hash slots and is told the totals that differ from its own.
-2. Units: a word with at least ``share`` of all tokens is a unit of its own (there
-   are at most 1 / share of them, whatever the corpus); every other word belongs
-   to the unit of its count band (powers of two) and its last character's kind.
-3. Bigrams of units are counted over all training documents, and exchange
-   clustering moves one unit after the other to the class that gains most in
-   average mutual information, until nothing moves or ``sweeps`` are done.
-4. Class transitions are smoothed towards the class frequencies (``beta`` pseudo
-   tokens); a unit emits its words by their counts, and the unit of words seen
-   once gives half its mass to words never seen.
+2. Units: a word seen ``least`` times or more is a unit of its own; rarer ones
+   belong to the unit of their count band (powers of two) and last character's kind.
+3. Seed: words with at least ``share`` of all tokens (at most 1 / share of them)
+   and bands for all others are clustered on the driver by exchange: one after the
+   other moves to the class that gains most in average mutual information, until
+   nothing moves or ``sweeps`` are done. Every unit starts in its seed's class, one
+   word of ``SPREAD`` in a class of its hash, so that words of a band differ.
+4. Exchange of all units, ``rounds`` times: the blocks send each unit's counts by
+   neighbour class to slots, which sum them and move every other unit (by hash, in turn) to the class
+   that gains most against the class bigrams (classes squared, broadcast), all others
+   fixed; the table of classes is written and told to the blocks. A round that does
+   not raise the mutual information is dropped and ends the exchange.
+5. Class transitions are smoothed towards the class frequencies (``beta`` pseudo
+   tokens); a class emits its units and a band its words by their counts, and the
+   band of words seen once gives half its mass to words never seen.
 
 Null and empty texts are one end token; repeated rows are counted and scored one
 by one; rows without doc_id are left out; without training tokens all scores are
@@ -39,8 +45,15 @@ CLASSES = 32
 SWEEPS = 8
 BETA = 20.0
 BANDS, KINDS = 40, 3
+#: a power of two, so that a band is rare as a whole or not at all
+LEAST = 4
+ROUNDS = 4
+#: one word of so many starts in a class of its hash; one unit of so many moves in a round
+SPREAD, PARTS = 4, 2
 END = np.uint64(0x0123456789ABCDEF)
 BLOCK = 3 << 19
+#: units of the bands
+RARE = t.mix(np.arange(BANDS * KINDS, dtype=np.uint64))
 
 
 def in_training(doc_id: int) -> bool:
@@ -206,7 +219,7 @@ def exchange(m: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
 
 
 class ClassModel:
-    """Smoothed class transitions and unit emissions."""
+    """Seed: classes of the frequent words and of the bands, smoothed class transitions and unit emissions."""
 
     def __init__(self, m: np.ndarray, frequent: np.ndarray, tokens: int, words: int, classes: int, sweeps: int, beta: float):
         self.frequent, self.tokens, self.words = frequent, tokens, words
@@ -214,48 +227,258 @@ class ClassModel:
         self.cls = exchange(m, classes, sweeps)
         member = np.eye(classes)[self.cls]
         unit = m.sum(0).astype(float)
+        self.band = unit[len(frequent) : len(frequent) + BANDS * KINDS].copy()
         unit[len(frequent) : len(frequent) + KINDS] += 1  # words never seen can always come
         by_class = unit @ member
-        share = by_class / by_class.sum()
-        g = np.concatenate([member.T @ m[:n] @ member, (m[n] @ member)[None]]).astype(float)
+        self.step = transitions(np.concatenate([member.T @ m[:n] @ member, (m[n] @ member)[None]]).astype(float), by_class, beta)
         with np.errstate(divide="ignore", invalid="ignore"):
-            self.step = np.log10((g + beta * share) / (g.sum(1, keepdims=True) + beta))
             self.unit = np.log10(unit / by_class[self.cls])
-            self.log_unit = np.log10(unit)
         self.classes = classes
 
-    def score(self, x: Tokens, count: np.ndarray) -> np.ndarray:
+
+def transitions(g: np.ndarray, by_class: np.ndarray, beta: float) -> np.ndarray:
+    """log10 probability of each class after each class; the last row is the start of a text."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.log10((g + beta * by_class / by_class.sum()) / (g.sum(1, keepdims=True) + beta))
+
+
+def mutual(g: np.ndarray) -> float:
+    """Average mutual information of class bigrams, but for what no class changes."""
+    xlogx = lambda x: x * np.log(np.maximum(x, 1e-300))
+    return float(xlogx(g).sum() - xlogx(g[:-1].sum(1)).sum() - xlogx(g.sum(0)).sum())
+
+
+def moved(to: np.ndarray, frm: np.ndarray, own: np.ndarray, start: np.ndarray, old: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Best class of every unit if it alone moved.
+
+    to, frm: its counts by the class of the word after and before it (not itself);
+    own: before itself; start: at the start of a text; g: class bigrams, last row start.
+    """
+    n, classes = to.shape
+    xlogx = lambda x: x * np.log(np.maximum(x, 1e-300))
+    u, d = np.arange(n), np.arange(classes)
+    g, s = g[:classes], g[classes]
+    # without the unit: class pairs (c, c), starts and sums
+    pair = np.broadcast_to(g[d, d], (n, classes)).copy()
+    pair[u, old] -= to[u, old] + frm[u, old] + own
+    first = np.broadcast_to(s, (n, classes)).copy()
+    first[u, old] -= start
+    freq = frm.sum(1) + own + start
+    # a neighbour's count is in its own class sum whatever class the unit has
+    right, left = np.tile(g.sum(1), (n, 1)), np.tile(g.sum(0) + s, (n, 1))
+    right[u, old] -= to.sum(1) + own
+    left[u, old] -= freq
+    gain = xlogx(pair + to + frm + own[:, None]) - xlogx(pair)
+    gain += xlogx(first + start[:, None]) - xlogx(first)
+    gain -= xlogx(right + (to.sum(1) + own)[:, None]) - xlogx(right)
+    gain -= xlogx(left + freq[:, None]) - xlogx(left)
+    for near, other, table in ((to, frm, g), (frm, to, g.T)):
+        i, c = np.nonzero(near)
+        for a in range(0, len(i), 1 << 16):
+            r, e = i[a : a + (1 << 16)], c[a : a + (1 << 16)]
+            k = near[r, e]
+            base = table[:, e].T.copy()  # of every class the unit might join
+            base[np.arange(len(r)), old[r]] -= k
+            back = np.flatnonzero(e == old[r])
+            base[back] -= other[r[back]]
+            part = xlogx(base + k[:, None]) - xlogx(base)
+            part[np.arange(len(r)), e] = 0  # the class pair (c, c) is counted above
+            at = t.group_starts(r)
+            gain[r[at]] += np.add.reduceat(part, at)
+    new = gain.argmax(1)
+    return np.where(gain[u, new] > gain[u, old] + 1e-9, new, old)
+
+
+def _told(told, kind: int):
+    return told.filter(pa.array(t.ids(told["kind"]) == kind))
+
+
+class Classed:
+    """Tokens of one block with their units and the units' classes."""
+
+    def __init__(self, docs, told, seed: ClassModel, least: int):
+        self.x = x = Tokens(docs)
+        self.count = x.counts(_told(told, 0))
+        band = np.minimum(np.floor(np.log2(np.maximum(self.count, 1))).astype(np.int64), BANDS - 1) * KINDS + x.kind
+        self.rare = self.count < least
+        self.rare[x.stop] = False
+        self.band = band
+        self.units, self.at = np.unique(np.where(self.rare, RARE[band], x.hash), return_inverse=True)
+        self.cls = np.zeros(len(self.units), np.int64)
+        known = _told(told, 1)
+        if known.num_rows:
+            self.cls[np.searchsorted(self.units, t.longs(known["hash"]))] = t.longs(known["count"]).view(np.int64)
+        else:
+            self.cls[self.at] = seed.cls[_units(x, self.count, seed.frequent)]
+            # some words that only their band speaks for are spread, or all of a band would look alike to their neighbours
+            spread = np.ones(len(self.units), bool)
+            spread[self.at[self.rare | (x.hash == END)]] = False
+            spread &= ~t.has(seed.frequent, self.units)
+            spread &= t.mix(self.units + np.uint64(1)) % np.uint64(SPREAD) == 0
+            self.cls[spread] = (t.mix(self.units[spread]) % np.uint64(seed.classes)).astype(np.int64)
+
+    def before(self, start: int) -> np.ndarray:
+        """Class before every token."""
+        cls = self.cls[self.at]
+        out = np.empty_like(cls)
+        out[1:] = cls[:-1]
+        out[self.x.first] = start
+        return out
+
+
+def _contexts(sent, least: int, slots: int):
+    """Of one block: its units, their classes and their counts by neighbour class, to the slots."""
+
+    def fn(docs, told):
+        z = np.zeros(0, np.int64)
+        if docs.num_rows == 0:
+            return t.dealt(z, 0, {"hash": z, "what": z})
+        seed: ClassModel = sent.value
+        b, c = Classed(docs, told, seed, least), seed.classes
+        kinds = 2 * c + 3
+        later = b.x.training.copy()
+        later[b.x.first] = False
+        later = np.flatnonzero(later)
+        i, j = b.at[later - 1], b.at[later]
+        same = i == j
+        begin = b.at[b.x.first[b.x.training[b.x.first]]]
+        p, q = i[~same], j[~same]
+        entry = np.concatenate([p * kinds + b.cls[q], q * kinds + c + b.cls[p], begin * kinds + 2 * c, i[same] * kinds + 2 * c + 1, np.arange(len(b.units)) * kinds + 2 * c + 2])
+        entry, n = np.unique(entry, return_counts=True)
+        unit = entry // kinds
+        return t.dealt(t.slot_of(b.units[unit], slots), docs["block"][0].as_py(), {"hash": b.units[unit], "what": n << 32 | b.cls[unit] << 16 | entry % kinds})
+
+    return fn
+
+
+_SUMS = "slot int, hash array<bigint>, cls array<bigint>, entry array<bigint>, n array<bigint>, src array<bigint>, at array<bigint>, g array<bigint>"
+
+
+def _sum_contexts(classes: int):
+    """Of one slot: its units' classes and counts by neighbour class, the blocks that have them, and its part of the class bigrams."""
+    kinds = 2 * classes + 3
+
+    def fn(key, table):
+        h, what = t.longs(table["hash"]), t.longs(table["what"]).view(np.int64)
+        src = np.repeat(t.ids(table["src"]), t.lengths(table["hash"]))
+        units, at = np.unique(h, return_inverse=True)
+        code, n = what & 0xFFFF, what >> 32
+        cls = np.zeros(len(units), np.int64)
+        cls[at] = what >> 16 & 0xFFFF
+        asks = code == kinds - 1
+        entry, number = np.unique(at[~asks] * kinds + code[~asks], return_inverse=True)
+        n = np.bincount(number, n[~asks], len(entry)).astype(np.int64)
+        c, code = cls[entry // kinds], entry % kinds
+        g = np.zeros((classes + 1, classes), np.int64)
+        after, begin, same = code < classes, code == 2 * classes, code == 2 * classes + 1
+        np.add.at(g, (c[after], code[after]), n[after])
+        np.add.at(g[classes], c[begin], n[begin])
+        np.add.at(g, (c[same], c[same]), n[same])
+        one = lambda v: pa.array([v], pa.list_(pa.int64()))
+        return pa.table({
+            "slot": pa.array([key[0].as_py()], pa.int32()), "hash": one(units.view(np.int64)), "cls": one(cls), "entry": one(entry), "n": one(n),
+            "src": one(src[asks]), "at": one(at[asks]), "g": one(g.ravel()),
+        })
+
+    return fn
+
+
+def _choose(sent, classes: int, turn: int):
+    """Of the slots' sums: to each block the new classes of its units."""
+    kinds = 2 * classes + 3
+
+    def fn(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                part = lambda name: batch.column(name)[k].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
+                units, old, entry = part("hash"), part("cls"), part("entry")
+                m = np.zeros((len(units), kinds))
+                m.ravel()[entry] = part("n")
+                new = np.empty_like(old)
+                for a in range(0, len(units), 20_000):
+                    x = m[a : a + 20_000]
+                    new[a : a + 20_000] = moved(x[:, :classes], x[:, classes : 2 * classes], x[:, 2 * classes + 1], x[:, 2 * classes], old[a : a + 20_000], sent.value)
+                # neighbours that move at once would miss each other
+                wait = (t.mix(units.view(np.uint64)) >> np.uint64(40)) % np.uint64(PARTS) != turn % PARTS
+                new[wait] = old[wait]
+                at = part("at")
+                for out in t.dealt(part("src"), 0, {"hash": units[at], "count": new[at]}).drop(["src"]).to_batches():
+                    yield out
+
+    return fn
+
+
+def _class_bigrams(sent, least: int):
+    """Of one block: its part of the class bigrams."""
+
+    def fn(docs, told):
+        if docs.num_rows == 0:
+            return pa.table({"pos": pa.array([], pa.int64()), "col": pa.array([], pa.int64())})
+        seed: ClassModel = sent.value
+        b = Classed(docs, told, seed, least)
+        pos, n = np.unique((b.before(seed.classes) * seed.classes + b.cls[b.at])[b.x.training], return_counts=True)
+        return pa.table({"pos": pa.array(pos.astype(np.int64)), "col": pa.array(n.astype(np.int64))})
+
+    return fn
+
+
+def _matrix(parts: DataFrame, classes: int) -> np.ndarray:
+    """Sum of the parts (pos, col) of the class bigrams."""
+    g = np.zeros((classes + 1) * classes)
+    for r in parts.groupBy("pos").agg(F.sum("col").alias("n")).collect():
+        g[r.pos] = r.n
+    return g.reshape(classes + 1, classes)
+
+
+class WordModel:
+    """Smoothed class transitions, and what classes and bands emit."""
+
+    def __init__(self, seed: ClassModel, g: np.ndarray, rare: dict[int, int], beta: float):
+        f = len(seed.frequent)
+        self.seed = seed
+        by_class = g.sum(0)
+        band_cls = seed.cls[f : f + BANDS * KINDS].copy()
+        for i, h in enumerate(RARE.view(np.int64).tolist()):
+            band_cls[i] = rare.get(h, band_cls[i])
+        np.add.at(by_class, band_cls[:KINDS], 1)  # words never seen can always come
+        self.step = transitions(g, by_class, beta)
+        band = seed.band.copy()
+        band[:KINDS] += 1
+        self.band_cls = band_cls
+        with np.errstate(divide="ignore"):
+            self.by_class, self.band = np.log10(by_class), np.log10(band)
+
+    def score(self, b: Classed) -> np.ndarray:
         """log10 probability of every token."""
-        unit = _units(x, count, self.frequent)
-        cls = self.cls[unit]
+        # a band that no training text has is in no table: it emits words never seen from its seed's class
+        cls = np.where(b.rare, self.band_cls[b.band], b.cls[b.at])
         before = np.empty_like(cls)
         before[1:] = cls[:-1]
-        before[x.first] = self.classes
-        p = self.step[before, cls] + self.unit[unit]
-        f = len(self.frequent)
-        rare = (unit >= f) & (unit < f + BANDS * KINDS)
-        once = rare & (unit < f + KINDS)
-        # words seen once share half of their unit (its count less the one added), words never seen have the other half
-        alone = np.log10(0.5) - np.log10(np.maximum(10 ** self.log_unit[unit] - 1, 1))
-        inner = np.where(once, np.where(count > 0, alone, np.log10(0.5)), np.log10(np.maximum(count, 1)) - self.log_unit[unit])
-        return p + np.where(rare, inner, 0.0)
-
-
-def _score(model):
+        before[b.x.first] = self.seed.classes
+        p = self.step[before, cls] - self.by_class[cls]
+        seen = np.log10(np.maximum(b.count, 1))
+        once = b.rare & (b.band < KINDS)
+        # words seen once share half of their band (its count less the one added), words never seen have the other half
+        alone = np.where(b.count > 0, np.log10(0.5) - np.log10(np.maximum(10 ** self.band[b.band] - 1, 1)), np.log10(0.5))
+        return p + np.where(once, self.band[b.band] + alone, seen)
+
+
+def _score(model, least: int):
     def fn(docs, told):
-        net: ClassModel = model.value
-        x = Tokens(docs)
-        count = x.counts(told)
+        net: WordModel = model.value
+        seed = net.seed
+        b = Classed(docs, told, seed, least)
+        x, count = b.x, b.count
         n = len(x.doc_id)
         by_row = lambda v: np.bincount(x.row, v, n)
-        base = np.log10((count + 1) / (net.tokens + net.words + 1))
-        score = net.score(x, count) if net.tokens else np.zeros(len(count))
+        base = np.log10((count + 1) / (seed.tokens + seed.words + 1))
+        score = net.score(b) if seed.tokens else np.zeros(len(count))
         return pa.table({
             "doc_id": pa.array(x.doc_id),
             "held_out": pa.array(~x.training[x.first]),
             "n_tokens": pa.array(x.size.astype(np.int64)),
             "n_known": pa.array(by_row(count > 0).astype(np.int64)),
-            "train_tokens": pa.array(np.full(n, net.tokens, np.int64)),
+            "train_tokens": pa.array(np.full(n, seed.tokens, np.int64)),
             "base_score": pa.array(by_row(base)),
             "score": pa.array(by_row(score)),
         })
@@ -263,7 +486,9 @@ def _score(model):
     return fn
 
 
-def class_lm_scores(docs: DataFrame, share: float = SHARE, classes: int = CLASSES, sweeps: int = SWEEPS, beta: float = BETA, block_bytes: int = BLOCK) -> DataFrame:
+def class_lm_scores(
+    docs: DataFrame, share: float = SHARE, classes: int = CLASSES, sweeps: int = SWEEPS, beta: float = BETA, block_bytes: int = BLOCK, least: int = LEAST, rounds: int = ROUNDS
+) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text), and its perplexity."""
     blocks, _, slots = in_blocks(docs, block_bytes)
     schema = "slot int, hash array<bigint>, count array<bigint>, tokens long, words long"
@@ -274,17 +499,42 @@ def class_lm_scores(docs: DataFrame, share: float = SHARE, classes: int = CLASSE
     often = summary.select(F.explode(F.arrays_zip("hash", "count")).alias("w")).where(F.col("w.count") >= share * tokens).select("w.hash")
     # at most 1 / share words
     frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-    told = totals.where("slot >= 0").select("slot", "hash", "count")
+    counts = totals.where("slot >= 0").select("slot", F.lit(0).alias("kind"), "hash", "count")
     n_units = len(frequent) + BANDS * KINDS + 1
-    pairs = blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_bigrams(frequent, slots), "slot int, src int, pair array<bigint>, count array<bigint>")
+    pairs = blocks.groupBy("block").cogroup(counts.groupBy("slot")).applyInArrow(_bigrams(frequent, slots), "slot int, src int, pair array<bigint>, count array<bigint>")
     # at most the square of the number of units
     counted = pairs.groupBy("slot").applyInArrow(_sum_pairs, "pair long, count long").toArrow()
     m = np.zeros((n_units + 1) * n_units, np.int64)
     m[counted["pair"].to_numpy()] = counted["count"].to_numpy()
-    model = ClassModel(m.reshape(n_units + 1, n_units), frequent, int(tokens), int(words), classes, sweeps, beta)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    out = blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(
-        _score(sent), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    seed = ClassModel(m.reshape(n_units + 1, n_units), frequent, int(tokens), int(words), classes, sweeps, beta)
+
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(seed)
+    with_blocks = lambda told: blocks.groupBy("block").cogroup(told.groupBy("slot"))
+    told, chosen, g, best = counts, None, np.zeros((classes + 1, classes)), -np.inf
+    rounds = rounds if tokens else 0
+    for turn in range(rounds + 1):
+        new = counts if chosen is None else counts.unionAll(chosen.select("slot", F.lit(1), "hash", "count"))
+        if turn < rounds:
+            sums = with_blocks(new).applyInArrow(_contexts(sent, least, slots), "slot int, src int, hash array<bigint>, what array<bigint>")
+            sums = written(sums.groupBy("slot").applyInArrow(_sum_contexts(classes), _SUMS), "lm-contexts")
+            parts = sums.select(F.posexplode("g").alias("pos", "col"))
+        else:
+            parts = with_blocks(new).applyInArrow(_class_bigrams(sent, least), "pos long, col long")
+        now = _matrix(parts, classes)
+        if turn and mutual(now) <= best:
+            break
+        told, kept, g, best = new, chosen, now, mutual(now)
+        if turn < rounds:
+            chosen = written(sums.mapInArrow(_choose(spark.sparkContext.broadcast(g), classes, turn), "slot int, hash array<bigint>, count array<bigint>"), "lm-classes")
+
+    rare = {}
+    if kept is not None:
+        units = RARE[: int(np.log2(least)) * KINDS].view(np.int64).tolist()
+        rare = {r.hash: r.count_ for r in kept.select(F.explode(F.arrays_zip("hash", "count")).alias("w")).select("w.hash", F.col("w.count").alias("count_")).where(F.col("hash").isin(units)).distinct().collect()}
+    model = spark.sparkContext.broadcast(WordModel(seed, g, rare, beta))
+    out = with_blocks(told).applyInArrow(
+        _score(model, least), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 

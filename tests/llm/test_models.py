@@ -126,3 +126,55 @@ def test_class_lm_without_training_tokens(spark, no_docs):
     r = op6.class_lm_scores(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
     assert op6.class_lm_scores(no_docs).count() == 0
+
+
+def test_class_lm_moves_one_unit_by_its_exact_gain():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    n, classes = 12, 4
+    m = rng.poisson(2.0, (n + 1, n)).astype(float)  # with repeats (own) and starts
+    cls = rng.integers(0, classes, n)
+
+    def table(c):
+        member = np.eye(classes)[c]
+        return np.concatenate([member.T @ m[:n] @ member, (m[n] @ member)[None]])
+
+    member = np.eye(classes)[cls]
+    own = np.diag(m[:n])
+    to, frm = m[:n] @ member, m[:n].T @ member
+    to[np.arange(n), cls] -= own
+    frm[np.arange(n), cls] -= own
+    new = op6.moved(to, frm, own, m[n], cls, table(cls))
+    assert (new != cls).any()
+    for w in range(n):
+        value = [op6.mutual(table(np.where(np.arange(n) == w, c, cls))) for c in range(classes)]
+        assert math.isclose(value[new[w]], max(value), rel_tol=1e-12)
+
+
+def test_class_lm_learns_the_neighbours_of_rarer_words(spark):
+    """Nouns and verbs of one count band, one ending and a share far below ``share``."""
+    import random
+
+    rng = random.Random(1)
+    train = [i for i in range(2000) if crc(i) % 7 != 2][:300]
+    a, b = [i for i in range(2000, 3000) if crc(i) % 7 == 2][:2]
+    text = lambda first, second: " ".join(f"the {first}{rng.randrange(100)} will {second}{rng.randrange(100)}" for _ in range(10))
+    rows = [(d, text("n", "v")) for d in train] + [(a, text("n", "v")), (b, text("v", "n"))]
+    got = {r.doc_id: r for r in op6.class_lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), share=0.05, classes=8, block_bytes=20_000).collect()}
+    assert got[a].n_known == got[b].n_known == 41
+    assert got[a].score > got[b].score + 5
+
+
+def test_class_lm_is_a_distribution(spark):
+    """Every word after a text's start, and one never seen of each kind, sum to one."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    vocabulary = sorted({w for r in docs.collect() if crc(r.doc_id) % 7 != 2 for w in words(low(r.text))})
+    out = [i for i in range(10**6, 10**6 + 8 * len(vocabulary) + 200) if crc(i) % 7 == 2]
+    probes = [*vocabulary, "qqzzx", "qqzzx.", "qqzzx7", ""]
+    table = docs.unionAll(spark.createDataFrame(list(zip(out, probes, strict=False)), docs.schema))
+    got = {r.doc_id: r.score for r in op6.class_lm_scores(table).where("held_out").collect()}
+    pairs = {w: got[d] for d, w in zip(out, probes, strict=False)}
+    # a text's score is of its word after the start and of the end after it; words of a class share the end's part
+    assert len(pairs) == len(probes) and all(math.isfinite(x) and x < 0 for x in pairs.values())
+    assert sum(10**x for x in pairs.values()) <= 1 + 1e-9
