@@ -8,8 +8,9 @@ the sum of the larger ones. Method:
 
 1. Places: at similarity 0.75 at most a seventh of an item's n shingles is
    lost, and each lost word loses one at least. So of the n // 7 + 3 longest
-   distinct words of an item all but n // 7 stand in the window, each within
-   n // 7 words of its place; only places on which so many agree are looked at.
+   distinct words of an item all but n // 7 stand in the window, in any order;
+   all windows that hold so many, and all but n // 7 of all its distinct words,
+   are looked at.
 2. The windows of the item's size at these places get a 64-bit SimHash of their
    words.
 3. Multi-index: fingerprints are cut into 16 blocks of 4 bits; the items'
@@ -87,30 +88,33 @@ def _block(j: int) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (first word of the best window), n_words, similarity of every contamination."""
     items = benchmark.where("item_id is not null").select("item_id", words_of("text").alias("words")).where("size(words) > 0")
-    items = items.withColumn("m", F.size("words")).withColumn("lost", (F.greatest(F.col("m") - SHINGLE, F.lit(0)) + 1).cast("int")).withColumn("lost", F.expr("lost div 7").cast("int"))
+    items = items.withColumn("m", F.size("words")).withColumn("lost", F.expr("cast((greatest(m - %d, 0) + 1) div 7 as int)" % SHINGLE))
 
     # 1. places by the longest words
     word = items.select("item_id", "m", "lost", F.posexplode("words").alias("offset", "word"))
     longest = Window.partitionBy("item_id", "m").orderBy(F.length("word").desc(), "word")
-    anchor = word.withColumn("rank", F.dense_rank().over(longest)).where("rank <= lost + 3")
-    need = anchor.groupBy("item_id", "m").agg(F.greatest(F.countDistinct("word") - F.max("lost"), F.lit(1)).alias("need"))
-    anchor = anchor.join(need, ["item_id", "m"]).select("item_id", "m", "lost", "need", "offset", "word")
+    anchor = word.withColumn("rank", F.dense_rank().over(longest)).where("rank <= lost + 3").select("item_id", "m", "lost", "word").distinct()
+    anchor = anchor.withColumn("n_anchors", F.count("*").over(Window.partitionBy("item_id", "m")))
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    at = texts.select("doc_id", F.posexplode(_words("text")).alias("pos", "word"))
-    hit = at.join(_small(anchor), "word")
-    # a place counts if enough of the item's words agree on it
-    enough = hit.groupBy("doc_id", "item_id").agg(F.countDistinct("word").alias("found"), F.max("need").alias("least")).where("found >= least")
-    near = hit.join(enough.select("doc_id", "item_id"), ["doc_id", "item_id"])
-    start = F.explode(F.sequence(F.col("pos") - F.col("offset") - F.col("lost"), F.col("pos") - F.col("offset") + F.col("lost")))
-    place = near.select("doc_id", "item_id", "m", "need", "word", start.alias("start")).groupBy("doc_id", "item_id", "m", "need", "start")
-    place = place.agg(F.countDistinct("word").alias("found")).where("found >= need").select("doc_id", "m", "start").distinct()
+    at = texts.select("doc_id", F.xxhash64("text").alias("row"), _words("text").alias("all"))
+    at = at.select("doc_id", "row", F.size("all").alias("size"), F.posexplode("all").alias("pos", "word"))
+    lacking = F.col("lost")
+    hit = at.join(_small(anchor), "word").withColumn("lacking", lacking).withColumn("need", F.greatest(F.col("n_anchors") - F.col("lacking"), F.lit(1)))
+    # a window counts if it holds enough of the item's words, wherever they stand in it
+    enough = hit.groupBy("doc_id", "row", "item_id").agg(F.countDistinct("word").alias("found"), F.max("need").alias("of")).where("found >= of")
+    near = hit.join(enough.select("doc_id", "row", "item_id"), ["doc_id", "row", "item_id"])
+    start = F.explode(F.sequence(F.greatest(F.col("pos") - F.col("m") + 1, F.lit(0)), F.least(F.col("pos"), F.greatest(F.col("size") - F.col("m"), F.lit(0)))))
+    place = near.select("doc_id", "row", "item_id", "m", "need", "lacking", "word", start.alias("start")).groupBy("doc_id", "row", "item_id", "m", "need", "lacking", "start")
+    place = place.agg(F.countDistinct("word").alias("found")).where("found >= need")
+    own = items.select("item_id", F.array_distinct("words").alias("own"))
+    place = place.select("doc_id", "row", "item_id", "m", "start", "lacking")
 
     # 2. fingerprints of the windows there; the words of a text are made once and kept with the few texts that have places
-    wanted = place.groupBy("doc_id").agg(F.collect_set(F.struct("m", "start")).alias("windows"))
-    split = written(texts.join(wanted, "doc_id").select("doc_id", "windows", _words("text").alias("all")), "decontaminate-texts")
-    inside = lambda w: F.greatest(F.least(w["start"], F.size("all") - w["m"]), F.lit(0))
-    cut = F.transform("windows", lambda w: F.struct(w["m"].alias("m"), inside(w).alias("start"), F.slice("all", inside(w) + 1, w["m"]).alias("words")))
-    window = split.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.m", "w.start", "w.words").distinct()
+    wanted = place.groupBy("doc_id", "row").agg(F.collect_set(F.struct("item_id", "m", "start", "lacking")).alias("windows"))
+    split = written(texts.withColumn("row", F.xxhash64("text")).join(wanted, ["doc_id", "row"]).select("doc_id", "windows", _words("text").alias("all")), "decontaminate-texts")
+    cut = F.transform("windows", lambda w: F.struct(w["item_id"].alias("item_id"), w["m"].alias("m"), w["start"].alias("start"), w["lacking"].alias("lacking"), F.slice("all", w["start"] + 1, w["m"]).alias("words")))
+    window = split.select("doc_id", F.explode(cut).alias("w")).select("doc_id", "w.*").join(_small(own), "item_id")
+    window = window.where(F.size(F.array_intersect("own", "words")) >= F.size("own") - F.col("lacking")).select("doc_id", "m", "start", "words").distinct()
     window = written(window.withColumn("wid", F.xxhash64("doc_id", "m", "start", "words")), "decontaminate-windows")
     prints = _fingerprint(window.select("wid", "m", F.explode("words").alias("word")), ["wid", "m"])
     item_prints = _fingerprint(word.select("item_id", "m", "word"), ["item_id", "m"])

@@ -101,3 +101,39 @@ def test_decontamination_of_nothing(spark, docs, no_docs):
     benchmark = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
     assert op10.contaminated(no_docs, benchmark).count() == 0
     assert op10.contaminated(docs, benchmark.limit(0)).count() == 0
+
+
+def window_matches(docs, items):
+    """(doc_id, item_id): start, size and similarity of the best window, by trying all."""
+    want = {}
+    for d, x in docs:
+        w = words(low(x))
+        for k, y in items:
+            y = words(low(y))
+            item, m = bag(y), len(y)
+            for s in range(max(1, len(w) - m + 1)):
+                mine = bag(w[s : s + m])
+                same = sum((mine & item).values())
+                sim = same / (sum(mine.values()) + sum(item.values()) - same)
+                if sim >= 0.75 and sim > want.get((d, k), (0, 0, 0))[2]:
+                    want[d, k] = (s, m, sim)
+    return {k: (s, m, round(x, 9)) for k, (s, m, x) in want.items()}
+
+
+def check_windows(spark, docs, items):
+    found = op10.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = window_matches(docs, items)
+    assert {(r.doc_id, r.item_id): (r.start, r.n_words, round(r.similarity, 9)) for r in found} == want
+    return want
+
+
+def test_decontamination_of_reordered_items(spark):
+    rng = random.Random(7)
+    items = [(k, " ".join(f"{'abcdefgh'[rng.randrange(8)] * rng.randint(1, 9)}{k}x{i}" for i in range(40 + 5 * k))) for k in range(6)]
+    around = [f"filler{i}" for i in range(60)]
+    docs = []
+    for k, x in items:
+        w = x.split()
+        for j, at in enumerate((8, len(w) // 2, len(w) - 12)):
+            docs.append((10 * k + j, " ".join(around + w[at:] + w[:at] + around)))
+    assert len(check_windows(spark, docs, items)) == len(docs)
