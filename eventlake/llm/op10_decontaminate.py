@@ -7,10 +7,10 @@ sequence if it is shorter), the sum of the smaller multiplicities divided by
 the sum of the larger ones. Method:
 
 1. Places: at similarity 0.75 at most a seventh of an item's n shingles is
-   lost, and each lost word loses one at least. So of the n // 7 + 3 longest
-   distinct words of an item all but n // 7 stand in the window, in any order;
-   all windows that hold so many, and all but n // 7 of all its distinct words,
-   are looked at.
+   lost, and each lost word loses one at least; to a text shorter than the item, a
+   quarter. So of the n // 4 + 3 longest distinct words of an item all but n // 7
+   (n // 4) stand in the window, in any order; all windows that hold so many, and
+   all but n // 7 (n // 4) of all its distinct words, are looked at.
 2. The windows of the item's size at these places get a 64-bit SimHash of their
    words.
 3. Multi-index: fingerprints are cut into 16 blocks of 4 bits; the items'
@@ -88,17 +88,18 @@ def _block(j: int) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (first word of the best window), n_words, similarity of every contamination."""
     items = benchmark.where("item_id is not null").select("item_id", words_of("text").alias("words")).where("size(words) > 0")
-    items = items.withColumn("m", F.size("words")).withColumn("lost", F.expr("cast((greatest(m - %d, 0) + 1) div 7 as int)" % SHINGLE))
+    items = items.withColumn("m", F.size("words")).withColumn("n", F.greatest(F.col("m") - SHINGLE, F.lit(0)) + 1)
+    items = items.withColumn("lost", F.expr("cast(n div 7 as int)")).withColumn("cut", F.expr("cast(n div 4 as int)")).drop("n")
 
     # 1. places by the longest words
-    word = items.select("item_id", "m", "lost", F.posexplode("words").alias("offset", "word"))
+    word = items.select("item_id", "m", "lost", "cut", F.posexplode("words").alias("offset", "word"))
     longest = Window.partitionBy("item_id", "m").orderBy(F.length("word").desc(), "word")
-    anchor = word.withColumn("rank", F.dense_rank().over(longest)).where("rank <= lost + 3").select("item_id", "m", "lost", "word").distinct()
+    anchor = word.withColumn("rank", F.dense_rank().over(longest)).where("rank <= cut + 3").select("item_id", "m", "lost", "cut", "word").distinct()
     anchor = anchor.withColumn("n_anchors", F.count("*").over(Window.partitionBy("item_id", "m")))
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     at = texts.select("doc_id", F.xxhash64("text").alias("row"), _words("text").alias("all"))
     at = at.select("doc_id", "row", F.size("all").alias("size"), F.posexplode("all").alias("pos", "word"))
-    lacking = F.col("lost")
+    lacking = F.when(F.col("size") < F.col("m"), F.col("cut")).otherwise(F.col("lost"))
     hit = at.join(_small(anchor), "word").withColumn("lacking", lacking).withColumn("need", F.greatest(F.col("n_anchors") - F.col("lacking"), F.lit(1)))
     # a window counts if it holds enough of the item's words, wherever they stand in it
     enough = hit.groupBy("doc_id", "row", "item_id").agg(F.countDistinct("word").alias("found"), F.max("need").alias("of")).where("found >= of")

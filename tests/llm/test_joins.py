@@ -137,3 +137,9 @@ def test_decontamination_of_reordered_items(spark):
         for j, at in enumerate((8, len(w) // 2, len(w) - 12)):
             docs.append((10 * k + j, " ".join(around + w[at:] + w[:at] + around)))
     assert len(check_windows(spark, docs, items)) == len(docs)
+
+
+def test_decontamination_of_texts_shorter_than_the_item(spark):
+    items = [(k, " ".join([f"w{k}x{i}" for i in range(m - m // 5)] + [f"longest{k}x{i}" for i in range(m // 5)])) for k, m in enumerate((20, 22, 24, 40))]
+    docs = [(k, " ".join(x.split()[: len(x.split()) - len(x.split()) // 5])) for k, x in items]
+    assert len(check_windows(spark, docs, items)) == len(docs)
