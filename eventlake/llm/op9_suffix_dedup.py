@@ -46,10 +46,15 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 
 def _short(h: np.ndarray) -> np.ndarray:
-    """32 bits of a hash; with the slot, which other bits choose, a chance hit only costs work."""
+    """32 bits of a hash; triggers are the same to all blocks if their slots, which other bits choose, are too."""
     return (h & _LOW).astype(np.uint32).view(np.int32)
 
 
+def _name(trigger: np.ndarray, slots: int) -> np.ndarray:
+    """Slot and 32 bits of a trigger, as the slots tell them apart."""
+    return t.slot_of(trigger, slots).astype(np.uint64) << np.uint64(32) | trigger & _LOW
+
+
 class Phrases:
     """Phrases of one block: trigger, first and last start of their strings, document."""
 
@@ -77,12 +82,12 @@ class Phrases:
     def triggers(self):
         return distinct_per_doc(self.trigger, self.doc)
 
-    def recurring(self, told: np.ndarray, hot: np.ndarray):
+    def recurring(self, told: np.ndarray, hot: np.ndarray, slots: int):
         """(route, key, row, first, last) of the phrases that can repeat; those of hot triggers split into single strings."""
         own, multi = self.triggers()
-        at = np.flatnonzero(t.has(np.sort(own[multi]), self.trigger) | t.has(np.sort(told), self.trigger & _LOW))
+        at = np.flatnonzero(t.has(np.sort(own[multi]), self.trigger) | t.has(np.sort(told), _name(self.trigger, slots)))
         trigger, row, first, last = self.trigger[at], self.row[at], self.first[at], self.last[at]
-        is_hot = t.has(np.sort(hot), trigger & _LOW)
+        is_hot = t.has(np.sort(hot), _name(trigger, slots))
         size = np.where(is_hot, last - first + 1, 1)
         each = np.repeat(np.arange(len(at)), size)
         step = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
@@ -103,7 +108,7 @@ def _ask(width: int, run: int, slots: int):
 def _answer(hot: int):
     """Of one slot: to each block, which of its triggers recur elsewhere, and which are hot."""
 
-    def fn(table):
+    def fn(key, table):
         h, multi = t.longs(table["hash"]), t.longs(table["multi"]).astype(bool)
         src = np.repeat(t.ids(table["src"]), t.lengths(table["hash"]))
         order = np.argsort(h)
@@ -113,13 +118,14 @@ def _answer(hot: int):
         again = np.repeat((size > 1) | np.logical_or.reduceat(multi, g), size) if len(g) else np.zeros(0, bool)
         many = np.repeat(size > hot, size)
         tell = (again & ~multi) | many
-        return t.dealt(src[tell], 0, {"hash": _short(h[tell]), "hot": many[tell].astype(np.int8)}).drop(["src"])
+        return t.dealt(src[tell], key[0].as_py(), {"hash": _short(h[tell]), "hot": many[tell].astype(np.int8)}).rename_columns(["slot", "origin", "hash", "hot"])
 
     return fn
 
 
 def _hot_of(told):
-    hashes, hot = t.longs(told["hash"]) & _LOW, t.longs(told["hot"]).astype(bool)
+    origin = np.repeat(t.ids(told["origin"]), t.lengths(told["hash"])).astype(np.uint64)
+    hashes, hot = origin << np.uint64(32) | t.longs(told["hash"]) & _LOW, t.longs(told["hot"]).astype(bool)
     return hashes, hashes[hot]
 
 
@@ -133,7 +139,7 @@ def _claim(width: int, run: int, slots: int):
 
     def fn(docs, told):
         p = Phrases(docs, width, run)
-        route, key, row, _, _ = p.recurring(*_hot_of(told))
+        route, key, row, _, _ = p.recurring(*_hot_of(told), slots)
         order = np.argsort(key)
         g = t.group_starts(key[order])
         least = np.minimum.reduceat(p.doc_id[row[order]], g) if len(g) else _NONE
@@ -176,7 +182,7 @@ def _dictionary(width: int, run: int, slots: int):
     def fn(docs, told):
         block = docs["block"][0].as_py() if docs.num_rows else 0
         p = Phrases(docs, width, run)
-        route, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)))
+        route, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)), slots)
         wanted = t.has(np.sort(t.longs(_of(told, 2)["key"])), key)
         route, key, row, first, last = route[wanted], key[wanted], row[wanted], first[wanted], last[wanted]
         order = np.argsort(key)
@@ -267,10 +273,10 @@ def _owners(width: int):
     return fn
 
 
-def _remove(width: int, run: int):
+def _remove(width: int, run: int, slots: int):
     def fn(docs, told):
         p = Phrases(docs, width, run)
-        _, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)))
+        _, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)), slots)
         alone, many = _of(told, 1), _of(told, 3)
         whole = t.longs(alone["key"])
         told_key = np.concatenate([whole, t.longs(many["key"])])
@@ -321,17 +327,17 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, hot: int =
     blocks, _, slots = in_blocks(docs, block_bytes)
     by_block = blocks.groupBy("block")
     none = F.array().cast("array<bigint>")
-    short = [F.array().cast("array<int>").alias("hash"), F.array().cast("array<tinyint>").alias("hot")]
+    short = [F.lit(-1).alias("origin"), F.array().cast("array<int>").alias("hash"), F.array().cast("array<tinyint>").alias("hot")]
 
     def told(kind, rows, *known):
         """Answers of one kind in the common form of all."""
         have = {c: F.col(c) for c in known}
         key = have.get("hash") if kind else None
-        first = short if kind else ["hash", "hot"]
+        first = short if kind else ["origin", "hash", "hot"]
         return rows.select("slot", F.lit(kind).alias("kind"), *first, (none if key is None else key).alias("key"), *[have.get(c, none).alias(c) for c in ("lo", "hi", "owner")])
 
     asked = by_block.applyInArrow(_ask(width, run, slots), "slot int, src int, hash array<int>, multi array<tinyint>")
-    answers = asked.groupBy("slot").applyInArrow(_answer(hot), "slot int, hash array<int>, hot array<tinyint>")
+    answers = asked.groupBy("slot").applyInArrow(_answer(hot), "slot int, origin int, hash array<int>, hot array<tinyint>")
     claims = by_block.cogroup(answers.groupBy("slot")).applyInArrow(_claim(width, run, slots), "slot int, src int, route array<int>, key array<bigint>, doc array<bigint>")
     settled = claims.groupBy("slot").applyInArrow(_settle, "slot int, kind int, hash array<bigint>, owner array<bigint>")
     recurring = told(0, answers)
@@ -341,7 +347,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, hot: int =
     )
     owned = dictionary.groupBy("slot").applyInArrow(_owners(width), "slot int, hash array<bigint>, lo array<bigint>, hi array<bigint>, owner array<bigint>")
     final = recurring.unionAll(told(1, settled.where("kind = 1"), "hash", "owner")).unionAll(told(3, owned, "hash", "lo", "hi", "owner"))
-    return by_block.cogroup(final.groupBy("slot")).applyInArrow(_remove(width, run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return by_block.cogroup(final.groupBy("slot")).applyInArrow(_remove(width, run, slots), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,3 +73,25 @@ def test_components(spark):
     links = [(1, 2), (2, 3), (5, 4), (5, 6), (9, 9), (8, 7), (7, 3)] + [(100 + i, 101 + i) for i in range(30)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**dict.fromkeys((1, 2, 3, 7, 8), 1), **dict.fromkeys((4, 5, 6), 4), **dict.fromkeys(range(100, 131), 100)}
+
+
+def test_suffix_dedup_splits_only_the_hot_trigger_itself():
+    """A trigger with the 32 bits of a hot one, but of another slot, stays whole."""
+    import numpy as np
+    import pyarrow as pa
+
+    from eventlake.llm import textops as t
+
+    text = " ".join(f"some{i} words{i * i}" for i in range(20))
+    p = op9.Phrases(pa.table({"doc_id": [1, 2], "text": [text, text]}), op9.WIDTH, op9.RUN)
+    k = int(np.argmax(p.last - p.first))
+    slots, trigger = 7, p.trigger[k]
+    other = next(x for x in trigger + (np.arange(1, 99, dtype=np.uint64) << np.uint64(40)) if t.slot_of(x, slots) != t.slot_of(trigger, slots))
+    told = []
+    for h in (trigger, other):
+        h = np.array([h, h], np.uint64)
+        slot = int(t.slot_of(h, slots)[0])
+        sent = pa.concat_tables([t.dealt(np.zeros(1, np.int64), src, {"hash": op9._short(h[:1]), "multi": np.ones(1, np.int8)}) for src in (0, 1)])
+        told.append(op9._answer(1 if h[0] == other else 9)((pa.scalar(slot),), sent))
+    _, _, _, first, last = p.recurring(*op9._hot_of(pa.concat_tables(told)), slots)
+    assert p.last[k] > p.first[k] and last[first == p.first[k]].tolist() == [p.last[k]]
