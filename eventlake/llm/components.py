@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from eventlake.session import scratch_dir
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared scratch folder: its lineage ends there."""
     at = scratch_dir(df.sparkSession, name)
-    df.write.parquet(at)
+    df.write.parquet(at, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
