@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventlake.session import scratch_dir
 
 
-def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: its lineage ends there."""
+def written(df: DataFrame, name: str, compression: str | None = None, schema: StructType | str | None = None) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: its lineage ends there. ``schema``: read it as these columns."""
     at = scratch_dir(df.sparkSession, name)
     df.write.parquet(at, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(at)
 
 
 def components(links: DataFrame) -> DataFrame:
