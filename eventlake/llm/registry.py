@@ -12,6 +12,7 @@ from eventlake.llm.op7_embedding_join import op7_embedding_join
 from eventlake.llm.op8_bpe import op8_bpe
 from eventlake.llm.op9_suffix_dedup import op9_suffix_dedup
 from eventlake.llm.op10_decontaminate import op10_decontaminate
+from eventlake.llm.op11_structure_repair import op11_structure_repair
 from eventlake.llm.op12_whitening import op12_whitening
 from eventlake.llm.op13_packing import op13_packing
 
@@ -28,6 +29,7 @@ QUERIES = {
         op8_bpe,
         op9_suffix_dedup,
         op10_decontaminate,
+        op11_structure_repair,
         op12_whitening,
         op13_packing,
     )
