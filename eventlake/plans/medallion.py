@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.operators import churn, marts, quality, silver, validation
+from eventlake.operators import churn, day_keys, marts, quality, silver, validation
 from eventlake.schema import (
     ACTIVITY_SCHEMA,
     BRONZE_SCHEMA,
@@ -57,6 +57,14 @@ class LakePaths:
     def quarantine(self) -> str:
         return self._p("silver", "_rejects")
 
+    @property
+    def silver_keys(self) -> str:
+        return self._p("silver", "_keys")
+
+    @property
+    def silver_pending(self) -> str:
+        return self._p("silver", "_pending_days")
+
     def gold(self, name: str) -> str:
         return self._p("gold", name)
 
@@ -79,9 +87,12 @@ class LakePaths:
 
 @dataclass(frozen=True)
 class SilverResult:
+    """Counts of one run, and the days it wrote (None: all)."""
+
     input_rows: int
     rejected_rows: int
     written_rows: int
+    days: tuple[dt.date, ...] | None = None
 
 
 def bronze_to_silver(
@@ -91,6 +102,7 @@ def bronze_to_silver(
     processed_at: dt.datetime | None = None,
     keep_rejects: bool = True,
     dedup: str = "window",
+    across_days: bool = True,
 ) -> SilverResult:
     """Bronze (all or chosen days) -> typed, filtered, deduplicated Silver.
 
@@ -100,6 +112,11 @@ def bronze_to_silver(
     quarantine table, partitioned by day and replaced in the same way, so a
     rerun leaves the same quarantine.
 
+    ``across_days``: a run of days keeps one row per event over all days that have
+    been run (see :mod:`eventlake.operators.day_keys`); days that win or lose an
+    event by it are written too, and ``days`` of the result names all of them.
+    Without it events are deduplicated within the given days alone.
+
     ``dedup="window"``: one scan, one shuffle by id, where each task sends at
     most one row per id. ``dedup="exception"``: a narrow first pass finds the
     ids that occur more than once, and only their rows meet in the window; worth
@@ -107,7 +124,15 @@ def bronze_to_silver(
     """
     if dedup not in ("window", "exception"):
         raise ValueError(f"dedup must be 'window' or 'exception', got {dedup!r}")
-    raw = silver.select_days(spark.read.schema(BRONZE_SCHEMA).parquet(paths.bronze), days, undated=True)
+    table = spark.read.schema(BRONZE_SCHEMA).parquet(paths.bronze)
+    change = None
+    if days is None:
+        day_keys.forget(spark, paths.silver_keys, paths.silver_pending)
+    elif across_days:
+        of_days = lambda some: silver.project(silver.select_days(table, some)).where(silver.key_present())
+        change = day_keys.begin(spark, of_days, paths.silver_keys, paths.silver_pending, paths.silver, silver.parse_days(days))
+        days = change.days
+    raw = silver.select_days(table, days, undated=True)
     projected = silver.project(raw, processed_at)
     obs = Observation(f"silver_in_{uuid.uuid4().hex[:8]}")
     counted = projected.observe(
@@ -116,23 +141,31 @@ def bronze_to_silver(
         F.count_if(~silver.key_present()).alias("rejected_rows"),
     )
     rebalance = _multi_day(days)
+
+    def usable(rows: DataFrame) -> DataFrame:
+        rows = rows.where(silver.key_present())
+        return rows if change is None else rows.join(change.losers, ["event_id", "event_date"], "left_anti").select(*rows.columns)
+
     if dedup == "window":
-        deduped = silver.deduplicate(counted.where(silver.key_present()))
+        deduped = silver.deduplicate(usable(counted))
     else:
         dup_path = scratch_dir(spark, "silver-dup-ids")
-        silver.duplicate_ids(counted.where(silver.key_present())).write.parquet(dup_path)
+        silver.duplicate_ids(usable(counted)).write.parquet(dup_path)
         dup_ids = spark.read.parquet(dup_path)
-        deduped = silver.deduplicate_by_exception(projected.where(silver.key_present()), dup_ids, "event_date" if rebalance else None)
+        deduped = silver.deduplicate_by_exception(usable(projected), dup_ids, "event_date" if rebalance else None)
         rebalance = False
     wanted = None if days is None else [d.isoformat() for d in silver.parse_days(days)]
     written = replace_days(spark, silver.to_contract(deduped), paths.silver, wanted, rebalance)
     got = obs.get
-    result = SilverResult(int(got.get("input_rows", 0)), int(got.get("rejected_rows", 0)), written)
+    all_days = None if days is None else tuple(silver.parse_days(days))
+    result = SilverResult(int(got.get("input_rows", 0)), int(got.get("rejected_rows", 0)), written, all_days)
     if dedup == "exception":
         drop_path(spark, dup_path)
     if keep_rejects and (result.rejected_rows or table_exists(spark, paths.quarantine)):
         rejected = silver.rejects(raw).withColumn("_rejected_at", _stamp(processed_at))
         replace_days(spark, rejected, paths.quarantine, None if wanted is None else [*wanted, HIVE_NULL])
+    if change is not None:
+        day_keys.done(spark, paths.silver_pending)
     return result
 
 
@@ -270,7 +303,7 @@ def run(
         landed = bronze_src.land(spark, raw_files, paths.bronze, paths.ledger)
         summary["bronze_rows"] = landed.rows
     summary["silver"] = bronze_to_silver(spark, paths, days)
-    build_gold(spark, paths, days)
+    build_gold(spark, paths, summary["silver"].days)
     checks, rows, schema = check_lake(spark, paths)
     summary["gold_checks"] = checks
     if rows is not None:
@@ -309,7 +342,7 @@ def backfill(
     days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
     if table_exists(spark, paths.bronze):
         out["silver"] = bronze_to_silver(spark, paths, days)
-        build_gold(spark, paths, days)
+        build_gold(spark, paths, out["silver"].days)
     return out
 
 

@@ -734,3 +734,47 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     driver.dump_lines(driver.events_as_raw(driver.load_events(spark, sf_dir))).write.option("compression", "gzip").text(raw_dir)
     medallion.run(spark, paths, medallion.list_raw_files(spark, raw_dir, "*.gz"))
     return spark.read.json(paths.quality).select("layer", "expectation", "column", "mostly", "evaluated", "unexpected", "success")
+
+
+# --- one row per event across daily runs ------------------------------------------
+
+
+def _replayed_on_other_days(spark: SparkSession, sf_dir: str) -> medallion.LakePaths:
+    """Bronze where every fifth event came again later, dated three days on, and every seventh
+    has an older copy dated two days before."""
+    events = driver.load_events(spark, sf_dir)
+
+    def copy(every: int, shift: str, delay: str) -> DataFrame:
+        created = F.date_format(F.col("ts") + F.expr(shift), driver.ISO_FORMAT)
+        return driver.events_as_raw(events.where(F.col("event_id") % every == 0), created_col=created, ingest_delay=delay)
+
+    raw = driver.events_as_raw(events).unionByName(copy(5, "INTERVAL 3 DAYS", "INTERVAL 10 DAYS"))
+    raw = raw.unionByName(copy(7, "INTERVAL -2 DAYS", "INTERVAL -1 DAYS"))
+    paths = medallion.LakePaths(scratch_dir(spark, "lake-days"))
+    driver.as_bronze(raw).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(paths.bronze)
+    return paths
+
+
+def _run_spans(spark: SparkSession, paths: medallion.LakePaths, spans: list[tuple[int, int]]) -> None:
+    """Silver runs of the days first..last (excluded) of January 2024, one run per span."""
+    for a, b in spans:
+        medallion.bronze_to_silver(spark, paths, [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(a, b)])
+
+
+def silver_cross_day_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of some days, the later ones first and one again: one row per event, the newest."""
+    paths = _replayed_on_other_days(spark, sf_dir)
+    _run_spans(spark, paths, [(14, 40), (-4, 14), (8, 9)])
+    return medallion.read_silver(spark, paths).drop("_silver_processed_at")
+
+
+def silver_cross_day_vanished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full build, then a day that Bronze has lost runs again: events it had won come back to their other day."""
+    from eventlake.sources.tables import drop_partitions
+
+    paths = _replayed_on_other_days(spark, sf_dir)
+    medallion.bronze_to_silver(spark, paths)
+    _run_spans(spark, paths, [(20, 22)])
+    drop_partitions(spark, paths.bronze, "event_date", ["2024-01-10"])
+    _run_spans(spark, paths, [(9, 10)])
+    return medallion.read_silver(spark, paths).drop("_silver_processed_at")

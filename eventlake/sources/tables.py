@@ -90,6 +90,15 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
         fs.delete(hadoop.Path(root, f"{column}={value}"), True)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column that have a directory (the null directory left out); one listing, no job."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    glob = hadoop.Path(f"{path.rstrip('/')}/{column}=*")
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob) or []
+    values = sorted(str(f.getPath().getName()).split("=", 1)[1] for f in found)
+    return [v for v in values if v != HIVE_NULL]
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a dataset that the caller itself has written."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
