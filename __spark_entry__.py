@@ -151,6 +151,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_report",
         "silver_cross_day_replays",
         "silver_cross_day_vanished",
+        "gold_forward_dim_repo",
+        "gold_forward_dim_actor",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -626,6 +628,18 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
     )
     out["silver_cross_day_replays"] = _with(_SILVER_CTE, _COPIES_CTE) + _NEWEST_COPY.format(where="")
     out["silver_cross_day_vanished"] = _with(_SILVER_CTE, _COPIES_CTE) + _NEWEST_COPY.format(where="WHERE event_date <> DATE '2024-01-10'")
+    # every eleventh event has no repository; two days were run again with fewer events, whose repositories are renamed
+    forward = _with(
+        _SILVER_CTE.replace("silver AS", "events_all AS"),
+        """silver AS (
+    SELECT * REPLACE (CASE WHEN event_id % 11 <> 0 THEN repo_id END AS repo_id,
+        CASE WHEN event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' THEN 'z-' || repo_name ELSE repo_name END AS repo_name)
+    FROM events_all
+    WHERE event_date NOT BETWEEN DATE '2024-01-05' AND DATE '2024-01-06' OR (event_id % 3 <> 1 AND event_hour < 20)
+)""",
+    )
+    out["gold_forward_dim_repo"] = forward + _DIM_REPO
+    out["gold_forward_dim_actor"] = forward + _DIM_ACTOR
     out.update(_quality_oracles())
     out["run_report"] = f'SELECT layer, expectation, "column", mostly, evaluated, unexpected, success FROM ({out["quality_report"]})'
     if registry is not None:

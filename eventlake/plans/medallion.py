@@ -16,8 +16,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from eventlake.operators import churn, day_keys, marts, quality, silver, validation
+from eventlake.operators import churn, day_keys, dim_state, marts, quality, silver, validation
 from eventlake.schema import (
     ACTIVITY_SCHEMA,
     BRONZE_SCHEMA,
@@ -31,7 +32,7 @@ from eventlake.schema import (
 )
 from eventlake.sources import bronze as bronze_src
 from eventlake.session import scratch_dir
-from eventlake.sources.tables import HIVE_NULL, drop_path, read_table, replace_days, table_exists, write_table
+from eventlake.sources.tables import HIVE_NULL, drop_path, read_table, replace_days, table_exists, touch, write_table
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,9 @@ class LakePaths:
     def gold(self, name: str) -> str:
         return self._p("gold", name)
 
+    def dim_state(self, name: str) -> str:
+        return self._p("gold", "_members", name)
+
     @property
     def quality(self) -> str:
         return self._p("quality", "results")
@@ -194,18 +198,30 @@ def read_silver(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return read_table(spark, paths.silver, SILVER_SCHEMA)
 
 
-def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.date] | None = None) -> None:
+def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.date] | None = None, incremental: bool = True) -> None:
     """Silver -> fact_events (+ the activity rollup) -> dimensions.
 
     The fact and the day-grained activity rollup are partitioned by
     ``event_date``; with ``days`` only those partitions are recomputed, and a
-    day that lost its rows is removed. The dimensions are rebuilt from the
-    rollup of all days, so a daily run reads one day of Silver plus the whole
-    rollup; how much smaller that is than the events depends on how often one
-    actor repeats one type of event in one repository on one day.
+    day that lost its rows is removed. ``incremental``: the repository and actor
+    dimensions are brought forward from the difference of those days and their
+    member tables (see :mod:`eventlake.operators.dim_state`); the first such run
+    after a full build makes these from the rollup of all days. Otherwise the
+    dimensions are rebuilt from that rollup. A run that failed half way leaves a
+    marker, and the next one starts from the rollup.
     """
     stg = marts.stg_events(silver.select_days(read_silver(spark, paths), days))
     wanted = None if days is None else [d.isoformat() for d in silver.parse_days(days)]
+    marker = paths.dim_state("_changing")
+    tables = [paths.gold("activity"), *(p for n in dim_state.DIMENSIONS for p in (paths.gold(n), paths.dim_state(n)))]
+    ready = days is not None and incremental and all(table_exists(spark, t) for t in tables) and not table_exists(spark, marker)
+    old = None
+    if ready:
+        before = silver.select_days(read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA), days)
+        if not before.isEmpty():
+            old = scratch_dir(spark, "rollup-before")
+            before.write.parquet(old)
+    touch(spark, marker)
     # Silver files never span two dates, so the fact is a narrow scan -> write
     # (one file per input split, no shuffle). Fact and rollup are independent
     # jobs, as are the three dimensions: each group runs concurrently.
@@ -215,13 +231,59 @@ def build_gold(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.da
         lambda: replace_days(spark, fact, paths.gold("fact_events"), wanted),
         lambda: replace_days(spark, rollup, paths.gold("activity"), wanted, _multi_day(days)),
     )
+    if ready:
+        _update_dimensions(spark, paths, days, old)
+    else:
+        act = read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA)
+        dims = {
+            "dim_repo": check_contract(marts.dim_repo(act), DIM_REPO_SCHEMA, name="dim_repo"),
+            "dim_actor": check_contract(marts.dim_actor(act), DIM_ACTOR_SCHEMA, name="dim_actor"),
+            "dim_date": check_contract(marts.dim_date(act), DIM_DATE_SCHEMA, name="dim_date"),
+        }
+        jobs = [lambda n=n, df=df: write_table(df, paths.gold(n)) for n, df in dims.items()]
+        for name, dim in dim_state.DIMENSIONS.items():
+            drop_path(spark, paths.dim_state(name))
+            if days is not None and incremental:
+                state = dim_state.with_bucket(dim_state.members(act, dim))
+                jobs.append(lambda s=state, n=name: replace_days(spark, s, paths.dim_state(n), None, True, "bucket"))
+        _concurrently(*jobs)
+    drop_path(spark, marker)
+
+
+def _update_dimensions(spark: SparkSession, paths: LakePaths, days: Sequence[str | dt.date], old_path: str | None) -> None:
+    """Bring the dimensions forward to the replaced days of the rollup; ``old_path``: what these days held."""
     act = read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA)
-    dims = {
-        "dim_repo": check_contract(marts.dim_repo(act), DIM_REPO_SCHEMA, name="dim_repo"),
-        "dim_actor": check_contract(marts.dim_actor(act), DIM_ACTOR_SCHEMA, name="dim_actor"),
-        "dim_date": check_contract(marts.dim_date(act), DIM_DATE_SCHEMA, name="dim_date"),
-    }
-    _concurrently(*[lambda n=n, df=df: write_table(df, paths.gold(n)) for n, df in dims.items()])
+    new = silver.select_days(act, days)
+    nothing = spark.createDataFrame([], ACTIVITY_SCHEMA)
+    old = nothing if old_path is None else read_table(spark, old_path, ACTIVITY_SCHEMA)
+
+    def bring(name: str, dim: dim_state.Dimension) -> None:
+        at, merged, table = (scratch_dir(spark, f"{name}-{part}") for part in ("changes", "members", "rows"))
+        dim_state.member_changes(new, old, dim).write.parquet(at)
+        members = StructType.fromDDL(dim_state.MEMBERS_SCHEMA)
+        changes, state = read_table(spark, at, members), read_table(spark, paths.dim_state(name), members)
+        entities = new.select(F.col(dim.key).alias("entity")).unionAll(old.select(dim.key)).where("entity is not null")
+        buckets = sorted(r.bucket for r in dim_state.with_bucket(entities).select("bucket").distinct().collect())  # BUCKETS at most
+        dim_state.merge_members(state.where(F.col("bucket").isin(buckets)), changes).write.parquet(merged)
+        after = read_table(spark, merged, members)
+        replace_days(spark, after, paths.dim_state(name), [str(b) for b in buckets], True, "bucket")
+        rows = dim_state.merge_dimension(read_table(spark, paths.gold(name), dim.schema), after, new, old, None if old_path is None else act, dim)
+        rows.write.parquet(table)
+        write_table(read_table(spark, table, dim.schema), paths.gold(name))
+        for path in (at, merged, table):
+            drop_path(spark, path)
+
+    def dates() -> None:
+        at = scratch_dir(spark, "dim_date-rows")
+        now = read_table(spark, paths.gold("dim_date"), DIM_DATE_SCHEMA)
+        kept = now.where(~F.col("date_key").isin(silver.parse_days(days)))
+        kept.unionByName(marts.dim_date(new)).write.parquet(at)
+        write_table(read_table(spark, at, DIM_DATE_SCHEMA), paths.gold("dim_date"))
+        drop_path(spark, at)
+
+    _concurrently(*[lambda n=n, d=d: bring(n, d) for n, d in dim_state.DIMENSIONS.items()], dates)
+    if old_path is not None:
+        drop_path(spark, old_path)
 
 
 def gold_tables(spark: SparkSession, paths: LakePaths) -> dict[str, DataFrame]:

@@ -778,3 +778,33 @@ def silver_cross_day_vanished(spark: SparkSession, sf_dir: str) -> DataFrame:
     drop_partitions(spark, paths.bronze, "event_date", ["2024-01-10"])
     _run_spans(spark, paths, [(9, 10)])
     return medallion.read_silver(spark, paths).drop("_silver_processed_at")
+
+
+def _gold_brought_forward(spark: SparkSession, sf_dir: str) -> medallion.LakePaths:
+    """Gold of the first ten days as a whole, two more spans of days, then two days again that have
+    lost and renamed rows: the last two runs bring the dimensions forward."""
+    paths = medallion.LakePaths(scratch_dir(spark, "lake-forward"))
+    slv = _silver(spark, sf_dir).withColumn("repo_id", F.when(F.col("event_id") % 11 != 0, F.col("repo_id")))
+
+    def put(rows: DataFrame, a: int, b: int) -> list[dt.date]:
+        days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(a, b)]
+        silver.write_silver(rows.where(F.col("event_date").isin(days)), paths.silver)
+        return days
+
+    put(slv, 0, 10)
+    medallion.build_gold(spark, paths)
+    for span in ((10, 20), (20, 40)):
+        medallion.build_gold(spark, paths, put(slv, *span))
+    less = slv.where("event_id % 3 <> 1 and event_hour < 20").withColumn("repo_name", F.concat(F.lit("z-"), "repo_name"))
+    medallion.build_gold(spark, paths, put(less, 4, 6))
+    return paths
+
+
+def gold_forward_dim_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2/C4: the repository dimension brought forward over spans of days and a rerun."""
+    return medallion.gold_tables(spark, _gold_brought_forward(spark, sf_dir))["dim_repo"]
+
+
+def gold_forward_dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actor dimension of the same runs."""
+    return medallion.gold_tables(spark, _gold_brought_forward(spark, sf_dir))["dim_actor"]

@@ -99,6 +99,12 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return [v for v in values if v != HIVE_NULL]
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file as a marker."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a dataset that the caller itself has written."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
