@@ -153,6 +153,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_cross_day_vanished",
         "gold_forward_dim_repo",
         "gold_forward_dim_actor",
+        "bronze_new_members",
+        "bronze_member_columns",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -628,6 +630,20 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
     )
     out["silver_cross_day_replays"] = _with(_SILVER_CTE, _COPIES_CTE) + _NEWEST_COPY.format(where="")
     out["silver_cross_day_vanished"] = _with(_SILVER_CTE, _COPIES_CTE) + _NEWEST_COPY.format(where="WHERE event_date <> DATE '2024-01-10'")
+    out["bronze_member_columns"] = (
+        "SELECT event_id, CASE WHEN day(ts) >= 10 THEN event_id % 7 END AS org_id, CASE WHEN day(ts) >= 10 THEN 'org' || CAST(user_id AS VARCHAR) END AS org_login, "
+        "CASE WHEN day(ts) >= 20 AND event_id % 3 = 0 THEN CAST(event_id % 50 AS DOUBLE) + CASE WHEN event_id % 2 = 0 THEN 0.0 ELSE 0.5 END END AS score, "
+        "CASE WHEN event_id % 5 = 0 THEN 'https://example.invalid/' || CAST(user_id AS VARCHAR) END AS site FROM events"
+    )
+    member = "SELECT '{m}' AS member, '{t}' AS value_type, min(CAST(ts AS DATE)) AS first_day, count(*) AS n_rows FROM events WHERE {w}"
+    out["bronze_new_members"] = " UNION ALL ".join(
+        member.format(m=m, t=t, w=w)
+        for m, t, w in (
+            ("org", "OBJECT<id: BIGINT, login: STRING>", "day(ts) >= 10"),
+            ("score", "OBJECT<v: DECIMAL(21,1)>", "day(ts) >= 20 AND event_id % 3 = 0"),
+            ("actor", "OBJECT<site: STRING>", "event_id % 5 = 0"),
+        )
+    )
     # every eleventh event has no repository; two days were run again with fewer events, whose repositories are renamed
     forward = _with(
         _SILVER_CTE.replace("silver AS", "events_all AS"),

@@ -624,8 +624,8 @@ def bronze_schema_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
     org = F.when(F.col("id").cast("bigint") % 3 == 0, F.struct(F.concat(F.lit("org"), F.col("actor.id")).alias("login")))
     paths = _lake_of_lines(spark, driver.dump_lines(raw, {"org": org}))
-    b = bronze.read_bronze(spark, paths.bronze)
-    return b.select(F.col("id").cast("bigint").alias("event_id"), F.get_json_object("record", "$.org.login").alias("org_login"), F.get_json_object("record", "$.actor.display_login").alias("display_login"))
+    b = bronze.with_members(bronze.read_bronze(spark, paths.bronze), {"org_login": ("org", "$.login", "string")})
+    return b.select(F.col("id").cast("bigint").alias("event_id"), "org_login", F.col("actor.display_login").alias("display_login"))
 
 
 def payload_struct_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -808,3 +808,31 @@ def gold_forward_dim_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_forward_dim_actor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The actor dimension of the same runs."""
     return medallion.gold_tables(spark, _gold_brought_forward(spark, sf_dir))["dim_actor"]
+
+
+# --- members beyond the envelope ---------------------------------------------------
+
+
+def _grown_dumps(spark: SparkSession, sf_dir: str) -> medallion.LakePaths:
+    """Dumps that bring an organisation from the tenth on, a score from the twentieth on (a fraction for odd ids),
+    and a site of some actors."""
+    raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
+    number, day = F.col("id").cast("bigint"), F.dayofmonth("event_date")
+    org = F.when(day >= 10, F.struct(F.concat(F.lit("org"), F.col("actor.id")).alias("login"), (number % 7).alias("id")))
+    score = F.when((day >= 20) & (number % 3 == 0), F.when(number % 2 == 0, F.to_json(F.struct((number % 50).alias("v")))).otherwise(F.to_json(F.struct(((number % 50) + F.lit(0.5)).alias("v")))))
+    site = F.when(number % 5 == 0, F.concat(F.lit("https://example.invalid/"), F.col("actor.id")))
+    raw = raw.withColumn("actor", F.col("actor").withField("site", site))
+    lines = driver.dump_lines(raw, {"org": org, "score": F.parse_json(score)})
+    return _lake_of_lines(spark, lines)
+
+
+def bronze_new_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members that dumps have gained, with type, first day and number of records."""
+    return bronze.new_members(bronze.read_bronze(spark, _grown_dumps(spark, sf_dir).bronze))
+
+
+def bronze_member_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same members as typed columns beside the envelope."""
+    typed = {"org_id": ("org", "$.id", "bigint"), "org_login": ("org", "$.login", "string"), "score": ("score", "$.v", "double"), "site": ("actor", "$.site", "string")}
+    b = bronze.with_members(bronze.read_bronze(spark, _grown_dumps(spark, sf_dir).bronze), typed)
+    return b.select(F.col("id").cast("bigint").alias("event_id"), *typed)

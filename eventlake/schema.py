@@ -15,10 +15,12 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
     TimestampType,
+    VariantType,
 )
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -40,11 +42,11 @@ RAW_SCHEMA = StructType(
     ]
 )
 
-#: The column that keeps each line as it came, so no field is lost at landing.
-RECORD_COLUMN = "record"
+#: The column of a record's members beyond the envelope, with their types.
+FURTHER_COLUMN = "further"
 
-#: Raw envelope plus the columns for unparseable lines and for the whole line.
-RAW_READ_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType()), StructField(RECORD_COLUMN, StringType())])
+#: Raw envelope plus the columns for unparseable lines and for further members.
+RAW_READ_SCHEMA = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT_COLUMN, StringType()), StructField(FURTHER_COLUMN, MapType(StringType(), VariantType()))])
 
 #: Columns Bronze adds on top of the raw envelope.
 BRONZE_EXTRA = StructType(

@@ -11,29 +11,78 @@ which hours a range must have.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import MapType, StringType, StructType, VariantType
 
 from eventlake.functions.columns import parse_timestamp
-from eventlake.schema import BRONZE_SCHEMA, CORRUPT_COLUMN, RAW_READ_SCHEMA, RECORD_COLUMN
+from eventlake.schema import BRONZE_SCHEMA, CORRUPT_COLUMN, FURTHER_COLUMN, RAW_READ_SCHEMA, RAW_SCHEMA
 from eventlake.sources.tables import check_mode, table_exists, write_table
 
 LEDGER_SCHEMA = "file_path string, file_name string, landed_at timestamp"
 
 
+#: key of ``further`` for a whole line whose members can't be told apart
+WHOLE_LINE = ""
+
+
+def _members_beyond(line: Column, corrupt: Column) -> Column:
+    """Members of a JSON line that the envelope has no column for, as variants.
+
+    Those of a nested envelope object stand under its name (``actor`` holds what
+    else the actor has). A line with repeated members, or with a value no variant
+    can hold, is kept whole under the key :data:`WHOLE_LINE`; one that is in
+    ``_corrupt_record`` already has none.
+    """
+    kind = MapType(StringType(), VariantType())
+    members = F.from_json(line, kind)
+
+    def beyond(members: Column, known: list[str]) -> Column:
+        return F.map_filter(members, lambda k, _: ~k.isin(known))
+
+    parts = [beyond(members, RAW_SCHEMA.fieldNames())]
+    none = F.create_map().cast(kind)
+    for f in RAW_SCHEMA.fields:
+        if isinstance(f.dataType, StructType):
+            rest = beyond(members[f.name].try_cast(kind), f.dataType.fieldNames())
+            parts.append(F.when(F.size(rest) > 0, F.create_map(F.lit(f.name), F.to_variant_object(rest))).otherwise(none))
+    told_apart = F.size(F.array_distinct(F.map_keys(members))) == F.size(members)
+    whole = F.create_map(F.lit(WHOLE_LINE), line.cast(VariantType()))
+    return F.when(corrupt.isNull(), F.when(told_apart, F.map_concat(*parts)).otherwise(whole))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
-    """Raw envelope of text lines (column ``value``), each line kept in ``record``.
+    """Raw envelope of text lines (column ``value``); further members stand in ``further``.
 
     Blank lines are no records. A line that is no JSON object, or whose members
     have other shapes, is kept in ``_corrupt_record`` with what could be read.
     """
-    envelope = StructType([f for f in RAW_READ_SCHEMA.fields if f.name != RECORD_COLUMN])
+    envelope = StructType([f for f in RAW_READ_SCHEMA.fields if f.name != FURTHER_COLUMN])
     parsed = F.from_json("value", envelope, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
-    return lines.where(F.trim("value") != "").select(parsed.alias("e"), F.col("value").alias(RECORD_COLUMN)).select("e.*", RECORD_COLUMN)
+    rows = lines.where(F.trim("value") != "").select(parsed.alias("e"), "value")
+    return rows.select("e.*", _members_beyond(F.col("value"), F.col(f"e.{CORRUPT_COLUMN}")).alias(FURTHER_COLUMN))
+
+
+def new_members(bronze: DataFrame) -> DataFrame:
+    """Members beyond the envelope: ``member, value_type, first_day, n_rows``, one row each.
+
+    Types of different dumps are merged as numbers widen and objects grow;
+    ``VARIANT`` is what has no common type.
+    """
+    each = bronze.select("event_date", F.explode(FURTHER_COLUMN).alias("member", "value"))
+    return each.groupBy("member").agg(
+        F.schema_of_variant_agg("value").alias("value_type"),
+        F.min("event_date").alias("first_day"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
+def with_members(bronze: DataFrame, columns: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+    """Bronze with further members as typed columns: name -> (member, path in it, type); NULL where absent or of another type."""
+    return bronze.withColumns({name: F.try_variant_get(F.col(FURTHER_COLUMN)[member], path, kind) for name, (member, path, kind) in columns.items()})
 
 
 def read_events(spark: SparkSession, paths: Sequence[str], infer: bool = False) -> DataFrame:
@@ -49,7 +98,7 @@ def read_events(spark: SparkSession, paths: Sequence[str], infer: bool = False)
 
 
 def with_ingest_columns(df: DataFrame, ingested_at: dt.datetime | None = None) -> DataFrame:
-    """Add ``event_date`` (DATE of ``created_at``) and ``_ingested_at``.
+    """The day that a row is filed under and its load time, as two more columns.
 
     ``ingested_at`` pins the load time (repeatable runs); default is the query
     start time.
@@ -60,9 +109,9 @@ def with_ingest_columns(df: DataFrame, ingested_at: dt.datetime | None = None) -
 
 
 def write_bronze(df: DataFrame, table_path: str, mode: str = "append") -> None:
-    """Append/overwrite Bronze partitioned by ``event_date``.
+    """Write rows that have their day into the day directories of Bronze.
 
-    No extra shuffle: an hourly dump is one (unsplittable) gzip file, so each
+    Rows stay in their tasks: an hourly dump is one (unsplittable) gzip file, so each
     task already writes its hour into one date directory.
     """
     check_mode(mode)
@@ -70,7 +119,7 @@ def write_bronze(df: DataFrame, table_path: str, mode: str = "append") -> None:
 
 
 def read_bronze(spark: SparkSession, table_path: str) -> DataFrame:
-    """Landed Bronze with its contract schema; new fields of a dump are in ``record``."""
+    """Landed Bronze with its contract schema; new members of a dump are in ``further``."""
     return spark.read.schema(BRONZE_SCHEMA).parquet(table_path)
 
 

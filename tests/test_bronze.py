@@ -23,8 +23,8 @@ def test_read_adds_ingest_columns(spark, hour_files):
     first = min(rows, key=lambda r: int(r.id))
     assert json.loads(first.payload) == {"size": 0, "ref": "refs/heads/b0"}
     # and the line keeps what the envelope does not name
-    assert all(json.loads(r.record)["id"] == r.id for r in rows)
-    assert sum("org" in json.loads(r.record) for r in rows) == 5
+    assert sum("org" in r.further for r in rows) == 5
+    assert all(json.loads(r.further["org"].toJson()) == {"id": i, "login": f"org-{i}"} for i, r in enumerate(sorted(rows, key=lambda r: int(r.id))) if i % 2)
 
 
 def test_empty_path_list_rejected(spark):
@@ -103,8 +103,8 @@ def test_new_fields_and_text_ids_survive_landing(spark, tmp_path):
     target = str(tmp_path / "bronze")
     bronze.land(spark, [str(write_hour(tmp_path / "raw", dt.date(2024, 1, 1), 0, 8))], target)
     rows = bronze.read_bronze(spark, target)
-    assert rows.where("get_json_object(record, '$.org.login') is not null").count() == 4
-    assert rows.where("get_json_object(record, '$.actor.avatar_url') is not null").count() == 4
+    assert rows.where("variant_get(further['org'], '$.login', 'string') is not null").count() == 4
+    assert rows.where("variant_get(further['actor'], '$.avatar_url', 'string') is not null").count() == 4
     out = normalize(rows)
     assert out.count() == 8
     assert out.where("actor_id is null or repo_id is null or public is null or not public").count() == 0
@@ -158,3 +158,37 @@ def test_overwrite_relands_everything_and_resets_ledger(spark, tmp_path):
     assert bronze.read_bronze(spark, target).count() == 10
     assert spark.read.parquet(ledger).count() == 2
     assert bronze.land(spark, files, target, ledger).rows == 0  # append after overwrite: still skipped
+
+
+def test_members_beyond_the_envelope(spark):
+    """What the envelope has no column for is kept with its type, whatever else is wrong with the line."""
+    same = '"type":"T","created_at":"2024-01-01T00:00:00Z"'
+    lines = [
+        '{"id":"1",%s,"actor":{"id":1,"avatar_url":"u"},"org":{"id":3},"n":1}' % same,
+        '{"id":"2",%s,"n":2.5,"flag":null}' % same,
+        '{"id":"3",%s,"n":1,"n":2}' % same,  # a member twice
+        '{"id":"4",%s,"payload":{"a":1,"a":2}}' % same,
+        '{"id":"5",%s}' % same,
+        "{broken",
+        '{"id":"6",%s,"actor":"odd shape","org":5}' % same,
+        '{"id":"7",%s,"actor":null,"actor.x":1,"":2}' % same,
+    ]
+    rows = {r.id: r for r in bronze.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    seen = {i: None if r.further is None else {k: json.loads(v.toJson()) for k, v in r.further.items()} for i, r in rows.items()}
+    assert seen["1"] == {"org": {"id": 3}, "n": 1, "actor": {"avatar_url": "u"}}
+    assert seen["2"] == {"n": 2.5, "flag": None}
+    assert seen["3"] == {bronze.WHOLE_LINE: lines[2]} and seen["4"] == {bronze.WHOLE_LINE: lines[3]}
+    assert seen["5"] == {} and seen[None] is None and rows[None]._corrupt_record == "{broken"
+    assert seen["6"] is None and rows["6"]._corrupt_record == lines[6]
+    assert seen["7"] == {"actor.x": 1, "": 2}
+
+
+def test_new_members_and_typed_columns(spark, day_files, tmp_path):
+    bronze.land(spark, day_files, str(tmp_path / "bronze"))
+    b = bronze.read_bronze(spark, str(tmp_path / "bronze"))
+    found = {r.member: (r.value_type, r.first_day, r.n_rows) for r in bronze.new_members(b).collect()}
+    assert found == {"org": ("OBJECT<id: BIGINT, login: STRING>", dt.date(2024, 1, 1), 6), "actor": ("OBJECT<avatar_url: STRING>", dt.date(2024, 1, 1), 6)}
+    typed = bronze.with_members(b, {"org_id": ("org", "$.id", "int"), "wrong": ("org", "$.login", "int")})
+    assert sorted(r.org_id for r in typed.collect() if r.org_id is not None) == [1, 1, 1, 3, 3, 3]
+    assert typed.where("wrong is not null").isEmpty()
+    assert bronze.new_members(b.where("false")).collect() == []
