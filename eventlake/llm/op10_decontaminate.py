@@ -15,7 +15,7 @@ the sum of the larger ones. Method:
    words.
 3. Multi-index: fingerprints are cut into 16 blocks of 4 bits; the items'
    blocks are indexed with all their one-bit neighbours, which guarantees every
-   item within a Hamming distance of 31, and so all within ``RADIUS``.
+   item within a Hamming distance of 31, which is ``RADIUS``.
 4. Candidates are verified by the exact weighted shingle similarity.
 
 Null and empty texts and items match nothing; equal items each report; a tie
@@ -34,11 +34,11 @@ from eventlake.llm.components import written
 
 SHINGLE = 5
 THRESHOLD = 0.75
-RADIUS = 20
+RADIUS = 31
 BLOCKS, BITS = 16, 4
-#: rows of benchmark data that may be broadcast; beyond it Spark joins by shuffle
-BROADCAST_ROWS = 500_000
-_LANES = 0x0001000100010001
+#: rows and bytes (as text) that may be broadcast; beyond either Spark joins by shuffle
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
+_LANES = 0x0000000100000001
 
 
 def words_of(text: str) -> Column:
@@ -54,7 +54,8 @@ def _words(text: str) -> Column:
 
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast if its size, which is checked, allows; a plain join otherwise."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else df
 
 
 def _shingles(words: str) -> Column:
@@ -67,16 +68,16 @@ def _shingles(words: str) -> Column:
 def _fingerprint(rows: DataFrame, key: list[str]) -> DataFrame:
     """SimHash of each key's words; rows: key columns and one ``word`` each.
 
-    Bit b is set if more than half of the words' hashes have it. Four counters
-    of 16 bits share a long, so 16 sums count all 64 bits.
+    Bit b is set if more than half of the words' hashes have it. Two counters
+    of 32 bits share a long, so 32 sums count all 64 bits.
     """
     h = F.xxhash64("word")
-    lane = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(_LANES))).alias(f"s{j}") for j in range(16)]
+    lane = [F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(_LANES))).alias(f"s{j}") for j in range(32)]
     sums = rows.groupBy(*key).agg(F.count("*").alias("n"), *lane)
     bits = [
-        F.shiftleft(F.when(2 * F.shiftrightunsigned(f"s{j}", 16 * k).bitwiseAND(F.lit(0xFFFF)) > F.col("n"), F.lit(1)).otherwise(F.lit(0)).cast("long"), 16 * k + j)
-        for j in range(16)
-        for k in range(4)
+        F.shiftleft(F.when(2 * F.shiftrightunsigned(f"s{j}", 32 * k).bitwiseAND(F.lit(0xFFFFFFFF)) > F.col("n"), F.lit(1)).otherwise(F.lit(0)).cast("long"), 32 * k + j)
+        for j in range(32)
+        for k in range(2)
     ]
     return sums.select(*key, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("print"))
 
@@ -94,21 +95,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # 1. places by the longest words
     word = items.select("item_id", "m", "lost", "cut", F.posexplode("words").alias("offset", "word"))
     longest = Window.partitionBy("item_id", "m").orderBy(F.length("word").desc(), "word")
-    anchor = word.withColumn("rank", F.dense_rank().over(longest)).where("rank <= cut + 3").select("item_id", "m", "lost", "cut", "word").distinct()
+    anchor = word.withColumn("k", F.dense_rank().over(longest)).where("k <= cut + 3").select("item_id", "m", "lost", "cut", "word", "k").distinct()
     anchor = anchor.withColumn("n_anchors", F.count("*").over(Window.partitionBy("item_id", "m")))
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     at = texts.select("doc_id", F.xxhash64("text").alias("row"), _words("text").alias("all"))
     at = at.select("doc_id", "row", F.size("all").alias("size"), F.posexplode("all").alias("pos", "word"))
     lacking = F.when(F.col("size") < F.col("m"), F.col("cut")).otherwise(F.col("lost"))
     hit = at.join(_small(anchor), "word").withColumn("lacking", lacking).withColumn("need", F.greatest(F.col("n_anchors") - F.col("lacking"), F.lit(1)))
-    # a window counts if it holds enough of the item's words, wherever they stand in it
-    enough = hit.groupBy("doc_id", "row", "item_id").agg(F.countDistinct("word").alias("found"), F.max("need").alias("of")).where("found >= of")
-    near = hit.join(enough.select("doc_id", "row", "item_id"), ["doc_id", "row", "item_id"])
-    start = F.explode(F.sequence(F.greatest(F.col("pos") - F.col("m") + 1, F.lit(0)), F.least(F.col("pos"), F.greatest(F.col("size") - F.col("m"), F.lit(0)))))
-    place = near.select("doc_id", "row", "item_id", "m", "need", "lacking", "word", start.alias("start")).groupBy("doc_id", "row", "item_id", "m", "need", "lacking", "start")
-    place = place.agg(F.countDistinct("word").alias("found")).where("found >= need")
+    # a window counts if it holds enough of the item's words, wherever they stand in it: first the
+    # texts that hold enough at all, from one pass over all words; rows that repeat are one text
+    text_key = ["doc_id", "row", "item_id", "m", "need", "lacking", "size"]
+    enough = hit.groupBy(*text_key).agg(F.collect_set(F.struct("k", "pos")).alias("hits")).where(F.size(F.array_distinct("hits.k")) >= F.col("need"))
+    # then the starts whose window has the word: of each word one range per hit, without overlap
+    near = enough.select(*text_key, F.explode("hits").alias("h")).select(*text_key, "h.k", "h.pos")
+    before = F.lag("pos").over(Window.partitionBy("doc_id", "row", "item_id", "k").orderBy("pos"))
+    low = F.greatest(F.col("pos") - F.col("m") + 1, F.coalesce(before + 1, F.lit(0)), F.lit(0))
+    high = F.least(F.col("pos"), F.greatest(F.col("size") - F.col("m"), F.lit(0)))
+    ranges = near.withColumn("low", low).withColumn("high", high).where("low <= high")
+    steps = ranges.select(*text_key, F.explode(F.array(F.struct(F.col("low").alias("start"), F.lit(1).alias("by")), F.struct((F.col("high") + 1).alias("start"), F.lit(-1).alias("by")))).alias("e")).select(*text_key, "e.*")
+    steps = steps.groupBy(*text_key, "start").agg(F.sum("by").alias("by"))
+    along = Window.partitionBy("doc_id", "row", "item_id").orderBy("start")
+    held = steps.withColumn("found", F.sum("by").over(along)).withColumn("stop", F.lead("start").over(along)).where("found >= need")
+    place = held.select("doc_id", "row", "item_id", "m", F.explode(F.sequence("start", F.col("stop") - 1)).alias("start"), "lacking")
     own = items.select("item_id", F.array_distinct("words").alias("own"))
-    place = place.select("doc_id", "row", "item_id", "m", "start", "lacking")
 
     # 2. fingerprints of the windows there; the words of a text are made once and kept with the few texts that have places
     wanted = place.groupBy("doc_id", "row").agg(F.collect_set(F.struct("item_id", "m", "start", "lacking")).alias("windows"))
@@ -144,6 +153,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: contaminated documents go."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: contaminated documents go, with all rows of their doc_id; rows without doc_id stay."""
+    found = written(contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct(), "decontaminate-found")
+    return docs.join(_small(found), "doc_id", "left_anti").select(*docs.columns)

@@ -143,3 +143,19 @@ def test_decontamination_of_texts_shorter_than_the_item(spark):
     items = [(k, " ".join([f"w{k}x{i}" for i in range(m - m // 5)] + [f"longest{k}x{i}" for i in range(m // 5)])) for k, m in enumerate((20, 22, 24, 40))]
     docs = [(k, " ".join(x.split()[: len(x.split()) - len(x.split()) // 5])) for k, x in items]
     assert len(check_windows(spark, docs, items)) == len(docs)
+
+
+def test_decontamination_of_long_items(spark):
+    """Items of thousands of words: once as they are, once with every fortieth word changed."""
+    rng = random.Random(11)
+    long = [f"{'abcdef'[rng.randrange(6)] * rng.randint(1, 6)}{rng.randrange(900)}" for _ in range(4000)]
+    changed = [f"zz{i}" if i % 40 == 7 else w for i, w in enumerate(long)]
+    around = [f"filler{i}" for i in range(500)]
+    docs = [(1, " ".join(around + long + around)), (2, " ".join(around[:90] + changed)), (3, " ".join(long[:1500] + around + long[1500:2000]))]
+    found = op10.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(5, " ".join(long))], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity) for r in found.collect()}
+    item = bag(long)
+    same = sum((bag(changed) & item).values())
+    assert set(got) == {(1, 5), (2, 5)}
+    assert got[1, 5] == (500, 4000, 1.0)
+    assert got[2, 5][:2] == (90, 4000) and abs(got[2, 5][2] - same / (2 * sum(item.values()) - same)) < 1e-9
