@@ -155,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_forward_dim_actor",
         "bronze_new_members",
         "bronze_member_columns",
+        "quality_merged_days",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -385,7 +386,17 @@ bad AS (
             _suite_sql("silver", "gold", quality.gold_suite()),
         ]
     )
+    with_bad_rows = bad_raw.replace("bad AS", "bad_rows AS").replace("CASE WHEN type = 'ForkEvent' THEN 'click' ELSE type END   AS type", "type").replace("THEN NULL", "THEN 'not-a-timestamp'")
+    day_runs = """
+day_runs AS (
+    SELECT * FROM (
+        SELECT * FROM silver UNION ALL SELECT * REPLACE (event_date + 2 AS event_date) FROM silver WHERE event_id % 13 = 0
+        UNION ALL SELECT * FROM silver WHERE event_id % 17 = 0
+    ) WHERE event_date <= DATE '2024-02-09' AND (event_id % 2 = 0 OR event_date <> DATE '2024-01-05')
+)"""
+    merged = [_suite_sql("bad_rows", "bronze", quality.bronze_suite()), _suite_sql("day_runs", "silver", quality.silver_suite())]
     return {
+        "quality_merged_days": _with(_SILVER_CTE, _RAW_CTE, with_bad_rows, day_runs) + "\nUNION ALL\n".join(merged),
         "quality_bronze": _with(_RAW_CTE) + _suite_sql("raw", "bronze", quality.bronze_suite()),
         "quality_bronze_bad_rows": _with(_RAW_CTE, bad_raw) + _suite_sql("bad", "bronze", quality.bronze_suite()),
         "quality_silver": _with(_SILVER_CTE) + _suite_sql("silver", "silver", quality.silver_suite()),

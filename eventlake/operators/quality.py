@@ -80,7 +80,7 @@ def relationship(column: str, parent: str, parent_column: str | None = None, whe
 
 
 # ---------------------------------------------------------------------------
-# suites
+# suites (fixed values: the checks of each layer and model)
 # ---------------------------------------------------------------------------
 
 
@@ -107,7 +107,7 @@ def silver_suite() -> list[Expectation]:
 
 
 def gold_suite() -> list[Expectation]:
-    """Event fact: an independent second check of key and partition column."""
+    """Event fact: what its joins and its day directories rely on."""
     return [
         not_null("event_id"),
         unique("event_id"),
@@ -164,7 +164,8 @@ MODEL_SUITES: dict[str, Callable[[], list[Expectation]]] = {
 # ---------------------------------------------------------------------------
 
 
-def _row_level(e: Expectation) -> tuple[Column, Column]:
+def row_level(e: Expectation) -> tuple[Column, Column]:
+    """Evaluated and unexpected rows of a row check, as aggregates."""
     c = F.col(e.column)
     if e.kind == "not_null":
         return F.count(F.lit(1)), F.count_if(c.isNull())
@@ -223,7 +224,7 @@ def evaluate(
     rows = [e for e in expectations if e.kind in ("not_null", "in_set", "between")]
     parts: list[DataFrame] = []
     if rows:
-        structs = [_result(layer, e, *_row_level(e)) for e in rows]
+        structs = [_result(layer, e, *row_level(e)) for e in rows]
         parts.append(df.agg(F.array(*structs).alias("rs")).select(F.explode("rs").alias("r")).select("r.*"))
     for e in expectations:
         if e.kind == "unique":
@@ -239,11 +240,16 @@ def evaluate(
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    return judged(out)
+
+
+def judged(counts: DataFrame) -> DataFrame:
+    """Counts of each expectation with its verdict."""
     passed = (F.col("evaluated") == 0) | (
         (F.col("evaluated") - F.col("unexpected")).cast("double") >= F.col("mostly") * F.col("evaluated")
     )
     percent = F.when(F.col("evaluated") > 0, F.col("unexpected") * F.lit(100.0) / F.col("evaluated"))
-    return out.withColumns({"success": passed, "unexpected_percent": percent}).select(*RESULT_COLUMNS)
+    return counts.withColumns({"success": passed, "unexpected_percent": percent}).select(*RESULT_COLUMNS)
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from eventlake.operators import churn, day_keys, dim_state, marts, quality, silver, validation
+from eventlake.operators import churn, day_keys, dim_state, marts, quality, quality_state, silver, validation
 from eventlake.schema import (
     ACTIVITY_SCHEMA,
     BRONZE_SCHEMA,
@@ -76,6 +76,9 @@ class LakePaths:
     def quality(self) -> str:
         return self._p("quality", "results")
 
+    def quality_state(self, layer: str) -> str:
+        return self._p("quality", "state", layer)
+
     @property
     def quality_layers(self) -> str:
         return self._p("quality", "layers")
@@ -304,9 +307,25 @@ def validate_gold(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return validation.gold_checks(g["fact_events"], g["dim_repo"], g["dim_actor"], g["dim_date"])
 
 
-def run_quality(spark: SparkSession, paths: LakePaths, layers: Sequence[str] | None = None) -> DataFrame | None:
+def run_quality(
+    spark: SparkSession, paths: LakePaths, layers: Sequence[str] | None = None, days: Sequence[str | dt.date] | None = None
+) -> DataFrame | None:
+    """Results of the layer suites, one row per expectation (None: no layer there).
+
+    With ``days`` only these days are read and merged with what is known of the
+    others (see :mod:`eventlake.operators.quality_state`); without, all rows are.
+    """
     tables = {"bronze": paths.bronze, "silver": paths.silver, "gold": paths.gold("fact_events")}
-    return quality.run_layers(spark, tables, layers)
+    if days is None:
+        return quality.run_layers(spark, tables, layers)
+    out: DataFrame | None = None
+    for layer in [n for n in layers or tables if n in tables and table_exists(spark, tables[n])]:
+        rows, suite = read_table(spark, tables[layer], quality.LAYER_SCHEMAS[layer]), quality.SUITE_BUILDERS[layer]()
+        quality_state.update(spark, rows, suite, paths.quality_state(layer), days)
+        kinds = {e.column: rows.schema[e.column].dataType.simpleString() for e in suite}
+        part = quality_state.merged(spark, layer, suite, paths.quality_state(layer), kinds)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def check_lake(spark: SparkSession, paths: LakePaths) -> tuple[list[dict], list | None, object]:

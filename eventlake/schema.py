@@ -81,7 +81,7 @@ SILVER_SCHEMA = StructType(
 )
 SILVER_COLUMNS: tuple[str, ...] = tuple(f.name for f in SILVER_SCHEMA.fields)
 
-#: Staging view: Silver without the two audit columns.
+# Columns of the staging view (Silver without its two audit columns), the fact and the dimensions.
 STG_COLUMNS: tuple[str, ...] = (
     "event_id",
     "event_type",
