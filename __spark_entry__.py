@@ -156,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_new_members",
         "bronze_member_columns",
         "quality_merged_days",
+        "backfill_resumed",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -641,6 +642,10 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
     )
     out["silver_cross_day_replays"] = _with(_SILVER_CTE, _COPIES_CTE) + _NEWEST_COPY.format(where="")
     out["silver_cross_day_vanished"] = _with(_SILVER_CTE, _COPIES_CTE) + _NEWEST_COPY.format(where="WHERE event_date <> DATE '2024-01-10'")
+    out["backfill_resumed"] = (
+        "SELECT t AS \"table\", CAST(ts AS DATE) AS event_date, count(*) AS n_events "
+        "FROM events, (VALUES ('bronze'), ('silver'), ('fact_events')) AS k(t) GROUP BY 1, 2"
+    )
     out["bronze_member_columns"] = (
         "SELECT event_id, CASE WHEN day(ts) >= 10 THEN event_id % 7 END AS org_id, CASE WHEN day(ts) >= 10 THEN 'org' || CAST(user_id AS VARCHAR) END AS org_login, "
         "CASE WHEN day(ts) >= 20 AND event_id % 3 = 0 THEN CAST(event_id % 50 AS DOUBLE) + CASE WHEN event_id % 2 = 0 THEN 0.0 ELSE 0.5 END END AS score, "

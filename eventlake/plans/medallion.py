@@ -50,6 +50,14 @@ class LakePaths:
     def ledger(self) -> str:
         return self._p("bronze", "_landed_files")
 
+    @property
+    def staging(self) -> str:
+        return self._p("bronze", "_staging")
+
+    @property
+    def progress(self) -> str:
+        return self._p("bronze", "_progress")
+
     @property
     def silver(self) -> str:
         return self._p("silver", "events")
@@ -404,29 +412,98 @@ def list_raw_files(spark: SparkSession, raw_root: str, pattern: str = "*.json.gz
     return bronze_src.list_raw_files(spark, raw_root, pattern)
 
 
+PROGRESS_SCHEMA = "first_day date, last_day date, step string, at timestamp"
+#: steps of a batch, in order
+STEPS = ("staged", "landed", "silver", "gold")
+
+
+def _batches(start: dt.date, end: dt.date, batch_days: int | None) -> list[tuple[dt.date, dt.date]]:
+    """First and last day of each batch; batches hang on the calendar, not on ``start``, so other ranges meet the same ones."""
+    if end < start:
+        raise ValueError("end must not be before start")
+    if batch_days is None:
+        return [(start, end)]
+    if batch_days < 1:
+        raise ValueError("batch_days must be at least 1")
+    out, day = [], start
+    while day <= end:
+        last = dt.date.fromordinal((day.toordinal() // batch_days + 1) * batch_days - 1)
+        out.append((day, min(last, end)))
+        day = last + dt.timedelta(days=1)
+    return out
+
+
 def backfill(
     spark: SparkSession,
     paths: LakePaths,
     raw_root: str,
     start: dt.date,
     end: dt.date,
+    batch_days: int | None = None,
+    after: Callable[[str, dt.date, dt.date], None] | None = None,
 ) -> dict:
     """Land every not-yet-landed dump of ``start..end`` and rebuild those days
-    of Silver and Gold in single jobs (dynamic partition overwrite); reports
-    the hours of the range that have no dump file."""
+    of Silver and Gold; reports the hours of the range that have no dump file.
+
+    The range is worked off in batches of ``batch_days`` (None: one). A batch is
+    staged, moved into Bronze, refined and modelled, and each step is entered in
+    a progress table. A run that fails anywhere is resumed by calling again:
+    staged dumps are landed as they were staged, no dump twice, and batches whose
+    last step is entered are passed over unless new dumps have come for them.
+    ``after(step, first_day, last_day)`` is called after each step.
+    """
     wanted, hours_without_file = bronze_src.files_for_range(spark, raw_root, start, end)
-    out: dict = {"files_found": len(wanted), "hours_without_file": hours_without_file}
-    if wanted:
-        landed = bronze_src.land(spark, wanted, paths.bronze, paths.ledger)
-        out["bronze_rows"] = landed.rows
-        out["files_landed"] = len(landed.files)
-    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-    if table_exists(spark, paths.bronze):
-        out["silver"] = bronze_to_silver(spark, paths, days)
-        build_gold(spark, paths, out["silver"].days)
+    out: dict = {"files_found": len(wanted), "hours_without_file": hours_without_file, "bronze_rows": 0, "files_landed": 0, "batches": []}
+    finished = _progress(spark, paths)
+
+    def step(name: str, first: dt.date, last: dt.date) -> None:
+        row = spark.createDataFrame([(first, last, name)], "first_day date, last_day date, step string")
+        row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(paths.progress)
+        if after is not None:
+            after(name, first, last)
+
+    def landed(staging: str) -> None:
+        rows, files = bronze_src.publish_batch(spark, staging, paths.bronze, paths.ledger)
+        out["bronze_rows"] += rows
+        out["files_landed"] += len(files)
+        finished.difference_update(bronze_src.dump_day(f) for f in files)
+
+    for staging in bronze_src.staged_batches(spark, paths.staging):
+        if bronze_src.is_staged(spark, staging):  # staged before a failure: land it first
+            landed(staging)
+        else:
+            drop_path(spark, staging)
+    todo = {r.file_path: r.file_name for r in bronze_src.pending_files(spark, wanted, paths.ledger).collect()} if wanted else {}
+    for first, last in _batches(start, end, batch_days):
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+        files = sorted(p for p, name in todo.items() if first <= bronze_src.dump_day(name) <= last)
+        if not files and all(d in finished for d in days):
+            continue
+        if files:
+            staging = f"{paths.staging}/{first.isoformat()}-{last.isoformat()}-{uuid.uuid4().hex[:8]}"
+            bronze_src.stage_batch(spark, files, staging)
+            step("staged", first, last)
+            landed(staging)
+            step("landed", first, last)
+        if table_exists(spark, paths.bronze):
+            out["silver"] = bronze_to_silver(spark, paths, days)
+            step("silver", first, last)
+            build_gold(spark, paths, out["silver"].days)
+            step("gold", first, last)
+            out["batches"].append((first, last))
     return out
 
 
+def _progress(spark: SparkSession, paths: LakePaths) -> set[dt.date]:
+    """Days whose last entered step is the last one (a row per batch and step)."""
+    if not table_exists(spark, paths.progress):
+        return set()
+    table = spark.read.schema(PROGRESS_SCHEMA).parquet(paths.progress)
+    day = F.explode(F.sequence("first_day", "last_day")).alias("day")
+    latest = table.select("step", "at", day).groupBy("day").agg(F.max_by("step", "at").alias("step"))
+    return {r.day for r in latest.where(F.col("step") == STEPS[-1]).collect()}
+
+
 __all__ = [
     "FACT_COLUMNS",
     "LakePaths",

@@ -860,3 +860,45 @@ def quality_merged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rows, a, b in ((slv, 0, 10), (slv, 10, 20), (slv, 20, 40), (less, 4, 5)):
         report = medallion.run_quality(spark, paths, ["bronze", "silver"], put(rows, a, b))
     return report
+
+
+# --- resumed backfill -----------------------------------------------------------------
+
+
+def _hourly_dumps(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one gzipped dump per hour of the events, named as dumps are."""
+    raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
+    hour = F.date_format(F.try_to_timestamp("created_at"), "H")
+    named = driver.dump_lines(raw, {"dump": F.concat(F.date_format("event_date", "yyyy-MM-dd"), F.lit("-"), hour)})
+    named = named.withColumn("dump", F.get_json_object("value", "$.dump"))
+    parts, root = scratch_dir(spark, "dump-parts"), scratch_dir(spark, "dumps")
+    named.repartition("dump").write.partitionBy("dump").option("compression", "gzip").text(parts)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(root))
+    for f in fs.globStatus(hadoop.Path(f"{parts}/dump=*/part-*")):
+        name = f.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(f.getPath(), hadoop.Path(f"{root}/{name}.json.gz"))
+    return root
+
+
+def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill in batches that fails after each of its steps in turn and is called again until it is
+    through: rows per day of Bronze, Silver and fact."""
+    raw_root, paths = _hourly_dumps(spark, sf_dir), medallion.LakePaths(scratch_dir(spark, "lake-backfill"))
+    days = driver.load_events(spark, sf_dir).agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    to_fail = list(medallion.STEPS)
+
+    def fail(step: str, *_: dt.date) -> None:
+        if to_fail and step == to_fail[0]:
+            raise InterruptedError(f"after {to_fail.pop(0)}")
+
+    for _ in range(len(to_fail) + 1):
+        try:
+            medallion.backfill(spark, paths, raw_root, *days, batch_days=16, after=fail)
+            break
+        except InterruptedError:
+            continue
+    tables = {"bronze": bronze.read_bronze(spark, paths.bronze), "silver": medallion.read_silver(spark, paths), "fact_events": medallion.gold_tables(spark, paths)["fact_events"]}
+    counts = [t.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events")).select(F.lit(k).alias("table"), "event_date", "n_events") for k, t in tables.items()]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])

@@ -205,6 +205,11 @@ def hour_file_name(day: dt.date, hour: int) -> str:
     return f"{start.date().isoformat()}-{start.hour}.json.gz"
 
 
+def dump_day(path: str) -> dt.date:
+    """The day that the name of a dump file says."""
+    return dt.date.fromisoformat(path.rstrip("/").rsplit("/", 1)[-1][:10])
+
+
 def file_name_col(date_col: Column, hour_col: Column) -> Column:
     return F.concat(F.date_format(date_col, "yyyy-MM-dd"), F.lit("-"), hour_col.cast(StringType()), F.lit(".json.gz"))
 
@@ -327,3 +332,63 @@ def land_month(
     first = dt.date(year, month, 1)
     last = dt.date(year + (month == 12), month % 12 + 1, 1) - dt.timedelta(days=1)
     return land_range(spark, raw_root, first, last, bronze_path, ledger_path)
+
+
+# ---------------------------------------------------------------------------
+# landing in batches that can be resumed
+# ---------------------------------------------------------------------------
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    return hadoop, target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stage_batch(spark: SparkSession, files: Sequence[str], staging: str, ingested_at: dt.datetime | None = None) -> None:
+    """Write the rows of some dumps to a folder of their own, beside the list of these dumps.
+
+    Nothing outside the folder changes, so a failed call is simply repeated.
+    """
+    file_listing(spark, files).coalesce(1).write.mode("overwrite").parquet(f"{staging}/files")
+    rows = with_ingest_columns(read_events(spark, list(files)), ingested_at)
+    rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{staging}/rows")
+
+
+def is_staged(spark: SparkSession, staging: str) -> bool:
+    """Whether the rows of a batch are there in full."""
+    return table_exists(spark, f"{staging}/rows/_SUCCESS")
+
+
+def publish_batch(spark: SparkSession, staging: str, bronze_path: str, ledger_path: str) -> tuple[int, tuple[str, ...]]:
+    """Move a staged batch into Bronze, enter its dumps into the ledger, drop the folder; rows and dumps landed.
+
+    Files are moved one by one under names that hold the batch, and a dump is
+    entered only if it is not yet: whatever of this an earlier call has done stays
+    done, so the call can be repeated until it succeeds and lands nothing twice.
+    """
+    batch = staging.rstrip("/").rsplit("/", 1)[-1]
+    hadoop, source, fs = _fs(spark, f"{staging}/rows")
+    counted = f"{staging}/count"
+    if not table_exists(spark, f"{counted}/_SUCCESS"):  # before the first move
+        spark.read.schema(BRONZE_SCHEMA).parquet(f"{staging}/rows").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(counted)
+    for folder in fs.listStatus(source):
+        if not folder.isDirectory():
+            continue
+        day = folder.getPath().getName()
+        fs.mkdirs(hadoop.Path(f"{bronze_path}/{day}"))
+        for f in fs.listStatus(folder.getPath()):
+            target = hadoop.Path(f"{bronze_path}/{day}/{batch}-{f.getPath().getName()}")
+            if not fs.rename(f.getPath(), target):
+                raise OSError(f"can't move {f.getPath()} to {target}")
+    files = [r.file_path for r in spark.read.schema("file_path string, file_name string").parquet(f"{staging}/files").collect()]
+    pending_files(spark, files, ledger_path).withColumn("landed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(ledger_path)
+    rows = spark.read.schema("n bigint").parquet(counted).first().n
+    fs.delete(hadoop.Path(staging), True)
+    return rows, tuple(files)
+
+
+def staged_batches(spark: SparkSession, staging_root: str) -> list[str]:
+    """Batch folders that an earlier run has left."""
+    _, source, fs = _fs(spark, staging_root)
+    return sorted(str(f.getPath().toString()) for f in fs.listStatus(source)) if fs.exists(source) else []
