@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from eventlake.operators import quality  # noqa: E402
 from eventlake.plans import queries as q  # noqa: E402
+from eventlake.schema import FEATURE_COLUMNS  # noqa: E402
 from eventlake.session import configure  # noqa: E402
 
 try:  # the training-data operators are an optional part
@@ -157,6 +158,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_member_columns",
         "quality_merged_days",
         "backfill_resumed",
+        "silver_cast_losses",
+        "missing_hour_runs",
+        "churn_fit_conditions",
+        "churn_batch_scores",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -646,6 +651,30 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "SELECT t AS \"table\", CAST(ts AS DATE) AS event_date, count(*) AS n_events "
         "FROM events, (VALUES ('bronze'), ('silver'), ('fact_events')) AS k(t) GROUP BY 1, 2"
     )
+    lost = (
+        "SELECT \"column\", event_date, count(*) AS n_rows, count(DISTINCT raw) AS n_values, min(raw) AS first_raw, max(raw) AS last_raw FROM ("
+        "SELECT 'event_id' AS \"column\", id AS raw, event_date FROM bad_rows WHERE value < 5.0 "
+        "UNION ALL SELECT 'created_at', created_at, event_date FROM bad_rows WHERE value > 150.0 "
+        "UNION ALL SELECT 'actor_id', 'bad-' || CAST(event_id % 3 AS VARCHAR), event_date FROM bad_rows WHERE event_id % 7 = 0 "
+        "UNION ALL SELECT 'repo_id', 'none', event_date FROM bad_rows WHERE event_id % 11 = 0 "
+        "UNION ALL SELECT 'public', 'maybe', event_date FROM bad_rows WHERE event_id % 13 = 0) GROUP BY 1, 2"
+    )
+    out["silver_cast_losses"] = (
+        "WITH bad_rows AS (SELECT event_id, value, CASE WHEN value < 5.0 THEN 'x' ELSE '' END || CAST(event_id AS VARCHAR) AS id, "
+        "CASE WHEN value > 150.0 THEN 'not-a-timestamp' END AS created_at, CASE WHEN value > 150.0 THEN NULL ELSE CAST(ts AS DATE) END AS event_date FROM events) " + lost
+    )
+    gone = (
+        "event_hour IN (5, 6, 17) OR event_date IN (DATE '2024-01-11', DATE '2024-01-12', DATE '2024-01-13') "
+        "OR (event_date = DATE '2024-01-20' AND event_hour > 20) OR (event_date = DATE '2024-01-21' AND event_hour < 4)"
+    )
+    out["missing_hour_runs"] = coverage.replace(" FROM silver GROUP BY 1", f" FROM silver WHERE NOT ({gone}) GROUP BY 1") + (
+        "SELECT min(hour_start) AS first_hour, max(hour_start) AS last_hour, count(*) AS n_hours, count(DISTINCT event_date) AS n_days "
+        "FROM (SELECT *, hour_start - row_number() OVER (ORDER BY hour_start) * INTERVAL 1 HOUR AS run FROM cov WHERE missing) GROUP BY run"
+    )
+    # a fit that has converged has no slope left
+    terms = ("intercept", *FEATURE_COLUMNS)
+    out["churn_fit_conditions"] = " UNION ALL ".join(f"SELECT '{t}' AS term, CAST(0 AS BIGINT) AS thousandths" for t in terms)
+    out["churn_batch_scores"] = features_actor + "SELECT actor_id, n_events, churned, true AS as_formula, true AS as_score FROM features"
     out["bronze_member_columns"] = (
         "SELECT event_id, CASE WHEN day(ts) >= 10 THEN event_id % 7 END AS org_id, CASE WHEN day(ts) >= 10 THEN 'org' || CAST(user_id AS VARCHAR) END AS org_login, "
         "CASE WHEN day(ts) >= 20 AND event_id % 3 = 0 THEN CAST(event_id % 50 AS DOUBLE) + CASE WHEN event_id % 2 = 0 THEN 0.0 ELSE 0.5 END END AS score, "

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -205,14 +207,72 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def save_run(metrics: DataFrame, config: ChurnConfig, path: str) -> None:
-    """Append the run's parameters and metrics to an ``ml_runs`` dataset."""
+def save_run(metrics: DataFrame, config: ChurnConfig, path: str, run_id: str | None = None, model_path: str | None = None) -> None:
+    """Append the run's parameters and metrics to an ``ml_runs`` dataset, with its id and where its model lies."""
     params = {k: str(v) for k, v in asdict(config).items()}
     out = metrics.withColumns(
         {
             "params": F.create_map(*[x for k, v in sorted(params.items()) for x in (F.lit(k), F.lit(v))]),
             "feature_columns": F.lit(",".join(FEATURE_COLUMNS)),
+            "run_id": F.lit(run_id).cast("string"),
+            "model_path": F.lit(model_path).cast("string"),
             "logged_at": F.current_timestamp(),
         }
     )
     out.coalesce(1).write.mode("append").parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# what a fit says, and scoring by a saved model
+# ---------------------------------------------------------------------------
+
+
+def coefficients(model: PipelineModel) -> tuple[dict[str, float], float]:
+    """Coefficient of each feature, and the intercept."""
+    fitted = model.stages[-1]
+    return dict(zip(FEATURE_COLUMNS, [float(c) for c in fitted.coefficients], strict=True)), float(fitted.intercept)
+
+
+def formula(model: PipelineModel) -> Column:
+    """The probability of churn as a plain expression of the feature columns."""
+    weights, intercept = coefficients(model)
+    linear = reduce(Column.__add__, [F.lit(w) * F.col(c).cast("double") for c, w in weights.items()], F.lit(intercept))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-linear))
+
+
+def fit_conditions(model: PipelineModel, train: DataFrame, config: ChurnConfig) -> DataFrame:
+    """``term, slope``: the first-order conditions of the fit, one row per coefficient.
+
+    At the minimum the mean of (p - label) times a feature, plus its penalty
+    ``reg_param * coefficient * variance`` (features are penalised at unit
+    spread), is zero. Slopes are given per standard deviation of the feature; the
+    intercept has no penalty. One aggregate over the train rows.
+    """
+    weights, _ = coefficients(model)
+    error = formula(model) - F.col(LABEL_COLUMN)
+    one = [F.avg(error * F.col(c)).alias(f"m_{c}") for c in FEATURE_COLUMNS] + [F.stddev_samp(c).alias(f"s_{c}") for c in FEATURE_COLUMNS]
+    sums = train.agg(F.avg(error).alias("m"), *one)
+    rows = [F.struct(F.lit("intercept").alias("term"), F.col("m").alias("slope"))]
+    for c in FEATURE_COLUMNS:
+        spread = F.col(f"s_{c}")
+        slope = F.col(f"m_{c}") / spread + F.lit(config.reg_param * weights[c]) * spread
+        rows.append(F.struct(F.lit(c).alias("term"), F.when(spread > 0, slope).otherwise(F.lit(0.0)).alias("slope")))
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def best_run(spark: SparkSession, path: str, metric: str = "roc_auc") -> dict:
+    """The recorded run with the largest value of a metric (ties: the latest) whose model is kept."""
+    runs = spark.read.option("mergeSchema", "true").parquet(path)
+    if metric not in ("roc_auc", "accuracy"):
+        raise ValueError(f"no such metric: {metric!r}")
+    usable = runs.where(F.col("model_path").isNotNull() & F.col(metric).isNotNull())
+    best = usable.orderBy(F.col(metric).desc(), F.col("logged_at").desc()).limit(1).collect()
+    if not best:
+        raise LookupError(f"no run with a model and a {metric} in {path}")
+    return best[0].asDict(recursive=True)
+
+
+def score(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """All columns of ``features`` with ``score`` (probability of churn) and ``prediction``; narrow, row by row on the JVM."""
+    scored = model.transform(features)
+    return scored.select(*features.columns, vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("prediction"))

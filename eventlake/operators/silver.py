@@ -34,6 +34,8 @@ SOURCE_OF = {
     "public": "public",
 }
 KEY_COLUMNS = ("event_id", "event_type", "created_at")
+#: columns whose cast can fail
+CAST_COLUMNS = ("event_id", "actor_id", "repo_id", "public", "created_at")
 
 
 def _payload(bronze: DataFrame) -> Column:
@@ -69,6 +71,35 @@ def project(bronze: DataFrame, processed_at: dt.datetime | None = None) -> DataF
     return bronze.select(*_projection(bronze, processed_at))
 
 
+def _lost(bronze: DataFrame) -> Column:
+    """Array of (column, raw value) that the casts of a raw row make NULL."""
+    typed = {f.name: c for f, c in zip(SILVER_SCHEMA.fields, _projection(bronze, None), strict=True)}
+    found = []
+    for name in CAST_COLUMNS:
+        raw = F.col(SOURCE_OF.get(name, name)).cast("string")
+        found.append(F.when(raw.isNotNull() & typed[name].isNull(), F.struct(F.lit(name).alias("column"), raw.alias("raw"))))
+    return F.array_compact(F.array(*found))
+
+
+def project_with_losses(bronze: DataFrame, processed_at: dt.datetime | None = None) -> DataFrame:
+    """:func:`project` with ``_lost``: what each row's casts lose."""
+    return bronze.select(*_projection(bronze, processed_at), _lost(bronze).alias("_lost"))
+
+
+def cast_losses(bronze: DataFrame) -> DataFrame:
+    """``column, event_date, n_rows, n_values, first_raw, last_raw``: values that casts make NULL, by column and day.
+
+    Counted per raw value first (partial aggregation), so a value that a third of
+    all rows share is one row per task. Rows without a day have NULL.
+    """
+    key = {f.name: c for f, c in zip(SILVER_SCHEMA.fields, _projection(bronze, None), strict=True)}
+    each = bronze.select(key["event_date"], F.explode(_lost(bronze)).alias("v")).select("event_date", "v.*")
+    values = each.groupBy("column", "event_date", "raw").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("column", "event_date").agg(
+        F.sum("n").cast("bigint").alias("n_rows"), F.count(F.lit(1)).alias("n_values"), F.min("raw").alias("first_raw"), F.max("raw").alias("last_raw")
+    )
+
+
 def normalize(bronze: DataFrame, processed_at: dt.datetime | None = None) -> DataFrame:
     """Project raw rows onto the 13 Silver columns and drop rows without a key.
 

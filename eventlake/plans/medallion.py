@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +99,13 @@ class LakePaths:
     def model(self) -> str:
         return self._p("ml", "churn_model")
 
+    def run_model(self, run_id: str) -> str:
+        return self._p("ml", "models", run_id)
+
+    @property
+    def scores(self) -> str:
+        return self._p("ml", "scores")
+
 
 @dataclass(frozen=True)
 class SilverResult:
@@ -108,6 +115,8 @@ class SilverResult:
     rejected_rows: int
     written_rows: int
     days: tuple[dt.date, ...] | None = None
+    #: values that a cast made NULL, by column
+    cast_losses: dict[str, int] = field(default_factory=dict)
 
 
 def bronze_to_silver(
@@ -150,11 +159,13 @@ def bronze_to_silver(
     raw = silver.select_days(table, days, undated=True)
     projected = silver.project(raw, processed_at)
     obs = Observation(f"silver_in_{uuid.uuid4().hex[:8]}")
-    counted = projected.observe(
+    # the scan that feeds Silver also counts what it loses
+    counted = silver.project_with_losses(raw, processed_at).observe(
         obs,
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(~silver.key_present()).alias("rejected_rows"),
-    )
+        *[F.count_if(F.array_contains(F.col("_lost.column"), c)).alias(f"lost_{c}") for c in silver.CAST_COLUMNS],
+    ).drop("_lost")
     rebalance = _multi_day(days)
 
     def usable(rows: DataFrame) -> DataFrame:
@@ -173,7 +184,7 @@ def bronze_to_silver(
     written = replace_days(spark, silver.to_contract(deduped), paths.silver, wanted, rebalance)
     got = obs.get
     all_days = None if days is None else tuple(silver.parse_days(days))
-    result = SilverResult(int(got.get("input_rows", 0)), int(got.get("rejected_rows", 0)), written, all_days)
+    result = SilverResult(int(got.get("input_rows", 0)), int(got.get("rejected_rows", 0)), written, all_days, {c: int(got[f"lost_{c}"]) for c in silver.CAST_COLUMNS if got.get(f"lost_{c}")})
     if dedup == "exception":
         drop_path(spark, dup_path)
     if keep_rejects and (result.rejected_rows or table_exists(spark, paths.quarantine)):
@@ -373,11 +384,26 @@ def train_churn(spark: SparkSession, paths: LakePaths, config: churn.ChurnConfig
     act = read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA)
     features = churn.build_features(act, config)
     model, metrics = churn.train(features, config, spark)
+    run_id = uuid.uuid4().hex
     churn.save_model(model, paths.model)
-    churn.save_run(metrics, config, paths.ml_runs)
+    churn.save_model(model, paths.run_model(run_id))
+    churn.save_run(metrics, config, paths.ml_runs, run_id, paths.run_model(run_id))
     return metrics
 
 
+def score_churn(spark: SparkSession, paths: LakePaths, metric: str = "roc_auc") -> DataFrame:
+    """Score every entity with the best recorded run: its model is loaded, its features are rebuilt with
+    its parameters; the scores are written with the run's id and returned."""
+    run = churn.best_run(spark, paths.ml_runs, metric)
+    kinds = {f.name: f.type for f in fields(churn.ChurnConfig)}
+    read = {"int": int, "float": float, "str": str, "dt.date": dt.date.fromisoformat}
+    config = churn.ChurnConfig(**{k: read[kinds[k]](v) for k, v in run["params"].items() if k in kinds})
+    features = churn.build_features(read_table(spark, paths.gold("activity"), ACTIVITY_SCHEMA), config)
+    scored = churn.score(churn.load_model(run["model_path"]), features).withColumn("run_id", F.lit(run["run_id"]))
+    write_table(scored, paths.scores)
+    return spark.read.schema(scored.schema).parquet(paths.scores)
+
+
 def run(
     spark: SparkSession,
     paths: LakePaths,

@@ -866,9 +866,9 @@ def quality_merged_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly_dumps(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with one gzipped dump per hour of the events, named as dumps are."""
+    """A folder with gzipped dumps named as dumps are; each holds the events of six hours."""
     raw = driver.events_as_raw(driver.load_events(spark, sf_dir))
-    hour = F.date_format(F.try_to_timestamp("created_at"), "H")
+    hour = (F.floor(F.hour(F.try_to_timestamp("created_at")) / 6) * 6).cast("string")
     named = driver.dump_lines(raw, {"dump": F.concat(F.date_format("event_date", "yyyy-MM-dd"), F.lit("-"), hour)})
     named = named.withColumn("dump", F.get_json_object("value", "$.dump"))
     parts, root = scratch_dir(spark, "dump-parts"), scratch_dir(spark, "dumps")
@@ -902,3 +902,51 @@ def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {"bronze": bronze.read_bronze(spark, paths.bronze), "silver": medallion.read_silver(spark, paths), "fact_events": medallion.gold_tables(spark, paths)["fact_events"]}
     counts = [t.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events")).select(F.lit(k).alias("table"), "event_date", "n_events") for k, t in tables.items()]
     return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
+# --- losses, gaps and the model -------------------------------------------------------
+
+
+def silver_cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that the casts to the contract lose, by column and day."""
+    raw, number = driver.as_bronze(driver.events_with_bad_rows(driver.load_events(spark, sf_dir))), F.regexp_replace("id", "x", "").cast("bigint")
+    actor = F.when(number % 7 == 0, F.concat(F.lit("bad-"), number % 3)).otherwise(F.col("actor.id"))
+    repo = F.when(number % 11 == 0, "none").otherwise(F.col("repo.id"))
+    public = F.when(number % 13 == 0, "maybe").when(number % 17 == 0, F.lit(None)).otherwise(F.col("public"))
+    raw = raw.withColumns({"actor": F.col("actor").withField("id", actor), "repo": F.col("repo").withField("id", repo), "public": public})
+    return silver.cast_losses(raw)
+
+
+def missing_hour_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of consecutive hours without events: hours of every day, a night, three whole days."""
+    gone = "event_hour in (5, 6, 17) or event_date in (date'2024-01-11', date'2024-01-12', date'2024-01-13') or (event_date = date'2024-01-20' and event_hour > 20) or (event_date = date'2024-01-21' and event_hour < 4)"
+    slv = _silver(spark, sf_dir)
+    return bronze.missing_runs(bronze.hour_coverage(bronze.observed_hour_grid(slv), slv.where(f"not ({gone})")))
+
+
+def _fit_config() -> churn.ChurnConfig:
+    return churn.ChurnConfig(split_date=CHURN_SPLIT, min_events_in_train=5, entity="actor_id", distinct_col="repo_id", max_iter=500, reg_param=0.01)
+
+
+def churn_fit_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4-M7/C11: the saved model's coefficients meet the first-order conditions of the fit (slopes in thousandths)."""
+    config, at = _fit_config(), scratch_dir(spark, "fit-model")
+    features = churn.build_features(_fact(spark, sf_dir), config)
+    model, _ = churn.train(features, config, spark)
+    churn.save_model(model, at)
+    train, _ = churn.split(features, config)
+    slopes = churn.fit_conditions(churn.load_model(at), train, config)
+    return slopes.select("term", F.round(F.abs("slope") * 1000).cast("bigint").alias("thousandths"))
+
+
+def churn_batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entities scored by the reloaded model of the best of two runs: every score is the logistic formula's."""
+    paths = medallion.LakePaths(scratch_dir(spark, "lake-scores"))
+    silver.write_silver(_silver(spark, sf_dir), paths.silver, dynamic=False)
+    medallion.build_gold(spark, paths)
+    for config in (_fit_config(), _actor_config()):
+        medallion.train_churn(spark, paths, config)
+    scored = medallion.score_churn(spark, paths, "accuracy")
+    model = churn.load_model(churn.best_run(spark, paths.ml_runs, "accuracy")["model_path"])
+    same = F.abs(F.col("score") - churn.formula(model)) < 1e-9
+    return scored.select("actor_id", "n_events", "churned", same.alias("as_formula"), (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("as_score"))

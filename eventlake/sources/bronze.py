@@ -14,7 +14,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructType, VariantType
 
@@ -272,6 +272,25 @@ def hour_coverage(grid: DataFrame, events: DataFrame, ts_col: str = "created_at"
     )
 
 
+def missing_runs(coverage: DataFrame) -> DataFrame:
+    """``first_hour, last_hour, n_hours, n_days``: runs of consecutive missing hours of :func:`hour_coverage`.
+
+    Runs are found within each day; only those that touch a day's first or last
+    hour, two a day at most, are then joined across days by one ordered pass.
+    """
+    step = F.expr("INTERVAL 1 HOUR")
+    in_day = Window.partitionBy("event_date").orderBy("hour_start")
+    numbered = coverage.where("missing").select("event_date", "hour_start", (F.col("hour_start") - F.row_number().over(in_day) * step).alias("run"))
+    runs = numbered.groupBy("event_date", "run").agg(F.min("hour_start").alias("first_hour"), F.max("hour_start").alias("last_hour"), F.count(F.lit(1)).alias("n_hours"), F.lit(1).cast("bigint").alias("n_days"))
+    runs = runs.select("first_hour", "last_hour", "n_hours", "n_days")
+    at_edge = (F.hour("first_hour") == 0) | (F.hour("last_hour") == 23)
+    along = Window.orderBy("first_hour")
+    begins = F.coalesce(F.lag("last_hour").over(along) + step != F.col("first_hour"), F.lit(True))
+    edges = runs.where(at_edge).withColumn("begins", begins.cast("int")).withColumn("island", F.sum("begins").over(along))
+    joined = edges.groupBy("island").agg(F.min("first_hour").alias("first_hour"), F.max("last_hour").alias("last_hour"), F.sum("n_hours").alias("n_hours"), F.sum("n_days").alias("n_days"))
+    return runs.where(~at_edge).unionByName(joined.drop("island"))
+
+
 def missing_files(grid: DataFrame, ledger: DataFrame) -> DataFrame:
     """Grid hours whose dump file is not in the ledger."""
     return grid.join(ledger.select("file_name"), "file_name", "left_anti")
