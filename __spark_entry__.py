@@ -162,6 +162,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_hour_runs",
         "churn_fit_conditions",
         "churn_batch_scores",
+        "bloom_lookup",
+        "join_bucketed",
     ]
     out = {n: _wrap(getattr(q, n)) for n in names}
     if registry is not None:
@@ -554,6 +556,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "flat_date_count": "SELECT count(*) AS n_events FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
         "clustered_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE repo_id = 42",
         "zordered_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE actor_id = 42",
+        "bloom_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE actor_id = 42",
         "optimized_lookup": base + "SELECT count(*) AS n_events FROM silver WHERE repo_id = 42",
         "hot_repos": base
         + "SELECT repo_id FROM silver GROUP BY repo_id "
@@ -561,6 +564,7 @@ SELECT "check", n_bad, n_bad = 0 AS passed FROM (
         "join_broadcast": join_rows,
         "join_shuffle": join_rows,
         "join_auto": join_rows,
+        "join_bucketed": join_rows,
         "join_salted": join_rows,
         "join_salted_hot_keys": join_rows,
         "hour_coverage": coverage + "SELECT * FROM cov",

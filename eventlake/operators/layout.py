@@ -6,6 +6,9 @@
   Parquet footers' min/max then let a point lookup skip most files and row
   groups. One column: range partitioning + sort. Several columns: a Z-order
   code from quantile buckets interleaved bit by bit.
+* :func:`write_bloom` -- Bloom filters for lookups on columns the layout is not
+  clustered by; :func:`write_bucketed` / :func:`join_bucketed` -- tables dealt by
+  their join key, joined without a shuffle.
 * :func:`join_dim` -- broadcast a dimension only after one bounded scan
   proves its row count and byte size small; otherwise a shuffle join (AQE may
   still re-plan and split skewed partitions), or an explicitly salted join
@@ -253,3 +256,36 @@ def join_dim(
     if strategy == "broadcast" and fits_broadcast(dim, max_broadcast_rows, max_broadcast_bytes):
         return fact.join(F.broadcast(dim), on, how)
     return fact.join(dim, on, how)
+
+
+def write_bloom(df: DataFrame, path: str, columns: Sequence[str], distinct_per_group: int = 1_000_000, row_group_bytes: int | None = None) -> None:
+    """Write Parquet with a Bloom filter of some columns in every row group.
+
+    A point lookup on such a column skips the row groups that don't hold the
+    value, also where the table is not clustered by it and every row group's
+    range spans the value. ``distinct_per_group``: distinct values expected in a
+    row group; it sets the size of the filter (about a byte and a half each).
+    """
+    writer = df.write.mode("overwrite")
+    for column in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct_per_group))
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
+    writer.parquet(path)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Write ``df`` as a table of the session catalog, dealt to ``buckets`` by a hash of ``key`` and sorted by it.
+
+    Two tables with equal buckets of the join key are joined without a shuffle of
+    either. ``path``: a folder on shared storage. One file per bucket and task, so
+    the rows are first dealt out as the buckets are.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def join_bucketed(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Sort-merge join of two tables of :func:`write_bucketed`: bucket by bucket, no exchange."""
+    return fact.join(dim.hint("merge"), on, how)

@@ -950,3 +950,24 @@ def churn_batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = churn.load_model(churn.best_run(spark, paths.ml_runs, "accuracy")["model_path"])
     same = F.abs(F.col("score") - churn.formula(model)) < 1e-9
     return scored.select("actor_id", "n_events", "churned", same.alias("as_formula"), (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("as_score"))
+
+
+# --- Bloom filters and buckets ----------------------------------------------------------
+
+
+def bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point lookup on a column the layout is not clustered by: Bloom filters of its row groups."""
+    path = scratch_dir(spark, "layout-bloom")
+    layout.write_bloom(layout.cluster_by(_fact(spark, sf_dir), ["repo_id"], n_files=8), path, ["actor_id"], 10_000)
+    return _count(spark.read.parquet(path).where(F.col("actor_id") == F.lit(LOOKUP_KEY)))
+
+
+def join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join of ``join_shuffle`` over tables bucketed by the key: neither side is shuffled."""
+    stg = _stg(spark, sf_dir)
+    tables = {"fact": marts.fact_events(stg), "dim": marts.dim_repo(stg).select("repo_id", "repo_name", "total_events")}
+    made = {}
+    for name, df in tables.items():
+        path = scratch_dir(spark, f"bucketed-{name}")
+        made[name] = layout.write_bucketed(df, path.rsplit("/", 1)[-1].replace("-", "_"), "repo_id", 8, path)
+    return layout.join_bucketed(made["fact"], made["dim"], "repo_id").select("event_id", "repo_id", "repo_name", "total_events")
