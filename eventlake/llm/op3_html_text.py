@@ -3,7 +3,9 @@
 A page falls into text blocks (runs of text between block-level tags). Each
 block is a node between two terminals, content and boilerplate: a linear
 classifier on tags, class and id words, roles, link share and length gives the
-costs of either label, which become the terminal capacities. Blocks that are
+costs of either label, which become the terminal capacities. A class or id counts
+by its whole names, and a name that speaks of boilerplate is void on a container that
+holds most of the page's text while no other part is named content. Blocks that are
 neighbours on the page, and blocks that follow each other within one DOM
 container, are joined by smoothness edges whose capacity falls with their
 distance in the tree. The maximum flow separates content from boilerplate; the
@@ -42,8 +44,9 @@ BAD_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion promoted menu nav navbar navigation navi header masthead topbar footer "
     "bottom sidebar aside rail widget widgets cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup signin login register "
     "share sharing social follow related recommended recommendations similar trending popular breadcrumb breadcrumbs crumbs pagination pager pages toolbar search searchform form copyright legal "
-    "terms disclaimer skip sitemap tags tagcloud byline meta author".split()
+    "terms disclaimer skip sitemap tags tagcloud byline meta author secondary colophon".split()
 )
+STATE_WORDS = frozenset("has have with without no not is are show hide hidden layout template single".split())
 GOOD_WORDS = frozenset("article articlebody content maincontent body post entry story text main prose".split())
 CLOSED_BY = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "thead": "p", "tbody": "thead tr td th"}
 SCOPE = frozenset("ul ol dl table body html article section div main".split())
@@ -60,14 +63,46 @@ _HARD = 10_000
 
 
 class Element:
-    __slots__ = ("name", "parent", "depth", "bad", "good", "soft", "link")
+    """An open element. ``word``: what its class or id says (SOFT or HARD boilerplate); ``marked``: the nearest
+    element with such a word, itself included; ``outer``: the next one above that element."""
+
+    __slots__ = ("name", "parent", "depth", "bad", "good", "link", "word", "marked", "outer", "hard")
 
     def __init__(self, name: str, parent: Element | None):
-        self.name, self.parent = name, parent
+        self.name, self.parent, self.word, self.outer = name, parent, 0, None
         if parent is None:
-            self.depth, self.bad, self.good, self.soft, self.link = 0, False, 0, 0, False
+            self.depth, self.bad, self.good, self.link, self.marked, self.hard = 0, False, 0, False, None, False
         else:
-            self.depth, self.bad, self.good, self.soft, self.link = parent.depth + 1, parent.bad, parent.good, parent.soft, parent.link or name == "a"
+            self.depth, self.bad, self.good, self.link = parent.depth + 1, parent.bad, parent.good, parent.link or name == "a"
+            self.marked, self.hard = parent.marked, parent.hard
+
+
+SOFT, HARD = 1, 2
+
+
+def _word_mark(name: str, value: str) -> tuple[int, bool]:
+    """What the names in a class or id say: a mark (or 0), and whether they name content.
+
+    A name that tells a state of the page (has-sidebar, no-menu) says nothing; one
+    that ends in a word for content names content, whatever it begins with. For an
+    article or main element only whole comment words count.
+    """
+    mark, good = 0, False
+    for part in value.split():
+        words = [w.lower() for w in _WORD.findall(part)]
+        if not words or (words[0] in STATE_WORDS and len(words) > 1):
+            continue
+        if words[-1] in GOOD_WORDS:
+            good = True
+        elif name in ("article", "main"):
+            mark = HARD if words[0] in COMMENT_WORDS and (len(words) == 1 or words[0].startswith("comment")) else mark
+        elif COMMENT_WORDS.intersection(words):
+            mark = HARD
+        elif BAD_WORDS.intersection(words):
+            mark = mark or SOFT
+        elif GOOD_WORDS.intersection(words):
+            good = True
+    return mark, good
 
 
 def _judge(e: Element, attrs: str) -> None:
@@ -76,7 +111,9 @@ def _judge(e: Element, attrs: str) -> None:
     if name in BAD_TAGS or (name == "header" and not e.good):
         e.bad = True
     if name in ("article", "main"):
-        e.good, e.soft = 4, 0
+        e.good = 4
+        while e.marked is not None and e.marked.word == SOFT:
+            e.marked = e.marked.outer
     if not attrs or name in ("html", "body"):
         return
     for key, value in _ATTR.findall(attrs):
@@ -89,14 +126,56 @@ def _judge(e: Element, attrs: str) -> None:
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _HIDDEN.search(value)):
             e.bad = True
         elif key in ("class", "id"):
-            words = {w.lower() for w in _WORD.findall(value)}
-            if words & COMMENT_WORDS:
-                e.bad = True
-            elif name not in ("article", "main"):
-                if words & BAD_WORDS:
-                    e.soft = 6
-                elif words & GOOD_WORDS and e.good < 3:
-                    e.good = 3
+            mark, good = _word_mark(name, value)
+            if mark > e.word:
+                if not e.word:
+                    e.outer, e.marked = e.marked, e
+                e.word, e.hard = mark, e.hard or mark == HARD
+            elif good and not mark and e.good < 3:
+                e.good = 3
+
+
+def _marks(e: Element, void: set[int]) -> tuple[bool, bool]:
+    """Whether text in an element stands under a HARD and under a SOFT mark that is not void."""
+    hard = soft = False
+    m = e.marked
+    while m is not None:
+        if id(m) not in void:
+            hard, soft = hard or m.word == HARD, soft or m.word == SOFT
+        m = m.outer
+    return hard, soft
+
+
+def void_marks(found: list[tuple[str, int, Element]]) -> set[int]:
+    """Elements whose mark does not hold: they have most of the page's text, and no text that is named
+    content stands elsewhere. From the outside in."""
+    chars: dict[int, int] = {}
+    marked: dict[int, Element] = {}
+    total = 0
+    for text, _, e in found:
+        if e.bad:
+            continue
+        total += len(text)
+        m = e.marked
+        while m is not None:
+            chars[id(m)] = chars.get(id(m), 0) + len(text)
+            marked[id(m)] = m
+            m = m.outer
+    void: set[int] = set()
+    for k, m in sorted(marked.items(), key=lambda x: x[1].depth):
+        if 2 * chars[k] <= total:
+            continue
+        elsewhere = False
+        for _, _, e in found:
+            if e.good >= 3 and not e.bad and not elsewhere:
+                x, inside, free = e.marked, False, True
+                while x is not None:
+                    inside, free = inside or x is m, free and id(x) in void
+                    x = x.outer
+                elsewhere = not inside and free
+        if not elsewhere:
+            void.add(k)
+    return void
 
 
 def blocks(source: str) -> list[tuple[str, int, Element]]:
@@ -115,7 +194,7 @@ def blocks(source: str) -> list[tuple[str, int, Element]]:
                 where = top
                 while where.name not in BLOCK and where.parent is not None:
                     where = where.parent
-                out.append((text, linked, where if not top.bad else top))
+                out.append((text, linked, top if top.bad or top.hard else where))
             parts.clear()
         linked = 0
 
@@ -193,12 +272,12 @@ def blocks(source: str) -> list[tuple[str, int, Element]]:
     return out
 
 
-def content_score(text: str, linked: int, e: Element) -> int:
-    """Hundredths of log odds that a block is content."""
-    if e.bad:
+def content_score(text: str, linked: int, e: Element, hard: bool = False, soft: bool = False) -> int:
+    """Hundredths of log odds that a block is content; ``hard``, ``soft``: the marks it stands under."""
+    if e.bad or hard:
         return -_HARD
     n = text.count(" ") + 1
-    score = -60 + min(n, 60) * 4 - 400 * min(1.0, linked / len(text)) + 100 * (e.good - e.soft)
+    score = -60 + min(n, 60) * 4 - 400 * min(1.0, linked / len(text)) + 100 * e.good - 600 * soft
     if text[-1] in ".!?:;\"'”»…" or ". " in text:
         score += 60
     if e.name in ("p", "blockquote", "pre"):
@@ -291,7 +370,8 @@ def main_text(source: str | None) -> str:
     found = blocks(source or "")
     if not found:
         return ""
-    score = [content_score(*b) for b in found]
+    void = void_marks(found)
+    score = [content_score(*b, *_marks(b[2], void)) for b in found]
     edges = []
     last: dict[int, int] = {}
     for i, (_, _, e) in enumerate(found):

@@ -71,3 +71,27 @@ def test_table_special_rows(spark):
     assert sorted(r.n_chars for r in got)[:2] == [0, 0]
     assert next(r for r in got if r.page_id == 2).text.count("\n") == 2999
     assert op3.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+ARTICLE = "<h1>A plain title</h1><p>The first paragraph of it says a little.</p><p>The second one says more than that.</p><p>A third ends it.</p>"
+TEXT = "A plain title\nThe first paragraph of it says a little.\nThe second one says more than that.\nA third ends it."
+
+
+def test_words_on_containers_of_the_article():
+    for page in (
+        f'<div class="layout has-sidebar">{ARTICLE}</div>',
+        f'<div class="no-sidebar">{ARTICLE}</div>',
+        f'<div id="pages">{ARTICLE}</div>',
+        f'<div class="comments-open"><article>{ARTICLE}</article></div>',
+        f'<article class="book-reviews">{ARTICLE}</article>',
+        f'<article><div class="related-topics-text">{ARTICLE}</div></article>',
+        f'<div class="share"><div class="widget">{ARTICLE}</div></div>',
+    ):
+        whole = f'<body><nav><a href=x>Home</a></nav>{page}<footer><p>All rights reserved by us.</p></footer></body>'
+        assert op3.main_text(whole) == TEXT, page
+
+
+def test_marked_parts_beside_the_article():
+    long = "<p>" + "A reader wrote this at some length, more than the article has. " * 9 + "</p>"
+    for part in ('<div id="secondary">', '<section class="comments">', '<div class="related-posts">', '<div class="comment-list"><article>'):
+        for page in (f"<article>{ARTICLE}</article>{part}{long}</div>", f'<div class="post">{ARTICLE}</div>{part}{long}</div>'):
+            assert op3.main_text(f"<body>{page}</body>") == TEXT, (part, page[:20])
