@@ -83,6 +83,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
 
     def fn(batches):
         for batch in batches:
+            t.release()
             _, offs = t.text_bytes(batch.column("text"))
             for a, b in t.pieces(offs):
                 row, h = shingle_sets(batch.column("text").slice(a, b - a))
@@ -130,6 +131,7 @@ def sketches(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
 
 def _keep(docs, told):
     """Classes that share enough shingles with others to have a partner."""
+    t.release()
     kind = t.ids(told["kind"])
     pick = lambda k: t.longs(told.filter(pa.array(kind == k))["hash"])
     ids, text = _representatives(docs, pick(0).view(np.int64))
@@ -197,6 +199,7 @@ def _segment_keys(row: np.ndarray, h: np.ndarray, n_rows: int, deletions: bool):
 def _deal_keys(slots: int, deletions: bool):
     def fn(batches):
         for batch in batches:
+            t.release()
             ids = t.ids(batch.column("doc_id"))
             _, offs = t.text_bytes(batch.column("text"))
             for a, b in t.pieces(offs):
@@ -213,6 +216,7 @@ def _spare(deletions: bool):
 
     def fn(batches):
         for batch in batches:
+            t.release()
             ids = t.ids(batch.column("doc_id"))
             _, offs = t.text_bytes(batch.column("text"))
             for a, b in t.pieces(offs):
@@ -227,6 +231,7 @@ def _groups(crowd: int):
     """Of one key slot: distinct groups of classes with one key (their least first), and the crowded segments."""
 
     def fn(table):
+        t.release()
         key, doc, place = t.longs(table["key"]), t.longs(table["doc"]).view(np.int64), t.longs(table["place"]).view(np.int64)
         order = np.lexsort((doc, key))
         key, doc, place = key[order], doc[order], place[order]
@@ -272,6 +277,7 @@ def _verify(pairs: DataFrame, kept: DataFrame) -> DataFrame:
 
     def fn(batches):
         for batch in batches:
+            t.release()
             _, x = t.text_bytes(batch.column("ta"))
             _, y = t.text_bytes(batch.column("tb"))
             for i, j in t.pieces(x + y):

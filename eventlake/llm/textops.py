@@ -7,10 +7,16 @@ expression ``[^\\x20\\x09-\\x0D]+``; a null text counts as empty.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+try:  # glibc alone keeps freed memory for itself
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    _TRIM = None
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: odd multipliers of the two polynomial hashes
@@ -19,6 +25,13 @@ _GRAM = (U64(0x100000001B3), U64(0x5851F42D4C957F2D))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def release() -> None:
+    """Give memory that is free back to the system: workers live on between stages beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; nulls become empty texts."""
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
