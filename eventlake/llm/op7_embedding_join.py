@@ -14,7 +14,7 @@ number of pivots changes the cost only, never the result.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link
 with nothing (n_links 0, their own component); shorter vectors count as padded
-with zeros. Rows without vec_id are left out; rows that repeat a vec_id with the
+with zeros. Vectors of any length are compared, as cosine does not depend on it. Rows without vec_id are left out; rows that repeat a vec_id with the
 same vector count as one, with different vectors as a link's two ends.
 """
 
@@ -37,7 +37,8 @@ _SLACK = 1e-4
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    """Rows of a list column in double precision, padded with zeros."""
+    """Rows of a list column in double precision, padded with zeros; each scaled by the power of two that brings
+    its largest component to between a half and one, so that squares neither overflow nor vanish."""
     size = t.lengths(column)
     values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if isinstance(values, pa.ChunkedArray):
@@ -45,7 +46,7 @@ def _matrix(column, dim: int) -> np.ndarray:
     flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     out = np.zeros((len(size), dim))
     out[np.repeat(np.arange(len(size)), size), np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
-    return out
+    return np.ldexp(out, -np.frexp(np.abs(out).max(1, initial=0.0))[1][:, None])
 
 
 def _norm(m: np.ndarray) -> np.ndarray:

@@ -43,6 +43,13 @@ def test_vectors(spark, vectors, part, guests):
     assert None not in got
 
 
+def test_vectors_of_extreme_length(spark):
+    """Lengths whose squares overflow or vanish in double precision, and subnormal components."""
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [1.0, 1.0]), (5, [1.7e308, 1.7e308]), (6, [5e-324, 5e-324]), (7, [1e300, -1e300]), (8, [1e-310, -1e-310]), (9, [1e200, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in op7.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{i: (5, 1) for i in range(1, 7)}, 7: (1, 7), 8: (1, 7), 9: (0, 9)}
+
+
 def test_no_vectors(spark):
     assert op7.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     only = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<double>")
