@@ -29,7 +29,9 @@ try:  # the training-data operators are an optional part
     import corpus_pipeline
     from eventlake.llm import registry
 except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "eventlake.llm"):
+    # absent: the part itself, or a third-party module that only it needs
+    own = (missing.name or "").split(".")[0] in ("corpus_pipeline", "eventlake")
+    if own and missing.name not in ("corpus_pipeline", "eventlake.llm"):
         raise
     registry = None
 
