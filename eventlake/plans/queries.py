@@ -895,7 +895,7 @@ def backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for _ in range(len(to_fail) + 1):
         try:
-            medallion.backfill(spark, paths, raw_root, *days, batch_days=16, after=fail)
+            medallion.backfill(spark, paths, raw_root, *days, batch_days=32, after=fail)
             break
         except InterruptedError:
             continue
