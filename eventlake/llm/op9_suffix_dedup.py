@@ -55,6 +55,52 @@ def _name(trigger: np.ndarray, slots: int) -> np.ndarray:
     return t.slot_of(trigger, slots).astype(np.uint64) << np.uint64(32) | trigger & _LOW
 
 
+def _number(table: pa.Table, name: str) -> pa.Table:
+    """Lists of flags whose ones lead, as the number of ones."""
+    total = np.concatenate([[0], np.cumsum(t.longs(table[name]).astype(np.int64))])
+    size = t.lengths(table[name])
+    stop = np.cumsum(size)
+    return table.set_column(table.schema.get_field_index(name), name, pa.array((total[stop] - total[stop - size]).astype(np.int32)))
+
+
+def _flags(table: pa.Table, name: str, size: np.ndarray) -> np.ndarray:
+    """The flags of :func:`_number` again, for lists of these sizes."""
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return at < np.repeat(t.ids(table[name]), size)
+
+
+def _packed(ids: np.ndarray) -> tuple[int, dict[str, np.ndarray]]:
+    """ids as a base and what they have above it: 32 bits, and the next 32 if any id needs them."""
+    base = int(ids.min()) if len(ids) else 0
+    above = ids.view(np.uint64) - np.array(base, np.int64).view(np.uint64)
+    high = (above >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return base, {"doc": _short(above)} | ({"high": high} if high.any() else {})
+
+
+def _sent(slots: np.ndarray, src: int, ids: np.ndarray, arrays: dict[str, np.ndarray], optional: tuple[str, ...] = ()) -> pa.Table:
+    """:func:`textops.dealt` with packed ids; ``optional`` lists that are not given are empty."""
+    base, packed = _packed(ids)
+    out = t.dealt(slots, src, arrays | packed)
+    out = out.append_column("base", pa.array(np.full(out.num_rows, base, np.int64)))
+    for name in ("high", *optional):
+        if name not in out.column_names:
+            out = out.append_column(name, pa.array([[]] * out.num_rows, pa.list_(pa.int32())))
+    return out
+
+
+def _given(table: pa.Table, name: str, size: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+    """Values of optional lists; ``otherwise`` where a row has none."""
+    out = otherwise.copy()
+    out[np.repeat(t.lengths(table[name]) > 0, size)] = t.longs(table[name])
+    return out
+
+
+def _unpacked(table: pa.Table) -> np.ndarray:
+    size = t.lengths(table["doc"])
+    high = _given(table, "high", size, np.zeros(size.sum(), np.uint64))
+    return (np.repeat(t.ids(table["base"]), size).view(np.uint64) + (t.longs(table["doc"]) & _LOW | high << np.uint64(32))).view(np.int64)
+
+
 class Phrases:
     """Phrases of one block: trigger, first and last start of their strings, document."""
 
@@ -83,7 +129,7 @@ class Phrases:
         return distinct_per_doc(self.trigger, self.doc)
 
     def recurring(self, told: np.ndarray, hot: np.ndarray, slots: int):
-        """(route, key, row, first, last) of the phrases that can repeat; those of hot triggers split into single strings."""
+        """(route, key, row, first, last, hot) of the phrases that can repeat; those of hot triggers split into single strings."""
         own, multi = self.triggers()
         at = np.flatnonzero(t.has(np.sort(own[multi]), self.trigger) | t.has(np.sort(told), _name(self.trigger, slots)))
         trigger, row, first, last = self.trigger[at], self.row[at], self.first[at], self.last[at]
@@ -94,13 +140,14 @@ class Phrases:
         first, last, row = first[each] + step, np.where(is_hot[each], first[each] + step, last[each]), row[each]
         body = t.span_hash(self.buf, first, last + self.width)
         route = np.where(is_hot[each], body, trigger[each])
-        return route, t.mix(body ^ (route * np.uint64(3))), row, first, last
+        return route, t.mix(body ^ (route * np.uint64(3))), row, first, last, is_hot[each]
 
 
 def _ask(width: int, run: int, slots: int):
     def fn(key, docs):
         own, multi = Phrases(docs, width, run).triggers()
-        return t.dealt(t.slot_of(own, slots), key[0].as_py(), {"hash": _short(own), "multi": multi.astype(np.int8)})
+        own, multi = (x[np.argsort(~multi, kind="stable")] for x in (own, multi))
+        return _number(t.dealt(t.slot_of(own, slots), key[0].as_py(), {"hash": _short(own), "multi": multi.astype(np.int8)}), "multi")
 
     return fn
 
@@ -109,24 +156,27 @@ def _answer(hot: int):
     """Of one slot: to each block, which of its triggers recur elsewhere, and which are hot."""
 
     def fn(key, table):
-        h, multi = t.longs(table["hash"]), t.longs(table["multi"]).astype(bool)
-        src = np.repeat(t.ids(table["src"]), t.lengths(table["hash"]))
+        size = t.lengths(table["hash"])
+        h, multi = t.longs(table["hash"]), _flags(table, "multi", size)
+        src = np.repeat(t.ids(table["src"]), size)
         order = np.argsort(h)
         h, multi, src = h[order], multi[order], src[order]
         g = t.group_starts(h)
         size = np.diff(np.concatenate([g, [len(h)]]))
         again = np.repeat((size > 1) | np.logical_or.reduceat(multi, g), size) if len(g) else np.zeros(0, bool)
         many = np.repeat(size > hot, size)
-        tell = (again & ~multi) | many
-        return t.dealt(src[tell], key[0].as_py(), {"hash": _short(h[tell]), "hot": many[tell].astype(np.int8)}).rename_columns(["slot", "origin", "hash", "hot"])
+        tell = np.concatenate([np.flatnonzero(many), np.flatnonzero(again & ~multi & ~many)])
+        out = t.dealt(src[tell], key[0].as_py(), {"hash": _short(h[tell]), "hot": many[tell].astype(np.int8)})
+        return _number(out.rename_columns(["slot", "origin", "hash", "hot"]), "hot")
 
     return fn
 
 
 def _hot_of(told):
-    origin = np.repeat(t.ids(told["origin"]), t.lengths(told["hash"])).astype(np.uint64)
-    hashes, hot = origin << np.uint64(32) | t.longs(told["hash"]) & _LOW, t.longs(told["hot"]).astype(bool)
-    return hashes, hashes[hot]
+    size = t.lengths(told["hash"])
+    origin = np.repeat(t.ids(told["origin"]), size).astype(np.uint64)
+    hashes = origin << np.uint64(32) | t.longs(told["hash"]) & _LOW
+    return hashes, hashes[_flags(told, "hot", size)]
 
 
 def _of(told, kind: int):
@@ -135,24 +185,33 @@ def _of(told, kind: int):
 
 
 def _claim(width: int, run: int, slots: int):
-    """Of one block: its distinct recurring phrases by hash, with their smallest doc_id, to the slots."""
+    """Of one block: its distinct recurring phrases by hash, with their smallest doc_id, to the slots.
+
+    A string of a hot trigger has its route from itself, so none is sent.
+    """
 
     def fn(docs, told):
         p = Phrases(docs, width, run)
-        route, key, row, _, _ = p.recurring(*_hot_of(told), slots)
+        route, key, row, _, _, hot = p.recurring(*_hot_of(told), slots)
         order = np.argsort(key)
         g = t.group_starts(key[order])
         least = np.minimum.reduceat(p.doc_id[row[order]], g) if len(g) else _NONE
-        route, key = route[order][g], key[order][g]
-        return t.dealt(t.slot_of(t.mix(route), slots), docs["block"][0].as_py() if docs.num_rows else 0, {"route": _short(route), "key": key, "doc": least})
+        route, key, hot = route[order][g], key[order][g], hot[order][g]
+        slot, block = t.slot_of(t.mix(route), slots), docs["block"][0].as_py() if docs.num_rows else 0
+        parts = []
+        for part, own in ((~hot, {"route": _short(route[~hot])}), (hot, {})):
+            out = _sent(slot[part], block, least[part], own | {"key": key[part]}, ("route",))
+            parts.append(out.select(["slot", "src", "route", "key", "doc", "high", "base"]))
+        return pa.concat_tables(parts)
 
     return fn
 
 
 def _settle(table):
     """Of one slot: to each block, the owner of phrases that are alone with their trigger (kind 1), or that the bytes are needed (kind 2)."""
-    route, key, doc = t.longs(table["route"]), t.longs(table["key"]), t.longs(table["doc"]).view(np.int64)
-    src = np.repeat(t.ids(table["src"]), t.lengths(table["key"]))
+    key, doc, size = t.longs(table["key"]), _unpacked(table), t.lengths(table["key"])
+    route = _given(table, "route", size, key)  # a string of a hot trigger is alone with its route
+    src = np.repeat(t.ids(table["src"]), size)
     order = np.lexsort((doc, key, route))
     route, key, doc, src = route[order], key[order], doc[order], src[order]
     g = t.group_starts(route, key)
@@ -166,8 +225,8 @@ def _settle(table):
         alone = np.repeat(np.repeat(phrases == 1, phrases), size)
     told = []
     for kind, tell in ((1, alone & (least < doc)), (2, ~alone)):
-        out = t.dealt(src[tell], kind, {"hash": key[tell], "owner": least[tell]})
-        told.append(out.rename_columns(["slot", "kind", "hash", "owner"]))
+        out = _sent(src[tell], kind, least[tell], {"hash": key[tell]})
+        told.append(out.select(["slot", "src", "hash", "doc", "high", "base"]).rename_columns(["slot", "kind", "hash", "doc", "high", "base"]))
     return pa.concat_tables(told)
 
 
@@ -182,7 +241,7 @@ def _dictionary(width: int, run: int, slots: int):
     def fn(docs, told):
         block = docs["block"][0].as_py() if docs.num_rows else 0
         p = Phrases(docs, width, run)
-        route, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)), slots)
+        route, key, row, first, last, _ = p.recurring(*_hot_of(_of(told, 0)), slots)
         wanted = t.has(np.sort(t.longs(_of(told, 2)["key"])), key)
         route, key, row, first, last = route[wanted], key[wanted], row[wanted], first[wanted], last[wanted]
         order = np.argsort(key)
@@ -193,7 +252,8 @@ def _dictionary(width: int, run: int, slots: int):
         by = np.argsort(slot, kind="stable")
         one, least = one[by], least[by]
         size = last[one] - first[one] + width
-        out = t.dealt(slot[by], block, {"route": route[one], "key": key[one], "doc": least, "size": size})
+        out = _sent(slot[by], block, least, {"route": route[one], "key": key[one], "size": size.astype(np.int32)})
+        out = out.select(["slot", "src", "route", "key", "doc", "high", "base", "size"])
         ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(t.lengths(out["key"]))]).astype(int)] if len(one) else np.zeros(1, int)
         return out.append_column("data", t.strings(_gather(p.buf, first[one], size), ends, binary=True))
 
@@ -217,7 +277,7 @@ def _owners(width: int):
     """Of one slot: to each block, the strings of its phrases (first, last place) that a smaller doc_id elsewhere owns."""
 
     def fn(table):
-        route, key, doc, size = t.longs(table["route"]), t.longs(table["key"]), t.longs(table["doc"]).view(np.int64), t.longs(table["size"]).view(np.int64)
+        route, key, doc, size = t.longs(table["route"]), t.longs(table["key"]), _unpacked(table), t.longs(table["size"]).view(np.int64)
         src = np.repeat(t.ids(table["src"]), t.lengths(table["key"]))
         data, _ = t.text_bytes(table["data"])
         start = np.cumsum(size) - size
@@ -268,7 +328,8 @@ def _owners(width: int):
         at = np.repeat(first, n) + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
         tell = owner[at] < doc[each]
         each, at = each[tell], at[tell]
-        return t.dealt(src[each], 0, {"hash": key[each], "lo": lo[at], "hi": hi[at], "owner": owner[at]}).drop(["src"])
+        out = _sent(src[each], 0, owner[at], {"hash": key[each], "lo": lo[at].astype(np.int32), "hi": hi[at].astype(np.int32)})
+        return out.select(["slot", "hash", "lo", "hi", "doc", "high", "base"])
 
     return fn
 
@@ -276,11 +337,11 @@ def _owners(width: int):
 def _remove(width: int, run: int, slots: int):
     def fn(docs, told):
         p = Phrases(docs, width, run)
-        _, key, row, first, last = p.recurring(*_hot_of(_of(told, 0)), slots)
+        _, key, row, first, last, _ = p.recurring(*_hot_of(_of(told, 0)), slots)
         alone, many = _of(told, 1), _of(told, 3)
         whole = t.longs(alone["key"])
         told_key = np.concatenate([whole, t.longs(many["key"])])
-        owner = np.concatenate([t.longs(x["owner"]) for x in (alone, many)]).view(np.int64)
+        owner = np.concatenate([_unpacked(x) for x in (alone, many)])
         lo = np.concatenate([np.zeros(len(whole), np.int64), t.longs(many["lo"]).view(np.int64)])
         hi = np.concatenate([np.full(len(whole), -1), t.longs(many["hi"]).view(np.int64)])  # -1: to the phrase's end
         doc = p.doc_id[row]
@@ -326,27 +387,29 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, run: int = RUN, hot: int =
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row of ``docs`` (doc_id, text)."""
     blocks, _, slots = in_blocks(docs, block_bytes)
     by_block = blocks.groupBy("block")
-    none = F.array().cast("array<bigint>")
-    short = [F.lit(-1).alias("origin"), F.array().cast("array<int>").alias("hash"), F.array().cast("array<tinyint>").alias("hot")]
+    none = F.array().cast("array<int>")
+    short = [F.lit(-1).alias("origin"), none.alias("hash"), F.lit(0).alias("hot")]
+    packed = "doc array<int>, high array<int>, base bigint"
 
     def told(kind, rows, *known):
         """Answers of one kind in the common form of all."""
         have = {c: F.col(c) for c in known}
         key = have.get("hash") if kind else None
         first = short if kind else ["origin", "hash", "hot"]
-        return rows.select("slot", F.lit(kind).alias("kind"), *first, (none if key is None else key).alias("key"), *[have.get(c, none).alias(c) for c in ("lo", "hi", "owner")])
+        lists = [have.get(c, none).alias(c) for c in ("lo", "hi", "doc", "high")]
+        return rows.select("slot", F.lit(kind).alias("kind"), *first, (F.array().cast("array<bigint>") if key is None else key).alias("key"), *lists, have.get("base", F.lit(0).cast("bigint")).alias("base"))
 
-    asked = by_block.applyInArrow(_ask(width, run, slots), "slot int, src int, hash array<int>, multi array<tinyint>")
-    answers = asked.groupBy("slot").applyInArrow(_answer(hot), "slot int, origin int, hash array<int>, hot array<tinyint>")
-    claims = by_block.cogroup(answers.groupBy("slot")).applyInArrow(_claim(width, run, slots), "slot int, src int, route array<int>, key array<bigint>, doc array<bigint>")
-    settled = claims.groupBy("slot").applyInArrow(_settle, "slot int, kind int, hash array<bigint>, owner array<bigint>")
+    asked = by_block.applyInArrow(_ask(width, run, slots), "slot int, src int, hash array<int>, multi int")
+    answers = asked.groupBy("slot").applyInArrow(_answer(hot), "slot int, origin int, hash array<int>, hot int")
+    claims = by_block.cogroup(answers.groupBy("slot")).applyInArrow(_claim(width, run, slots), f"slot int, src int, route array<int>, key array<bigint>, {packed}")
+    settled = claims.groupBy("slot").applyInArrow(_settle, f"slot int, kind int, hash array<bigint>, {packed}")
     recurring = told(0, answers)
     needed = recurring.unionAll(told(2, settled.where("kind = 2"), "hash"))
     dictionary = by_block.cogroup(needed.groupBy("slot")).applyInArrow(
-        _dictionary(width, run, slots), "slot int, src int, route array<bigint>, key array<bigint>, doc array<bigint>, size array<bigint>, data binary"
+        _dictionary(width, run, slots), f"slot int, src int, route array<bigint>, key array<bigint>, {packed}, size array<int>, data binary"
     )
-    owned = dictionary.groupBy("slot").applyInArrow(_owners(width), "slot int, hash array<bigint>, lo array<bigint>, hi array<bigint>, owner array<bigint>")
-    final = recurring.unionAll(told(1, settled.where("kind = 1"), "hash", "owner")).unionAll(told(3, owned, "hash", "lo", "hi", "owner"))
+    owned = dictionary.groupBy("slot").applyInArrow(_owners(width), f"slot int, hash array<bigint>, lo array<int>, hi array<int>, {packed}")
+    final = recurring.unionAll(told(1, settled.where("kind = 1"), "hash", "doc", "high", "base")).unionAll(told(3, owned, "hash", "lo", "hi", "doc", "high", "base"))
     return by_block.cogroup(final.groupBy("slot")).applyInArrow(_remove(width, run, slots), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -63,6 +63,17 @@ def test_jaccard_many_near_copies(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in op4.jaccard_components(table, crowd=crowd).collect()} == want
 
 
+@pytest.mark.parametrize("hot", [64, 1])
+def test_suffix_dedup_with_ids_of_any_size(spark, raw_docs, hot):
+    """Ids that need more than 32 bits, and negative ones, keep their order."""
+    rows = [(d * (1 << 44) - (1 << 50), x) for d, x in raw_docs if d is not None]
+    units = [(x or "").encode() for _, x in rows]
+    want = sorted((d, sum(go)) for (d, _), go in zip(rows, repeated(rows, units, 50), strict=True))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = op9.suffix_dedup(table, hot=hot, block_bytes=30_000).select("doc_id", "n_removed")
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_empty_tables(no_docs):
     assert op1.substring_dedup(no_docs).count() == 0
     assert op9.suffix_dedup(no_docs).count() == 0
@@ -91,7 +102,7 @@ def test_suffix_dedup_splits_only_the_hot_trigger_itself():
     for h in (trigger, other):
         h = np.array([h, h], np.uint64)
         slot = int(t.slot_of(h, slots)[0])
-        sent = pa.concat_tables([t.dealt(np.zeros(1, np.int64), src, {"hash": op9._short(h[:1]), "multi": np.ones(1, np.int8)}) for src in (0, 1)])
+        sent = pa.concat_tables([op9._number(t.dealt(np.zeros(1, np.int64), src, {"hash": op9._short(h[:1]), "multi": np.ones(1, np.int8)}), "multi") for src in (0, 1)])
         told.append(op9._answer(1 if h[0] == other else 9)((pa.scalar(slot),), sent))
-    _, _, _, first, last = p.recurring(*op9._hot_of(pa.concat_tables(told)), slots)
+    _, _, _, first, last, _ = p.recurring(*op9._hot_of(pa.concat_tables(told)), slots)
     assert p.last[k] > p.first[k] and last[first == p.first[k]].tolist() == [p.last[k]]
