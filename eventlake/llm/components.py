@@ -13,11 +13,35 @@ from pyspark.sql.types import StructType
 from eventlake.session import scratch_dir
 
 
-def written(df: DataFrame, name: str, compression: str | None = None, schema: StructType | str | None = None) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: its lineage ends there. ``schema``: read it as these columns."""
-    at = scratch_dir(df.sparkSession, name)
-    df.write.parquet(at, compression=compression)
-    return df.sparkSession.read.schema(schema or df.schema).parquet(at)
+#: shuffle files of a job go when it ends, instead of when the driver's JVM happens to collect garbage
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, compression: str | None = None, schema: StructType | str | None = None, free: bool = False) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: its lineage ends there. ``schema``: read it as these columns.
+
+    ``free``: its shuffle files are removed when the table stands.
+    """
+    spark = df.sparkSession
+    at, before = scratch_dir(spark, name), spark.conf.get(_FREE, None)
+    if free:
+        spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(at, compression=compression)
+    finally:
+        if free and before is None:
+            spark.conf.unset(_FREE)
+        elif free:
+            spark.conf.set(_FREE, before)
+    return spark.read.schema(schema or df.schema).parquet(at)
+
+
+def remove(table: DataFrame) -> None:
+    """Delete a table of :func:`written` that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(links: DataFrame) -> DataFrame:

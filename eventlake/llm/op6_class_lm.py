@@ -6,6 +6,8 @@ Method:
 
 1. Word counts over all training documents: each block sends its distinct words
    with their counts to hash slots and is told the totals that differ from its own.
+   Its words, totals and word numbers become one row of a table, which all later
+   steps read: no text is split or shuffled again.
 2. Units: a word seen ``least`` times or more is a unit of its own; rarer ones
    belong to the unit of their count band (powers of two) and last character's kind.
 3. Seed: words with at least ``share`` of all tokens (at most 1 / share of them)
@@ -14,7 +16,7 @@ Method:
    nothing moves or ``sweeps`` are done. Every unit starts in its seed's class, one
    word of ``SPREAD`` in a class of its hash, so that words of a band differ.
 4. Exchange of all units, ``rounds`` times: the blocks send each unit's counts by
-   neighbour class to slots, which sum them and move every other unit (by hash, in turn) to the class
+   neighbour class (a byte or two each) to slots, which sum them and move every other unit (by hash, in turn) to the class
    that gains most against the class bigrams (classes squared, broadcast), all others
    fixed; the table of classes is written and told to the blocks. A round that does
    not raise the mutual information is dropped and ends the exchange.
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import textops as t
 from eventlake.llm.blocks import in_blocks
-from eventlake.llm.components import written
+from eventlake.llm.components import remove, written
 
 SHARE = 5e-4
 CLASSES = 32
@@ -60,52 +62,90 @@ def in_training(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 7 != 2
 
 
-class Tokens:
-    """Token stream of one block: every row's words and its end."""
+def _blobs(values: np.ndarray, offs: np.ndarray) -> pa.Array:
+    """Binary column: of each row the bytes of its values."""
+    return t.strings(np.ascontiguousarray(values).view(np.uint8), np.asarray(offs) * values.itemsize, binary=True)
 
-    def __init__(self, table):
-        self.doc_id = t.ids(table["doc_id"])
-        buf, offs = t.text_bytes(table["text"])
+
+def _values(column, dtype) -> np.ndarray:
+    """All values of a column of :func:`_blobs`."""
+    return np.frombuffer(t.text_bytes(column)[0].tobytes(), dtype)
+
+
+def _sizes(column, dtype) -> np.ndarray:
+    """Number of values in each row of a column of :func:`_blobs`."""
+    return np.diff(t.text_bytes(column)[1]) // np.dtype(dtype).itemsize
+
+
+class Words:
+    """Texts of one block as numbers of its distinct words; every row ends with one end token."""
+
+    def __init__(self, docs):
+        self.doc_id = t.ids(docs["doc_id"])
+        buf, offs = t.text_bytes(docs["text"])
         buf = t.lower_ascii(buf)
         starts, ends, row = t.words(buf, offs)
         n = len(self.doc_id)
-        size = np.bincount(row, minlength=n) + 1
-        self.stop = np.cumsum(size) - 1  # each row's end token
-        self.first = self.stop - size + 1
-        self.size = size
-        self.row = np.repeat(np.arange(n), size)
-        total = int(size.sum())
+        self.size = np.bincount(row, minlength=n) + 1
+        stop = np.cumsum(self.size) - 1
+        total = int(self.size.sum())
         word = np.ones(total, bool)
-        word[self.stop] = False
-        self.hash = np.full(total, END)
-        self.hash[word] = t.span_hash(buf, starts, ends)
+        word[stop] = False
+        token = np.full(total, END)
+        token[word] = t.span_hash(buf, starts, ends)
         last = buf[ends - 1] if len(ends) else np.zeros(0, np.uint8)
-        self.kind = np.zeros(total, np.int64)
+        kind = np.zeros(total, np.uint8)
         stops = (last == 46) | (last == 33) | (last == 63)
-        self.kind[word] = np.where(stops, 1, np.where((last >= 97) & (last <= 122) | (last >= 128), 0, 2))
-        self.training = np.array([in_training(d) for d in self.doc_id.tolist()], bool)[self.row] if n else np.zeros(0, bool)
-
-    def own_counts(self):
-        words, number = np.unique(self.hash, return_inverse=True)
-        return words, number, np.bincount(number[self.training], minlength=len(words)).astype(np.int64)
-
-    def counts(self, told) -> np.ndarray:
-        """Training count of every token."""
-        words, number, count = self.own_counts()
-        h, c = t.longs(told["hash"]), t.longs(told["count"]).view(np.int64)
-        if len(h):
-            count[np.searchsorted(words, h)] = c
-        return count[number]
+        kind[word] = np.where(stops, 1, np.where((last >= 97) & (last <= 122) | (last >= 128), 0, 2))
+        self.hash, first, self.at = np.unique(token, return_index=True, return_inverse=True)
+        self.kind = kind[first]
+        training = np.array([in_training(d) for d in self.doc_id.tolist()], bool)
+        seen = np.repeat(training, self.size) if n else np.zeros(0, bool)
+        self.count = np.bincount(self.at[seen], minlength=len(self.hash)).astype(np.int64)
 
 
 def _ask(slots: int):
     def fn(key, docs):
-        words, _, count = Tokens(docs).own_counts()
-        return t.dealt(t.slot_of(words, slots), key[0].as_py(), {"hash": words, "count": count})
+        w = Words(docs)
+        return t.dealt(t.slot_of(w.hash, slots), key[0].as_py(), {"hash": w.hash, "count": w.count})
 
     return fn
 
 
+#: one row per block: its rows' ids and sizes, its distinct words with totals and kinds, and the words' numbers in a row
+_TOKENS = "slot int, doc_id binary, size binary, hash binary, count binary, kind binary, at binary"
+
+
+def _tokens(docs, told):
+    """Of one block: its texts as word numbers, with the totals of its words."""
+    w = Words(docs) if docs.num_rows else None
+    cols = {"slot": pa.array([docs["block"][0].as_py()] if w else [], pa.int32())}
+    if w and told.num_rows:
+        w.count[np.searchsorted(w.hash, t.longs(told["hash"]))] = t.longs(told["count"]).view(np.int64)
+    for name in ("doc_id", "size", "hash", "count", "kind", "at"):
+        v = getattr(w, name) if w else np.zeros(0, np.int64)
+        if name == "at" and w:
+            v = v.astype(np.uint16 if len(w.hash) <= 1 << 16 else np.uint32)
+        cols[name] = _blobs(v, [0, len(v)] if w else [0])
+    return pa.table(cols)
+
+
+class Tokens:
+    """Token stream of one block: every row's words and its end, from a row of the table of tokens."""
+
+    def __init__(self, table):
+        self.doc_id, self.size = _values(table["doc_id"], np.int64), _values(table["size"], np.int64)
+        n, total = len(self.doc_id), int(self.size.sum())
+        self.stop = np.cumsum(self.size) - 1  # each row's end token
+        self.first = self.stop - self.size + 1
+        self.row = np.repeat(np.arange(n), self.size)
+        words = _values(table["hash"], np.uint64)
+        at = _values(table["at"], np.uint16 if len(words) <= 1 << 16 else np.uint32)
+        self.hash = words[at]
+        self.count, self.kind = _values(table["count"], np.int64)[at], _values(table["kind"], np.uint8)[at].astype(np.int64)
+        self.training = np.array([in_training(d) for d in self.doc_id.tolist()], bool)[self.row] if total else np.zeros(0, bool)
+
+
 def _totals(share: float):
     """Of one slot: totals to the blocks that have others; for all (slot -1): tokens, words, and those that may be frequent."""
 
@@ -150,12 +190,9 @@ def _bigrams(frequent: np.ndarray, slots: int):
     """Of one block: counts of (previous unit, unit) over its training documents; a text starts after a start mark."""
     n_units = len(frequent) + BANDS * KINDS + 1
 
-    def fn(docs, told):
-        if docs.num_rows == 0:
-            z = np.zeros(0, np.int64)
-            return t.dealt(z, 0, {"pair": z, "count": z})
+    def fn(docs):
         x = Tokens(docs)
-        unit = _units(x, x.counts(told), frequent)
+        unit = _units(x, x.count, frequent)
         before = np.empty_like(unit)
         before[1:] = unit[:-1]
         before[x.first] = n_units
@@ -289,25 +326,27 @@ def moved(to: np.ndarray, frm: np.ndarray, own: np.ndarray, start: np.ndarray, o
     return np.where(gain[u, new] > gain[u, old] + 1e-9, new, old)
 
 
-def _told(told, kind: int):
-    return told.filter(pa.array(t.ids(told["kind"]) == kind))
-
-
 class Classed:
-    """Tokens of one block with their units and the units' classes."""
+    """Tokens of one block with their units and the units' classes; ``told``: classes by the slots, or None at first.
+
+    ``order``: the units by slot, as they are sent and answered.
+    """
 
-    def __init__(self, docs, told, seed: ClassModel, least: int):
+    def __init__(self, docs, told, seed: ClassModel, least: int, slots: int):
         self.x = x = Tokens(docs)
-        self.count = x.counts(_told(told, 0))
+        self.count = x.count
         band = np.minimum(np.floor(np.log2(np.maximum(self.count, 1))).astype(np.int64), BANDS - 1) * KINDS + x.kind
         self.rare = self.count < least
         self.rare[x.stop] = False
         self.band = band
         self.units, self.at = np.unique(np.where(self.rare, RARE[band], x.hash), return_inverse=True)
         self.cls = np.zeros(len(self.units), np.int64)
-        known = _told(told, 1)
-        if known.num_rows:
-            self.cls[np.searchsorted(self.units, t.longs(known["hash"]))] = t.longs(known["count"]).view(np.int64)
+        slot = t.slot_of(self.units, slots)
+        self.order = np.argsort(slot, kind="stable")
+        self.slot = slot[self.order]
+        if told is not None:
+            by = np.argsort(t.ids(told["origin"]), kind="stable")
+            self.cls[self.order] = _values(told["cls"].combine_chunks().take(pa.array(by)), _small(seed.classes))
         else:
             self.cls[self.at] = seed.cls[_units(x, self.count, seed.frequent)]
             # some words that only their band speaks for are spread, or all of a band would look alike to their neighbours
@@ -326,16 +365,45 @@ class Classed:
         return out
 
 
+def _small(values: int):
+    """Least type for so many values."""
+    return np.uint8 if values <= 1 << 8 else np.uint16 if values <= 1 << 16 else np.uint32
+
+
+#: number of digits (of 8 bits) that have codes of their own; a longer count repeats the highest
+DIGITS = 3
+_CONTEXTS = "slot int, src int, hash binary, cls binary, size binary, code binary, n binary"
+
+
+def _digits(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in n, digit, value of 1..255) of numbers as sums of value << 8 * digit."""
+    place, digit, value = [], [], []
+    for d in range(DIGITS - 1):
+        v = n >> 8 * d & 255
+        at = np.flatnonzero(v)
+        place.append(at), digit.append(np.full(len(at), d)), value.append(v[at])
+    rest = n >> 8 * (DIGITS - 1)
+    times = -(-rest // 255)
+    at = np.repeat(np.arange(len(n)), times)
+    last = np.cumsum(times)[times > 0] - 1
+    v = np.full(len(at), 255)
+    v[last] = (rest - 255 * (times - 1))[times > 0]
+    place.append(at), digit.append(np.full(len(at), DIGITS - 1)), value.append(v)
+    return np.concatenate(place), np.concatenate(digit), np.concatenate(value)
+
+
 def _contexts(sent, least: int, slots: int):
     """Of one block: its units, their classes and their counts by neighbour class, to the slots."""
 
     def fn(docs, told):
-        z = np.zeros(0, np.int64)
         if docs.num_rows == 0:
-            return t.dealt(z, 0, {"hash": z, "what": z})
+            z = np.zeros(0, np.uint8)
+            return pa.table({"slot": pa.array([], pa.int32()), "src": pa.array([], pa.int32())} | {k: _blobs(z, [0]) for k in ("hash", "cls", "size", "code", "n")})
         seed: ClassModel = sent.value
-        b, c = Classed(docs, told, seed, least), seed.classes
-        kinds = 2 * c + 3
+        b, c = Classed(docs, told, seed, least, slots), seed.classes
+        kinds = 2 * c + 2
+        rank = np.empty(len(b.units), np.int64)
+        rank[b.order] = np.arange(len(b.units))
         later = b.x.training.copy()
         later[b.x.first] = False
         later = np.flatnonzero(later)
@@ -343,79 +411,107 @@ def _contexts(sent, least: int, slots: int):
         same = i == j
         begin = b.at[b.x.first[b.x.training[b.x.first]]]
         p, q = i[~same], j[~same]
-        entry = np.concatenate([p * kinds + b.cls[q], q * kinds + c + b.cls[p], begin * kinds + 2 * c, i[same] * kinds + 2 * c + 1, np.arange(len(b.units)) * kinds + 2 * c + 2])
+        entry = np.concatenate([rank[p] * kinds + b.cls[q], rank[q] * kinds + c + b.cls[p], rank[begin] * kinds + 2 * c, rank[i[same]] * kinds + 2 * c + 1])
         entry, n = np.unique(entry, return_counts=True)
-        unit = entry // kinds
-        return t.dealt(t.slot_of(b.units[unit], slots), docs["block"][0].as_py(), {"hash": b.units[unit], "what": n << 32 | b.cls[unit] << 16 | entry % kinds})
+        place, digit, value = _digits(n)
+        unit, code = entry[place] // kinds, entry[place] % kinds + kinds * digit
+        by = np.argsort(unit, kind="stable")
+        size = np.bincount(unit, minlength=len(b.units))
+        at = t.group_starts(b.slot)
+        offs = np.concatenate([at, [len(b.units)]])
+        inner = np.concatenate([[0], np.cumsum(size)])[offs]
+        return pa.table({
+            "slot": pa.array(b.slot[at].astype(np.int32)),
+            "src": pa.array(np.full(len(at), docs["slot"][0].as_py(), np.int32)),
+            "hash": _blobs(b.units[b.order], offs),
+            "cls": _blobs(b.cls[b.order].astype(_small(c)), offs),
+            "size": _blobs(size.astype(np.uint32), offs),
+            "code": _blobs(code[by].astype(_small(kinds * DIGITS)), inner),
+            "n": _blobs(value[by].astype(np.uint8), inner),
+        })
 
     return fn
 
 
-_SUMS = "slot int, hash array<bigint>, cls array<bigint>, entry array<bigint>, n array<bigint>, src array<bigint>, at array<bigint>, g array<bigint>"
+_SUMS = "slot int, hash binary, cls binary, entry array<int>, n array<bigint>, src array<int>, asked array<int>, at array<int>, g array<bigint>"
 
 
 def _sum_contexts(classes: int):
-    """Of one slot: its units' classes and counts by neighbour class, the blocks that have them, and its part of the class bigrams."""
-    kinds = 2 * classes + 3
+    """Of one slot: its units' classes and counts by neighbour class (entries as steps), the blocks that have them, and its part of the class bigrams."""
+    kinds = 2 * classes + 2
 
     def fn(key, table):
-        h, what = t.longs(table["hash"]), t.longs(table["what"]).view(np.int64)
-        src = np.repeat(t.ids(table["src"]), t.lengths(table["hash"]))
-        units, at = np.unique(h, return_inverse=True)
-        code, n = what & 0xFFFF, what >> 32
+        units, at = np.unique(_values(table["hash"], np.uint64), return_inverse=True)
+        code, n = _values(table["code"], _small(kinds * DIGITS)).astype(np.int64), _values(table["n"], np.uint8).astype(np.int64)
+        n <<= 8 * (code // kinds)
         cls = np.zeros(len(units), np.int64)
-        cls[at] = what >> 16 & 0xFFFF
-        asks = code == kinds - 1
-        entry, number = np.unique(at[~asks] * kinds + code[~asks], return_inverse=True)
-        n = np.bincount(number, n[~asks], len(entry)).astype(np.int64)
+        cls[at] = _values(table["cls"], _small(classes))
+        entry, number = np.unique(np.repeat(at, _values(table["size"], np.uint32)) * kinds + code % kinds, return_inverse=True)
+        n = np.bincount(number, n, len(entry)).astype(np.int64)
         c, code = cls[entry // kinds], entry % kinds
         g = np.zeros((classes + 1, classes), np.int64)
         after, begin, same = code < classes, code == 2 * classes, code == 2 * classes + 1
         np.add.at(g, (c[after], code[after]), n[after])
         np.add.at(g[classes], c[begin], n[begin])
         np.add.at(g, (c[same], c[same]), n[same])
-        one = lambda v: pa.array([v], pa.list_(pa.int64()))
+        one = lambda v, kind=pa.int32(): pa.array([v], pa.list_(kind))
         return pa.table({
-            "slot": pa.array([key[0].as_py()], pa.int32()), "hash": one(units.view(np.int64)), "cls": one(cls), "entry": one(entry), "n": one(n),
-            "src": one(src[asks]), "at": one(at[asks]), "g": one(g.ravel()),
+            "slot": pa.array([key[0].as_py()], pa.int32()),
+            "hash": _blobs(units, [0, len(units)]), "cls": _blobs(cls.astype(_small(classes)), [0, len(units)]),
+            "entry": one(np.diff(entry, prepend=0)), "n": one(n, pa.int64()),
+            "src": one(t.ids(table["src"])), "asked": one(_sizes(table["hash"], np.uint64)), "at": one(at), "g": one(g.ravel(), pa.int64()),
         })
 
     return fn
 
 
+#: to each block the classes of the units it sent, in its order; rare: classes of the bands (hash), in rows without a block
+_CHOSEN = "slot int, origin int, cls binary, hash array<bigint>, rare array<int>"
+
+
 def _choose(sent, classes: int, turn: int):
     """Of the slots' sums: to each block the new classes of its units."""
-    kinds = 2 * classes + 3
+    kinds = 2 * classes + 2
 
     def fn(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 part = lambda name: batch.column(name)[k].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                units, old, entry = part("hash"), part("cls"), part("entry")
-                m = np.zeros((len(units), kinds))
-                m.ravel()[entry] = part("n")
+                units, old = np.frombuffer(batch.column("hash")[k].as_py(), np.uint64), np.frombuffer(batch.column("cls")[k].as_py(), _small(classes)).astype(np.int64)
+                entry = np.cumsum(part("entry"), dtype=np.int64)
+                n = part("n")
                 new = np.empty_like(old)
-                for a in range(0, len(units), 20_000):
-                    x = m[a : a + 20_000]
-                    new[a : a + 20_000] = moved(x[:, :classes], x[:, classes : 2 * classes], x[:, 2 * classes + 1], x[:, 2 * classes], old[a : a + 20_000], sent.value)
+                step = 20_000
+                for a in range(0, len(units), step):
+                    lo, hi = np.searchsorted(entry, [a * kinds, (a + step) * kinds])
+                    x = np.zeros((min(step, len(units) - a), kinds))
+                    x.ravel()[entry[lo:hi] - a * kinds] = n[lo:hi]
+                    new[a : a + step] = moved(x[:, :classes], x[:, classes : 2 * classes], x[:, 2 * classes + 1], x[:, 2 * classes], old[a : a + step], sent.value)
                 # neighbours that move at once would miss each other
-                wait = (t.mix(units.view(np.uint64)) >> np.uint64(40)) % np.uint64(PARTS) != turn % PARTS
+                wait = (t.mix(units) >> np.uint64(40)) % np.uint64(PARTS) != turn % PARTS
                 new[wait] = old[wait]
-                at = part("at")
-                for out in t.dealt(part("src"), 0, {"hash": units[at], "count": new[at]}).drop(["src"]).to_batches():
-                    yield out
+                src, asked = part("src"), part("asked")
+                band = np.isin(units, RARE)
+                rows = len(src)
+                yield pa.RecordBatch.from_pydict({
+                    "slot": pa.array(np.append(src, -1).astype(np.int32)),
+                    "origin": pa.array(np.full(rows + 1, batch.column("slot")[k].as_py(), np.int32)),
+                    "cls": _blobs(new[part("at")].astype(_small(classes)), np.concatenate([[0], np.cumsum(asked), [asked.sum()]])),
+                    "hash": pa.array([[]] * rows + [units[band].view(np.int64)], pa.list_(pa.int64())),
+                    "rare": pa.array([[]] * rows + [new[band]], pa.list_(pa.int32())),
+                })
 
     return fn
 
 
-def _class_bigrams(sent, least: int):
+def _class_bigrams(sent, least: int, slots: int):
     """Of one block: its part of the class bigrams."""
 
     def fn(docs, told):
         if docs.num_rows == 0:
             return pa.table({"pos": pa.array([], pa.int64()), "col": pa.array([], pa.int64())})
         seed: ClassModel = sent.value
-        b = Classed(docs, told, seed, least)
+        b = Classed(docs, told, seed, least, slots)
         pos, n = np.unique((b.before(seed.classes) * seed.classes + b.cls[b.at])[b.x.training], return_counts=True)
         return pa.table({"pos": pa.array(pos.astype(np.int64)), "col": pa.array(n.astype(np.int64))})
 
@@ -463,11 +559,11 @@ class WordModel:
         return p + np.where(once, self.band[b.band] + alone, seen)
 
 
-def _score(model, least: int):
+def _score(model, least: int, slots: int):
     def fn(docs, told):
         net: WordModel = model.value
         seed = net.seed
-        b = Classed(docs, told, seed, least)
+        b = Classed(docs, told, seed, least, slots)
         x, count = b.x, b.count
         n = len(x.doc_id)
         by_row = lambda v: np.bincount(x.row, v, n)
@@ -493,15 +589,18 @@ def class_lm_scores(
     blocks, _, slots = in_blocks(docs, block_bytes)
     schema = "slot int, hash array<bigint>, count array<bigint>, tokens long, words long"
     asked = blocks.groupBy("block").applyInArrow(_ask(slots), "slot int, src int, hash array<bigint>, count array<bigint>")
-    totals = written(asked.groupBy("slot").applyInArrow(_totals(share), schema), "lm-counts")
+    totals = written(asked.groupBy("slot").applyInArrow(_totals(share), schema), "lm-counts", "zstd", free=True)
     summary = totals.where("slot = -1")
     tokens, words = summary.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     often = summary.select(F.explode(F.arrays_zip("hash", "count")).alias("w")).where(F.col("w.count") >= share * tokens).select("w.hash")
     # at most 1 / share words
     frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-    counts = totals.where("slot >= 0").select("slot", F.lit(0).alias("kind"), "hash", "count")
+    counts = totals.where("slot >= 0").select("slot", "hash", "count")
+    tokenised = blocks.groupBy("block").cogroup(counts.groupBy("slot")).applyInArrow(_tokens, _TOKENS)
+    table = written(tokenised, "lm-tokens", "zstd", free=True)
+    remove(totals)
     n_units = len(frequent) + BANDS * KINDS + 1
-    pairs = blocks.groupBy("block").cogroup(counts.groupBy("slot")).applyInArrow(_bigrams(frequent, slots), "slot int, src int, pair array<bigint>, count array<bigint>")
+    pairs = table.groupBy("slot").applyInArrow(_bigrams(frequent, slots), "slot int, src int, pair array<bigint>, count array<bigint>")
     # at most the square of the number of units
     counted = pairs.groupBy("slot").applyInArrow(_sum_pairs, "pair long, count long").toArrow()
     m = np.zeros((n_units + 1) * n_units, np.int64)
@@ -510,31 +609,47 @@ def class_lm_scores(
 
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(seed)
-    with_blocks = lambda told: blocks.groupBy("block").cogroup(told.groupBy("slot"))
-    told, chosen, g, best = counts, None, np.zeros((classes + 1, classes)), -np.inf
+
+    def of_blocks(fn, chosen, schema):
+        """fn of every block and what it was told."""
+        if chosen is None:
+            return table.groupBy("slot").applyInArrow(lambda docs: fn(docs, None), schema)
+        told = chosen.where("slot >= 0").select("slot", "origin", "cls")
+        return table.groupBy("slot").cogroup(told.groupBy("slot")).applyInArrow(fn, schema)
+
+    kept, chosen, g, best = None, None, np.zeros((classes + 1, classes)), -np.inf
     rounds = rounds if tokens else 0
     for turn in range(rounds + 1):
-        new = counts if chosen is None else counts.unionAll(chosen.select("slot", F.lit(1), "hash", "count"))
+        sums = None
         if turn < rounds:
-            sums = with_blocks(new).applyInArrow(_contexts(sent, least, slots), "slot int, src int, hash array<bigint>, what array<bigint>")
-            sums = written(sums.groupBy("slot").applyInArrow(_sum_contexts(classes), _SUMS), "lm-contexts")
+            sums = of_blocks(_contexts(sent, least, slots), chosen, _CONTEXTS)
+            sums = written(sums.groupBy("slot").applyInArrow(_sum_contexts(classes), _SUMS), "lm-contexts", "zstd", free=True)
             parts = sums.select(F.posexplode("g").alias("pos", "col"))
         else:
-            parts = with_blocks(new).applyInArrow(_class_bigrams(sent, least), "pos long, col long")
+            parts = of_blocks(_class_bigrams(sent, least, slots), chosen, "pos long, col long")
         now = _matrix(parts, classes)
-        if turn and mutual(now) <= best:
+        better = not turn or mutual(now) > best
+        if better:
+            if kept is not None:
+                remove(kept)
+            kept, g, best = chosen, now, mutual(now)
+            if turn < rounds:
+                chosen = written(sums.mapInArrow(_choose(spark.sparkContext.broadcast(g), classes, turn), _CHOSEN), "lm-classes", "zstd")
+        else:
+            remove(chosen)
+        if sums is not None:
+            remove(sums)
+        if not better:
             break
-        told, kept, g, best = new, chosen, now, mutual(now)
-        if turn < rounds:
-            chosen = written(sums.mapInArrow(_choose(spark.sparkContext.broadcast(g), classes, turn), "slot int, hash array<bigint>, count array<bigint>"), "lm-classes")
 
     rare = {}
     if kept is not None:
         units = RARE[: int(np.log2(least)) * KINDS].view(np.int64).tolist()
-        rare = {r.hash: r.count_ for r in kept.select(F.explode(F.arrays_zip("hash", "count")).alias("w")).select("w.hash", F.col("w.count").alias("count_")).where(F.col("hash").isin(units)).distinct().collect()}
+        bands = kept.where("slot = -1").select(F.explode(F.arrays_zip("hash", "rare")).alias("w")).select("w.hash", "w.rare")
+        rare = {r.hash: r.rare for r in bands.where(F.col("hash").isin(units)).collect()}
     model = spark.sparkContext.broadcast(WordModel(seed, g, rare, beta))
-    out = with_blocks(told).applyInArrow(
-        _score(model, least), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    out = of_blocks(
+        _score(model, least, slots), kept, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 

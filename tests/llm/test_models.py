@@ -3,6 +3,8 @@ from __future__ import annotations
 import collections
 import math
 
+import numpy as np
+import pytest
 from brute import SF_SMALL, crc, low, words
 from pyspark.sql import functions as F
 
@@ -152,6 +154,22 @@ def test_class_lm_moves_one_unit_by_its_exact_gain():
         assert math.isclose(value[new[w]], max(value), rel_tol=1e-12)
 
 
+def test_class_lm_counts_as_digits():
+    n = np.array([0, 1, 255, 256, 300, 65_535, 1 << 16, (1 << 24) + 5, (1 << 31) - 1])
+    place, digit, value = op6._digits(n)
+    assert value.min() > 0 and value.max() <= 255 and digit.max() < op6.DIGITS
+    assert np.bincount(place, value << 8 * digit, len(n)).astype(int).tolist() == n.tolist()
+
+
+def test_class_lm_does_not_depend_on_blocks(docs):
+    """Words, classes and scores are of the corpus, however it is dealt to blocks."""
+    one, many = ({r.doc_id: r for r in op6.class_lm_scores(docs, share=0.01, classes=300, block_bytes=b).collect()} for b in (1 << 21, 20_000))
+    assert one.keys() == many.keys()
+    for d, r in one.items():
+        assert (r.n_known, r.train_tokens, r.base_score) == pytest.approx((many[d].n_known, many[d].train_tokens, many[d].base_score))
+        assert r.score == pytest.approx(many[d].score)
+
+
 def test_class_lm_learns_the_neighbours_of_rarer_words(spark):
     """Nouns and verbs of one count band, one ending and a share far below ``share``."""
     import random
