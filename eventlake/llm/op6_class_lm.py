@@ -5,9 +5,10 @@ P(token | class). Tokens are the words of a text (A-Z lowered) and one end.
 Method:
 
 1. Word counts over all training documents: each block sends its distinct words
-   with their counts to hash slots and is told the totals that differ from its own.
-   Its words, totals and word numbers become one row of a table, which all later
-   steps read: no text is split or shuffled again.
+   with their counts to hash slots and is told the totals in the order sent. Its
+   words, totals and word numbers become one row of a table, which all later steps
+   read: no text is split or shuffled again. Words of one count below ``least`` and
+   one kind are one word there, as nothing tells them apart any more.
 2. Units: a word seen ``least`` times or more is a unit of its own; rarer ones
    belong to the unit of their count band (powers of two) and last character's kind.
 3. Seed: words with at least ``share`` of all tokens (at most 1 / share of them)
@@ -116,18 +117,27 @@ def _ask(slots: int):
 _TOKENS = "slot int, doc_id binary, size binary, hash binary, count binary, kind binary, at binary"
 
 
-def _tokens(docs, told):
-    """Of one block: its texts as word numbers, with the totals of its words."""
-    w = Words(docs) if docs.num_rows else None
-    cols = {"slot": pa.array([docs["block"][0].as_py()] if w else [], pa.int32())}
-    if w and told.num_rows:
-        w.count[np.searchsorted(w.hash, t.longs(told["hash"]))] = t.longs(told["count"]).view(np.int64)
-    for name in ("doc_id", "size", "hash", "count", "kind", "at"):
-        v = getattr(w, name) if w else np.zeros(0, np.int64)
-        if name == "at" and w:
-            v = v.astype(np.uint16 if len(w.hash) <= 1 << 16 else np.uint32)
-        cols[name] = _blobs(v, [0, len(v)] if w else [0])
-    return pa.table(cols)
+def _tokens(frequent: np.ndarray, least: int, slots: int):
+    """Of one block: its texts as word numbers, with the totals of its words; frequent is sorted."""
+
+    def fn(docs, told):
+        w = Words(docs) if docs.num_rows else None
+        if w:
+            order = np.argsort(t.slot_of(w.hash, slots), kind="stable")
+            w.count[order] = t.longs(told.take(pa.array(np.argsort(t.ids(told["origin"]), kind="stable")))["count"]).view(np.int64)
+            alike = (w.count < least) & (w.hash != END) & ~t.has(frequent, w.hash)
+            w.hash[alike] = t.mix((w.count * KINDS + w.kind)[alike].astype(np.uint64) + np.uint64(1 << 32))
+            w.hash, first, number = np.unique(w.hash, return_index=True, return_inverse=True)
+            w.count, w.kind, w.at = w.count[first], w.kind[first], number[w.at]
+        cols = {"slot": pa.array([docs["block"][0].as_py()] if w else [], pa.int32())}
+        for name in ("doc_id", "size", "hash", "count", "kind", "at"):
+            v = getattr(w, name) if w else np.zeros(0, np.int64)
+            if name == "at" and w:
+                v = v.astype(np.uint16 if len(w.hash) <= 1 << 16 else np.uint32)
+            cols[name] = _blobs(v, [0, len(v)] if w else [0])
+        return pa.table(cols)
+
+    return fn
 
 
 class Tokens:
@@ -147,28 +157,21 @@ class Tokens:
 
 
 def _totals(share: float):
-    """Of one slot: totals to the blocks that have others; for all (slot -1): tokens, words, and those that may be frequent."""
-
-    def fn(table):
-        h, c = t.longs(table["hash"]), t.longs(table["count"]).view(np.int64)
-        src = np.repeat(t.ids(table["src"]), t.lengths(table["hash"]))
-        order = np.argsort(h)
-        h, c, src = h[order], c[order], src[order]
-        g = t.group_starts(h)
-        total = np.add.reduceat(c, g) if len(g) else c
-        each = np.repeat(total, np.diff(np.concatenate([g, [len(h)]])))
-        tell = each != c
-        out = t.dealt(src[tell], 0, {"hash": h[tell], "count": each[tell]}).drop(["src"])
-        out = out.append_column("tokens", pa.array(np.zeros(out.num_rows, np.int64))).append_column("words", pa.array(np.zeros(out.num_rows, np.int64)))
+    """Of one slot: to each block the totals of the words it sent, in its order; for all (slot -1): tokens, words, and those that may be frequent."""
+
+    def fn(key, table):
+        words, at = np.unique(t.longs(table["hash"]), return_inverse=True)
+        total = np.bincount(at, t.longs(table["count"]).view(np.int64), len(words)).astype(np.int64)
+        rows, offs = table.num_rows, np.concatenate([[0], np.cumsum(t.lengths(table["hash"]))])
         often = total >= max(1, share * total.sum())
-        summary = pa.table({
-            "slot": pa.array([-1], pa.int32()),
-            "hash": pa.array([h[g][often].view(np.int64)], pa.list_(pa.int64())),
-            "count": pa.array([total[often]], pa.list_(pa.int64())),
-            "tokens": pa.array([int(total.sum())]),
-            "words": pa.array([int((total > 0).sum())]),
+        return pa.table({
+            "slot": pa.array(np.append(t.ids(table["src"]), -1).astype(np.int32)),
+            "origin": pa.array(np.full(rows + 1, key[0].as_py(), np.int32)),
+            "hash": pa.array([[]] * rows + [words[often].view(np.int64)], pa.list_(pa.int64())),
+            "count": pa.ListArray.from_arrays(pa.array(np.append(offs, offs[-1] + often.sum()).astype(np.int32)), pa.array(np.concatenate([total[at], total[often]]))),
+            "tokens": pa.array(np.append(np.zeros(rows, np.int64), total.sum())),
+            "words": pa.array(np.append(np.zeros(rows, np.int64), (total > 0).sum())),
         })
-        return pa.concat_tables([out.cast(summary.schema), summary])
 
     return fn
 
@@ -587,7 +590,7 @@ def class_lm_scores(
 ) -> DataFrame:
     """Scores of every row of ``docs`` (doc_id, text), and its perplexity."""
     blocks, _, slots = in_blocks(docs, block_bytes)
-    schema = "slot int, hash array<bigint>, count array<bigint>, tokens long, words long"
+    schema = "slot int, origin int, hash array<bigint>, count array<bigint>, tokens long, words long"
     asked = blocks.groupBy("block").applyInArrow(_ask(slots), "slot int, src int, hash array<bigint>, count array<bigint>")
     totals = written(asked.groupBy("slot").applyInArrow(_totals(share), schema), "lm-counts", "zstd", free=True)
     summary = totals.where("slot = -1")
@@ -595,8 +598,8 @@ def class_lm_scores(
     often = summary.select(F.explode(F.arrays_zip("hash", "count")).alias("w")).where(F.col("w.count") >= share * tokens).select("w.hash")
     # at most 1 / share words
     frequent = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-    counts = totals.where("slot >= 0").select("slot", "hash", "count")
-    tokenised = blocks.groupBy("block").cogroup(counts.groupBy("slot")).applyInArrow(_tokens, _TOKENS)
+    counts = totals.where("slot >= 0").select("slot", "origin", "count")
+    tokenised = blocks.groupBy("block").cogroup(counts.groupBy("slot")).applyInArrow(_tokens(frequent, least, slots), _TOKENS)
     table = written(tokenised, "lm-tokens", "zstd", free=True)
     remove(totals)
     n_units = len(frequent) + BANDS * KINDS + 1
