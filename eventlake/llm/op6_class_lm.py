@@ -132,7 +132,9 @@ def _tokens(frequent: np.ndarray, least: int, slots: int):
         cols = {"slot": pa.array([docs["block"][0].as_py()] if w else [], pa.int32())}
         for name in ("doc_id", "size", "hash", "count", "kind", "at"):
             v = getattr(w, name) if w else np.zeros(0, np.int64)
-            if name == "at" and w:
+            if name == "count" and v.max(initial=0) < 1 << 32:
+                v = v.astype(np.uint32)
+            elif name == "at" and w:
                 v = v.astype(np.uint16 if len(w.hash) <= 1 << 16 else np.uint32)
             cols[name] = _blobs(v, [0, len(v)] if w else [0])
         return pa.table(cols)
@@ -152,7 +154,9 @@ class Tokens:
         words = _values(table["hash"], np.uint64)
         at = _values(table["at"], np.uint16 if len(words) <= 1 << 16 else np.uint32)
         self.hash = words[at]
-        self.count, self.kind = _values(table["count"], np.int64)[at], _values(table["kind"], np.uint8)[at].astype(np.int64)
+        count = t.text_bytes(table["count"])[0].tobytes()
+        self.count = np.frombuffer(count, np.int64 if len(count) == 8 * len(words) else np.uint32)[at].astype(np.int64)
+        self.kind = _values(table["kind"], np.uint8)[at].astype(np.int64)
         self.training = np.array([in_training(d) for d in self.doc_id.tolist()], bool)[self.row] if total else np.zeros(0, bool)
 
 
@@ -605,7 +609,9 @@ def class_lm_scores(
     n_units = len(frequent) + BANDS * KINDS + 1
     pairs = table.groupBy("slot").applyInArrow(_bigrams(frequent, slots), "slot int, src int, pair array<bigint>, count array<bigint>")
     # at most the square of the number of units
-    counted = pairs.groupBy("slot").applyInArrow(_sum_pairs, "pair long, count long").toArrow()
+    summed = written(pairs.groupBy("slot").applyInArrow(_sum_pairs, "pair long, count long"), "lm-pairs", "zstd", free=True)
+    counted = summed.toArrow()
+    remove(summed)
     m = np.zeros((n_units + 1) * n_units, np.int64)
     m[counted["pair"].to_numpy()] = counted["count"].to_numpy()
     seed = ClassModel(m.reshape(n_units + 1, n_units), frequent, int(tokens), int(words), classes, sweeps, beta)
@@ -629,8 +635,10 @@ def class_lm_scores(
             sums = written(sums.groupBy("slot").applyInArrow(_sum_contexts(classes), _SUMS), "lm-contexts", "zstd", free=True)
             parts = sums.select(F.posexplode("g").alias("pos", "col"))
         else:
-            parts = of_blocks(_class_bigrams(sent, least, slots), chosen, "pos long, col long")
+            parts = written(of_blocks(_class_bigrams(sent, least, slots), chosen, "pos long, col long"), "lm-bigrams", "zstd", free=True)
         now = _matrix(parts, classes)
+        if sums is None:
+            remove(parts)
         better = not turn or mutual(now) > best
         if better:
             if kept is not None:
