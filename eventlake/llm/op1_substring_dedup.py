@@ -39,6 +39,7 @@ class Windows:
     """Words and windows of one block."""
 
     def __init__(self, table: pa.Table, width: int, run: int):
+        t.release()
         self.doc_id = t.ids(table["doc_id"])
         self.buf, offs = t.text_bytes(table["text"])
         self.starts, self.ends, self.row = t.words(self.buf, offs)
@@ -96,6 +97,7 @@ def _ask_schema_empty() -> pa.Table:
 
 def _first_owner(table):
     """Of one slot: to each block, the windows that a document with a smaller id elsewhere has."""
+    t.release()
     h1, h2, doc = t.longs(table["h1"]), t.longs(table["h2"]), t.longs(table["doc"]).view(np.int64)
     src = np.repeat(t.ids(table["src"]), t.lengths(table["h1"]))
     order = np.lexsort((h2, h1))

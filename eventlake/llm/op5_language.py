@@ -163,6 +163,7 @@ def predict(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
     def fn(batches):
         net = sent.value
         for batch in batches:
+            t.release()
             buf, offs = t.text_bytes(batch.column("text"))
             letter = _has_letter(batch.column("text"))
             for a, b in t.pieces(offs, 1 << 20):

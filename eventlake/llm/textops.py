@@ -23,6 +23,8 @@ _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 BASES = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
 _GRAM = (U64(0x100000001B3), U64(0x5851F42D4C957F2D))
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: spans hashed at a time: what a worker holds for it does not grow with the block
+_SPANS = 1 << 15
 
 
 def release() -> None:
@@ -93,7 +95,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(which)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 18)
         base = int(BASES[which])
         inverse = U64(pow(base, -1, 1 << 64))
         up, down = np.full(size, BASES[which]), np.full(size, inverse)
@@ -105,11 +107,17 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit hash of each byte span; equal spans have equal hashes."""
-    up, down = _powers(which, len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + U64(1)) * up[: len(buf)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of each byte span, wherever it stands; equal spans have equal hashes."""
+    out = np.empty(len(starts), np.uint64)
+    for a in range(0, len(starts), _SPANS):
+        first, last = starts[a : a + _SPANS], ends[a : a + _SPANS]
+        low, high = int(first.min()), int(last.max())
+        first, last = first - low, last - low
+        up, down = _powers(which, high - low + 1)
+        total = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((buf[low:high].astype(np.uint64) + U64(1)) * up[: high - low], out=total[1:])
+        out[a : a + _SPANS] = mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
+    return out
 
 
 def gram_hash(word_hash: np.ndarray, k: int, which: int = 0) -> np.ndarray:

@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 from brute import jaccard_components, repeated, words
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from eventlake.llm import op1_substring_dedup as op1
 from eventlake.llm import op4_jaccard_join as op4
 from eventlake.llm import op9_suffix_dedup as op9
+from eventlake.llm import textops as t
 from eventlake.llm.components import components
 
 
@@ -106,3 +109,18 @@ def test_suffix_dedup_splits_only_the_hot_trigger_itself():
         told.append(op9._answer(1 if h[0] == other else 9)((pa.scalar(slot),), sent))
     _, _, _, first, last, _ = p.recurring(*op9._hot_of(pa.concat_tables(told)), slots)
     assert p.last[k] > p.first[k] and last[first == p.first[k]].tolist() == [p.last[k]]
+
+
+def test_hashing_spans_holds_no_copies_of_the_whole_block():
+    buf = np.random.default_rng(3).integers(97, 123, 8 << 20, dtype=np.uint8)
+    buf[::7] = 32
+    starts, ends, _ = t.words(buf, np.array([0, len(buf)]))
+    t.span_hash(buf[:100], starts[:10], ends[:10])
+    tracemalloc.start()
+    got = t.span_hash(buf, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(starts) + (24 << 20)
+    at = [0, 1, t._SPANS - 1, t._SPANS, len(starts) - 1]
+    alone = [t.span_hash(buf[a:b], np.array([0]), np.array([b - a]))[0] for a, b in zip(starts[at], ends[at], strict=True)]
+    assert got[at].tolist() == [int(x) for x in alone]
