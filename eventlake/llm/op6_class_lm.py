@@ -153,10 +153,11 @@ class Tokens:
         self.row = np.repeat(np.arange(n), self.size)
         words = _values(table["hash"], np.uint64)
         at = _values(table["at"], np.uint16 if len(words) <= 1 << 16 else np.uint32)
-        self.hash = words[at]
         count = t.text_bytes(table["count"])[0].tobytes()
-        self.count = np.frombuffer(count, np.int64 if len(count) == 8 * len(words) else np.uint32)[at].astype(np.int64)
-        self.kind = _values(table["kind"], np.uint8)[at].astype(np.int64)
+        self.words, self.at = words, at
+        self.word_count = np.frombuffer(count, np.int64 if len(count) == 8 * len(words) else np.uint32).astype(np.int64)
+        self.word_kind = _values(table["kind"], np.uint8).astype(np.int64)
+        self.count = self.word_count[at]
         self.training = np.array([in_training(d) for d in self.doc_id.tolist()], bool)[self.row] if total else np.zeros(0, bool)
 
 
@@ -180,17 +181,21 @@ def _totals(share: float):
     return fn
 
 
-def _units(tokens: Tokens, count: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def _bands(tokens: Tokens) -> np.ndarray:
+    """Band of every distinct word by its count and kind."""
+    return np.minimum(np.floor(np.log2(np.maximum(tokens.word_count, 1))).astype(np.int64), BANDS - 1) * KINDS + tokens.word_kind
+
+
+def _units(tokens: Tokens, frequent: np.ndarray) -> np.ndarray:
     """Unit of every token; frequent is sorted."""
     f = len(frequent)
-    band = np.minimum(np.floor(np.log2(np.maximum(count, 1))).astype(np.int64), BANDS - 1)
-    unit = f + band * KINDS + tokens.kind
-    unit[tokens.stop] = f + BANDS * KINDS
+    unit = f + _bands(tokens)
+    unit[tokens.words == END] = f + BANDS * KINDS
     if f:
-        at = np.minimum(np.searchsorted(frequent, tokens.hash), f - 1)
-        known = (frequent[at] == tokens.hash) & (tokens.hash != END)
+        at = np.minimum(np.searchsorted(frequent, tokens.words), f - 1)
+        known = (frequent[at] == tokens.words) & (tokens.words != END)
         unit[known] = at[known]
-    return unit
+    return unit[tokens.at]
 
 
 def _bigrams(frequent: np.ndarray, slots: int):
@@ -199,7 +204,7 @@ def _bigrams(frequent: np.ndarray, slots: int):
 
     def fn(docs):
         x = Tokens(docs)
-        unit = _units(x, x.count, frequent)
+        unit = _units(x, frequent)
         before = np.empty_like(unit)
         before[1:] = unit[:-1]
         before[x.first] = n_units
@@ -342,11 +347,10 @@ class Classed:
     def __init__(self, docs, told, seed: ClassModel, least: int, slots: int):
         self.x = x = Tokens(docs)
         self.count = x.count
-        band = np.minimum(np.floor(np.log2(np.maximum(self.count, 1))).astype(np.int64), BANDS - 1) * KINDS + x.kind
-        self.rare = self.count < least
-        self.rare[x.stop] = False
-        self.band = band
-        self.units, self.at = np.unique(np.where(self.rare, RARE[band], x.hash), return_inverse=True)
+        # by distinct word, each of which some token is
+        band, rare = _bands(x), (x.word_count < least) & (x.words != END)
+        self.units, number = np.unique(np.where(rare, RARE[band], x.words), return_inverse=True)
+        self.rare, self.band, self.at = rare[x.at], band[x.at], number[x.at]
         self.cls = np.zeros(len(self.units), np.int64)
         slot = t.slot_of(self.units, slots)
         self.order = np.argsort(slot, kind="stable")
@@ -355,10 +359,10 @@ class Classed:
             by = np.argsort(t.ids(told["origin"]), kind="stable")
             self.cls[self.order] = _values(told["cls"].combine_chunks().take(pa.array(by)), _small(seed.classes))
         else:
-            self.cls[self.at] = seed.cls[_units(x, self.count, seed.frequent)]
+            self.cls[self.at] = seed.cls[_units(x, seed.frequent)]
             # some words that only their band speaks for are spread, or all of a band would look alike to their neighbours
             spread = np.ones(len(self.units), bool)
-            spread[self.at[self.rare | (x.hash == END)]] = False
+            spread[number[rare | (x.words == END)]] = False
             spread &= ~t.has(seed.frequent, self.units)
             spread &= t.mix(self.units + np.uint64(1)) % np.uint64(SPREAD) == 0
             self.cls[spread] = (t.mix(self.units[spread]) % np.uint64(seed.classes)).astype(np.int64)
@@ -419,7 +423,12 @@ def _contexts(sent, least: int, slots: int):
         begin = b.at[b.x.first[b.x.training[b.x.first]]]
         p, q = i[~same], j[~same]
         entry = np.concatenate([rank[p] * kinds + b.cls[q], rank[q] * kinds + c + b.cls[p], rank[begin] * kinds + 2 * c, rank[i[same]] * kinds + 2 * c + 1])
-        entry, n = np.unique(entry, return_counts=True)
+        if len(b.units) * kinds <= 16 * len(entry):
+            n = np.bincount(entry)
+            entry = np.flatnonzero(n)
+            n = n[entry]
+        else:
+            entry, n = np.unique(entry, return_counts=True)
         place, digit, value = _digits(n)
         unit, code = entry[place] // kinds, entry[place] % kinds + kinds * digit
         by = np.argsort(unit, kind="stable")
@@ -449,12 +458,17 @@ def _sum_contexts(classes: int):
 
     def fn(key, table):
         units, at = np.unique(_values(table["hash"], np.uint64), return_inverse=True)
-        code, n = _values(table["code"], _small(kinds * DIGITS)).astype(np.int64), _values(table["n"], np.uint8).astype(np.int64)
-        n <<= 8 * (code // kinds)
         cls = np.zeros(len(units), np.int64)
         cls[at] = _values(table["cls"], _small(classes))
-        entry, number = np.unique(np.repeat(at, _values(table["size"], np.uint32)) * kinds + code % kinds, return_inverse=True)
-        n = np.bincount(number, n, len(entry)).astype(np.int64)
+        # entry, digit and value in one number: a sort alone brings equal entries together
+        code = _values(table["code"], _small(kinds * DIGITS)).astype(np.int64)
+        packed = ((np.repeat(at, _values(table["size"], np.uint32)) * kinds + code % kinds) * DIGITS + code // kinds) << 8
+        packed |= _values(table["n"], np.uint8)
+        packed.sort()
+        entry = (packed >> 8) // DIGITS
+        n = (packed & 255) << 8 * ((packed >> 8) - entry * DIGITS)
+        g = t.group_starts(entry)
+        entry, n = entry[g], np.add.reduceat(n, g) if len(g) else n
         c, code = cls[entry // kinds], entry % kinds
         g = np.zeros((classes + 1, classes), np.int64)
         after, begin, same = code < classes, code == 2 * classes, code == 2 * classes + 1
@@ -487,16 +501,17 @@ def _choose(sent, classes: int, turn: int):
                 units, old = np.frombuffer(batch.column("hash")[k].as_py(), np.uint64), np.frombuffer(batch.column("cls")[k].as_py(), _small(classes)).astype(np.int64)
                 entry = np.cumsum(part("entry"), dtype=np.int64)
                 n = part("n")
-                new = np.empty_like(old)
+                new = old.copy()
+                # neighbours that move at once would miss each other
+                go = (t.mix(units) >> np.uint64(40)) % np.uint64(PARTS) == turn % PARTS
                 step = 20_000
                 for a in range(0, len(units), step):
                     lo, hi = np.searchsorted(entry, [a * kinds, (a + step) * kinds])
                     x = np.zeros((min(step, len(units) - a), kinds))
                     x.ravel()[entry[lo:hi] - a * kinds] = n[lo:hi]
-                    new[a : a + step] = moved(x[:, :classes], x[:, classes : 2 * classes], x[:, 2 * classes + 1], x[:, 2 * classes], old[a : a + step], sent.value)
-                # neighbours that move at once would miss each other
-                wait = (t.mix(units) >> np.uint64(40)) % np.uint64(PARTS) != turn % PARTS
-                new[wait] = old[wait]
+                    u = np.flatnonzero(go[a : a + step])
+                    x, u = x[u], u + a
+                    new[u] = moved(x[:, :classes], x[:, classes : 2 * classes], x[:, 2 * classes + 1], x[:, 2 * classes], old[u], sent.value)
                 src, asked = part("src"), part("asked")
                 band = np.isin(units, RARE)
                 rows = len(src)

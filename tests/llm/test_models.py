@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import collections
 import math
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import SF_SMALL, crc, low, words
 from pyspark.sql import functions as F
@@ -196,3 +198,25 @@ def test_class_lm_is_a_distribution(spark):
     # a text's score is of its word after the start and of the end after it; words of a class share the end's part
     assert len(pairs) == len(probes) and all(math.isfinite(x) and x < 0 for x in pairs.values())
     assert sum(10**x for x in pairs.values()) <= 1 + 1e-9
+
+
+def test_class_lm_weighs_only_the_units_of_the_turn(monkeypatch):
+    classes, n = 4, 1000
+    kinds = 2 * classes + 2
+    units = np.sort(op6.t.mix(np.arange(n, dtype=np.uint64)))
+    block = pa.table({
+        "slot": pa.array([0], pa.int32()), "src": pa.array([0], pa.int32()), "hash": op6._blobs(units, [0, n]),
+        "cls": op6._blobs((np.arange(n) % classes).astype(np.uint8), [0, n]), "size": op6._blobs(np.ones(n, np.uint32), [0, n]),
+        "code": op6._blobs((np.arange(n) % kinds).astype(np.uint8), [0, n]), "n": op6._blobs(np.full(n, 3, np.uint8), [0, n]),
+    })
+    sums = op6._sum_contexts(classes)((pa.scalar(0),), block)
+    g = np.array(sums["g"][0].as_py(), float).reshape(classes + 1, classes)
+    weighed, real = [], op6.moved
+    monkeypatch.setattr(op6, "moved", lambda to, *rest: weighed.append(len(to)) or real(to, *rest))
+    old = np.arange(n) % classes
+    for turn in range(op6.PARTS):
+        chosen = next(op6._choose(SimpleNamespace(value=g), classes, turn)(iter(sums.to_batches())))
+        new = op6._values(chosen.column("cls"), np.uint8)
+        mine = (op6.t.mix(units) >> np.uint64(40)) % np.uint64(op6.PARTS) == turn
+        assert (new[~mine] == old[~mine]).all()
+    assert sum(weighed) == n
