@@ -46,7 +46,7 @@ def remove(table: DataFrame) -> None:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node in links (a, b): the smallest node it is connected with."""
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", free=True)
     state = None
     while True:
         # large star: each node's larger neighbours point at its least neighbour (or itself)
@@ -56,7 +56,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: each node and its smaller neighbours point at the least of these
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
-        edges = written(small.distinct(), "links")
+        last, edges = edges, written(small.distinct(), "links", free=True)
+        remove(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

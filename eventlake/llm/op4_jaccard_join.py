@@ -24,7 +24,8 @@ documents link when 100 * intersection >= 75 * union. Method:
 5. A parity sketch of each set (bit = parity of the shingles hashed to it) bounds
    the difference from below: two sets differ in at least as many shingles as
    their sketches in bits, so most candidates go without their texts being moved
-   (sound). The others are verified exactly on their whole sets. Sets that are
+   (sound); long sets, which fill a sketch, are also compared by a wider one. The
+   others are verified exactly on their whole sets. Sets that are
    already connected are not compared again: a component needs no further link.
 
 Null and empty texts have the empty set: n_shingles 0, their own component.
@@ -42,13 +43,15 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import textops as t
 from eventlake.llm.blocks import ASKED, BLOCK_BYTES, TOLD, distinct_per_doc, in_blocks, recurring
-from eventlake.llm.components import components, written
+from eventlake.llm.components import components, remove, written
 
 SHINGLE = 5
 CROWD = 32
 #: share of the shingle universe that is counted in step 2 (must exceed a quarter)
 COUNTED = 0.32
 SKETCH = 2048
+#: sets of more shingles than LONG fill that sketch: they have one of WIDE bits besides
+LONG, WIDE = 1024, 16384
 #: comparisons of a crowded set in one turn, and turns, before all that is left is compared
 PIVOTS, TURNS = 4, 2
 #: sets of one shingle that meet in one list, at most twice as many
@@ -122,11 +125,20 @@ def _ask(slots: int):
     return fn
 
 
-def sketches(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
-    """Parity sketch of every row's set, SKETCH bits as 64-bit integers."""
-    bit = (t.mix(h) >> np.uint64(20)) % np.uint64(SKETCH)
-    odd = np.bincount(row * SKETCH + bit.astype(np.int64), minlength=n_rows * SKETCH).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(n_rows, SKETCH), axis=1, bitorder="little").view(np.int64)
+def sketches(row: np.ndarray, h: np.ndarray, n_rows: int, bits: int = SKETCH) -> np.ndarray:
+    """Parity sketch of every row's set, so many bits as 64-bit integers."""
+    bit = (t.mix(h) >> np.uint64(20)) % np.uint64(bits)
+    odd = np.bincount(row * bits + bit.astype(np.int64), minlength=n_rows * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(n_rows, bits), axis=1, bitorder="little").view(np.int64)
+
+
+def wide_sketches(row: np.ndarray, h: np.ndarray, n_rows: int) -> pa.Array:
+    """Sketch of WIDE bits of every row's set of more than LONG shingles, empty for others; rows in order."""
+    long = np.bincount(row, minlength=n_rows) > LONG
+    start = np.searchsorted(row, np.arange(n_rows + 1))
+    one = [sketches(row[start[r] : start[r + 1]] * 0, h[start[r] : start[r + 1]], 1, WIDE).ravel() for r in np.flatnonzero(long).tolist()]
+    offs = np.concatenate([[0], np.cumsum(long * (WIDE // 64))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate([np.zeros(0, np.int64), *one])))
 
 
 def _keep(docs, told):
@@ -147,7 +159,7 @@ def _keep(docs, told):
     mine = place[row] >= 0
     sketch = sketches(place[row[mine]], h[mine], len(at))
     lists = pa.FixedSizeListArray.from_arrays(pa.array(sketch.ravel()), SKETCH // 64).cast(pa.list_(pa.int64()))
-    return pa.table({"doc_id": pa.array(ids[at]), "n": pa.array(n[at].astype(np.int64)), "sketch": lists, "text": text.take(pa.array(at))})
+    return pa.table({"doc_id": pa.array(ids[at]), "n": pa.array(n[at].astype(np.int64)), "sketch": lists, "wide": wide_sketches(place[row[mine]], h[mine], len(at)), "text": text.take(pa.array(at))})
 
 
 def _schemes(n: np.ndarray):
@@ -262,7 +274,7 @@ def _groups(crowd: int):
 
 def _key_groups(kept: DataFrame, slots: int, crowd: int, deletions: bool) -> DataFrame:
     dealt = kept.select("doc_id", "text").mapInArrow(_deal_keys(slots, deletions), "slot int, key array<bigint>, doc array<bigint>, place array<bigint>")
-    return written(dealt.groupBy("slot").applyInArrow(_groups(crowd), "docs array<bigint>, whole boolean, doc long, place long").distinct(), "jaccard-groups")
+    return written(dealt.groupBy("slot").applyInArrow(_groups(crowd), "docs array<bigint>, whole boolean, doc long, place long").distinct(), "jaccard-groups", free=True)
 
 
 def _uncovered(kept: DataFrame, groups: DataFrame, deletions: bool) -> DataFrame:
@@ -293,10 +305,17 @@ def _verify(pairs: DataFrame, kept: DataFrame) -> DataFrame:
 
     side = lambda x: kept.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     # sizes and sketches first: the texts of hopeless pairs are not moved
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)").where(7 * apart <= F.col("na") + F.col("nb")).select("a", "b")
-    texts = near.join(kept.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(kept.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return written(texts.select("a", "b", "ta", "tb").mapInArrow(fn, "a long, b long"), "jaccard-links")
+    apart = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where("100 * least(na, nb) >= 75 * greatest(na, nb)").where(7 * apart("sa", "sb") <= F.col("na") + F.col("nb"))
+    near = written(near.select("a", "b", "na", "nb"), "jaccard-near", free=True)
+    long = (F.col("na") > LONG) & (F.col("nb") > LONG)
+    wide = lambda x: kept.where(F.col("n") > LONG).select(F.col("doc_id").alias(x), F.col("wide").alias(f"w{x}"))
+    far = near.where(long).join(wide("a"), "a").join(wide("b"), "b").where(7 * apart("wa", "wb") <= F.col("na") + F.col("nb"))
+    likely = near.where(~long).select("a", "b").unionAll(far.select("a", "b"))
+    texts = likely.join(kept.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(kept.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
+    links = written(texts.select("a", "b", "ta", "tb").mapInArrow(fn, "a long, b long"), "jaccard-links", free=True)
+    remove(near)
+    return links
 
 
 def _possible(batches):
@@ -358,7 +377,7 @@ def _rarest(kept: DataFrame) -> DataFrame:
     often = rows.groupBy("h").agg(F.count("*").alias("c"))
     by_rarity = Window.partitionBy("doc").orderBy("c", "h")
     prefix = rows.join(often, "h").withColumn("k", F.row_number().over(by_rarity)).where("k <= n - (3 * n + 3) div 4 + 1 and c > 1")
-    return written(prefix.select("h", "doc", "n"), "jaccard-rarest")
+    return written(prefix.select("h", "doc", "n"), "jaccard-rarest", free=True)
 
 
 def _labelled(prefix: DataFrame, labels: DataFrame) -> DataFrame:
@@ -403,7 +422,7 @@ def jaccard_components(docs: DataFrame, crowd: int = CROWD, block_bytes: int = B
     asked = blocks.groupBy("block").cogroup(reps.groupBy("slot")).applyInArrow(_ask(slots), ASKED)
     again = asked.groupBy("slot").applyInArrow(recurring, TOLD)
     told = reps.select("slot", F.lit(0).alias("kind"), "hash").unionAll(again.select("slot", F.lit(1), "hash"))
-    kept = written(blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_keep, "doc_id long, n long, sketch array<bigint>, text string"), "jaccard-kept")
+    kept = written(blocks.groupBy("block").cogroup(told.groupBy("slot")).applyInArrow(_keep, "doc_id long, n long, sketch array<bigint>, wide array<bigint>, text string"), "jaccard-kept", "zstd", free=True)
 
     groups = _key_groups(kept, slots, crowd, False)
     listed = groups.where("docs is not null")
@@ -412,15 +431,17 @@ def jaccard_components(docs: DataFrame, crowd: int = CROWD, block_bytes: int = B
     labels = components(links)
 
     # what the least member of a group does not connect
-    left = written(_uncovered(kept, groups, False), "jaccard-uncovered")
-    wider, prefix = [], None
+    left = written(_uncovered(kept, groups, False), "jaccard-uncovered", free=True)
+    wider, prefix, used = [], None, [groups, left]
     if not left.isEmpty():
-        rest = written(kept.join(left, "doc_id", "left_semi"), "jaccard-rest")
+        rest = written(kept.join(left, "doc_id", "left_semi"), "jaccard-rest", "zstd", free=True)
         near = _key_groups(rest, slots, crowd, True)
         wider = [near.where("docs is not null")]
-        last = written(_uncovered(rest, near, True), "jaccard-last")
+        last = written(_uncovered(rest, near, True), "jaccard-last", free=True)
+        used += [near, rest, last]
         if not last.isEmpty():
             prefix = _rarest(rest.join(last, "doc_id", "left_semi"))
+            used.append(prefix)
             # crowds of near copies: a few comparisons a set connect nearly all of them
             for turn in range(TURNS):
                 found = _verify(_pivots(prefix, labels, [PIVOTS * turn + i for i in range(PIVOTS)]), kept)
@@ -431,9 +452,12 @@ def jaccard_components(docs: DataFrame, crowd: int = CROWD, block_bytes: int = B
     more = reduce(DataFrame.unionAll, [_pairs(g, kept, labels) for g in (listed, *wider)])
     if prefix is not None:
         more = more.unionAll(_rest_pairs(prefix, kept, labels))
-    more = written(more.distinct().join(star, ["a", "b"], "left_anti"), "jaccard-more")
+    more = written(more.distinct().join(star, ["a", "b"], "left_anti"), "jaccard-more", free=True)
+    for table in used:
+        remove(table)
     if not more.isEmpty():
         labels = components(links.unionAll(_verify(more, kept)))
+    remove(kept)
 
     member = sized.join(classes, ["n_shingles", "f1", "f2"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     return member.join(labels, member.rep == labels.node, "left").select("doc_id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from eventlake.llm import op4_jaccard_join as op4
 from eventlake.llm import op9_suffix_dedup as op9
 from eventlake.llm import textops as t
 from eventlake.llm.components import components
+from eventlake.session import checkpoint_dir
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 21, 40_000])
@@ -124,3 +126,40 @@ def test_hashing_spans_holds_no_copies_of_the_whole_block():
     at = [0, 1, t._SPANS - 1, t._SPANS, len(starts) - 1]
     alone = [t.span_hash(buf[a:b], np.array([0]), np.array([b - a]))[0] for a, b in zip(starts[at], ends[at], strict=True)]
     assert got[at].tolist() == [int(x) for x in alone]
+
+
+def test_wide_sketches_tell_long_sets_apart():
+    rng = random.Random(5)
+    pick = lambda n: [rng.getrandbits(64) for _ in range(n)]
+    a, b, near = pick(5000), pick(5000), pick(100)
+    sets = [sorted(a), sorted(b), sorted(a[:-100] + near), sorted(pick(10))]
+    row, h = np.repeat(np.arange(4), [len(x) for x in sets]), np.array([v for x in sets for v in x], np.uint64)
+    wide = op4.wide_sketches(row, h, 4).to_pylist()
+    apart = lambda x, y: sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y, strict=True))
+    assert wide[3] == []
+    assert apart(wide[0], wide[2]) <= 200
+    assert 7 * apart(wide[0], wide[1]) > 10000
+    narrow = op4.sketches(row, h, 4).tolist()
+    assert 7 * apart(narrow[0], narrow[1]) <= 10000  # the narrow one can't tell
+
+
+def test_jaccard_links_of_long_texts(spark):
+    rng = random.Random(8)
+    text = [f"{rng.getrandbits(40):x}" for _ in range(2500)]
+    near, limit = list(text), list(text)
+    for i in rng.sample(range(2500), 30):
+        near[i] = "n"
+    for i in rng.sample(range(2500), 110):
+        limit[i] = f"l{i}"
+    rows = [(i, " ".join(x)) for i, x in enumerate([text, near, limit, text[:1200], text[:1150], [w + "x" for w in text]])]
+    got = {r.doc_id: r.component_id for r in op4.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: component for i, (_, component) in jaccard_components(rows).items()}
+
+
+def test_jaccard_frees_its_tables(spark):
+    root = Path(checkpoint_dir(spark).removeprefix("file://"), "eventlake-scratch")
+    before = set(root.glob("*"))
+    base = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join([*base[:39], f"w{i}"])) for i in range(50)], "doc_id long, text string")
+    assert op4.jaccard_components(docs).where("component_id = 0").count() == 50
+    assert not {p.name.rsplit("-", 1)[0] for p in set(root.glob("*")) - before} & {"jaccard-kept", "jaccard-groups", "jaccard-near", "jaccard-uncovered"}
